@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tidewake.llm import url_filter
+from tidewake.llm import exact_dedup, line_dedup, url_filter
 
 QUERIES = {
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op9_url_filters": url_filter.op9_url_filters,
+    "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 SQL = {
+    "op5_line_dedup": line_dedup.SQL,
     "op9_url_filters": url_filter.SQL,
+    "op10_exact_dedup": exact_dedup.SQL,
 }
