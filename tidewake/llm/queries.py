@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tidewake.llm import exact_dedup, line_dedup, url_filter
+from tidewake.llm import byte_bpe, exact_dedup, line_dedup, packing, url_filter
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
