@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewake.llm import byte_bpe, exact_dedup, line_dedup, packing, url_filter
+from tidewake.llm import byte_bpe, exact_dedup, language_id, line_dedup, packing, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_language_id": language_id.op2_language_id,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_url_filters": url_filter.op9_url_filters,
