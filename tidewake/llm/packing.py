@@ -4,7 +4,7 @@ Each task keeps a fixed number of open windows.  Whole windows are cut off long
 remains goes to the open window it fits best, and when it fits none, the fullest window is emitted
 and a fresh one opened.  What is still open at the end of a task is written with the rest, and the
 leftovers of all tasks are merged by the same rule, longest first, in as many tasks as their number
-asks for.  A piece once cut is never cut again, so columns derived from its ids stay valid.
+asks for.  A piece once cut is never cut again, so its checksum stays valid.
 
 Edge cases: null text is empty and packs as the end id alone; a null ``doc_id`` is carried along;
 repeated rows are packed each on its own; an empty table gives no pieces.
@@ -33,7 +33,7 @@ from tidewake.llm.common import documents, shared_dir, texts
 VOCABULARY = "word_bpe_49k.json"
 END_ID, CAPACITY, OPEN_WINDOWS = 1, 2048, 64
 MERGED_WINDOWS = 4096
-CACHED_WORDS = 400_000
+CACHED_WORDS, WORDS_AT_ONCE = 400_000, 50_000
 _TRAILING = b".,;:!?#%&*$|()[]"
 #: Words that the normaliser and the splitter leave as they are; they go to the merges straight away.
 _PLAIN = re.compile("[a-zà-öø-ÿ]+")
@@ -58,10 +58,8 @@ class WordIds:
         return stem if stem and _FIXED.fullmatch(stem.decode()[-1]) else word
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.cache) + len(words) > CACHED_WORDS:
-            self.cache.clear()
         split = {w: self._stem(w) for w in words}
-        parts = ({s for s in split.values()} | {w[len(s) :] for w, s in split.items() if len(s) < len(w)}) - self.cache.keys()
+        parts = {p for w, s in split.items() for p in (s, w[len(s) :]) if p and p not in self.cache}
         merge, plain, listed = self.tokenizer.model.tokenize, [], []
         for w in parts:
             (plain if _PLAIN.fullmatch(w.decode()) else listed).append(w)
@@ -70,19 +68,19 @@ class WordIds:
         self.cache.update((w, array("I", e.ids).tobytes()) for w, e in zip(listed, found, strict=True))
         self.cache.update((w, self.cache[s] + self.cache[w[len(s) :]]) for w, s in split.items() if len(s) < len(w))
 
-    def encode(self, batch: list[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, without an end id."""
-        out, cut = [], [text.lower().split() for text in batch]
-        for start in range(0, len(cut), 256):
-            part = cut[start : start + 256]
-            words = {w for found in part for w in found}
-            if new := words - self.cache.keys():
+    def encode(self, text: bytes) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text, without an end id."""
+        words, parts = text.lower().split(), []
+        for start in range(0, len(words), WORDS_AT_ONCE):
+            some = words[start : start + WORDS_AT_ONCE]
+            met = set(some)
+            if new := {w for w in met if w not in self.cache}:
+                if len(self.cache) + 2 * len(new) > CACHED_WORDS:
+                    self.cache.clear()
+                    new = met
                 self._learn(new)
-                if not words <= self.cache.keys():
-                    self._learn(words - self.cache.keys())
-            get = self.cache.__getitem__
-            out += [b"".join(map(get, found)) for found in part]
-        return out
+            parts.append(b"".join(map(self.cache.__getitem__, some)))
+        return b"".join(parts)
 
 
 @functools.lru_cache(maxsize=2)
@@ -92,15 +90,10 @@ def load(path: str) -> WordIds:
     return WordIds(path)
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """``doc_id, ids``: binary little-endian unsigned 32-bit ids of the whole text and the end id."""
+def encoder(path: str, end_id: int = END_ID) -> Callable[[bytes], bytes]:
+    """From a text in UTF-8 to its little-endian unsigned 32-bit ids, the end id with them."""
     end = np.array([end_id], "<u4").tobytes()
-
-    @F.arrow_udf("binary")
-    def encode(bodies: pa.Array) -> pa.Array:
-        return pa.array([ids + end for ids in load(path).encode(bodies.to_pylist())], pa.binary())
-
-    return texts(docs).select("doc_id", encode(F.col("text").cast("binary")).alias("ids"))
+    return lambda text: load(path).encode(text) + end
 
 
 class Windows:
@@ -126,11 +119,10 @@ class Windows:
         return emitted
 
 
-_PLACED = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
-_PLACED_ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
+_PLACED = ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")
 
 
-def _placer(capacity: int, limit: int):
+def _placer(capacity: int, limit: int, encode, keep_ids: bool):
     def place(batches):
         serial = TaskContext.get().partitionId() << 32
         windows, rows = Windows(capacity, limit), []
@@ -138,22 +130,24 @@ def _placer(capacity: int, limit: int):
         def close(pieces) -> None:
             nonlocal serial
             offset = 0
-            for doc_id, start, length, total, ids in pieces:
-                rows.append((doc_id, start, length, total, serial, offset, ids))
+            for doc_id, start, length, total, *payload in pieces:
+                rows.append((doc_id, start, length, total, serial, offset, *payload))
                 offset += length
             serial += 1
 
         def flush():
-            columns = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PLACED_ARROW, strict=True)], schema=_PLACED_ARROW)
+            kinds = [pa.int64()] * (len(_PLACED) + 1) + [pa.binary()]
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=False)]
+            return pa.RecordBatch.from_arrays(columns, [*_PLACED, "ids_crc32", "ids"][: len(columns)])
 
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = ids.as_py()
+                ids = encode(ids.as_py())
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     length = min(capacity, total - start)
-                    piece = (doc_id, start, length, total, ids[4 * start : 4 * (start + length)])
+                    part = ids[4 * start : 4 * (start + length)]
+                    piece = (doc_id, start, length, total, zlib.crc32(part), *([part] if keep_ids else []))
                     emitted = [piece] if length == capacity else windows.place(length, piece)
                     if emitted:
                         close(emitted)
@@ -161,7 +155,7 @@ def _placer(capacity: int, limit: int):
                     yield flush()
                     rows = []
         for pieces in windows.held:
-            rows += [(doc_id, start, length, total, None, None, ids) for doc_id, start, length, total, ids in pieces]
+            rows += [(doc_id, start, length, total, None, None, *payload) for doc_id, start, length, total, *payload in pieces]
         if rows:
             yield flush()
 
@@ -193,15 +187,15 @@ def _merger(capacity: int, limit: int):
     return merge
 
 
-def pack(tokens: DataFrame, capacity: int = CAPACITY, open_windows: int = OPEN_WINDOWS, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Pieces ``doc_id, start, length, doc_tokens, ids, sequence_id, offset``.
+def pack(rows: DataFrame, encode: Callable[[bytes], bytes] | None = None, capacity: int = CAPACITY, open_windows: int = OPEN_WINDOWS, keep_ids: bool = True) -> DataFrame:
+    """Pieces ``doc_id, start, length, doc_tokens, ids_crc32, ids, sequence_id, offset``.
 
-    ``tokens`` has ``doc_id`` and binary ``ids``.  ``derive`` maps the placed pieces before they are
-    stored, to add columns made from ``ids`` or drop it; it must leave the other columns.
+    ``rows`` has ``doc_id`` and a binary column ``body``: the ids as little-endian unsigned 32-bit
+    numbers, or what ``encode`` makes them of.  Without ``keep_ids`` their checksum alone is stored.
     """
-    spark = tokens.sparkSession
-    placed = tokens.select("doc_id", "ids").mapInArrow(_placer(capacity, open_windows), _PLACED)
-    placed = derive(placed) if derive else placed
+    spark = rows.sparkSession
+    kind = ", ".join(f"{c} long" for c in (*_PLACED, "ids_crc32")) + ", ids binary" * keep_ids
+    placed = rows.select("doc_id", "body").mapInArrow(_placer(capacity, open_windows, encode or bytes, keep_ids), kind)
     path = shared_dir(spark, "packing")
     placed.write.parquet(path)
     stored = spark.read.schema(placed.schema).parquet(path)
@@ -217,19 +211,10 @@ def pack(tokens: DataFrame, capacity: int = CAPACITY, open_windows: int = OPEN_W
     return closed.select(*order).unionByName(merged.select("piece.*", "sequence_id", "offset").select(*order))
 
 
-def with_crc(pieces: DataFrame) -> DataFrame:
-    """``ids_crc32`` in place of ``ids``."""
-
-    @F.arrow_udf("long")
-    def crc(column: pa.Array) -> pa.Array:
-        return pa.array([zlib.crc32(x.as_py()) for x in column], pa.int64())
-
-    return pieces.withColumn("ids_crc32", crc("ids")).drop("ids")
-
-
 def packed_documents(docs: DataFrame) -> DataFrame:
-    """The pieces of a table of documents, with a checksum for the ids."""
-    pieces = pack(tokenized(docs, public_tokenizers.path(VOCABULARY)), derive=with_crc)
+    """The pieces of a table of documents, with a checksum of their ids."""
+    rows = texts(docs).select("doc_id", F.col("text").cast("binary").alias("body"))
+    pieces = pack(rows, encoder(public_tokenizers.path(VOCABULARY)), keep_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
