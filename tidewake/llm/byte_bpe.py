@@ -30,6 +30,7 @@ from tidewake.llm.common import documents, texts
 RANKS = "byte_bpe_50k.tiktoken"
 LONG = 512
 CACHED_PIECES = 300_000
+CHARS_AT_ONCE = 1 << 20
 _NONE = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -90,12 +91,13 @@ class ByteBPE:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[left, right] = rank
-        self.pairs, self.table = pairs, PairTable(pairs)
-        self.tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.tokens[rank] = token
+        self.ranks, self.table = ranks, PairTable(pairs)
+        self.tokens = _by_id(ranks)
         self.cache: dict[str, bytes] = {}
 
+    def merge(self, left: int, right: int) -> int | None:
+        return self.ranks.get(self.tokens[left] + self.tokens[right])
+
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """The ids of each piece, in order."""
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(pieces)
@@ -156,7 +158,7 @@ class ByteBPE:
         ids = self.single[np.frombuffer(piece, np.uint8)].tolist()
         n = len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.pairs.get((ids[i], ids[i + 1]))) is not None]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.merge(ids[i], ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             rank, i, left, right = heapq.heappop(heap)
@@ -166,34 +168,61 @@ class ByteBPE:
             ids[i], ids[j], after[i] = rank, -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
-                if (r := self.pairs.get((rank, ids[after[j]]))) is not None:
+                if (r := self.merge(rank, ids[after[j]])) is not None:
                     heapq.heappush(heap, (r, i, rank, ids[after[j]]))
-            if before[i] >= 0 and (r := self.pairs.get((ids[before[i]], rank))) is not None:
+            if before[i] >= 0 and (r := self.merge(ids[before[i]], rank)) is not None:
                 heapq.heappush(heap, (r, before[i], ids[before[i]], rank))
         return np.array([x for x in ids if x >= 0], np.int32)
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
+        """The ids of each text; so many texts at a time that their pieces stay small."""
+        out, start, held = [], 0, 0
+        for i, text in enumerate(batch):
+            held += len(text)
+            if held > CHARS_AT_ONCE or i == len(batch) - 1:
+                out += self._encode(batch[start : i + 1])
+                start, held = i + 1, 0
+        return out
+
+    def _encode(self, batch: list[str]) -> list[np.ndarray]:
         cut = [(_LATIN if self.latin and not _BEYOND.search(text) else self.pattern).findall(text) for text in batch]
-        new = {piece for pieces in cut for piece in pieces} - self.cache.keys()
+        met = {piece for pieces in cut for piece in pieces}
+        new = {piece for piece in met if piece not in self.cache}
         if len(new) + len(self.cache) > CACHED_PIECES:
             self.cache.clear()
-            new = {piece for pieces in cut for piece in pieces}
+            new = met
         listed = list(new)
         self.cache.update(zip(listed, (x.tobytes() for x in self.encode_pieces([p.encode() for p in listed])), strict=True))
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(get, pieces)), np.int32) for pieces in cut]
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+
+def _by_id(ranks: dict[bytes, int]) -> list[bytes]:
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def _read(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
 @functools.lru_cache(maxsize=2)
 def load(path: str, pattern: str) -> ByteBPE:
     """The vocabulary of a rank file, once per worker."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return ByteBPE(ranks, pattern)
+    return ByteBPE(_read(path), pattern)
+
+
+@functools.lru_cache(maxsize=2)
+def load_tokens(path: str) -> list[bytes]:
+    """The bytes of each id, once per worker."""
+    return _by_id(_read(path))
+
+
+def decode(tokens: list[bytes], ids) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids))
 
 
 def encode_texts(rows: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
@@ -208,21 +237,22 @@ def encode_texts(rows: DataFrame, path: str, pattern: str, text: str = "text") -
     return rows.withColumn("ids", encode(text))
 
 
-def decode_ids(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
+def decode_ids(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``rows`` with a binary column ``decoded``."""
 
     @F.arrow_udf("binary")
-    def decode(column: pa.Array) -> pa.Array:
-        codec = load(path, pattern)
-        flat, ends = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False).cumsum()
-        return pa.array([codec.decode(x) for x in (part.tolist() for part in np.split(flat, ends[:-1]))] if len(ends) else [], pa.binary())
+    def to_bytes(column: pa.Array) -> pa.Array:
+        tokens = load_tokens(path)
+        flat, sizes = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
+        parts = np.split(flat, sizes.cumsum()[:-1]) if len(sizes) else []
+        return pa.array([decode(tokens, part.tolist()) for part in parts], pa.binary())
 
-    return rows.withColumn("decoded", decode(ids))
+    return rows.withColumn("decoded", to_bytes(ids))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    rows = decode_ids(encode_texts(texts(documents(spark, sf_dir)), path, pattern), path, pattern)
+    rows = decode_ids(encode_texts(texts(documents(spark, sf_dir)), path, pattern), path)
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
