@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidewake.llm import byte_bpe, exact_dedup, jaccard_join, language_id, line_dedup, packing, pii, url_filter
+from tidewake.llm import byte_bpe, exact_dedup, jaccard_join, language_id, line_dedup, media, packing, pii, token_shards, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_language_id": language_id.op2_language_id,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
+    "op4_media_columns": media.op4_media_columns,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_pii_surrogates": pii.op6_pii_surrogates,
+    "op7_token_shards": token_shards.op7_token_shards,
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
