@@ -136,3 +136,21 @@ def bits_text(bits, start: int, characters: int) -> Column:
 
 def within(value, low, high, sentinel: int = -999) -> Column:
     return F.when(c(value).between(low, high), c(value)).otherwise(F.lit(sentinel))
+
+
+def armoured(bits) -> Column:
+    """The payload of a string of bits; the inverse of ``armour_bits`` for whole characters."""
+    value = lambda i: F.conv(F.substring(c(bits), 6 * i + 1, 6), 2, 10).cast("int")
+    char = lambda i: F.char((value(i) + F.when(value(i) < 40, 48).otherwise(56)).cast("long"))
+    return F.array_join(F.transform(F.sequence(F.lit(0), (F.length(c(bits)) / 6).cast("int") - 1), char), "")
+
+
+def bits_of(value, length: int) -> Column:
+    """The low ``length`` bits of an integer, two's complement for a negative one."""
+    return F.lpad(F.bin(c(value).cast("long").bitwiseAND(F.lit((1 << length) - 1))), length, "0")
+
+
+def text_bits(text, characters: int) -> Column:
+    """Six-bit text, filled up with ``@``."""
+    padded = F.rpad(F.upper(c(text)), characters, "@")
+    return F.array_join(F.transform(F.split(padded, ""), lambda ch: F.when(ch != "", F.lpad(F.bin((F.instr(F.lit(SIX_BIT_TEXT), ch) - 1).cast("long")), 6, "0")).otherwise("")), "")

@@ -26,8 +26,8 @@ def _position(bits: Column, lon: int, lat: int) -> tuple[Column, Column]:
     return F.when(F.abs(x) <= 180, x), F.when(F.abs(y) <= 90, y)
 
 
-def decoded(messages: DataFrame, payload: str = "payload") -> DataFrame:
-    """Position reports (1, 2, 3, 18, 19) and static reports (5, 24A, 24B) with one column a field; null where a type has none or the value is out of range."""
+def decoded(messages: DataFrame, payload: str = "payload", carried: list[str] | None = None) -> DataFrame:
+    """Position reports (1, 2, 3, 18, 19) and static reports (5, 24A, 24B) with one column a field; null where a type has none or the value is out of range; columns ``carried`` come along."""
     rows = messages.withColumn("bits", armour_bits(payload))
     bits = F.col("bits")
     kind = bits_unsigned(bits, 0, 6)
@@ -40,6 +40,7 @@ def decoded(messages: DataFrame, payload: str = "payload") -> DataFrame:
     heading = F.when(a, bits_unsigned(bits, 128, 9)).when(b, bits_unsigned(bits, 124, 9))
     length = F.when(kind == 5, bits_unsigned(bits, 240, 9) + bits_unsigned(bits, 249, 9)).when((kind == 24) & (part == 1), bits_unsigned(bits, 132, 9) + bits_unsigned(bits, 141, 9)).when(kind == 19, bits_unsigned(bits, 271, 9) + bits_unsigned(bits, 280, 9))
     return rows.select(
+        *(carried or []),
         kind.cast("int").alias("msg_type"),
         bits_unsigned(bits, 8, 30).alias("mmsi"),
         F.when(a, bits_unsigned(bits, 38, 4)).cast("int").alias("status"),
