@@ -1 +1,55 @@
-"""Queries."""
+"""Queries of the live services, over a finished table: the batch form of what the streams compute."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewake.functions.geo import haversine_km
+from tidewake.operators.voyages import DAY
+from tidewake.plans.registry import query
+from tidewake.sources.fixtures import POINTS_SQL, haversine_sql, points, table
+
+
+@query(f"""WITH {POINTS_SQL}, w AS (SELECT *, unnest([t // 300 * 300 - 300, t // 300 * 300]) AS window_start FROM points)
+SELECT window_start, mmsi, max(t) AS t, arg_max(event_id, (t, event_id)) AS event_id FROM w GROUP BY window_start, mmsi""")
+def latest_in_window(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("ts", F.timestamp_seconds("t"))
+    out = p.groupBy(F.window("ts", "10 minutes", "5 minutes"), "mmsi").agg(F.max(F.struct("t", "event_id")).alias("row"))
+    return out.select(F.unix_timestamp("window.start").alias("window_start"), "mmsi", "row.t", "row.event_id")
+
+
+@query(f"""WITH {POINTS_SQL}, n AS (SELECT * FROM points WHERE {haversine_sql('lon', 'lat', '122.5e0', '30.5e0')} < 60)
+SELECT t // 3600 * 3600 AS window_start, count(DISTINCT mmsi) AS n_ships FROM n GROUP BY 1""")
+def circle_counts_hourly(spark, sf_dir):
+    near = points(spark, sf_dir).filter(haversine_km("lon", "lat", F.lit(122.5), F.lit(30.5)) < 60).withColumn("ts", F.timestamp_seconds("t"))
+    return near.groupBy(F.window("ts", "1 hour")).agg(F.countDistinct("mmsi").alias("n_ships")).select(F.unix_timestamp("window.start").alias("window_start"), "n_ships")
+
+
+@query(f"""WITH {POINTS_SQL}, g AS (SELECT *, CASE WHEN t - lag(t) OVER w < 86400 THEN 0 ELSE 1 END AS fresh FROM points WINDOW w AS (PARTITION BY mmsi, site ORDER BY t, event_id)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY mmsi, site ORDER BY t, event_id) AS visit FROM g)
+SELECT mmsi, site, min(t) AS begin_t, max(t) + 86400 AS end_t, count(*) AS n_points FROM s GROUP BY mmsi, site, visit""")
+def site_sessions(spark, sf_dir):
+    p = points(spark, sf_dir).withColumn("ts", F.timestamp_seconds("t"))
+    out = p.groupBy("mmsi", "site", F.session_window("ts", f"{DAY} seconds")).agg(F.count(F.lit(1)).alias("n_points"))
+    return out.select("mmsi", "site", F.unix_timestamp("session_window.start").alias("begin_t"), F.unix_timestamp("session_window.end").alias("end_t"), "n_points")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE (c_mktsegment = 'MACHINERY' OR c_nationkey >= 20) AND c_acctbal > 0 AND contains(c_name, '#')")
+def outbox_selection(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    return c.filter(((F.col("c_mktsegment") == "MACHINERY") | (F.col("c_nationkey") >= 20)) & (F.col("c_acctbal") > 0) & F.contains("c_name", F.lit("#"))).select("c_custkey", "c_name")
+
+
+@query("SELECT o_orderkey, n_name FROM orders LEFT JOIN nation ON n_nationkey = o_custkey % 40 WHERE o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-01-31'")
+def history_lookup(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderdate").between(F.lit("1996-01-01").cast("timestamp_ntz"), F.lit("1996-01-31").cast("timestamp_ntz")))
+    names = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return o.join(names, F.col("n_nationkey") == F.col("o_custkey") % 40, "left").select("o_orderkey", "n_name")
+
+
+@query(f"""WITH {POINTS_SQL}, l AS (SELECT * FROM points WHERE mmsi IN (SELECT c_custkey FROM customer WHERE c_nationkey = 3))
+SELECT mmsi, max(t) AS t, arg_max(event_id, (t, event_id)) AS event_id FROM l GROUP BY mmsi""")
+def emergency_positions(spark, sf_dir):
+    wanted = table(spark, sf_dir, "customer").filter("c_nationkey = 3").select(F.col("c_custkey").alias("mmsi"))
+    last = points(spark, sf_dir).join(wanted, "mmsi", "left_semi").groupBy("mmsi").agg(F.max(F.struct("t", "event_id")).alias("row"))
+    return last.select("mmsi", "row.t", "row.event_id")

@@ -1 +1,82 @@
-"""Queries."""
+"""Queries over compressed tracks and spatial classes."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidewake.functions import geo
+from tidewake.operators import compress
+from tidewake.operators import trajectory as tr
+from tidewake.plans.registry import query
+from tidewake.sources.fixtures import POINTS_SQL, haversine_sql, points, table
+
+_ORDER = "(PARTITION BY mmsi ORDER BY t, event_id)"
+
+
+def _length_sql(source: str) -> str:
+    return f"""SELECT mmsi, round(coalesce(sum(step), 0), 6) AS km FROM (SELECT mmsi, {haversine_sql(f'lag(lon) OVER {_ORDER}', f'lag(lat) OVER {_ORDER}', 'lon', 'lat')} AS step FROM {source}) GROUP BY mmsi"""
+
+
+@query(f"""WITH {POINTS_SQL}, i AS (SELECT *, row_number() OVER {_ORDER} AS i, count(*) OVER (PARTITION BY mmsi) AS n FROM points),
+thin AS (SELECT * FROM i WHERE i % 3 = 1 OR i = n), a AS ({_length_sql('points')}), b AS ({_length_sql('thin')})
+SELECT a.mmsi, round(CASE WHEN a.km > 0 THEN 1 - b.km / a.km ELSE 0 END, 6) AS deviation FROM a JOIN b ON a.mmsi = b.mmsi""")
+def deviation(spark, sf_dir):
+    p = points(spark, sf_dir)
+    numbered = p.withColumns({"i": F.row_number().over(tr.order()), "n": F.count(F.lit(1)).over(Window.partitionBy("mmsi"))})
+    out = compress.deviation(tr.trip_distance(p), tr.trip_distance(numbered.filter("i % 3 = 1 or i = n")))
+    return out.select("mmsi", F.round("deviation", 6).alias("deviation"))
+
+
+def _kept(spark, sf_dir, method, cut):
+    out = compress.compressed(points(spark, sf_dir).select("mmsi", "event_id", "t", "lon", "lat", "sog"), 100.0, method, cut)
+    return out.select("mmsi", "event_id", "t")
+
+
+@query()
+def compress_dp(spark, sf_dir):
+    return _kept(spark, sf_dir, "dp", None)
+
+
+@query()
+def compress_ddp(spark, sf_dir):
+    return _kept(spark, sf_dir, "ddp", 300.0)
+
+
+@query()
+def compress_qdp(spark, sf_dir):
+    return _kept(spark, sf_dir, "qdp", 300.0)
+
+
+@query(f"""WITH {POINTS_SQL}, s AS (SELECT mmsi, event_id, {haversine_sql('lag(lon) OVER w', 'lag(lat) OVER w', 'lon', 'lat')} AS d, (t - lag(t) OVER w) * 0.001e0 AS dt FROM points WINDOW w AS {_ORDER})
+SELECT mmsi, round(sum(sqrt(power(d, 2) + power(dt, 2))), 6) AS space_time_km FROM s GROUP BY mmsi""")
+def space_time_distance(spark, sf_dir):
+    before = lambda name: F.lag(name).over(tr.order())
+    step = geo.space_time_km(before("lon"), before("lat"), before("t"), "lon", "lat", "t", 0.001)
+    return points(spark, sf_dir).withColumn("step", step).groupBy("mmsi").agg(F.round(F.sum("step"), 6).alias("space_time_km"))
+
+
+@query("""WITH v AS (SELECT c_custkey, CAST(c_custkey % 7 - 3 AS DOUBLE) AS ax, CAST(c_nationkey AS DOUBLE) AS ay, 2.0e0 AS az, CAST(c_custkey % 5 AS DOUBLE) AS bx, -1.0e0 AS by_, CAST(c_nationkey % 4 AS DOUBLE) AS bz FROM customer)
+SELECT c_custkey, round((ax * bx + ay * by_ + az * bz) / nullif(sqrt((ax * ax + ay * ay + az * az) * (bx * bx + by_ * by_ + bz * bz)), 0), 6) AS cosine, ay * bz - az * by_ AS cross_x FROM v""")
+def vector_angles(spark, sf_dir):
+    d = lambda x: x.cast("double")
+    a = F.array(d(F.col("c_custkey") % 7 - 3), d(F.col("c_nationkey")), F.lit(2.0))
+    b = F.array(d(F.col("c_custkey") % 5), F.lit(-1.0), d(F.col("c_nationkey") % 4))
+    c = table(spark, sf_dir, "customer").withColumns({"a": a, "b": b})
+    return c.select("c_custkey", F.round(geo.cosine3("a", "b"), 6).alias("cosine"), geo.cross3("a", "b")[0].alias("cross_x"))
+
+
+@query(f"""WITH {POINTS_SQL} SELECT mmsi, event_id FROM points WHERE lon BETWEEN 122 AND 123 AND lat BETWEEN 30.2e0 AND 30.8e0 AND status IN (0, 5) AND event_type NOT IN ('error')""")
+def bbox_status_filter(spark, sf_dir):
+    inside = F.col("lon").between(122, 123) & F.col("lat").between(30.2, 30.8)
+    return points(spark, sf_dir).filter(inside & F.col("status").isin(0, 5) & ~F.col("event_type").isin("error")).select("mmsi", "event_id")
+
+
+@query(f"WITH {POINTS_SQL} SELECT mmsi, count(*) AS n FROM points GROUP BY mmsi HAVING count(*) > 60 AND count(*) < 70")
+def group_size_between(spark, sf_dir):
+    return points(spark, sf_dir).groupBy("mmsi").agg(F.count(F.lit(1)).alias("n")).filter("n > 60 and n < 70")
+
+
+@query(f"""WITH {POINTS_SQL} SELECT count(DISTINCT mmsi) AS ships_north, min(lat) > 30.9e0 AS all_north FROM points WHERE lat >= 30.9e0""")
+def latitude_threshold(spark, sf_dir):
+    return points(spark, sf_dir).filter("lat >= 30.9e0").agg(F.countDistinct("mmsi").alias("ships_north"), (F.min("lat") > 30.9).alias("all_north"))
