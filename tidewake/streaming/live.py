@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def stop_stream(stream: DataFrame, max_speed_mm_s: float = MAX_SPEED_MM_S, max_d
             first = fold.last
             if first is not None:
                 lon, lat = [first[1], *lon], [first[2], *lat]
-            km = [*([None] if first is None else []), *_pair_km(*map(pd.Series, (lon, lat))).tolist()] if len(lon) > 1 else [None]
+            km = [*([None] if first is None else []), *_pair_km(np.asarray(lon), np.asarray(lat)).tolist()] if len(lon) > 1 else [None]
             for t, x, y, d in zip(rows["t"].tolist(), rows["lon"].tolist(), rows["lat"].tolist(), km, strict=True):
                 before, was_open, number = fold.last, fold.last is not None and fold.open, fold.stop
                 fold.feed(t, x, y, d)
