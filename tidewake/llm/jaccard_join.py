@@ -3,8 +3,11 @@
 Shingles have one global order, rare ones first, after a sketch of their counts over all rows.  Two
 sets whose overlap reaches the bound share at least ``l`` shingles within their ``l``-prefixes, for
 any ``l``.  Each document takes the ``l`` of least estimated cost: a longer prefix is dearer to scan
-and lets more shared shingles be asked for before a pair is verified.  A pair of documents is judged
-at the smaller of their two values.
+and lets more shared shingles be asked for before a pair is verified.  Pairs meet at a shingle of their
+shortest prefixes; a pair is a candidate when the longer ones share as many as the smaller of their two
+values, counted on the spot by blocks of an incidence matrix.  Where everything is common, as in a large
+family of near copies, documents take most of their set for a prefix, and few pairs come out that are
+not similar.
 
 Equal sets are one class from the start.  A few links between each class and the smallest class with
 the same minimum hash come first; pairs within the components that they make need no further look, so
@@ -31,12 +34,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from tidewake.llm.common import checkpointed, documents, shared_dir, texts
 from tidewake.llm.components import connected_components
 
 SLOTS_PER_ROW, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 64, 1 << 16, 1 << 26, 1 << 16
-MAX_MATCHES = 6
+PAIR_BLOCK, VOCABULARY_BLOCK = 1024, 4096
+ASKED_BITS = 1 << 23
 SCAN_COST, PAIR_COST = 1.0, 2.0
 HEADS = 3
 TEXT_BATCH = 512
@@ -132,7 +137,7 @@ def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, percen
     extra = np.maximum(counts - (noise + 2 * math.sqrt(noise) + 1), 0.0)
     order = np.lexsort((tokens, np.log2(1 + extra).astype(np.int8)))
     base = len(tokens) - least_overlap(len(tokens), percent) + 1
-    most = min(MAX_MATCHES, len(tokens) - base + 1)
+    most = len(tokens) - base + 1
     others = np.cumsum(extra[order[: base + most - 1]])
     matches = np.arange(1, most + 1)
     cost = SCAN_COST * (base + matches - 1) + PAIR_COST * others[base - 1 :] / matches
@@ -176,10 +181,28 @@ def _small_batches(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+def _asked_for(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` less most of those whose ``doc_id`` is not in ``ids``, by a bitmap of ``ASKED_BITS`` hashed identifiers; Spark counts bits from 1."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ASKED_BITS))
+    parts = ids.select((bit("doc_id") + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    bitmap = np.zeros(ASKED_BITS // 8, np.uint8)
+    for row in parts.collect():
+        bitmap[(row["part"] - 1) * 4096 :][: len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf(BooleanType())
+    def asked(bits: pa.Array) -> pa.Array:
+        at = bits.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+
+    return rows.filter(asked(bit("doc_id")))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The rows ``x, y`` of ``pairs`` whose texts' shingle sets are similar enough."""
-    named = pairs.select(F.explode(F.array("x", "y")).alias("doc_id")).distinct()
-    bodies = docs.join(named, "doc_id", "left_semi")
+    pairs = checkpointed(pairs)
+    named = pairs.select(F.col("x").alias("doc_id")).unionByName(pairs.select(F.col("y").alias("doc_id"))).distinct()
+    bodies = _asked_for(docs, named).join(named, "doc_id", "left_semi")
     first, second = bodies.select(F.col("doc_id").alias("x"), F.col("body").alias("x_body")), bodies.select(F.col("doc_id").alias("y"), F.col("body").alias("y_body"))
 
     def check(batches):
@@ -234,27 +257,90 @@ def _head_pairs(nodes: DataFrame) -> DataFrame:
     return heads.join(hubs, ["i", "head"]).filter("rep <> x").select("x", F.col("rep").alias("y")).distinct()
 
 
+def _block_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of ``a`` has in common with each of ``b``: incidence matrices, some columns at a time."""
+    vocabulary, at, times = np.unique(np.concatenate([*a, *b]), return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    counts = np.zeros((len(a), len(b)), np.float32)
+    repeated = times > 1
+    place = np.where(repeated, np.cumsum(repeated) - 1, -1)[at]
+    for start in range(0, int(repeated.sum()), VOCABULARY_BLOCK):
+        here = (place >= start) & (place < start + VOCABULARY_BLOCK)
+        matrix = np.zeros((len(a) + len(b), VOCABULARY_BLOCK), np.float32)
+        matrix[rows[here], place[here] - start] = 1
+        counts += matrix[: len(a)] @ matrix[len(a) :].T
+    return counts
+
+
+def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.ndarray, prefixes: list, percent: int):
+    """``(x, y)`` arrays of the candidates among the documents that meet at one token."""
+    order = np.argsort(n, kind="stable")
+    rep, label, n, matches, prefixes = rep[order], label[order], n[order], matches[order], [prefixes[i] for i in order]
+    for i in range(0, len(rep), PAIR_BLOCK):
+        a = slice(i, i + PAIR_BLOCK)
+        for j in range(i, len(rep), PAIR_BLOCK):
+            b = slice(j, j + PAIR_BLOCK)
+            if 100 * n[a][-1] < percent * n[b][0]:
+                break
+            likely = (label[a][:, None] != label[b]) & (100 * n[a][:, None] >= percent * n[b])
+            if i == j:
+                likely &= np.triu(np.ones(likely.shape, bool), 1)
+            asked = np.minimum(matches[a][:, None], matches[b])
+            if (likely & (asked > 1)).any():
+                likely &= (asked == 1) | (_block_counts(prefixes[a], prefixes[b]) >= asked)
+            x, y = np.nonzero(likely)
+            if len(x):
+                x, y = rep[a][x], rep[b][y]
+                yield np.minimum(x, y), np.maximum(x, y)
+
+
+def _pairer(percent: int):
+    """Rows come sorted by token; the rows of one token are held at a time."""
+    empty = np.empty(0, np.int64)
+
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+
+        def pairs():
+            rows = pa.Table.from_batches(held).combine_chunks()
+            if len(rows) < 2:
+                return
+            rep, label, n, matches = (rows.column(c).to_numpy() for c in ("rep", "label", "n", "matches"))
+            column = rows.column("prefix").combine_chunks()
+            flat = column.flatten().to_numpy(zero_copy_only=False)
+            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            prefixes = np.split(flat, ends[:-1]) if len(flat) else [empty] * len(rows)
+            for x, y in bucket_pairs(rep, label, n, matches, prefixes, percent):
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
+
+        last = None
+        for batch in batches:
+            tokens = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(tokens[1:] != tokens[:-1]) + 1).tolist(), len(tokens)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if held and tokens[a] != last:
+                    yield from pairs()
+                    held = []
+                last = tokens[a]
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from pairs()
+
+    return run
+
+
 def _prefix_pairs(nodes: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """Pairs in different components that share as many prefix shingles as the smaller of their bounds asks for."""
-    base = F.expr(f"n - (({percent} * n + 99) div 100) + 1")
+    """Candidate pairs in different components that meet at a token of their shortest prefixes."""
     known = near.select(F.col("node").alias("rep"), F.col("component").alias("label"))
-    rows = nodes.select("rep", "n", "prefix").join(known, "rep", "left")
-    rows = rows.select("rep", F.coalesce("label", "rep").alias("label"), "n", base.alias("base"), F.posexplode("prefix").alias("at", "token"), F.size("prefix").alias("held"))
-    rows = rows.select("token", "rep", "label", "n", F.greatest(F.lit(1), F.col("at") + 2 - F.col("base")).cast("int").alias("level"), (F.col("held") - F.col("base") + 1).cast("int").alias("matches"))
-    mixed = rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
-    shared = checkpointed(rows.join(mixed, "token"))
-    a, b = shared.alias("a"), shared.alias("b")
-    asked = F.least("a.matches", "b.matches")
-    likely = (
-        (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.rep") < F.col("b.rep"))
-        & (F.col("a.label") != F.col("b.label"))
-        & (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
-        & (F.col("a.level") <= asked)
-        & (F.col("b.level") <= asked)
-    )
-    met = a.join(b, likely).select(F.col("a.rep").alias("x"), F.col("b.rep").alias("y"), asked.alias("asked"))
-    return met.groupBy("x", "y").agg(F.count(F.lit(1)).alias("met"), F.first("asked").alias("asked")).filter("met >= asked").select("x", "y")
+    base = F.expr(f"cast(n - (({percent} * n + 99) div 100) + 1 as int)")
+    rows = nodes.select("rep", "n", "prefix", base.alias("base")).withColumn("matches", (F.size("prefix") - F.col("base") + 1).cast("long"))
+    rows = rows.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    met = rows.select("rep", "label", F.explode(F.slice("prefix", F.lit(1), F.col("base"))).alias("token"))
+    mixed = met.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
+    shared = met.select("token", "rep").join(mixed, "token")
+    longer = rows.select("rep", "label", "n", "matches", F.when(F.col("matches") > 1, F.col("prefix")).alias("prefix"))
+    placed = shared.join(longer, "rep").select("token", "rep", "label", "n", "matches", "prefix")
+    return placed.repartition("token").sortWithinPartitions("token").mapInArrow(_pairer(percent), "x long, y long").distinct()
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

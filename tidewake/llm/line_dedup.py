@@ -38,6 +38,10 @@ def filter_bits(rows: int) -> int:
     return min(MAX_FILTER_BITS, max(BLOCK_BITS, 1 << (max(rows, 1) * BITS_PER_ROW - 1).bit_length()))
 
 
+def _block(bits: int) -> int:
+    return min(bits, BLOCK_BITS)
+
+
 def line_keys(body: bytes) -> list[bytes]:
     """The key of each line: stripped of ASCII white space, A-Z lower-cased."""
     return [line.strip() for line in body.lower().split(b"\n")]
@@ -53,9 +57,10 @@ def _hashes(body: bytes, min_chars: int) -> set[bytes]:
 
 def _positions(digests: np.ndarray, bits: int) -> np.ndarray:
     """Two bits for each digest (rows of two 64-bit words), both in one block."""
-    block = digests[:, 0] % np.uint64(bits // BLOCK_BITS) * np.uint64(BLOCK_BITS)
+    size = np.uint64(_block(bits))
+    block = digests[:, 0] % (np.uint64(bits) // size) * size
     low = digests[:, 1]
-    inner = np.stack([low % np.uint64(BLOCK_BITS), (low >> np.uint64(32)) % np.uint64(BLOCK_BITS)], 1)
+    inner = np.stack([low % size, (low >> np.uint64(32)) % size], 1)
     return inner + block[:, None]
 
 
@@ -83,8 +88,8 @@ def _filler(bits: int, min_chars: int):
             at = _positions(words, bits)
             _put(twice, at[(times > 1) | _has(once, at)])
             _put(once, at)
-        step = BLOCK_BITS // 8
-        for i in range(bits // BLOCK_BITS):
+        step = _block(bits) // 8
+        for i in range(bits // _block(bits)):
             part = slice(i * step, (i + 1) * step)
             if once[part].any():
                 packed = [zlib.compress(x[part].tobytes(), 1) for x in (once, twice)]
@@ -118,9 +123,9 @@ def repeated_filter(bodies: DataFrame, bits: int, min_chars: int) -> np.ndarray:
     """The merged filter of keys in two documents or more; at most ``MAX_FILTER_BITS`` reach the driver."""
     pairs = bodies.mapInArrow(_filler(bits, min_chars), "block long, once binary, twice binary")
     merged = pairs.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "block long, twice binary")
-    bitmap = np.zeros(bits // 8, np.uint8)
+    bitmap, step = np.zeros(bits // 8, np.uint8), _block(bits) // 8
     for row in merged.toLocalIterator():
-        bitmap[row["block"] * BLOCK_BITS // 8 :][: BLOCK_BITS // 8] = np.frombuffer(zlib.decompress(bytes(row["twice"])), np.uint8)
+        bitmap[row["block"] * step :][:step] = np.frombuffer(zlib.decompress(bytes(row["twice"])), np.uint8)
     return bitmap
 
 
