@@ -241,7 +241,11 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     with _small_batches(spark):
         near = connected_components(checkpointed(verified(_head_pairs(nodes), named, width, percent)))
         near = checkpointed(near)
-        far = connected_components(checkpointed(verified(_prefix_pairs(nodes, near, percent), named, width, percent)))
+        links = verified(_prefix_pairs(nodes, near, percent), named, width, percent)
+        for end in ("x", "y"):
+            of = near.select(F.col("node").alias(end), "component")
+            links = links.join(of, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+        far = connected_components(checkpointed(links))
 
     label = F.coalesce("near", "rep")
     reps = classes.select("key", "rep").join(near.select(F.col("node").alias("rep"), F.col("component").alias("near")), "rep", "left").withColumn("label", label)
