@@ -76,7 +76,8 @@ def test_blocks_do_not_matter(spark, monkeypatch):
     n, matches = np.array([len(x) + 5 for x in prefixes]), np.array([1 + i % 9 for i in range(50)])
     pairs = lambda: {(int(a), int(b)) for x, y in jaccard_join.bucket_pairs(np.arange(50), np.arange(50) % 20, n, matches, prefixes, 60) for a, b in zip(x, y, strict=True)}
     whole = pairs()
-    want = {(a, b) for a in range(50) for b in range(a + 1, 50) if a % 20 != b % 20 and 100 * min(n[a], n[b]) >= 60 * max(n[a], n[b]) and (min(matches[a], matches[b]) == 1 or len(np.intersect1d(prefixes[a], prefixes[b])) >= min(matches[a], matches[b]))}
+    asked = lambda a, b: -(-60 * (n[a] + n[b]) // 160) + min(matches[i] - -(-60 * n[i] // 100) for i in (a, b))
+    want = {(a, b) for a in range(50) for b in range(a + 1, 50) if a % 20 != b % 20 and 100 * min(n[a], n[b]) >= 60 * max(n[a], n[b]) and (asked(a, b) <= 1 or len(np.intersect1d(prefixes[a], prefixes[b])) >= asked(a, b))}
     assert whole == want
     monkeypatch.setattr(jaccard_join, "PAIR_BLOCK", 7)
     monkeypatch.setattr(jaccard_join, "VOCABULARY_BLOCK", 5)

@@ -5,9 +5,11 @@ sets whose overlap reaches the bound share at least ``l`` shingles within their
 any ``l``.  Each document takes the ``l`` of least estimated cost: a longer prefix is dearer to scan
 and lets more shared shingles be asked for before a pair is verified.  Pairs meet at a shingle of their
 shortest prefixes; a pair is a candidate when the longer ones share as many as the smaller of their two
-values, counted on the spot by blocks of an incidence matrix.  Where everything is common, as in a large
+values, more where the two sizes ask for more than the least overlap, counted on the spot by blocks of
+an incidence matrix.  A pair comes out at the first of the tokens where it meets.  Where everything is common, as in a large
 family of near copies, documents take most of their set for a prefix, and few pairs come out that are
-not similar.
+not similar.  Tokens met by the very same documents bring the same pairs, so one of them stands for all.
+Longer prefixes travel as 24 bits a shingle; a chance agreement costs a verification and loses no link.
 
 Equal sets are one class from the start.  A few links between each class and the smallest class with
 the same minimum hash come first; pairs within the components that they make need no further look, so
@@ -32,9 +34,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BinaryType
 
 from tidewake.llm.common import checkpointed, documents, shared_dir, texts
 from tidewake.llm.components import connected_components
@@ -131,8 +134,8 @@ def shingle_counts(bodies: DataFrame, width: int, slots: int) -> np.ndarray:
     return sketch
 
 
-def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> np.ndarray:
-    """The shingles of the prefix with the least estimated cost, in the global order."""
+def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tuple[np.ndarray, int]:
+    """The shingles of the prefix with the least estimated cost, in the global order, and the length of the shortest prefix."""
     counts = sketch[_slots(tokens, len(sketch))]
     extra = np.maximum(counts - (noise + 2 * math.sqrt(noise) + 1), 0.0)
     order = np.lexsort((tokens, np.log2(1 + extra).astype(np.int8)))
@@ -141,10 +144,24 @@ def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, percen
     others = np.cumsum(extra[order[: base + most - 1]])
     matches = np.arange(1, most + 1)
     cost = SCAN_COST * (base + matches - 1) + PAIR_COST * others[base - 1 :] / matches
-    return tokens[order[: base + int(cost.argmin())]]
+    return tokens[order[: base + int(cost.argmin())]], base
 
 
-_SIGNATURE = "doc_id long, n long, key binary, heads array<long>, prefix array<long>"
+def brief(tokens: np.ndarray) -> bytes:
+    """The top 24 bits of each shingle, sorted."""
+    return np.sort(tokens >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def unfolded(packed: bytes) -> np.ndarray:
+    """What ``brief`` kept, the repeats of a value told apart: common values are then never fewer than common shingles."""
+    parts = np.zeros((len(packed) // 3, 4), np.uint8)
+    parts[:, :3] = np.frombuffer(packed, np.uint8).reshape(-1, 3)
+    values = parts.view("<u4").ravel().astype(np.int64)
+    repeat = np.arange(len(values)) - np.searchsorted(values, values)
+    return values + (repeat << 24)
+
+
+_SIGNATURE = "doc_id long, n long, key binary, heads array<long>, base array<long>, matches long, counted binary"
 
 
 def _signer(width: int, percent: int, shared):
@@ -154,16 +171,18 @@ def _signer(width: int, percent: int, shared):
             ids, bodies = batch.column(0), batch.column(1)
             for start in range(0, len(bodies), 512):
                 sets = [shingles(x.as_py(), width) for x in bodies[start : start + 512]]
-                prefixes = [adaptive_prefix(s, sketch, noise, percent) if len(s) else s for s in sets]
+                prefixes = [adaptive_prefix(s, sketch, noise, percent) if len(s) else (s, 0) for s in sets]
                 heads = [np.array([(s * m).min() for m in (_FIRST, _SECOND, _MIX[0])]) if len(s) else s for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids[start : start + 512],
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        *(pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32), pa.array(np.concatenate(x).view(np.int64))) for x in (heads, prefixes)),
+                        *(pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32), pa.array(np.concatenate(x).view(np.int64))) for x in (heads, [p[:b] for p, b in prefixes])),
+                        pa.array([len(p) - b + 1 for p, b in prefixes], pa.int64()),
+                        pa.array([brief(p) for p, _ in prefixes], pa.binary()),
                     ],
-                    ["doc_id", "n", "key", "heads", "prefix"],
+                    ["doc_id", "n", "key", "heads", "base", "matches", "counted"],
                 )
 
     return sign
@@ -182,7 +201,7 @@ def _small_batches(spark: SparkSession):
 
 
 def _asked_for(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` less most of those whose ``doc_id`` is not in ``ids``, by a bitmap of ``ASKED_BITS`` hashed identifiers; Spark counts bits from 1."""
+    """``rows`` with compressed bodies, less most of those whose ``doc_id`` is not in ``ids``, by a bitmap of ``ASKED_BITS`` hashed identifiers; Spark counts bits from 1."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ASKED_BITS))
     parts = ids.select((bit("doc_id") + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
     bitmap = np.zeros(ASKED_BITS // 8, np.uint8)
@@ -190,12 +209,13 @@ def _asked_for(rows: DataFrame, ids: DataFrame) -> DataFrame:
         bitmap[(row["part"] - 1) * 4096 :][: len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
-    @F.arrow_udf(BooleanType())
-    def asked(bits: pa.Array) -> pa.Array:
-        at = bits.to_numpy(zero_copy_only=False)
-        return pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))
+    @F.arrow_udf(BinaryType())
+    def packed(bits: pa.Array, bodies: pa.Array) -> pa.Array:
+        at, squeeze = bits.to_numpy(zero_copy_only=False), zstandard.ZstdCompressor().compress
+        asked = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
+        return pa.array([squeeze(x.as_py()) if a else None for a, x in zip(asked.tolist(), bodies, strict=True)], pa.binary())
 
-    return rows.filter(asked(bit("doc_id")))
+    return rows.select("doc_id", packed(bit("doc_id"), F.col("body")).alias("body")).filter(F.col("body").isNotNull())
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -206,14 +226,14 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     first, second = bodies.select(F.col("doc_id").alias("x"), F.col("body").alias("x_body")), bodies.select(F.col("doc_id").alias("y"), F.col("body").alias("y_body"))
 
     def check(batches):
-        at, held = None, None
+        at, held, plain = None, None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             keep = []
             for x, x_body, y_body in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 body = x_body.as_py()
                 if at != (x, body):
-                    at, held = (x, body), shingles(body, width)
-                other = shingles(y_body.as_py(), width)
+                    at, held = (x, body), shingles(plain(body), width)
+                other = shingles(plain(y_body.as_py()), width)
                 common = len(np.intersect1d(held, other, assume_unique=True))
                 keep.append(100 * common >= percent * (len(held) + len(other) - common) and common > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
@@ -233,15 +253,13 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     bodies.mapInArrow(_signer(width, percent, shared), _SIGNATURE).write.parquet(path)
     signed = spark.read.schema(_SIGNATURE).parquet(path)
 
-    classes = checkpointed(
-        signed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("heads").alias("heads"), F.first("prefix").alias("prefix"))
-    )
+    classes = checkpointed(signed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("heads").alias("heads")))
     nodes = classes.filter("rep is not null")
     named = bodies.filter("doc_id is not null")
     with _small_batches(spark):
         near = connected_components(checkpointed(verified(_head_pairs(nodes), named, width, percent)))
         near = checkpointed(near)
-        links = verified(_prefix_pairs(nodes, near, percent), named, width, percent)
+        links = verified(_prefix_pairs(nodes, signed, near, percent), named, width, percent)
         for end in ("x", "y"):
             of = near.select(F.col("node").alias(end), "component")
             links = links.join(of, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
@@ -267,19 +285,25 @@ def _block_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     rows = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
     counts = np.zeros((len(a), len(b)), np.float32)
     repeated = times > 1
+    width = min(VOCABULARY_BLOCK, int(repeated.sum()))
     place = np.where(repeated, np.cumsum(repeated) - 1, -1)[at]
     for start in range(0, int(repeated.sum()), VOCABULARY_BLOCK):
         here = (place >= start) & (place < start + VOCABULARY_BLOCK)
-        matrix = np.zeros((len(a) + len(b), VOCABULARY_BLOCK), np.float32)
+        matrix = np.zeros((len(a) + len(b), width), np.float32)
         matrix[rows[here], place[here] - start] = 1
         counts += matrix[: len(a)] @ matrix[len(a) :].T
     return counts
 
 
-def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.ndarray, prefixes: list, percent: int):
-    """``(x, y)`` arrays of the candidates among the documents that meet at one token."""
+def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.ndarray, prefixes: list, percent: int, earlier: list | None = None):
+    """``(x, y)`` arrays of the candidates among the documents that meet at one token, but for those that share a token of ``earlier``.
+
+    Of a set's first ``n - least + m`` shingles at most ``n - overlap`` are missing from the other set.
+    """
     order = np.argsort(n, kind="stable")
     rep, label, n, matches, prefixes = rep[order], label[order], n[order], matches[order], [prefixes[i] for i in order]
+    earlier = [earlier[i] for i in order] if earlier else None
+    spare = matches - least_overlap(n, percent)
     for i in range(0, len(rep), PAIR_BLOCK):
         a = slice(i, i + PAIR_BLOCK)
         for j in range(i, len(rep), PAIR_BLOCK):
@@ -289,9 +313,11 @@ def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.
             likely = (label[a][:, None] != label[b]) & (100 * n[a][:, None] >= percent * n[b])
             if i == j:
                 likely &= np.triu(np.ones(likely.shape, bool), 1)
-            asked = np.minimum(matches[a][:, None], matches[b])
+            asked = -(-percent * (n[a][:, None] + n[b]) // (100 + percent)) + np.minimum(spare[a][:, None], spare[b])
             if (likely & (asked > 1)).any():
-                likely &= (asked == 1) | (_block_counts(prefixes[a], prefixes[b]) >= asked)
+                likely &= (asked <= 1) | (_block_counts(prefixes[a], prefixes[b]) >= asked)
+            if earlier and likely.any():
+                likely &= _block_counts(earlier[a], earlier[b]) == 0
             x, y = np.nonzero(likely)
             if len(x):
                 x, y = rep[a][x], rep[b][y]
@@ -300,7 +326,6 @@ def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.
 
 def _pairer(percent: int):
     """Rows come sorted by token; the rows of one token are held at a time."""
-    empty = np.empty(0, np.int64)
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -310,11 +335,10 @@ def _pairer(percent: int):
             if len(rows) < 2:
                 return
             rep, label, n, matches = (rows.column(c).to_numpy() for c in ("rep", "label", "n", "matches"))
-            column = rows.column("prefix").combine_chunks()
-            flat = column.flatten().to_numpy(zero_copy_only=False)
-            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            prefixes = np.split(flat, ends[:-1]) if len(flat) else [empty] * len(rows)
-            for x, y in bucket_pairs(rep, label, n, matches, prefixes, percent):
+            prefixes = [unfolded(x.as_py()) for x in rows.column("counted")]
+            tokens = (x.values.to_numpy() for x in rows.column("tokens"))
+            earlier = [x[x < last] for x in tokens]
+            for x, y in bucket_pairs(rep, label, n, matches, prefixes, percent, earlier):
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
         last = None
@@ -333,18 +357,21 @@ def _pairer(percent: int):
     return run
 
 
-def _prefix_pairs(nodes: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+def _prefix_pairs(nodes: DataFrame, signed: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs in different components that meet at a token of their shortest prefixes."""
     known = near.select(F.col("node").alias("rep"), F.col("component").alias("label"))
-    base = F.expr(f"cast(n - (({percent} * n + 99) div 100) + 1 as int)")
-    rows = nodes.select("rep", "n", "prefix", base.alias("base")).withColumn("matches", (F.size("prefix") - F.col("base") + 1).cast("long"))
-    rows = rows.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    met = rows.select("rep", "label", F.explode(F.slice("prefix", F.lit(1), F.col("base"))).alias("token"))
+    known = nodes.select("rep", "key").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    of = signed.withColumnRenamed("doc_id", "rep")
+    met = of.select("rep", "key", "base").join(known, ["rep", "key"]).select("rep", "label", F.explode("base").alias("token"))
     mixed = met.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
-    shared = met.select("token", "rep").join(mixed, "token")
-    longer = rows.select("rep", "label", "n", "matches", F.when(F.col("matches") > 1, F.col("prefix")).alias("prefix"))
-    placed = shared.join(longer, "rep").select("token", "rep", "label", "n", "matches", "prefix")
-    return placed.repartition("token").sortWithinPartitions("token").mapInArrow(_pairer(percent), "x long, y long").distinct()
+    shared = checkpointed(met.join(mixed, "token"))
+    total = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(38,0)"))
+    members = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"), total("rep").alias("one"), total(F.lit(1), "rep").alias("two"))
+    apart = members.groupBy("size", "one", "two").agg(F.min("token").alias("token")).select("token")
+    longer = of.select("rep", "key", "n", "matches", "counted").join(nodes.select("rep", "key"), ["rep", "key"]).drop("key")
+    placed = shared.join(apart, "token").groupBy("rep", "label").agg(F.collect_set("token").alias("tokens")).join(longer, "rep")
+    placed = placed.select(F.explode("tokens").alias("token"), "rep", "label", "n", "matches", "tokens", "counted")
+    return placed.repartition("token").sortWithinPartitions("token").mapInArrow(_pairer(percent), "x long, y long")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
