@@ -186,8 +186,8 @@ class ByteBPE:
 
     def _encode(self, batch: list[str]) -> list[np.ndarray]:
         cut = [(_LATIN if self.latin and not _BEYOND.search(text) else self.pattern).findall(text) for text in batch]
-        met = {piece for pieces in cut for piece in pieces}
-        new = {piece for piece in met if piece not in self.cache}
+        met: set[str] = set().union(*cut)
+        new = met.difference(self.cache)
         if len(new) + len(self.cache) > CACHED_PIECES:
             self.cache.clear()
             new = met
