@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+TEXT_BATCH = 512
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -38,6 +40,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """For jobs that run inside: whole texts stand in the rows, so fewer of them go to an Arrow batch."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(TEXT_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(col):
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 

@@ -27,7 +27,6 @@ only, and has no component of its own; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import contextlib
 import math
 import zlib
 
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from tidewake.llm.common import checkpointed, documents, shared_dir, texts
+from tidewake.llm.common import checkpointed, documents, shared_dir, small_batches, texts
 from tidewake.llm.components import connected_components
 
 SLOTS_PER_ROW, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 64, 1 << 16, 1 << 26, 1 << 16
@@ -47,8 +46,7 @@ PAIR_BLOCK, VOCABULARY_BLOCK = 1024, 4096
 ASKED_BITS = 1 << 23
 SCAN_COST, PAIR_COST = 1.0, 2.0
 HEADS = 3
-TEXT_BATCH = 512
-_HASHED_WORDS = 400_000
+_HASHED_WORDS = 150_000
 _MIX = (np.uint64(0x9E3779B185EBCA87), np.uint64(29))
 _FIRST, _SECOND = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
@@ -188,18 +186,6 @@ def _signer(width: int, percent: int, shared):
     return sign
 
 
-@contextlib.contextmanager
-def _small_batches(spark: SparkSession):
-    """Whole texts stand in these rows: fewer of them to an Arrow batch."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(TEXT_BATCH))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _asked_for(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """``rows`` with compressed bodies, less most of those whose ``doc_id`` is not in ``ids``, by a bitmap of ``ASKED_BITS`` hashed identifiers; Spark counts bits from 1."""
     bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ASKED_BITS))
@@ -247,16 +233,17 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     spark = docs.sparkSession
     bodies = texts(docs).select("doc_id", F.col("text").cast("binary").alias("body"))
     slots = min(MAX_SLOTS, max(MIN_SLOTS, 1 << (max(1, docs.count()) * SLOTS_PER_ROW - 1).bit_length()))
-    sketch = shingle_counts(bodies.select("body"), width, slots)
-    shared = spark.sparkContext.broadcast((sketch, float(sketch.mean())))
     path = shared_dir(spark, "shingles")
-    bodies.mapInArrow(_signer(width, percent, shared), _SIGNATURE).write.parquet(path)
+    with small_batches(spark):
+        sketch = shingle_counts(bodies.select("body"), width, slots)
+        shared = spark.sparkContext.broadcast((sketch, float(sketch.mean())))
+        bodies.mapInArrow(_signer(width, percent, shared), _SIGNATURE).write.parquet(path)
     signed = spark.read.schema(_SIGNATURE).parquet(path)
 
     classes = checkpointed(signed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("heads").alias("heads")))
     nodes = classes.filter("rep is not null")
     named = bodies.filter("doc_id is not null")
-    with _small_batches(spark):
+    with small_batches(spark):
         near = connected_components(checkpointed(verified(_head_pairs(nodes), named, width, percent)))
         near = checkpointed(near)
         links = verified(_prefix_pairs(nodes, signed, near, percent), named, width, percent)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import checkpointed, documents
+from tidewake.llm.common import checkpointed, documents, small_batches
 
 BLOCK_BITS = 1 << 19
 MAX_FILTER_BITS = 1 << 29
@@ -135,7 +135,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     bits = bits or filter_bits(docs.count())
     known = docs.filter(F.col("doc_id").isNotNull())
-    bitmap = spark.sparkContext.broadcast(repeated_filter(known.select(body.alias("body")), bits, min_chars))
+    with small_batches(spark):
+        bitmap = spark.sparkContext.broadcast(repeated_filter(known.select(body.alias("body")), bits, min_chars))
 
     def suspected(found: set[bytes]) -> list[bytes]:
         listed = sorted(found)
@@ -161,9 +162,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         return pa.array(out, pa.struct([("kept", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())]))
 
     rows = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), body.alias("body"))
-    repeats = checkpointed(
-        rows.filter(F.col("doc_id").isNotNull()).select("doc_id", F.explode(suspects("body")).alias("key"))
-    )
+    with small_batches(spark):
+        repeats = checkpointed(rows.filter(F.col("doc_id").isNotNull()).select("doc_id", F.explode(suspects("body")).alias("key")))
     distinct = repeats.distinct()
     confirmed = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).filter(F.col("n") >= min_docs)
     drops = repeats.join(confirmed.select("key", "keeper"), "key").filter(F.col("doc_id") != F.col("keeper"))

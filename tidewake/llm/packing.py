@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewake.llm.common import documents, shared_dir, texts
+from tidewake.llm.common import documents, shared_dir, small_batches, texts
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID, CAPACITY, OPEN_WINDOWS = 1, 2048, 64
@@ -197,7 +197,8 @@ def pack(rows: DataFrame, encode: Callable[[bytes], bytes] | None = None, capaci
     kind = ", ".join(f"{c} long" for c in (*_PLACED, "ids_crc32")) + ", ids binary" * keep_ids
     placed = rows.select("doc_id", "body").mapInArrow(_placer(capacity, open_windows, encode or bytes, keep_ids), kind)
     path = shared_dir(spark, "packing")
-    placed.write.parquet(path)
+    with small_batches(spark):
+        placed.write.parquet(path)
     stored = spark.read.schema(placed.schema).parquet(path)
     closed, leftover = stored.filter("sequence_id is not null"), stored.filter("sequence_id is null")
     others = [c for c in stored.columns if c not in ("sequence_id", "offset")]

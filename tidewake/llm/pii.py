@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidewake.llm.common import checkpointed, documents
+from tidewake.llm.common import checkpointed, documents, small_batches
 from tidewake.llm.feistel import permute
 
 KEY = b"tidewake-surrogates"
@@ -256,7 +256,9 @@ _OWN = "array<struct<kind:string,form:string,attempt:int>>"
 def replaced(docs: DataFrame, broadcast_limit: int = BROADCAST_EXCEPTIONS) -> DataFrame:
     """``doc`` (all columns of ``docs``), ``new_text`` and ``kinds`` of the entities replaced, for every row."""
     spark = docs.sparkSession
-    exceptions = attempts(distinct_entities(docs)).filter("attempt > 0").select("kind", "form", F.col("attempt").cast("int").alias("attempt"))
+    with small_batches(spark):
+        settled = attempts(distinct_entities(docs))
+    exceptions = settled.filter("attempt > 0").select("kind", "form", F.col("attempt").cast("int").alias("attempt"))
     rows = docs.select(F.struct("*").alias("doc"))
     few = exceptions.limit(broadcast_limit + 1).collect()
     if len(few) <= broadcast_limit:
