@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,19 @@ def small_batches(spark: SparkSession):
         spark.conf.set(name, before)
 
 
+_caches: dict[str, Callable[[], None]] = {}
+
+
+def at_work(owner: str, release: Callable[[], None] = lambda: None) -> None:
+    """Called in a task: what other operators have cached in this Python worker is let go; ``release`` does so for ``owner`` later."""
+    others = [name for name in _caches if name != owner]
+    for name in others:
+        _caches.pop(name)()
+    if others:
+        pa.default_memory_pool().release_unused()
+    _caches[owner] = release
+
+
 def ascii_lower(col):
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 

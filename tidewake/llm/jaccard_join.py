@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from tidewake.llm.common import checkpointed, documents, shared_dir, small_batches, texts
+from tidewake.llm.common import at_work, checkpointed, documents, shared_dir, small_batches, texts
 from tidewake.llm.components import connected_components
 
 SLOTS_PER_ROW, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 64, 1 << 16, 1 << 26, 1 << 16
@@ -87,6 +87,7 @@ def _slots(tokens: np.ndarray, slots: int) -> np.ndarray:
 
 def _counter(width: int, slots: int):
     def count(batches):
+        at_work("shingles", _hashes.clear)
         counts = np.zeros(slots, np.uint16)
         for batch in batches:
             bodies = batch.column(0)
@@ -164,6 +165,7 @@ _SIGNATURE = "doc_id long, n long, key binary, heads array<long>, base array<lon
 
 def _signer(width: int, percent: int, shared):
     def sign(batches):
+        at_work("shingles", _hashes.clear)
         sketch, noise = shared.value
         for batch in batches:
             ids, bodies = batch.column(0), batch.column(1)
@@ -212,6 +214,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     first, second = bodies.select(F.col("doc_id").alias("x"), F.col("body").alias("x_body")), bodies.select(F.col("doc_id").alias("y"), F.col("body").alias("y_body"))
 
     def check(batches):
+        at_work("shingles", _hashes.clear)
         at, held, plain = None, None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             keep = []

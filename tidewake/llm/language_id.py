@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import documents
+from tidewake.llm.common import at_work, documents
 
 SLICES, SLICE_CHARS, MAX_LANGUAGES = 128, 512, 512
 BLOCK, LEVEL, CLIP = 256, 6, 1.1
@@ -86,6 +86,7 @@ def predicted(text: Column, spark: SparkSession, dictionaries: dict[str, bytes],
     @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
     def classify(column: pa.Array) -> pa.Array:
         if not held:
+            at_work("language")
             held.append(Classifier(shared.value))
         found = [held[0](x.as_py()) for x in column]
         return pa.StructArray.from_arrays(

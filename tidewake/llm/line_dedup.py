@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import checkpointed, documents, small_batches
+from tidewake.llm.common import at_work, checkpointed, documents, small_batches
 
 BLOCK_BITS = 1 << 19
 MAX_FILTER_BITS = 1 << 29
@@ -79,6 +79,7 @@ def _words(digests) -> np.ndarray:
 
 def _filler(bits: int, min_chars: int):
     def fill(batches):
+        at_work("lines")
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
             seen = [d for body in batch.column(0) for d in _hashes(body.as_py(), min_chars)]

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewake.llm.common import documents, shared_dir, small_batches, texts
+from tidewake.llm.common import at_work, documents, shared_dir, small_batches, texts
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID, CAPACITY, OPEN_WINDOWS = 1, 2048, 64
@@ -124,6 +124,7 @@ _PLACED = ("doc_id", "start", "length", "doc_tokens", "sequence_id", "offset")
 
 def _placer(capacity: int, limit: int, encode, keep_ids: bool):
     def place(batches):
+        at_work("packing", load.cache_clear)
         serial = TaskContext.get().partitionId() << 32
         windows, rows = Windows(capacity, limit), []
 

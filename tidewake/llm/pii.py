@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidewake.llm.common import checkpointed, documents, small_batches
+from tidewake.llm.common import at_work, checkpointed, documents, small_batches
 from tidewake.llm.feistel import permute
 
 KEY = b"tidewake-surrogates"
@@ -202,6 +202,7 @@ def shaped(kind: str, found: str, form: str) -> str:
 def _entity_column(text: Column) -> Column:
     @F.arrow_udf("array<struct<kind:string,form:string>>")
     def find(column: pa.Array) -> pa.Array:
+        at_work("pii", surrogate.cache_clear)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("form", pa.string())]))
         return pa.array([[{"kind": k, "form": f} for k, f in {(k, f) for _, _, k, f in entities(x.as_py() or "")}] for x in column], kind)
 
