@@ -62,6 +62,10 @@ class _WordHashes(dict):
 _hashes = _WordHashes()
 
 
+def forget_words() -> None:
+    _hashes.clear()
+
+
 def shingles(body: bytes, width: int) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's shingles."""
     words = body.lower().split()
@@ -87,7 +91,7 @@ def _slots(tokens: np.ndarray, slots: int) -> np.ndarray:
 
 def _counter(width: int, slots: int):
     def count(batches):
-        at_work("shingles", _hashes.clear)
+        at_work("shingles", forget_words)
         counts = np.zeros(slots, np.uint16)
         for batch in batches:
             bodies = batch.column(0)
@@ -165,7 +169,7 @@ _SIGNATURE = "doc_id long, n long, key binary, heads array<long>, base array<lon
 
 def _signer(width: int, percent: int, shared):
     def sign(batches):
-        at_work("shingles", _hashes.clear)
+        at_work("shingles", forget_words)
         sketch, noise = shared.value
         for batch in batches:
             ids, bodies = batch.column(0), batch.column(1)
@@ -214,7 +218,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     first, second = bodies.select(F.col("doc_id").alias("x"), F.col("body").alias("x_body")), bodies.select(F.col("doc_id").alias("y"), F.col("body").alias("y_body"))
 
     def check(batches):
-        at_work("shingles", _hashes.clear)
+        at_work("shingles", forget_words)
         at, held, plain = None, None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             keep = []
