@@ -8,7 +8,7 @@ from tidewake.functions.geo import cell_id, haversine_km, near_cells
 from tidewake.operators import spatial
 from tidewake.operators import trajectory as tr
 from tidewake.plans.registry import query
-from tidewake.sources.fixtures import POINTS_SQL, POLYGONS_SQL, PORTS_SQL, cell_sql, haversine_sql, points, polygons, ports
+from tidewake.sources.fixtures import POINTS_SQL, POLYGONS_SQL, PORTS_SQL, cell_sql, haversine_sql, points, polygons, ports, site_gate
 
 CENTRE = (122.5, 30.5)
 _STEPS = f"""{POINTS_SQL}, stepped AS (
@@ -201,6 +201,15 @@ def gate_pairs(spark, sf_dir):
     return tr.gate_pairs(early.withColumn("gate", gate).filter("gate is not null"), "A", "B")
 
 
+@query(f"""WITH {POINTS_SQL}, v AS (SELECT *, CASE site WHEN 0 THEN 'A' WHEN 8 THEN 'B' WHEN 27 THEN 'C' END AS gate FROM points),
+h AS (SELECT *, ntile(2) OVER {_ORDER} AS half FROM v WHERE gate IS NOT NULL)
+SELECT mmsi FROM h GROUP BY mmsi HAVING bool_or(half = 1 AND gate = 'A') AND bool_or(half = 2 AND gate = 'B') AND NOT bool_or(gate NOT IN ('A', 'B'))""")
+def gate_pairs_whole(spark, sf_dir):
+    """``gate_pairs`` over all points; a gate is one site, as a ship comes to 11 of the 35 at most in the tables and to all columns of them."""
+    gated = points(spark, sf_dir).withColumn("gate", site_gate("site"))
+    return tr.gate_pairs(gated.filter("gate is not null"), "A", "B")
+
+
 @query(f"""WITH {POINTS_SQL} SELECT mmsi, round(max(lon) - min(lon), 6) AS lon_range, round(max(lat) - min(lat), 6) AS lat_range FROM points GROUP BY mmsi HAVING max(lon) - min(lon) > 1""")
 def moving_ships(spark, sf_dir):
     ranges = points(spark, sf_dir).groupBy("mmsi").agg((F.max("lon") - F.min("lon")).alias("lon_range"), (F.max("lat") - F.min("lat")).alias("lat_range"))

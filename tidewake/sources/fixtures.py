@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SITES_X, SITES_Y = 7, 5
@@ -55,6 +55,11 @@ def polygons(spark: SparkSession) -> DataFrame:
     )
 
 
+def site_gate(site: str) -> Column:
+    """The gate at a site, if any: A, B or C."""
+    return F.when(F.col(site) == 0, "A").when(F.col(site) == 8, "B").when(F.col(site) == 27, "C")
+
+
 def ports(spark: SparkSession) -> DataFrame:
     """``port, port_lon, port_lat, level``: 0 a port, 1 a terminal, 2 a berth."""
     return spark.range(PORTS).select(
