@@ -28,9 +28,15 @@ def deviation(spark, sf_dir):
     return out.select("mmsi", F.round("deviation", 6).alias("deviation"))
 
 
+_TRACK = ("mmsi", "event_id", "t", "lon", "lat", "sog")
+
+
+def _compressed(track, method, cut):
+    return compress.compressed(track, 100.0, method, cut)
+
+
 def _kept(spark, sf_dir, method, cut):
-    out = compress.compressed(points(spark, sf_dir).select("mmsi", "event_id", "t", "lon", "lat", "sog"), 100.0, method, cut)
-    return out.select("mmsi", "event_id", "t")
+    return _compressed(points(spark, sf_dir).select(*_TRACK), method, cut).select("mmsi", "event_id", "t")
 
 
 @query()
@@ -48,6 +54,18 @@ def compress_qdp(spark, sf_dir):
     return _kept(spark, sf_dir, "qdp", 300.0)
 
 
+@query()
+def deviation_compressed(spark, sf_dir):
+    """Per ship and method, the share of the distance that the registered compressions lose."""
+    p = points(spark, sf_dir).select(*_TRACK)
+    before = tr.trip_distance(p)
+    lost = [
+        compress.deviation(before, tr.trip_distance(_compressed(p, method, cut))).select("mmsi", F.lit(method).alias("method"), F.round("deviation", 6).alias("deviation"))
+        for method, cut in (("dp", None), ("ddp", 300.0), ("qdp", 300.0))
+    ]
+    return lost[0].unionByName(lost[1]).unionByName(lost[2])
+
+
 @query(f"""WITH {POINTS_SQL}, s AS (SELECT mmsi, event_id, {haversine_sql('lag(lon) OVER w', 'lag(lat) OVER w', 'lon', 'lat')} AS d, (t - lag(t) OVER w) * 0.001e0 AS dt FROM points WINDOW w AS {_ORDER})
 SELECT mmsi, round(sum(sqrt(power(d, 2) + power(dt, 2))), 6) AS space_time_km FROM s GROUP BY mmsi""")
 def space_time_distance(spark, sf_dir):
