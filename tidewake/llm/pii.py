@@ -23,8 +23,10 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+import unicodedata
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -49,13 +51,31 @@ GIVEN = {
     ("cyrillic", "m"): ("Андрей", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Игорь", "Павел"),
     ("cyrillic", "f"): ("Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Ирина", "Мария"),
     ("cyrillic", "n"): ("Валя", "Женя", "Саша", "Слава"),
+    ("greek", "m"): ("Ανδρέας", "Γιώργος", "Δημήτρης", "Νίκος"), ("greek", "f"): ("Άννα", "Ελένη", "Μαρία", "Σοφία"), ("greek", "n"): ("Άρης", "Φώτης"),
+    ("arabic", "m"): ("أحمد", "حسن", "خالد", "عمر"), ("arabic", "f"): ("سارة", "فاطمة", "ليلى", "مريم"), ("arabic", "n"): ("نور", "صباح"),
+    ("han", "m"): ("伟", "强"), ("han", "f"): ("芳", "丽"), ("han", "n"): ("文", "宁"),
 }
 _SYLLABLES = {
     "latin": [a + b for a in "bdfgklmnprstvz" for b in ("a", "e", "i", "o", "u", "an", "el", "or")],
     "cyrillic": [a + b for a in "бвгдзклмнпрст" for b in ("а", "е", "и", "о", "у", "ан", "ел", "ор")],
+    "greek": [a + b for a in "βγδζθκλμνπρτφ" for b in ("α", "ε", "ι", "ο", "ου", "αν", "ελ", "ορ")],
+    "arabic": [a + b for a in "بتدرسفقكلمن" for b in ("ا", "و", "ي", "ان", "ير")],
+    "han": list("安白包常陈程崔戴邓丁董杜段范方冯高葛龚顾郭韩郝何贺侯胡黄贾江姜蒋金康孔赖雷黎李梁廖林刘龙卢陆罗吕马毛孟莫倪"),
 }
 
-_WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
+#: Lengths of IBANs by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18,
+    "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23,
+    "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31,
+    "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26,
+    "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+_TITLES = "(?:" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + ")"
+# A name goes on to the end of its word, but for a genitive; scripts without spaces or case have a few characters or words.
+_NAME = rf"(?!{_TITLES}\s)[\p{{Lu}}\p{{Lt}}]\p{{M}}*+(?=[\w'’])(?:[\w\p{{M}}]|['’](?![sS](?!\w))(?=\p{{L}}))*+"
+_INITIAL = rf"(?!{_TITLES}\s)[\p{{Lu}}\p{{Lt}}]\p{{M}}*+(?:\.[ \-]?|[ ])"
+_UNCASED = r"\p{Han}{1,4}+|\p{Hangul}{1,5}+|[\p{Hiragana}\p{Katakana}ー・]{1,12}+|\p{Lo}[\w\p{M}]++(?:[ ]\p{Lo}[\w\p{M}]++)?"
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
     "secret": re.compile(r"(?i:(?:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)\s*[=:]\s*[\"']?)([A-Za-z0-9+/_\-]{6,})|\b((?:AKIA|ASIA)[0-9A-Z]{16})\b"),
@@ -64,7 +84,7 @@ PATTERNS = {
     "ssn": re.compile(r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"),
     "ip": re.compile(r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
     "phone": re.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?)?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])"),
-    "person": re.compile("(?<!\\w)(?:" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + rf")\s+({_WORD}(?:[ \-]{_WORD}){{0,2}})"),
+    "person": regex.compile(rf"(?<!\w){_TITLES}\s+((?:{_INITIAL}){{0,3}}{_NAME}(?:[ \-](?:{_INITIAL}){{0,3}}{_NAME}){{0,2}}|{_UNCASED})"),
 }
 _MARKS = re.compile(r"[0-9@]")
 _SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "key")
@@ -94,6 +114,25 @@ def _valid(kind: str, found: str) -> bool:
     return True
 
 
+def _ibans(text: str):
+    """Matches of IBANs, as spans that end with a word: of the length of their country, else the longest that its check digits allow."""
+    at = 0
+    while m := PATTERNS["iban"].search(text, at):
+        start, end = m.span()
+        places = [i for i in range(start, end) if text[i] != " "]
+        ends = [i + 1 for i in places[14:] if i + 1 == len(text) or not (text[i + 1].isalnum() or text[i + 1] == "_")]
+        length = IBAN_LENGTHS.get(text[start : start + 2])
+        if length is not None:
+            ends = [e for e in ends if e == end or len(places) >= length and e == places[length - 1] + 1]
+        found = [e for e in ends if _valid("iban", text[start:e])]
+        exact = [e for e in found if length is not None and len(places) >= length and e == places[length - 1] + 1]
+        if found:
+            at = (exact or found[-1:])[0]
+            yield start, at
+        else:
+            at = start + 1
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, type, canonical form)``, in order and without overlaps; the first type of ``PATTERNS`` wins."""
     kinds = []
@@ -106,6 +145,9 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         kinds.append("person")
     taken: list[tuple[int, int, str, str]] = []
     for kind in (k for k in PATTERNS if k in kinds):
+        if kind == "iban":
+            taken += [(a, b, kind, canonical(kind, text[a:b], text[a:b])) for a, b in _ibans(text) if not any(a < e and b > s for s, e, *_ in taken)]
+            continue
         for m in PATTERNS[kind].finditer(text):
             group = m.lastindex or 0
             start, end = m.span(group)
@@ -124,11 +166,16 @@ def canonical(kind: str, found: str, whole: str) -> str:
         return re.sub(r"[ \-]", "", found)
     if kind == "person":
         title = whole[: len(whole) - len(found)].strip()
-        script = "cyrillic" if re.match("[А-Яа-яЁё]", found) else "latin"
-        return f"{script}|{TITLES[title]}|{' '.join(found.split()).lower()}"
+        name = unicodedata.normalize("NFC", found).replace("’", "'").replace(".", ". ")
+        return f"{_script(found)}|{TITLES[title]}|{' '.join(name.split()).lower()}"
     return found
 
 
+def _script(name: str) -> str:
+    """The script of a name by its first letter; Latin for those that have no surrogates of their own."""
+    return next((s for s in ("cyrillic", "greek", "arabic", "han") if regex.match(rf"\p{{{s}}}", name)), "latin")
+
+
 _CLASSES = (("0123456789", str.isdigit), ("abcdefghijklmnopqrstuvwxyz", lambda c: "a" <= c <= "z"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", lambda c: "A" <= c <= "Z"))
 
 
