@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,14 +145,15 @@ def gate_pairs(visits: DataFrame, first: str, second: str) -> DataFrame:
 def greedy_capture(hits: DataFrame, seconds: int = 5400) -> DataFrame:
     """Windows of ``seconds`` to both sides of a hit that do not overlap: the next window opens at the first hit beyond the last."""
 
-    def capture(key, pdf):
-        import pandas as pd
-
-        out, end = [], None
-        for t in sorted(pdf["t"].tolist()):
-            if end is None or t - seconds > end:
-                end = t + seconds
-                out.append((key[0], t - seconds, end))
-        return pd.DataFrame(out, columns=["mmsi", "t_from", "t_to"])
-
-    return hits.select("mmsi", "t").groupBy("mmsi").applyInPandas(capture, "mmsi long, t_from long, t_to long")
+    def capture(batches):
+        ship, end = None, None
+        for batch in batches:
+            rows = []
+            for mmsi, t in zip(batch.column("mmsi").to_pylist(), batch.column("t").to_pylist(), strict=True):
+                if end is None or mmsi != ship or t - seconds > end:
+                    ship, end = mmsi, t + seconds
+                    rows.append((mmsi, t - seconds, end))
+            yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in (zip(*rows, strict=True) if rows else ((), (), ()))], ["mmsi", "t_from", "t_to"])
+
+    ordered = hits.select("mmsi", "t").repartition("mmsi").sortWithinPartitions("mmsi", "t")
+    return ordered.mapInArrow(capture, "mmsi long, t_from long, t_to long")
