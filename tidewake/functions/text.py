@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from tidewake.functions.geo import c
 
-#: The six-bit alphabet of AIS text, and the armouring of six bits in a sentence.
+#: The six-bit alphabet of AIS text.
 SIX_BIT_TEXT = "@ABCDEFGHIJKLMNOPQRSTUVWXYZ[\\]^_ !\"#$%&'()*+,-./0123456789:;<=>?"
+#: The armour of six bits in a sentence, and base 64; hexadecimal digits of the longest message of two parts.
+ARMOUR = "0123456789:;<=>?@ABCDEFGHIJKLMNOPQRSTUVW`abcdefghijklmnopqrstuvw"
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+LONGEST_HEX = 128
 #: Lower bounds in metres per second of the wind levels 0 to 12.
 WIND_LEVELS = (0.0, 0.3, 1.6, 3.4, 5.5, 8.0, 10.8, 13.9, 17.2, 20.8, 24.5, 28.5, 32.7)
 
@@ -112,13 +116,17 @@ def reasons(*rules: tuple[Column, str]) -> tuple[Column, Column]:
 
 
 def armour_bits(payload) -> Column:
-    """A sentence's payload as a string of bits, six a character."""
-    value = lambda ch: F.ascii(ch) - 48 - F.when(F.ascii(ch) - 48 > 40, 8).otherwise(0)
-    return F.array_join(F.transform(F.split(c(payload), ""), lambda ch: F.when(ch != "", F.lpad(F.bin(value(ch)), 6, "0")).otherwise("")), "")
+    """A sentence's payload as hexadecimal digits, four bits each: its armour is base 64 with another alphabet."""
+    plain = F.translate(c(payload), ARMOUR, BASE64)
+    filled = F.concat(plain, F.repeat(F.lit("A"), F.pmod(-F.length(plain), F.lit(4))))
+    return F.rpad(F.hex(F.try_to_binary(filled, F.lit("base64"))), LONGEST_HEX, "0")
 
 
 def bits_unsigned(bits, start: int, length: int) -> Column:
-    return F.conv(F.substring(c(bits), start + 1, length), 2, 10).cast("long")
+    """The field of ``length`` bits at ``start``: the digits that hold it, shifted and masked."""
+    first, last = start // 4, (start + length - 1) // 4
+    digits = F.conv(F.substring(c(bits), first + 1, last - first + 1), 16, 10).cast("long")
+    return F.shiftright(digits, 4 * (last + 1) - start - length).bitwiseAND(F.lit((1 << length) - 1))
 
 
 def bits_signed(bits, start: int, length: int) -> Column:
@@ -129,7 +137,7 @@ def bits_signed(bits, start: int, length: int) -> Column:
 
 def bits_text(bits, start: int, characters: int) -> Column:
     """Six-bit text up to the first ``@``, without trailing spaces."""
-    one = lambda i: F.substring(F.lit(SIX_BIT_TEXT), F.conv(F.substring(c(bits), start + 1 + 6 * i, 6), 2, 10).cast("int") + 1, 1)
+    one = lambda i: F.substring(F.lit(SIX_BIT_TEXT), bits_unsigned(bits, start + 6 * i, 6).cast("int") + 1, F.lit(1))
     text = F.concat(*[F.coalesce(one(i), F.lit("")) for i in range(characters)])
     return F.rtrim(F.substring_index(text, "@", 1))
 
@@ -138,11 +146,11 @@ def within(value, low, high, sentinel: int = -999) -> Column:
     return F.when(c(value).between(low, high), c(value)).otherwise(F.lit(sentinel))
 
 
-def armoured(bits) -> Column:
-    """The payload of a string of bits; the inverse of ``armour_bits`` for whole characters."""
-    value = lambda i: F.conv(F.substring(c(bits), 6 * i + 1, 6), 2, 10).cast("int")
-    char = lambda i: F.char((value(i) + F.when(value(i) < 40, 48).otherwise(56)).cast("long"))
-    return F.array_join(F.transform(F.sequence(F.lit(0), (F.length(c(bits)) / 6).cast("int") - 1), char), "")
+def armoured(bits, length: int) -> Column:
+    """The payload of the first ``length`` bits of a string of bits, filled up to whole groups of 24; the inverse of ``armour_bits``."""
+    padded, groups = F.rpad(c(bits), -(-length // 24) * 24, "0"), -(-length // 24)
+    digits = [F.lpad(F.conv(F.substring(padded, 24 * i + 1, 24), 2, 16), 6, "0") for i in range(groups)]
+    return F.substring(F.translate(F.base64(F.unhex(F.concat(*digits))), BASE64, ARMOUR), 1, -(-length // 6))
 
 
 def bits_of(value, length: int) -> Column:

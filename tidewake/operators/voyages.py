@@ -62,6 +62,16 @@ def leg_summary(points: DataFrame, legs: DataFrame) -> DataFrame:
     return s.select("mmsi", "stop", "n_points", "distance_km", F.when(F.col("draughts") == 2, F.col("last.draught")).alias("draught"))
 
 
+def voyage_rows(points: DataFrame, stops: DataFrame) -> DataFrame:
+    """One row a voyage: the leg, the seconds in its port of departure and at sea, points, distance, draught and mean speed."""
+    legs = voyage_legs(stops)
+    met = leg_summary(points, legs.select("mmsi", "stop", "start_t", "end_t"))
+    port = stops.select("mmsi", "stop", (F.col("end_t") - F.col("begin_t")).alias("port_s"))
+    out = legs.join(met, ["mmsi", "stop"]).join(port, ["mmsi", "stop"])
+    speed = (F.col("distance_km") / (F.col("sea_s") / 3600)).alias("speed_kmh")
+    return out.select("mmsi", "stop", "start_site", "end_site", "start_t", "end_t", "sea_s", "port_s", "n_points", "distance_km", "draught", speed)
+
+
 def two_way(routes: DataFrame) -> DataFrame:
     """Route counts folded over direction; ``routes`` has ``start_port, end_port, n``."""
     a, b = F.least("start_port", "end_port"), F.greatest("start_port", "end_port")

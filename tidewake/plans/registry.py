@@ -19,4 +19,4 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-from tidewake.plans import live_plans, movement_plans, report_plans, rule_plans, spatial_plans, stop_plans  # noqa: E402, F401
+from tidewake.plans import live_plans, movement_plans, planning_plans, report_plans, rule_plans, spatial_plans, stop_plans  # noqa: E402, F401

@@ -166,7 +166,7 @@ def ship_lists(spark, sf_dir):
 
 
 def _payload(*parts):
-    return tx.armoured(F.rpad(F.concat(*parts), 168, "0"))
+    return tx.armoured(F.concat(*parts), 168)
 
 
 @query(f"""WITH {POINTS_SQL} SELECT event_id, CAST(1 AS INTEGER) AS msg_type, mmsi, CAST(status AS INTEGER) AS status, CAST(trunc(sog) % 1000 AS BIGINT) / 10 AS sog,
@@ -186,7 +186,7 @@ def ais_decode(spark, sf_dir):
 def ais_armour_text(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     bits = F.concat(tx.bits_of(F.lit(5), 6), tx.bits_of(F.lit(0), 2), tx.bits_of("c_custkey", 30), tx.bits_of(F.lit(0), 2), tx.bits_of(F.lit(0), 30), tx.bits_of(F.lit(0), 42), tx.text_bits("c_name", 20), tx.bits_of(F.col("c_custkey") % 100, 8))
-    sent = c.select("c_custkey", tx.armoured(F.rpad(bits, 426, "0")).alias("payload"))
+    sent = c.select("c_custkey", tx.armoured(bits, 424).alias("payload"))
     return ais.decoded(sent, carried=["c_custkey"]).select("c_custkey", "name", "ship_type")
 
 
