@@ -7,13 +7,15 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TEXT_BATCH = 512
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
+BITS_PER_ID, MIN_ID_BITS, MAX_ID_BITS = 32, 1 << 16, 1 << 29
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,11 +28,13 @@ def texts(docs: DataFrame) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``; a temporary folder only where that is unset (local runs)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh path below ``spark.checkpoint.dir``; where that is unset, a temporary folder, for a local master alone."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        context_dir = spark.sparkContext.getCheckpointDir()
-        base = context_dir or f"file://{tempfile.mkdtemp(prefix='tidewake-')}"
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='tidewake-')}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -67,6 +71,31 @@ def at_work(owner: str, release: Callable[[], None] = lambda: None) -> None:
     _caches[owner] = release
 
 
+def marked(ids: DataFrame, of: Column) -> Column:
+    """True for every value of ``of`` that the one column of ``ids`` holds, and for few others: a bitmap of hashed identifiers.
+
+    It has ``BITS_PER_ID`` bits an identifier and ``MAX_ID_BITS`` (64 MB) at most.  When it fills up, more
+    values are marked; an exact join has to follow for those.  Null is never marked.
+    """
+    spark, name = ids.sparkSession, ids.columns[0]
+    bits = min(MAX_ID_BITS, max(MIN_ID_BITS, 1 << (BITS_PER_ID * max(1, ids.count()) - 1).bit_length()))
+    at = ids.filter(F.col(name).isNotNull()).select((F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(bits)) + 1).alias("bit"))
+    parts = at.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for row in parts.collect():
+        part = np.frombuffer(bytes(row["bits"]), np.uint8)
+        bitmap[(row["part"] - 1) * len(part) :][: len(part)] = part
+    shared = spark.sparkContext.broadcast(bitmap)
+
+    @F.arrow_udf("boolean")
+    def stands(position: pa.Array) -> pa.Array:
+        where = position.to_numpy(zero_copy_only=False)
+        return pa.array((shared.value[where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool))
+
+    position = F.pmod(F.xxhash64(of.cast("long")), F.lit(bits))
+    return of.isNotNull() & stands(position)
+
+
 def ascii_lower(col):
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
 

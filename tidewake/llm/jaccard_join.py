@@ -27,6 +27,7 @@ only, and has no component of its own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 
@@ -34,50 +35,105 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from tidewake.llm.common import at_work, checkpointed, documents, shared_dir, small_batches, texts
+from tidewake.llm.common import at_work, checkpointed, documents, marked, remove_tree, shared_dir, small_batches, texts
 from tidewake.llm.components import connected_components
 
 SLOTS_PER_ROW, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 64, 1 << 16, 1 << 26, 1 << 16
 PAIR_BLOCK, VOCABULARY_BLOCK = 1024, 4096
-ASKED_BITS = 1 << 23
+#: Tokens with a count from here on may have groups that one task should not hold; counts stop at 255.
+FREQUENT = 200
+BODIES_BY_HUB = 256
 SCAN_COST, PAIR_COST = 1.0, 2.0
 HEADS = 3
-_HASHED_WORDS = 150_000
+BYTES_AT_ONCE = 1 << 17
 _MIX = (np.uint64(0x9E3779B185EBCA87), np.uint64(29))
 _FIRST, _SECOND = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _HASHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
-
-
-def forget_words() -> None:
-    _hashes.clear()
-
-
-def shingles(body: bytes, width: int) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles."""
-    words = body.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    span = min(width, len(h))
+_BASE = 0x2545F4914F6CDD1B
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
+_OF_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, np.uint64)
+
+
+@functools.cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the hash's base and of its inverse, modulo 2**64."""
+    both = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        both.append(np.multiply.accumulate(steps))
+    return both[0], both[1]
+
+
+def _word_hashes(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, whatever its place, and where it starts: differences of running sums."""
+    raw = np.frombuffer(body, np.uint8)
+    powers, inverses = _powers(max(BYTES_AT_ONCE, 1 << (len(raw) - 1).bit_length()) if len(raw) else 1)
+    edges = np.flatnonzero(np.diff(_IS_WORD[raw], prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_OF_BYTE[raw] * powers[: len(raw)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * inverses[starts]
+    hashes = (hashes ^ hashes >> _MIX[1]) * _SECOND
+    return hashes ^ hashes >> np.uint64(32), starts
+
+
+def _windows(h: np.ndarray, span: int) -> np.ndarray:
     out = np.full(len(h) - span + 1, span, np.uint64)
     for j in range(span):
         out = (out ^ h[j : len(h) - span + 1 + j]) * _MIX[0]
         out ^= out >> _MIX[1]
-    return np.unique(out)
+    return out
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.diff(values, prepend=~values[:1]) != 0]
+
+
+def _long_shingles(body: bytes, width: int) -> np.ndarray:
+    """One text, a piece at a time; pieces end at white space."""
+    parts, at = [], 0
+    while at < len(body):
+        end = min(len(body), at + BYTES_AT_ONCE)
+        while end < len(body) and _IS_WORD[body[end]]:
+            end += 1
+        parts.append(_word_hashes(body[at:end])[0])
+        at = end
+    h = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+    return _distinct(_windows(h, min(width, len(h)))) if len(h) else h
+
+
+def _short_shingles(bodies: list[bytes], width: int) -> list[np.ndarray]:
+    ends = np.cumsum([len(b) + 1 for b in bodies])
+    h, starts = _word_hashes(b" ".join(bodies))
+    until = np.searchsorted(starts, ends).tolist()
+    whole = _windows(h, width) if len(h) >= width else h[:0]
+    out = []
+    for first, last in zip([0, *until], until, strict=False):
+        n = last - first
+        out.append(_distinct(whole[first : last - width + 1] if n >= width else _windows(h[first:last], n)) if n else h[:0])
+    return out
+
+
+def shingle_sets(bodies: list[bytes], width: int) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its shingles."""
+    out, held, size = [], [], 0
+    for body in bodies:
+        body = body.lower()
+        if held and size + len(body) > BYTES_AT_ONCE:
+            out += _short_shingles(held, width)
+            held, size = [], 0
+        if len(body) >= BYTES_AT_ONCE:
+            out.append(_long_shingles(body, width))
+        else:
+            held.append(body)
+            size += len(body) + 1
+    return out + (_short_shingles(held, width) if held else [])
 
 
 def least_overlap(n: int, percent: int) -> int:
@@ -91,12 +147,12 @@ def _slots(tokens: np.ndarray, slots: int) -> np.ndarray:
 
 def _counter(width: int, slots: int):
     def count(batches):
-        at_work("shingles", forget_words)
+        at_work("shingles")
         counts = np.zeros(slots, np.uint16)
         for batch in batches:
             bodies = batch.column(0)
             for start in range(0, len(bodies), 256):
-                sets = [shingles(x.as_py(), width) for x in bodies[start : start + 256]]
+                sets = shingle_sets(bodies[start : start + 256].to_pylist(), width)
                 at, times = np.unique(_slots(np.concatenate(sets), slots), return_counts=True)
                 counts[at] = np.minimum(counts[at] + times, 255)
         for i in range(0, slots, SLOT_BLOCK):
@@ -132,13 +188,13 @@ def shingle_counts(bodies: DataFrame, width: int, slots: int) -> np.ndarray:
     parts = bodies.mapInArrow(_counter(width, slots), "slot long, counts binary")
     merged = parts.repartition("slot").sortWithinPartitions("slot").mapInArrow(_summed, "slot long, counts binary")
     sketch = np.zeros(slots, np.uint8)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         sketch[row["slot"] : row["slot"] + SLOT_BLOCK] = np.frombuffer(zlib.decompress(bytes(row["counts"])), np.uint8)
     return sketch
 
 
-def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tuple[np.ndarray, int]:
-    """The shingles of the prefix with the least estimated cost, in the global order, and the length of the shortest prefix."""
+def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, percent: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """The shingles of the prefix with the least estimated cost, in the global order; the length of the shortest prefix; their counts."""
     counts = sketch[_slots(tokens, len(sketch))]
     extra = np.maximum(counts - (noise + 2 * math.sqrt(noise) + 1), 0.0)
     order = np.lexsort((tokens, np.log2(1 + extra).astype(np.int8)))
@@ -147,7 +203,8 @@ def adaptive_prefix(tokens: np.ndarray, sketch: np.ndarray, noise: float, percen
     others = np.cumsum(extra[order[: base + most - 1]])
     matches = np.arange(1, most + 1)
     cost = SCAN_COST * (base + matches - 1) + PAIR_COST * others[base - 1 :] / matches
-    return tokens[order[: base + int(cost.argmin())]], base
+    order = order[: base + int(cost.argmin())]
+    return tokens[order], base, counts[order]
 
 
 def brief(tokens: np.ndarray) -> bytes:
@@ -164,74 +221,75 @@ def unfolded(packed: bytes) -> np.ndarray:
     return values + (repeat << 24)
 
 
-_SIGNATURE = "doc_id long, n long, key binary, heads array<long>, base array<long>, matches long, counted binary"
+_SIGNATURE = "doc_id long, n long, key binary, heads array<long>, base array<long>, frequent array<long>, matches long, counted binary"
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays).view(np.int64)))
 
 
 def _signer(width: int, percent: int, shared):
     def sign(batches):
-        at_work("shingles", forget_words)
+        at_work("shingles")
         sketch, noise = shared.value
         for batch in batches:
-            ids, bodies = batch.column(0), batch.column(1)
-            for start in range(0, len(bodies), 512):
-                sets = [shingles(x.as_py(), width) for x in bodies[start : start + 512]]
-                prefixes = [adaptive_prefix(s, sketch, noise, percent) if len(s) else (s, 0) for s in sets]
-                heads = [np.array([(s * m).min() for m in (_FIRST, _SECOND, _MIX[0])]) if len(s) else s for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids[start : start + 512],
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                        *(pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32), pa.array(np.concatenate(x).view(np.int64))) for x in (heads, [p[:b] for p, b in prefixes])),
-                        pa.array([len(p) - b + 1 for p, b in prefixes], pa.int64()),
-                        pa.array([brief(p) for p, _ in prefixes], pa.binary()),
-                    ],
-                    ["doc_id", "n", "key", "heads", "base", "matches", "counted"],
-                )
+            sets = shingle_sets(batch.column(1).to_pylist(), width)
+            if not sets:
+                continue
+            prefixes = [adaptive_prefix(s, sketch, noise, percent) if len(s) else (s, 0, s) for s in sets]
+            common = [counts[:base] >= FREQUENT for _, base, counts in prefixes]
+            columns = [
+                batch.column(0),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
+                _lists([np.array([(s * m).min() for m in (_FIRST, _SECOND, _MIX[0])]) if len(s) else s for s in sets]),
+                _lists([p[:base][~often] for (p, base, _), often in zip(prefixes, common, strict=True)]),
+                _lists([p[:base][often] for (p, base, _), often in zip(prefixes, common, strict=True)]),
+                pa.array([len(p) - base + 1 for p, base, _ in prefixes], pa.int64()),
+                pa.array([brief(p) for p, _, _ in prefixes], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "key", "heads", "base", "frequent", "matches", "counted"])
 
     return sign
 
 
-def _asked_for(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """``rows`` with compressed bodies, less most of those whose ``doc_id`` is not in ``ids``, by a bitmap of ``ASKED_BITS`` hashed identifiers; Spark counts bits from 1."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ASKED_BITS))
-    parts = ids.select((bit("doc_id") + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    bitmap = np.zeros(ASKED_BITS // 8, np.uint8)
-    for row in parts.collect():
-        bitmap[(row["part"] - 1) * 4096 :][: len(row["bits"])] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-
-    @F.arrow_udf(BinaryType())
-    def packed(bits: pa.Array, bodies: pa.Array) -> pa.Array:
-        at, squeeze = bits.to_numpy(zero_copy_only=False), zstandard.ZstdCompressor().compress
-        asked = shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1
-        return pa.array([squeeze(x.as_py()) if a else None for a, x in zip(asked.tolist(), bodies, strict=True)], pa.binary())
-
-    return rows.select("doc_id", packed(bit("doc_id"), F.col("body")).alias("body")).filter(F.col("body").isNotNull())
+@F.arrow_udf(BinaryType())
+def _squeezed(bodies: pa.Array) -> pa.Array:
+    squeeze = zstandard.ZstdCompressor().compress
+    return pa.array([squeeze(x.as_py()) for x in bodies], pa.binary())
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The rows ``x, y`` of ``pairs`` whose texts' shingle sets are similar enough."""
+    """The rows ``x, y`` of ``pairs`` whose texts' shingle sets are similar enough.
+
+    Bodies travel compressed, and those alone that a pair names.  A hub ``x`` of many pairs meets them in
+    several tasks, ``BODIES_BY_HUB`` in each or so.
+    """
     pairs = checkpointed(pairs)
     named = pairs.select(F.col("x").alias("doc_id")).unionByName(pairs.select(F.col("y").alias("doc_id"))).distinct()
-    bodies = _asked_for(docs, named).join(named, "doc_id", "left_semi")
-    first, second = bodies.select(F.col("doc_id").alias("x"), F.col("body").alias("x_body")), bodies.select(F.col("doc_id").alias("y"), F.col("body").alias("y_body"))
+    bodies = docs.filter(marked(checkpointed(named), F.col("doc_id"))).select("doc_id", _squeezed("body").alias("body"))
 
     def check(batches):
-        at_work("shingles", forget_words)
+        at_work("shingles")
         at, held, plain = None, None, zstandard.ZstdDecompressor().decompress
         for batch in batches:
             keep = []
-            for x, x_body, y_body in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            others = shingle_sets([plain(y.as_py()) for y in batch.column(3)], width)
+            for x, x_body, other in zip(batch.column(0).to_pylist(), batch.column(2), others, strict=True):
                 body = x_body.as_py()
                 if at != (x, body):
-                    at, held = (x, body), shingles(plain(body), width)
-                other = shingles(plain(y_body.as_py()), width)
+                    at, held = (x, body), shingle_sets([plain(body)], width)[0]
                 common = len(np.intersect1d(held, other, assume_unique=True))
                 keep.append(100 * common >= percent * (len(held) + len(other) - common) and common > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(second, "y").join(first, "x").select("x", "y", "x_body", "y_body")
+    hubs = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("size")).select("x", F.expr(f"size div {BODIES_BY_HUB} + 1").alias("parts"))
+    dealt = pairs.join(hubs, "x").select("x", "y", F.pmod(F.xxhash64("y"), "parts").alias("part"))
+    second = dealt.join(bodies.select(F.col("doc_id").alias("y"), F.col("body").alias("y_body")), "y")
+    first = hubs.join(bodies.select(F.col("doc_id").alias("x"), F.col("body").alias("x_body")), "x")
+    first = first.select("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "x_body")
+    both = second.join(first, ["x", "part"]).select("x", "y", "x_body", "y_body")
     return both.mapInArrow(check, "x long, y long")
 
 
@@ -245,32 +303,39 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
         sketch = shingle_counts(bodies.select("body"), width, slots)
         shared = spark.sparkContext.broadcast((sketch, float(sketch.mean())))
         bodies.mapInArrow(_signer(width, percent, shared), _SIGNATURE).write.parquet(path)
+    shared.destroy()
     signed = spark.read.schema(_SIGNATURE).parquet(path)
 
-    classes = checkpointed(signed.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("heads").alias("heads")))
+    full = signed.filter("n > 0")
+    classes = checkpointed(full.groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("heads").alias("heads")))
     nodes = classes.filter("rep is not null")
     named = bodies.filter("doc_id is not null")
     with small_batches(spark):
-        near = connected_components(checkpointed(verified(_head_pairs(nodes), named, width, percent)))
-        near = checkpointed(near)
-        links = verified(_prefix_pairs(nodes, signed, near, percent), named, width, percent)
+        near = checkpointed(connected_components(verified(_head_pairs(nodes), named, width, percent)))
+        links = verified(_prefix_pairs(nodes, full.filter("doc_id is not null"), near, percent), named, width, percent)
         for end in ("x", "y"):
             of = near.select(F.col("node").alias(end), "component")
             links = links.join(of, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
-        far = connected_components(checkpointed(links))
+        far = connected_components(links)
 
     label = F.coalesce("near", "rep")
     reps = classes.select("key", "rep").join(near.select(F.col("node").alias("rep"), F.col("component").alias("near")), "rep", "left").withColumn("label", label)
     reps = reps.join(far.select(F.col("node").alias("label"), F.col("component").alias("far")), "label", "left").select("key", F.coalesce("far", "label").alias("component_id"))
-    rows = signed.select("doc_id", "n", "key")
-    return rows.join(reps, "key", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    whole = full.select("doc_id", F.col("n").alias("n_shingles"), "key").join(reps.repartition("key"), "key", "left").drop("key")
+    empty = signed.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    out = checkpointed(whole.unionByName(empty))
+    remove_tree(spark, path)
+    return out
 
 
 def _head_pairs(nodes: DataFrame) -> DataFrame:
-    """Each class with the smallest class that has the same minimum hash: at most ``HEADS`` pairs a class."""
-    heads = nodes.select("rep", "n", F.posexplode("heads").alias("i", "head"))
-    hubs = heads.groupBy("i", "head").agg(F.min("rep").alias("x"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
-    return heads.join(hubs, ["i", "head"]).filter("rep <> x").select("x", F.col("rep").alias("y")).distinct()
+    """Each class with the smallest class that has the same minimum hash: at most ``HEADS`` pairs a class.
+
+    The hubs are dealt by themselves, so that a join of a head with very many classes can be split.
+    """
+    heads = nodes.select("rep", F.posexplode("heads").alias("i", "head"))
+    hubs = heads.groupBy("i", "head").agg(F.min("rep").alias("x"), F.max("rep").alias("last")).filter("x <> last").drop("last")
+    return heads.join(hubs.repartition("i", "head"), ["i", "head"]).filter("rep <> x").select("x", F.col("rep").alias("y")).distinct()
 
 
 def _block_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -289,14 +354,16 @@ def _block_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
-def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.ndarray, prefixes: list, percent: int, earlier: list | None = None):
+def bucket_pairs(rep, label, n, matches, prefixes: list, percent: int, earlier: list | None = None, side=None):
     """``(x, y)`` arrays of the candidates among the documents that meet at one token, but for those that share a token of ``earlier``.
 
-    Of a set's first ``n - least + m`` shingles at most ``n - overlap`` are missing from the other set.
+    With ``side`` only documents of two sides make a pair.  Of a set's first ``n - least + m`` shingles at
+    most ``n - overlap`` are missing from the other set.
     """
     order = np.argsort(n, kind="stable")
     rep, label, n, matches, prefixes = rep[order], label[order], n[order], matches[order], [prefixes[i] for i in order]
     earlier = [earlier[i] for i in order] if earlier else None
+    side = None if side is None else side[order]
     spare = matches - least_overlap(n, percent)
     for i in range(0, len(rep), PAIR_BLOCK):
         a = slice(i, i + PAIR_BLOCK)
@@ -305,6 +372,8 @@ def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.
             if 100 * n[a][-1] < percent * n[b][0]:
                 break
             likely = (label[a][:, None] != label[b]) & (100 * n[a][:, None] >= percent * n[b])
+            if side is not None:
+                likely &= side[a][:, None] != side[b]
             if i == j:
                 likely &= np.triu(np.ones(likely.shape, bool), 1)
             asked = -(-percent * (n[a][:, None] + n[b]) // (100 + percent)) + np.minimum(spare[a][:, None], spare[b])
@@ -319,7 +388,7 @@ def bucket_pairs(rep: np.ndarray, label: np.ndarray, n: np.ndarray, matches: np.
 
 
 def _pairer(percent: int):
-    """Rows come sorted by token; the rows of one token are held at a time."""
+    """Rows come sorted by token and pair of blocks; those of one pair are held at a time, twice ``PAIR_BLOCK`` or so."""
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -328,22 +397,25 @@ def _pairer(percent: int):
             rows = pa.Table.from_batches(held).combine_chunks()
             if len(rows) < 2:
                 return
-            rep, label, n, matches = (rows.column(c).to_numpy() for c in ("rep", "label", "n", "matches"))
+            token, low, high, block, rep, label, n, matches = (
+                rows.column(c).to_numpy() for c in ("token", "low", "high", "block", "rep", "label", "n", "matches")
+            )
             prefixes = [unfolded(x.as_py()) for x in rows.column("counted")]
             tokens = (x.values.to_numpy() for x in rows.column("tokens"))
-            earlier = [x[x < last] for x in tokens]
-            for x, y in bucket_pairs(rep, label, n, matches, prefixes, percent, earlier):
+            earlier = [x[x < token[0]] for x in tokens]
+            side = None if low[0] == high[0] else block
+            for x, y in bucket_pairs(rep, label, n, matches, prefixes, percent, earlier, side):
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["x", "y"])
 
         last = None
         for batch in batches:
-            tokens = batch.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(tokens[1:] != tokens[:-1]) + 1).tolist(), len(tokens)]
+            keys = np.stack([batch.column(c).to_numpy() for c in range(3)], 1)
+            edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
             for a, b in zip(edges, edges[1:], strict=False):
-                if held and tokens[a] != last:
+                if held and tuple(keys[a]) != last:
                     yield from pairs()
                     held = []
-                last = tokens[a]
+                last = tuple(keys[a])
                 held.append(batch.slice(a, b - a))
         if held:
             yield from pairs()
@@ -351,28 +423,76 @@ def _pairer(percent: int):
     return run
 
 
+def _labelled(nodes: DataFrame, signed: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``signed`` that stand for their class, with ``rep`` and ``label``; and those rows in two, as few as can be joined.
+
+    Most documents stand for themselves under their own name.  The others (members of a class or a
+    component, identifiers with several rows) are marked in a bitmap, and they alone meet ``near`` in a join.
+    """
+    ids = signed.select("doc_id", "key")
+    members = ids.join(nodes.select("key", "rep").repartition("key"), "key").filter("doc_id <> rep").select("doc_id")
+    several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
+    unlike = checkpointed(members.unionByName(several).unionByName(near.select(F.col("node").alias("doc_id"))).distinct())
+    other = marked(unlike, F.col("doc_id"))
+    known = nodes.select("rep", "key").join(near.select(F.col("node").alias("rep"), F.col("component").alias("label")), "rep", "left")
+    known = known.withColumn("label", F.coalesce("label", "rep"))
+    of = signed.withColumnRenamed("doc_id", "rep").withColumn("other", marked(unlike, F.col("rep")))
+    plain = signed.filter(~other).withColumn("rep", F.col("doc_id")).withColumn("label", F.col("doc_id")).drop("doc_id")
+    joined = of.filter("other").drop("other").join(known, ["rep", "key"]).dropDuplicates(["rep", "key"])
+    return plain, joined
+
+
 def _prefix_pairs(nodes: DataFrame, signed: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs in different components that meet at a token of their shortest prefixes."""
-    known = near.select(F.col("node").alias("rep"), F.col("component").alias("label"))
-    known = nodes.select("rep", "key").join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    of = signed.withColumnRenamed("doc_id", "rep")
-    met = of.select("rep", "key", "base").join(known, ["rep", "key"]).select("rep", "label", F.explode("base").alias("token"))
-    mixed = met.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
-    shared = checkpointed(met.join(mixed, "token"))
+    """Candidate pairs in different components that meet at a token of their shortest prefixes.
+
+    Tokens below ``FREQUENT`` in the sketch have few rows, one shuffle finds those with two labels.  For
+    the others labels are aggregated before the shuffle and the rows come by a join that can be split.
+    The documents of a token are dealt into blocks, and every pair of blocks is a group of its own.
+    """
+    plain, joined = _labelled(nodes, signed, near)
+
+    def met(column: str) -> DataFrame:
+        parts = (x.select("rep", "label", F.explode(column).alias("token")) for x in (plain, joined))
+        return next(parts).unionByName(next(parts))
+
+    over = Window.partitionBy("token")
+    rare = met("base").withColumn("low", F.min("label").over(over)).withColumn("high", F.max("label").over(over))
+    often = met("frequent")
+    mixed = often.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
+    shared = rare.filter("low <> high").select("rep", "label", "token").unionByName(often.join(mixed.repartition("token"), "token").select("rep", "label", "token"))
+    shared = checkpointed(shared)
     total = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(38,0)"))
     members = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"), total("rep").alias("one"), total(F.lit(1), "rep").alias("two"))
-    apart = members.groupBy("size", "one", "two").agg(F.min("token").alias("token")).select("token")
-    longer = of.select("rep", "key", "n", "matches", "counted").join(nodes.select("rep", "key"), ["rep", "key"]).drop("key")
-    placed = shared.join(apart, "token").groupBy("rep", "label").agg(F.collect_set("token").alias("tokens")).join(longer, "rep")
-    placed = placed.select(F.explode("tokens").alias("token"), "rep", "label", "n", "matches", "tokens", "counted")
-    return placed.repartition("token").sortWithinPartitions("token").mapInArrow(_pairer(percent), "x long, y long")
+    apart = members.groupBy("size", "one", "two").agg(F.min("token").alias("token"))
+    apart = apart.select("token", F.expr(f"(size - 1) div {PAIR_BLOCK} + 1").alias("blocks"))
+    placed = shared.join(apart.repartition("token"), "token").groupBy("rep", "label").agg(F.collect_set(F.struct("token", "blocks")).alias("at"))
+    placed = checkpointed(placed.select(F.col("rep").alias("doc_id"), "label", "at"))
+    longer = signed.filter(marked(placed.select("doc_id").distinct(), F.col("doc_id"))).select("doc_id", "key", "n", "matches", "counted")
+    longer = longer.join(nodes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"]).drop("key")
+    rows = placed.join(longer, "doc_id").select(
+        F.col("doc_id").alias("rep"), "label", "n", "matches", "counted", F.col("at.token").alias("tokens"), F.explode("at").alias("at")
+    )
+    block = F.pmod(F.xxhash64("rep"), F.col("at.blocks"))
+    rows = rows.withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("at.blocks") - 1)))
+    rows = rows.select(
+        F.col("at.token").alias("token"), F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
+        "block", "rep", "label", "n", "matches", "tokens", "counted",
+    )
+    keys = ("token", "low", "high")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_pairer(percent), "x long, y long")
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the document of smallest ``doc_id`` of each group of similar ones; rows without a ``doc_id`` stay."""
+    """``docs`` with the document of smallest ``doc_id`` of each group of similar ones; rows without a ``doc_id`` stay.
+
+    Rows that repeat the ``doc_id`` that stays are one document, and all of them stay.  Only rows that a
+    bitmap of the dropped identifiers marks are shuffled, to be confirmed.
+    """
     groups = similar_groups(docs, width, percent)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = checkpointed(groups.filter("doc_id <> component_id").select("doc_id").distinct())
+    hit = marked(gone, F.col("doc_id"))
+    doubtful = docs.filter(hit).join(gone.select(F.col("doc_id").alias("gone_id")), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.filter(~hit).unionByName(doubtful).select(*docs.columns)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
