@@ -2,21 +2,24 @@
 
 Every task fills a pair of filters from its lines; pairs merge by blocks of bits, a block's second
 filter taking what both first filters hold, so that no key of two documents is ever missed.  Only
-keys that the merged second filter suspects are shuffled, as 128-bit hashes: counting them per
-distinct document confirms repeats exactly and picks the document that keeps its lines.  Documents
-without a suspected line are rewritten where they stand; the others meet their dropped keys by a
-join on ``doc_id``.
+keys that the merged second filter suspects are shuffled, as 256-bit cryptographic hashes: counting
+them per distinct document confirms repeats and picks the document that keeps its lines.  Documents that
+lose lines are marked in a bitmap and meet their dropped keys by a join on ``doc_id``; all others are
+rewritten where they stand.
 
 The filter's size follows the number of rows, up to ``MAX_FILTER_BITS`` (64 MB broadcast); beyond,
 more lines are suspected and shuffled, the result is the same.
 
 Edge cases: null or empty text is one empty line; rows without a ``doc_id`` are left whole and do not
 count as documents; rows that repeat a ``doc_id`` count once; a key twice in one document counts
-once, and the keeping document keeps both; a text that loses all lines becomes empty.
+once, and the keeping document keeps both; a text that loses all lines becomes empty; very long texts
+are split whole; an empty table gives an empty result; other columns travel in a struct, their names
+may be any.
 """
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -25,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import at_work, checkpointed, documents, small_batches
+from tidewake.llm.common import at_work, checkpointed, documents, marked, small_batches
 
 BLOCK_BITS = 1 << 19
 MAX_FILTER_BITS = 1 << 29
@@ -51,8 +54,12 @@ def counts_as(key: bytes, min_chars: int) -> bool:
     return len(key) >= min_chars and (key.isascii() or len(key.decode()) >= min_chars)
 
 
-def _hashes(body: bytes, min_chars: int) -> set[bytes]:
-    return {xxhash.xxh3_128_digest(key) for key in line_keys(body) if counts_as(key, min_chars)}
+def _counted(body: bytes, min_chars: int) -> list[bytes]:
+    return [key for key in set(line_keys(body)) if counts_as(key, min_chars)]
+
+
+def _confirmed_by(key: bytes) -> bytes:
+    return hashlib.blake2b(key, digest_size=32).digest()
 
 
 def _positions(digests: np.ndarray, bits: int) -> np.ndarray:
@@ -82,7 +89,7 @@ def _filler(bits: int, min_chars: int):
         at_work("lines")
         once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            seen = [d for body in batch.column(0) for d in _hashes(body.as_py(), min_chars)]
+            seen = [xxhash.xxh3_128_digest(key) for body in batch.column(0) for key in _counted(body.as_py(), min_chars)]
             if not seen:
                 continue
             words, times = np.unique(_words(seen), axis=0, return_counts=True)
@@ -125,7 +132,7 @@ def repeated_filter(bodies: DataFrame, bits: int, min_chars: int) -> np.ndarray:
     pairs = bodies.mapInArrow(_filler(bits, min_chars), "block long, once binary, twice binary")
     merged = pairs.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "block long, twice binary")
     bitmap, step = np.zeros(bits // 8, np.uint8), _block(bits) // 8
-    for row in merged.toLocalIterator():
+    for row in merged.collect():
         bitmap[row["block"] * step :][:step] = np.frombuffer(zlib.decompress(bytes(row["twice"])), np.uint8)
     return bitmap
 
@@ -139,16 +146,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     with small_batches(spark):
         bitmap = spark.sparkContext.broadcast(repeated_filter(known.select(body.alias("body")), bits, min_chars))
 
-    def suspected(found: set[bytes]) -> list[bytes]:
-        listed = sorted(found)
-        if not listed:
-            return listed
-        hit = _has(bitmap.value, _positions(_words(listed), bits))
-        return [d for d, h in zip(listed, hit, strict=True) if h]
+    def suspected(keys: list[bytes]) -> list[bytes]:
+        if not keys:
+            return keys
+        hit = _has(bitmap.value, _positions(_words(map(xxhash.xxh3_128_digest, keys)), bits))
+        return [_confirmed_by(key) for key, h in zip(keys, hit.tolist(), strict=True) if h]
 
     @F.arrow_udf("array<binary>")
     def suspects(bodies: pa.Array) -> pa.Array:
-        return pa.array([suspected(_hashes(x.as_py(), min_chars)) for x in bodies], pa.list_(pa.binary()))
+        return pa.array([suspected(_counted(x.as_py(), min_chars)) for x in bodies], pa.list_(pa.binary()))
 
     @F.arrow_udf("struct<kept:string,n_lines:long,n_dropped:long>")
     def rewrite(bodies: pa.Array, drops: pa.Array) -> pa.Array:
@@ -158,7 +164,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
             lines, gone = text.split(b"\n"), set(drop.as_py() or ())
             kept = lines
             if gone:
-                kept = [line for line, key in zip(lines, line_keys(text), strict=True) if not (counts_as(key, min_chars) and xxhash.xxh3_128_digest(key) in gone)]
+                kept = [line for line, key in zip(lines, line_keys(text), strict=True) if not (counts_as(key, min_chars) and _confirmed_by(key) in gone)]
             out.append({"kept": b"\n".join(kept).decode(), "n_lines": len(lines), "n_dropped": len(lines) - len(kept)})
         return pa.array(out, pa.struct([("kept", pa.string()), ("n_lines", pa.int64()), ("n_dropped", pa.int64())]))
 
@@ -167,13 +173,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         repeats = checkpointed(rows.filter(F.col("doc_id").isNotNull()).select("doc_id", F.explode(suspects("body")).alias("key")))
     distinct = repeats.distinct()
     confirmed = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).filter(F.col("n") >= min_docs)
-    drops = repeats.join(confirmed.select("key", "keeper"), "key").filter(F.col("doc_id") != F.col("keeper"))
-    drops = drops.groupBy(F.col("doc_id").alias("drop_id")).agg(F.collect_set("key").alias("keys"))
-
-    flagged = rows.withColumn("suspect", (F.col("doc_id").isNotNull()) & (F.size(suspects("body")) > 0))
-    nothing = F.lit(None).cast("array<binary>")
-    plain = flagged.filter(~F.col("suspect")).select("doc", rewrite("body", nothing).alias("new"))
-    touched = flagged.filter("suspect").join(drops, F.col("doc_id") == F.col("drop_id"), "left").select("doc", rewrite("body", "keys").alias("new"))
+    # Dealt by itself, so that the join of a very common line can be split.
+    confirmed = confirmed.select("key", "keeper").repartition("key")
+    drops = repeats.join(confirmed, "key").filter(F.col("doc_id") != F.col("keeper"))
+    drops = checkpointed(drops.groupBy(F.col("doc_id").alias("drop_id")).agg(F.collect_set("key").alias("keys")))
+
+    touches, nothing = marked(drops.select("drop_id"), F.col("doc_id")), F.lit(None).cast("array<binary>")
+    plain = rows.filter(~touches).select("doc", rewrite("body", nothing).alias("new"))
+    touched = rows.filter(touches).join(drops, F.col("doc_id") == F.col("drop_id"), "left").select("doc", rewrite("body", "keys").alias("new"))
     return plain.unionByName(touched).select("doc", "new.*")
 
 
