@@ -13,9 +13,7 @@ from .conftest import SF
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
 
 
 def check(rows, texts, tokenizer):
@@ -58,6 +56,12 @@ def test_words_encode_as_the_library_does(tokenizer):
         assert got == tokenizer.encode(text, add_special_tokens=False).ids, hex(x)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a<|endoftext|>b", "<|ENDOFTEXT|> x", " <|startoftext|> hi <|endoftext|>", "<|start<|endoftext|>", "<|endoftext|><|endoftext|>!", "<|endoftext|", "Ä<|startoftext|>'s"])
+def test_special_tokens_as_the_library_has_them(tokenizer, text):
+    words = packing.WordIds(public_tokenizers.path(packing.VOCABULARY))
+    assert np.frombuffer(words.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_ids_are_kept_on_request(spark):
     rows = spark.createDataFrame([(1, np.arange(5000, dtype="<u4").tobytes()), (2, b""), (3, np.arange(7, dtype="<u4").tobytes())], "doc_id long, body binary")
     out = packing.pack(rows, capacity=2048, open_windows=2).collect()

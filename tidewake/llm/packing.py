@@ -6,8 +6,13 @@ and a fresh one opened.  What is still open at the end of a task is written with
 leftovers of all tasks are merged by the same rule, longest first, in as many tasks as their number
 asks for.  A piece once cut is never cut again, so its checksum stays valid.
 
+Strings of special tokens in a text get their own ids, as the library gives them.
+
 Edge cases: null text is empty and packs as the end id alone; a null ``doc_id`` is carried along;
-repeated rows are packed each on its own; an empty table gives no pieces.
+repeated rows are packed each on its own; an empty table gives no pieces; a very long text is encoded
+some words at a time and cut into whole sequences; of windows with equal space the first takes a piece,
+and leftovers of one length merge in the order of ``doc_id`` and ``start``; of a table's columns
+``doc_id`` and ``text`` alone are read, others may have any name.
 """
 
 from __future__ import annotations
@@ -45,12 +50,22 @@ _MERGED_IDS = 1 << 62
 
 
 class WordIds:
-    """Ids of a text word by word: the vocabulary drops white space, so words encode on their own."""
+    """Ids of a text word by word: the vocabulary drops white space, so words encode on their own.
+
+    Special tokens are looked for in the raw text before anything else; a word that lower-casing makes
+    equal to one is an ordinary word.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cache: dict[bytes, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+            raise ValueError("an added token of this vocabulary is not plain raw text")
+        self.special = {t.content.encode(): array("I", [i]).tobytes() for i, t in added.items()}
+        longest = sorted(self.special, key=len, reverse=True)
+        self.any_special = re.compile(b"|".join(map(re.escape, longest)) or b"(?!)")
 
     def _stem(self, word: bytes) -> bytes:
         """The word without trailing marks, where a letter or digit that no normalisation touches ends before them."""
@@ -70,6 +85,13 @@ class WordIds:
 
     def encode(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids of a text, without an end id."""
+        parts, at = [], 0
+        for m in self.any_special.finditer(text):
+            parts += [self._ordinary(text[at : m.start()]), self.special[m[0]]]
+            at = m.end()
+        return b"".join([*parts, self._ordinary(text[at:] if at else text)])
+
+    def _ordinary(self, text: bytes) -> bytes:
         words, parts = text.lower().split(), []
         for start in range(0, len(words), WORDS_AT_ONCE):
             some = words[start : start + WORDS_AT_ONCE]
