@@ -15,12 +15,15 @@ of what a hundredth of the labelled slices falls below, each half of these tried
 with too few slices there is ``MIN_MARGIN`` alone.  The score is the margin in bytes in every case.
 
 The dictionaries come from a bounded sample: of every language ``SLICES`` texts, those with the
-smallest hash in each of as many hash buckets, and ``SLICE_CHARS`` characters of each.  Everything
-else covers whole texts of all rows.
+smallest hash in each of as many hash buckets, and ``SLICE_CHARS`` characters of each, from a place that
+the hash picks.  Everything else covers whole texts of all rows.
 
 Edge cases: null text or one without a letter is ``und`` with score 0; with no labelled row all is
 ``und``; with one language alone its score is 1; equal texts get equal answers; ties go to the label
-that sorts first where grams do not decide; a null ``doc_id`` is neither learned from nor held out.
+that sorts first where grams do not decide; a null ``doc_id`` is neither learned from nor held out;
+numerals, marks and symbols are not letters; a very long text is compressed block by block to its end;
+repeated rows are judged each and learned from once; ``identify`` reads ``doc_id, text, lang`` alone and
+``accepted`` carries the other columns in a struct, so their names may be any.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +46,17 @@ MIN_MARGIN = 0.001
 # Limits as shares of the 1st percentile of labelled slices; slices tried at most and at least.
 NARROW, KNOWN, TRIED, LEAST = 0.5, 0.3, 1024, 16
 UNKNOWN = "und"
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_LETTER, _NO_LETTERS = regex.compile(r"\p{L}"), regex.compile(r"[^\p{L}\p{M}]+")
+#: The same below U+0250, where there are no marks, for the faster engine.
+_LATIN, _BEYOND = re.compile("[^A-Za-zªµºÀ-ÖØ-öø-ɏ]+"), re.compile("[\u0250-\U0010ffff]")
 
 
 def letters(text: str) -> bytes:
-    """Lower-cased words with single spaces between them."""
-    return _NO_LETTERS.sub(" ", text.lower()).strip().encode()
+    """Lower-cased words of letters and their marks with single spaces between them; empty without a letter."""
+    low = text.lower()
+    if not _BEYOND.search(low):
+        return _LATIN.sub(" ", low).strip().encode()
+    return _NO_LETTERS.sub(" ", low).strip().encode() if _LETTER.search(low) else b""
 
 
 class Limits(NamedTuple):
@@ -60,7 +69,9 @@ class Limits(NamedTuple):
 
 def samples(labelled: DataFrame) -> dict[str, list[bytes]]:
     """The slices of each language from rows ``text, lang``; at most ``MAX_LANGUAGES * SLICES`` reach the driver."""
-    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SLICE_CHARS).alias("slice"))
+    rows = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("lang", "text", F.xxhash64("text").alias("h"))
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - SLICE_CHARS + 1, F.lit(1))) + 1
+    rows = rows.select("lang", "h", F.substr("text", start.cast("int"), F.lit(SLICE_CHARS)).alias("slice"))
     chosen = rows.groupBy("lang", F.pmod("h", F.lit(SLICES)).alias("bucket")).agg(F.min("h").alias("h"))
     picks = [tuple(r) for r in chosen.select("lang", "h").limit(MAX_LANGUAGES * SLICES + 1).collect()]
     if len(picks) > MAX_LANGUAGES * SLICES:
