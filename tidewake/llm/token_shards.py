@@ -2,19 +2,26 @@
 
 Every task concatenates the ids of its documents and cuts them into sequences of one length.  A
 sequence is known by its task and its number there; a keyed Feistel network with cycle-walking permutes
-the domain of all such pairs, and the permuted domain is split into equal ranges, one a shard.  Range
-tasks sort their sequences and write them at a fixed stride of little-endian unsigned 16-bit ids.  The
-global slot of a sequence is its rank in the permuted order: the slots of a shard follow those of the
-shards before it, so training reads the shards one after another and resumes at any slot by one seek.
+the domain of all such pairs, and the permuted domain is split into equal ranges, one a shard and one
+a task.  Range tasks sort their sequences and write them at a fixed stride of little-endian unsigned
+16-bit ids.  The global slot of a sequence is its rank in the permuted order: the slots of a shard follow
+those of the shards before it, so training reads the shards one after another and resumes at any slot
+by one seek.  The order is fixed by the key and by how the input is split into tasks; the index keeps it.
+
+There is a shard for every ``SHARD_BYTES`` of text; as an id takes two bytes and stands for one byte at
+least, a shard is about twice that at most, however many there are.
 
 Shards are written under names of their own attempt, the table ``_index`` names those that count.
 
 Edge cases: null text is empty and adds the end id alone; a null ``doc_id`` is listed as null; repeated
-rows are written each; the last sequence of a task is filled up with end ids; an empty table gives no shard.
+rows are written each; the last sequence of a task is filled up with end ids; an empty table
+gives no shard; a very long text fills as many sequences as it needs; places are distinct, so there are no
+ties; of a table's columns ``doc_id`` and ``text`` alone are read, others may have any name.
 """
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zlib
 
@@ -23,7 +30,7 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.llm.common import documents, shared_dir, texts
@@ -31,8 +38,8 @@ from tidewake.llm.feistel import permute_array
 from tidewake.llm.packing import VOCABULARY, load
 
 LENGTH, END_ID, KEY = 1024, 49407, 20240229
-PER_TASK = 1 << 22
-DOCS_PER_SHARD = 20_000
+PER_TASK = 1 << 32
+SHARD_BYTES = 64 << 20
 
 
 def _cutter(path: str, length: int, end_id: int, domain: int, key: int):
@@ -41,6 +48,8 @@ def _cutter(path: str, length: int, end_id: int, domain: int, key: int):
     def cut(batches):
         task, number, held, owners = TaskContext.get().partitionId(), 0, bytearray(), []
         step = 2 * length
+        if load(path).tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("the ids of this vocabulary do not fit in 16 bits")
 
         def rows(parts, listed):
             nonlocal number
@@ -104,22 +113,23 @@ _INDEX = "shard long, file string, position long, place long, ids_crc32 long, do
 def write_shards(docs: DataFrame, path: str, vocabulary: str, length: int = LENGTH, end_id: int = END_ID, key: int = KEY, shards: int | None = None) -> DataFrame:
     """Write the shards below ``path``; one row a sequence: ``slot, shard, file, position, ids_crc32, doc_ids``."""
     spark = docs.sparkSession
-    shards = shards or max(1, -(-docs.count() // DOCS_PER_SHARD))
     bodies = texts(docs).select("doc_id", F.col("text").cast("binary").alias("body"))
+    shards = shards or max(1, -(-(bodies.agg(F.sum(F.octet_length("body") + 1)).first()[0] or 0) // SHARD_BYTES))
     domain = max(1, bodies.rdd.getNumPartitions()) * PER_TASK
     sequences = bodies.mapInArrow(_cutter(vocabulary, length, end_id, domain, key), "place long, ids binary, doc_ids array<long>")
     width = -(-domain // shards)
     ranged = sequences.select(F.expr(f"place div {width}").alias("shard"), "place", "ids", "doc_ids")
-    ordered = ranged.repartition(shards, "shard").sortWithinPartitions("shard", "place")
+    ordered = ranged.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("place")
     ordered.mapInArrow(_shard_writer(path), _INDEX).write.parquet(f"{path}/_index")
     return shard_index(spark, path)
 
 
 def shard_index(spark: SparkSession, path: str) -> DataFrame:
-    """The sequences of a directory of shards with their global slots; a window over one row a shard counts them."""
+    """The sequences of a directory of shards with their global slots; the driver adds up one count a shard."""
     rows = spark.read.schema(_INDEX).parquet(f"{path}/_index")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    counts = sorted((r["shard"], r["count"]) for r in rows.groupBy("shard").count().collect())
+    before = itertools.accumulate((n for _, n in counts), initial=0)
+    starts = spark.createDataFrame([(shard, first) for (shard, _), first in zip(counts, before, strict=False)], "shard long, first long")
     return rows.join(starts, "shard").select((F.col("first") + F.col("position")).alias("slot"), "shard", "file", "position", "ids_crc32", "doc_ids")
 
 
