@@ -1,28 +1,35 @@
 """Personal data and secrets replaced by keyed surrogates of the same type.
 
-Detected entities are e-mail addresses, telephone numbers, IPv4 addresses, payment cards, social
-security numbers, IBANs, access keys, assigned passwords and tokens, and people named after a title.
-An entity's surrogate depends on its canonical form and the key alone, so every mention of it in any
+Detected entities are e-mail addresses, telephone numbers, IPv4 addresses, payment cards (issuer and
+check digit), social security numbers, IBANs, access keys, assigned passwords and tokens, and people
+named after a title; names of such people are found again in the same text without the title.  An
+entity's surrogate depends on its canonical form and the key alone, so every mention of it in any
 document gets the same one.  Strings with a format are moved by a keyed permutation of all strings of
 that format: letters stay letters of their case, digits digits, check digits are recomputed; the
-domain of an address moves on its own.  Names are built for the gender of the title and the script of
-the name.
+domain of an address moves on its own.  Given and family names are mapped apart, word by word, so that
+``Mr. Smith`` and ``Mr. John Smith`` share what they share; given names follow the gender of the title.
+A title without a gender takes the gender that the name has elsewhere in the table, if it has one alone.
 
 The distinct entities of the whole table are checked: where two of one type meet in one surrogate, or
 a surrogate is itself an entity of the table, all but the first take their next attempt until none is
-left.  Exceptions of that kind are few; up to ``BROADCAST_EXCEPTIONS`` reach the tasks as a broadcast,
-more of them by a join on ``doc_id``.
+left.  After ``IN_FORMAT`` attempts a surrogate gets a further character with each, so that a format
+whose strings are all taken ends, too.  Exceptions of that kind are few; up to ``BROADCAST_EXCEPTIONS``
+reach the tasks as a broadcast, more of them by a join on a digest of the text.
 
-Edge cases: null text stays null with no entity; empty tables give empty results; texts are searched
-whole; repeated rows get equal surrogates; with repeated or null ``doc_id`` the broadcast way needs no
-identifier, and the join way goes by a digest of the text.
+The key comes from ``surrogate_key``; whoever has it can undo the permutations.
+
+Edge cases: null text stays null with no entity; empty tables give empty results; very long texts are
+searched whole; repeated rows get equal surrogates, whatever their ``doc_id``; of overlapping entities
+the first type of ``PATTERNS`` wins, of one type the leftmost; other columns travel in a struct, so their
+names may be any.
 """
 
 from __future__ import annotations
 
-import functools
 import hashlib
+import itertools
 import re
+import secrets
 import unicodedata
 
 import pyarrow as pa
@@ -34,9 +41,10 @@ from pyspark.sql.types import StringType
 from tidewake.llm.common import at_work, checkpointed, documents, small_batches
 from tidewake.llm.feistel import permute
 
-KEY = b"tidewake-surrogates"
+KEY_CONF = "spark.tidewake.surrogate.key"
 BROADCAST_EXCEPTIONS = 50_000
-MAX_ATTEMPTS = 32
+IN_FORMAT = 4
+CACHED = 100_000
 
 # Titles with the gender that they name, and given names to draw from.
 TITLES = {
@@ -78,14 +86,21 @@ _INITIAL = rf"(?!{_TITLES}\s)[\p{{Lu}}\p{{Lt}}]\p{{M}}*+(?:\.[ \-]?|[ ])"
 _UNCASED = r"\p{Han}{1,4}+|\p{Hangul}{1,5}+|[\p{Hiragana}\p{Katakana}ー・]{1,12}+|\p{Lo}[\w\p{M}]++(?:[ ]\p{Lo}[\w\p{M}]++)?"
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
-    "secret": re.compile(r"(?i:(?:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)\s*[=:]\s*[\"']?)([A-Za-z0-9+/_\-]{6,})|\b((?:AKIA|ASIA)[0-9A-Z]{16})\b"),
+    "secret": re.compile(r"(?i:(?:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)\s*[=:]\s*[\"']?)(?=[A-Za-z+/_\-]*[0-9])([A-Za-z0-9+/_\-]{6,})|\b((?:AKIA|ASIA)[0-9A-Z]{16})\b"),
     "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b"),
     "card": re.compile(r"(?<![0-9A-Za-z.])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])"),
     "ssn": re.compile(r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"),
     "ip": re.compile(r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
-    "phone": re.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?)?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])"),
+    "phone": re.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?)?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])"
+        r"|(?<![0-9A-Za-z.])0[1-9][0-9]{1,3}[\-/][0-9]{6,8}(?![0-9])|(?<=(?i:[Ttl]el|one|fax|bil)[.: ])[.: ]{0,2}0[1-9][0-9]{1,3}[ \-/]?[0-9]{3,4}[ ]?[0-9]{3,5}(?![0-9])"),
     "person": regex.compile(rf"(?<!\w){_TITLES}\s+((?:{_INITIAL}){{0,3}}{_NAME}(?:[ \-](?:{_INITIAL}){{0,3}}{_NAME}){{0,2}}|{_UNCASED})"),
 }
+#: Issuers of payment cards by their first digits, with the lengths of their numbers.
+_ISSUER = re.compile(
+    r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}|3[47]\d{13}|3(?:0[0-5]|[689]\d)\d{11,13}"
+    r"|35(?:2[89]|[3-8]\d)\d{12,15}|6(?:011|4[4-9]\d|5\d\d)\d{12,15}|62\d{14,17}|(?:50|5[6-9]|6[0-9])\d{10,17}"
+)
+_VERSION = re.compile(r"(?i)(?:\bv|\bver|version|release|firmware|build)[.:]?\s*$")
 _MARKS = re.compile(r"[0-9@]")
 _SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "key")
 _TITLE = re.compile("|".join(re.escape(t) + r"\s" for t in sorted(TITLES, key=len, reverse=True)))
@@ -107,7 +122,7 @@ def _iban_check(country: str, account: str) -> str:
 def _valid(kind: str, found: str) -> bool:
     if kind == "card":
         digits = re.sub(r"\D", "", found)
-        return len(digits) == 16 or _luhn(digits[:-1]) == int(digits[-1])
+        return _ISSUER.fullmatch(digits) is not None and _luhn(digits[:-1]) == int(digits[-1])
     if kind == "iban":
         plain = found.replace(" ", "")
         return len(plain) >= 15 and _iban_check(plain[:2], plain[4:]) == plain[2:4]
@@ -151,13 +166,47 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         for m in PATTERNS[kind].finditer(text):
             group = m.lastindex or 0
             start, end = m.span(group)
-            if _valid(kind, m[group]) and not any(start < e and s < end for s, e, *_ in taken):
-                taken.append((start, end, kind, canonical(kind, m[group], m[0])))
+            found = m[group]
+            if kind == "phone":
+                start, found = start + len(found) - len(found.lstrip(".: ")), found.lstrip(".: ")
+            if kind == "ip" and _VERSION.search(text[max(0, start - 12) : start]):
+                continue
+            if _valid(kind, found) and not any(start < e and s < end for s, e, *_ in taken):
+                taken.append((start, end, kind, canonical(kind, found, m[0])))
+    if any(kind == "person" for _, _, kind, _ in taken):
+        taken += _again(text, taken)
     return sorted(taken)
 
 
+def _again(text: str, taken: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
+    """Mentions of the people in ``taken`` without a title: given and family name, or one of them."""
+    people = [(text[a:b], *form.split("|")[:2]) for a, b, kind, form in taken if kind == "person"]
+    wanted: dict[str, str] = {}
+    for name, script, gender in people:
+        given, _, family = name.rpartition(" ")
+        if len(family) > 2 and family[0].isupper():
+            for part in (name, family):
+                wanted.setdefault(part, f"{script}|{gender}|{_plain(part)}")
+        if len(given) > 2 and given[0].isupper() and not given.endswith("."):
+            wanted.setdefault(given, f"{script}|{gender}|{_plain(given)} ")
+    if not wanted:
+        return []
+    listed = "|".join(re.escape(x) for x in sorted(wanted, key=len, reverse=True))
+    more = []
+    for m in re.finditer(rf"(?<!\w)(?:{listed})(?!\w)", text):
+        if not any(m.start() < e and s < m.end() for s, e, *_ in taken):
+            more.append((*m.span(), "person", wanted[m[0]]))
+    return more
+
+
+def _plain(name: str) -> str:
+    """A name in lower case with single spaces; initials stand apart."""
+    name = unicodedata.normalize("NFC", name).replace("’", "'").replace(".", ". ")
+    return " ".join(name.split()).lower()
+
+
 def canonical(kind: str, found: str, whole: str) -> str:
-    """What mentions of one entity have in common; a person's begins with script and gender."""
+    """What mentions of one entity have in common; a person's begins with script and gender, a given name alone ends with a space."""
     if kind in ("email", "ip"):
         return found.lower()
     if kind == "phone":
@@ -166,8 +215,7 @@ def canonical(kind: str, found: str, whole: str) -> str:
         return re.sub(r"[ \-]", "", found)
     if kind == "person":
         title = whole[: len(whole) - len(found)].strip()
-        name = unicodedata.normalize("NFC", found).replace("’", "'").replace(".", ". ")
-        return f"{_script(found)}|{TITLES[title]}|{' '.join(name.split()).lower()}"
+        return f"{_script(found)}|{TITLES[title]}|{_plain(found)}"
     return found
 
 
@@ -179,58 +227,125 @@ def _script(name: str) -> str:
 _CLASSES = (("0123456789", str.isdigit), ("abcdefghijklmnopqrstuvwxyz", lambda c: "a" <= c <= "z"), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", lambda c: "A" <= c <= "Z"))
 
 
-def _moved(text: str, tweak: bytes, hexadecimal: bool = False) -> str:
-    """``text`` under the keyed permutation of all strings with its pattern of classes."""
-    if hexadecimal:
-        alphabets = ["0123456789abcdef"] * len(text)
-    else:
-        alphabets = [next((a for a, of in _CLASSES if c.isascii() and of(c)), c) for c in text]
-    value, n = 0, 1
-    for c, alphabet in zip(text, alphabets, strict=True):
-        value, n = value * len(alphabet) + alphabet.index(c), n * len(alphabet)
-    value = permute(value, n, KEY, tweak + "".join(a[0] if len(a) > 1 else a for a in alphabets).encode()) if n > 1 else value
-    out = []
-    for alphabet in reversed(alphabets):
-        value, at = divmod(value, len(alphabet))
-        out.append(alphabet[at])
-    return "".join(reversed(out))
-
-
-@functools.lru_cache(maxsize=100_000)
-def surrogate(kind: str, form: str, attempt: int = 0) -> str:
-    """The canonical form that takes the place of ``form``."""
-    tweak = f"{kind}:{attempt}:".encode()
-    if kind == "email":
-        local, _, domain = form.partition("@")
-        name, _, top = domain.rpartition(".")
-        return f"{_moved(local, tweak + domain.encode())}@{_moved(name, b'domain:')}.{top}"
-    if kind == "ip":
-        number = int.from_bytes(bytes(map(int, form.split("."))), "big")
-        return ".".join(map(str, permute(number, 1 << 32, KEY, tweak).to_bytes(4, "big")))
-    if kind == "card":
-        digits = form[0] + _moved(form[1:-1], tweak)
-        return digits + str(_luhn(digits))
-    if kind == "iban":
-        account = _moved(form[4:], tweak)
-        return form[:2] + _iban_check(form[:2], account) + account
-    if kind == "phone":
-        keep = 1 + max(1, len(form) - 11) if form.startswith("+") else 0
-        return form[:keep] + _moved(form[keep:], tweak)
-    if kind == "person":
+def name_parts(form: str) -> list[tuple[str, str]]:
+    """``(kind, form)`` of each word of a person: given names, then the family name; words with a hyphen are several."""
+    script, gender, name = form.split("|")
+    words = name.split()
+    given = len(words) if name.endswith(" ") else len(words) - 1
+    parts = []
+    for i, word in enumerate(words):
+        parts += [("given", f"{script}|{gender}|{x}") if i < given else ("family", f"{script}|{x}") for x in word.split("-") if x]
+    return parts
+
+
+def settled_apart(kind: str, form: str) -> list[tuple[str, str]]:
+    """What the table is searched for collisions by: a person by the words of the name."""
+    return name_parts(form) if kind == "person" else [(kind, form)]
+
+
+class Surrogates:
+    """Surrogates under one key; ``exceptions`` has those of other attempts than the first."""
+
+    def __init__(self, key: bytes, exceptions: dict[tuple[str, str], str] | None = None):
+        self.key, self.exceptions = key, exceptions or {}
+        self.cache: dict[tuple[str, str, int], str] = {}
+
+    def __call__(self, kind: str, form: str, attempt: int = 0) -> str:
+        """The canonical form that takes the place of ``form``."""
+        found = self.cache.get((kind, form, attempt))
+        if found is None:
+            if len(self.cache) >= CACHED:
+                self.cache.clear()
+            found = self.cache[kind, form, attempt] = self._made(kind, form, attempt)
+        return found
+
+    def settled(self, kind: str, form: str, own: dict[tuple[str, str], str]) -> str:
+        """The surrogate without collisions."""
+        if kind == "person":
+            return self._person(form, lambda k, f: self.settled(k, f, own))
+        return own.get((kind, form)) or self.exceptions.get((kind, form)) or self(kind, form)
+
+    def _number(self, text: str) -> int:
+        return int.from_bytes(hashlib.blake2b(text.encode(), key=self.key).digest(), "big")
+
+    def _moved(self, text: str, tweak: bytes, hexadecimal: bool = False) -> str:
+        """``text`` under the keyed permutation of all strings with its pattern of classes."""
+        if hexadecimal:
+            alphabets = ["0123456789abcdef"] * len(text)
+        else:
+            alphabets = [next((a for a, of in _CLASSES if c.isascii() and of(c)), c) for c in text]
+        value, n = 0, 1
+        for c, alphabet in zip(text, alphabets, strict=True):
+            value, n = value * len(alphabet) + alphabet.index(c), n * len(alphabet)
+        classes = "".join(a[0] if len(a) > 1 else a for a in alphabets).encode()
+        value = permute(value, n, self.key, tweak + classes) if n > 1 else value
+        out = []
+        for alphabet in reversed(alphabets):
+            value, at = divmod(value, len(alphabet))
+            out.append(alphabet[at])
+        return "".join(reversed(out))
+
+    def _more(self, kind: str, form: str, attempt: int, alphabet: str) -> str:
+        """The characters by which a surrogate outgrows a format that is full."""
+        number, out = self._number(f"{kind}:{attempt}:{form}"), ""
+        for _ in range(attempt - IN_FORMAT):
+            number, at = divmod(number, len(alphabet))
+            out += alphabet[at]
+        return out
+
+    def _person(self, form: str, of) -> str:
         script, gender, name = form.split("|")
-        digest = int.from_bytes(hashlib.blake2b(form.encode() + tweak, key=KEY).digest(), "big")
-        digest, given = divmod(digest, len(GIVEN[script, gender]))
-        family = ""
-        for _ in range(4):
-            digest, at = divmod(digest, len(_SYLLABLES[script]))
-            family += _SYLLABLES[script][at]
-        parts = name.count(" ") + 1
-        words = [family] if parts == 1 else [GIVEN[script, gender][given].lower(), *[family] * (parts - 1)]
-        return f"{script}|{gender}|{' '.join(words[:2])}"
-    if kind == "secret" and re.fullmatch(r"(?:AKIA|ASIA)[0-9A-Z]{16}", form):
-        return form[:4] + _moved(form[4:], tweak)
-    mixed = kind == "secret" and re.fullmatch("[0-9a-f]+", form) is not None and not form.isdigit()
-    return _moved(form, tweak, hexadecimal=mixed)
+        parts = iter([of(k, f).rpartition("|")[2] for k, f in name_parts(form)])
+        words = " ".join("-".join(next(parts) for x in word.split("-") if x) for word in name.split())
+        return f"{script}|{gender}|{words}" + " " * name.endswith(" ")
+
+    def _name(self, kind: str, form: str, attempt: int) -> str:
+        head, _, word = form.rpartition("|")
+        script = head.partition("|")[0]
+        if len(word) == 2 and word.endswith(".") or len(word) == 1 and script == "latin":
+            letter = self._moved(word[0], f"initial:{attempt}:".encode())
+            return f"{head}|{letter}{word[1:]}{self._more(kind, form, attempt, _CLASSES[1][0])}"
+        number, syllables = self._number(f"{kind}:{attempt}:{form}"), _SYLLABLES[script]
+        made, count = "", 4 + max(0, attempt - IN_FORMAT)
+        if kind == "given":
+            names = GIVEN[script, head.partition("|")[2]]
+            number, at = divmod(number, len(names))
+            made, count = names[at].lower(), attempt
+        for _ in range(count):
+            number, at = divmod(number, len(syllables))
+            made += syllables[at]
+            number = number or self._number(made)
+        return f"{head}|{made}"
+
+    def _made(self, kind: str, form: str, attempt: int) -> str:
+        tweak = f"{kind}:{attempt}:".encode()
+        if kind == "person":
+            return self._person(form, lambda k, f: self(k, f, attempt))
+        if kind in ("given", "family"):
+            return self._name(kind, form, attempt)
+        more = self._more(kind, form, attempt, _CLASSES[1][0] if kind in ("email", "secret") else _CLASSES[0][0])
+        if kind == "email":
+            local, _, domain = form.partition("@")
+            name, _, top = domain.rpartition(".")
+            moved = self._moved(name, f"domain:{attempt or ''}:".encode())
+            return f"{self._moved(local, tweak + domain.encode())}{more}@{moved}.{top}"
+        if kind == "ip":
+            number = int.from_bytes(bytes(map(int, form.split("."))), "big")
+            return ".".join(map(str, permute(number, 1 << 32, self.key, tweak).to_bytes(4, "big"))) + more
+        if kind == "card":
+            kept = 1 if form[0] == "4" else 4
+            digits = form[:kept] + self._moved(form[kept:-1], tweak) + more
+            return digits + str(_luhn(digits))
+        if kind == "iban":
+            account = self._moved(form[4:], tweak) + more
+            return form[:2] + _iban_check(form[:2], account) + account
+        if kind == "phone":
+            keep = 1 + max(1, len(form) - 11) if form.startswith("+") else 1 if form.startswith("0") else 0
+            return form[:keep] + self._moved(form[keep:], tweak) + more
+        if kind == "secret" and re.fullmatch(r"(?:AKIA|ASIA)[0-9A-Z]{16}", form):
+            return form[:4] + self._moved(form[4:], tweak) + more
+        mixed = kind == "secret" and re.fullmatch("[0-9a-f]+", form) is not None and not form.isdigit()
+        return self._moved(form, tweak, hexadecimal=mixed) + more
 
 
 def shaped(kind: str, found: str, form: str) -> str:
@@ -238,59 +353,82 @@ def shaped(kind: str, found: str, form: str) -> str:
     if kind == "email":
         return "".join(n.upper() if o.isupper() else n for o, n in zip(found, form, strict=True)) if len(form) == len(found) else form
     if kind in ("phone", "card", "ssn", "iban"):
-        fresh = iter(c for c in form if c != "+")
-        return "".join(next(fresh) if c.isalnum() else c for c in found)
+        fresh = iter(c for c in form if c not in "+-")
+        return "".join(next(fresh) if c.isalnum() else c for c in found) + "".join(fresh)
     if kind == "person":
-        name = form.rpartition("|")[2]
-        return name.upper() if found.isupper() else " ".join(w[:1].upper() + w[1:] for w in name.split())
+        name = form.rpartition("|")[2].strip()
+        if found.isupper() and len(found) > 1:
+            return name.upper()
+        return re.sub(r"(?<!\w)\w", lambda m: m[0].upper(), name)
     return form
 
 
 def _entity_column(text: Column) -> Column:
     @F.arrow_udf("array<struct<kind:string,form:string>>")
     def find(column: pa.Array) -> pa.Array:
-        at_work("pii", surrogate.cache_clear)
+        at_work("pii")
         kind = pa.list_(pa.struct([("kind", pa.string()), ("form", pa.string())]))
-        return pa.array([[{"kind": k, "form": f} for k, f in {(k, f) for _, _, k, f in entities(x.as_py() or "")}] for x in column], kind)
+        found = [{x for _, _, k, f in entities(t.as_py() or "") for x in settled_apart(k, f)} for t in column]
+        return pa.array([[{"kind": k, "form": f} for k, f in sorted(each)] for each in found], kind)
 
     return find(text)
 
 
 def distinct_entities(docs: DataFrame) -> DataFrame:
-    """``kind, form`` of every entity of the table."""
+    """``kind, form`` of every entity of the table, names word by word."""
     return docs.select(F.explode(_entity_column(F.col("text"))).alias("e")).select("e.kind", "e.form").distinct()
 
 
-@F.arrow_udf(StringType())
-def _surrogates(kind: pa.Array, form: pa.Array, attempt: pa.Array) -> pa.Array:
-    return pa.array([surrogate(*x) for x in zip(kind.to_pylist(), form.to_pylist(), attempt.to_pylist(), strict=True)], pa.string())
+def _surrogates(key: bytes):
+    @F.arrow_udf(StringType())
+    def make(kind: pa.Array, form: pa.Array, attempt: pa.Array) -> pa.Array:
+        of = Surrogates(key)
+        return pa.array([of(*x) for x in zip(kind.to_pylist(), form.to_pylist(), attempt.to_pylist(), strict=True)], pa.string())
+
+    return make
 
 
-def attempts(known: DataFrame) -> DataFrame:
+def attempts(known: DataFrame, key: bytes) -> DataFrame:
     """``kind, form, attempt, surrogate`` without collisions, for the distinct entities ``known``."""
-    settled = checkpointed(known.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogates("kind", "form", F.lit(0))))
-    for _ in range(MAX_ATTEMPTS):
+    make = _surrogates(key)
+    settled = checkpointed(known.withColumn("attempt", F.lit(0)).withColumn("surrogate", make("kind", "form", F.lit(0))))
+    for _ in itertools.count():
         first = settled.groupBy("kind", "surrogate").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("attempt", "form")).alias("first")).filter("n > 1")
         twice = settled.join(first, ["kind", "surrogate"]).filter(F.struct("attempt", "form") > F.col("first")).select("kind", "form")
         real = settled.select("kind", F.col("form").alias("surrogate"))
         met = settled.join(real, ["kind", "surrogate"], "left_semi").select("kind", "form")
         again = checkpointed(twice.unionByName(met).distinct())
         if again.isEmpty():
-            return settled
+            break
         redo = settled.join(again, ["kind", "form"], "left_semi").select("kind", "form", (F.col("attempt") + 1).alias("attempt"))
-        redo = redo.withColumn("surrogate", _surrogates("kind", "form", "attempt"))
+        redo = redo.withColumn("surrogate", make("kind", "form", "attempt"))
         settled = checkpointed(settled.join(again, ["kind", "form"], "left_anti").unionByName(redo))
-    raise RuntimeError("surrogates did not become distinct")
+    return _one_gender(settled)
+
+
+def _one_gender(settled: DataFrame) -> DataFrame:
+    """Given names after a title without a gender take the surrogate that the name has with its one gender; ``attempt`` is then -1."""
+    script, gender, name = (F.split_part("form", F.lit("|"), F.lit(i)) for i in (1, 2, 3))
+    given = settled.filter("kind = 'given'").select(script.alias("script"), gender.alias("gender"), name.alias("name"), F.col("surrogate").alias("other"))
+    sure = given.filter("gender <> 'n'").groupBy("script", "name").agg(F.count(F.lit(1)).alias("n"), F.min("other").alias("other"))
+    sure = sure.filter("n = 1").select(F.lit("given").alias("kind"), F.concat_ws("|", "script", F.lit("n"), "name").alias("form"), "other")
+    of = settled.join(sure, ["kind", "form"], "left")
+    return of.select("kind", "form", F.when(F.col("other").isNotNull(), -1).otherwise(F.col("attempt")).alias("attempt"), F.coalesce("other", "surrogate").alias("surrogate"))
+
+
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The key in ``KEY_CONF``; where that is unset a fresh one, which nobody can use again."""
+    given = spark.conf.get(KEY_CONF, None)
+    return given.encode()[:64] if given else secrets.token_bytes(32)
 
 
-def _replacer(common: dict[tuple[str, str], int]):
-    def replace(text: str | None, own: dict[tuple[str, str], int]) -> tuple[str | None, list[str]]:
+def _replacer(of: Surrogates):
+    def replace(text: str | None, own: dict[tuple[str, str], str]) -> tuple[str | None, list[str]]:
         if text is None:
             return None, []
         out, at, kinds = [], 0, []
         for start, end, kind, form in entities(text):
-            attempt = own.get((kind, form), common.get((kind, form), 0))
-            out += [text[at:start], shaped(kind, text[start:end], surrogate(kind, form, attempt))]
+            out += [text[at:start], shaped(kind, text[start:end], of.settled(kind, form, own))]
             at = end
             kinds.append(kind)
         return ("".join([*out, text[at:]]) if kinds else text), kinds
@@ -298,38 +436,42 @@ def _replacer(common: dict[tuple[str, str], int]):
     return replace
 
 
-_OWN = "array<struct<kind:string,form:string,attempt:int>>"
+_OWN = "array<struct<kind:string,form:string,surrogate:string>>"
 
 
-def replaced(docs: DataFrame, broadcast_limit: int = BROADCAST_EXCEPTIONS) -> DataFrame:
+def replaced(docs: DataFrame, key: bytes, broadcast_limit: int = BROADCAST_EXCEPTIONS) -> DataFrame:
     """``doc`` (all columns of ``docs``), ``new_text`` and ``kinds`` of the entities replaced, for every row."""
     spark = docs.sparkSession
     with small_batches(spark):
-        settled = attempts(distinct_entities(docs))
-    exceptions = settled.filter("attempt > 0").select("kind", "form", F.col("attempt").cast("int").alias("attempt"))
+        settled = attempts(distinct_entities(docs), key)
+    exceptions = checkpointed(settled.filter("attempt <> 0").select("kind", "form", "surrogate"))
     rows = docs.select(F.struct("*").alias("doc"))
     few = exceptions.limit(broadcast_limit + 1).collect()
     if len(few) <= broadcast_limit:
-        common = {(r["kind"], r["form"]): r["attempt"] for r in few}
+        common = {(r["kind"], r["form"]): r["surrogate"] for r in few}
         rows = rows.withColumn("own", F.lit(None).cast(_OWN))
     else:
         common = {}
         digest = F.sha2(F.col("doc.text").cast("binary"), 256)
         wanted = rows.select(digest.alias("digest"), F.explode(_entity_column(F.col("doc.text"))).alias("e")).select("digest", "e.kind", "e.form").distinct()
-        own = wanted.join(exceptions, ["kind", "form"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "form", "attempt")).alias("own"))
+        own = wanted.join(exceptions, ["kind", "form"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias("own"))
         rows = rows.withColumn("digest", digest).join(own, "digest", "left").select("doc", "own")
     shared = spark.sparkContext.broadcast(common)
+    held: list[Surrogates] = []
 
     @F.arrow_udf("struct<text:string,kinds:array<string>>")
     def replace(texts: pa.Array, owns: pa.Array) -> pa.Array:
-        of = _replacer(shared.value)
-        found = [of(t.as_py(), {(e["kind"], e["form"]): e["attempt"] for e in o.as_py() or ()}) for t, o in zip(texts, owns, strict=True)]
+        if not held:
+            at_work("pii", held.clear)
+            held.append(Surrogates(key, shared.value))
+        of = _replacer(held[0])
+        found = [of(t.as_py(), {(e["kind"], e["form"]): e["surrogate"] for e in o.as_py() or ()}) for t, o in zip(texts, owns, strict=True)]
         return pa.StructArray.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([k for _, k in found], pa.list_(pa.string()))], ["text", "kinds"])
 
     return rows.select("doc", replace("doc.text", "own").alias("new")).select("doc", F.col("new.text").alias("new_text"), "new.kinds")
 
 
-def pseudonymised(docs: DataFrame) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     """The columns of ``docs`` with the new text, and ``n_chars`` brought in line where it is there."""
 
     def column(name: str) -> Column:
@@ -339,9 +481,9 @@ def pseudonymised(docs: DataFrame) -> DataFrame:
             return F.length("new_text").cast("long").alias("n_chars")
         return F.col("doc")[name].alias(name)
 
-    return replaced(docs).select(*[column(c) for c in docs.columns])
+    return replaced(docs, key).select(*[column(c) for c in docs.columns])
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = replaced(documents(spark, sf_dir))
+    out = replaced(documents(spark, sf_dir), surrogate_key(spark))
     return out.select(F.col("doc.doc_id").alias("doc_id"), F.col("new_text").alias("text"), F.size("kinds").cast("long").alias("n_entities"), F.array_sort(F.array_distinct("kinds")).alias("kinds"))
