@@ -5,17 +5,18 @@ together.  Pieces of similar length form one padded matrix of token ids next to
 rank of every adjacent pair.  In each round every row merges its leftmost pair of minimum rank,
 ranks around the merge are looked up in an open-addressing hash table, the row is compacted, and rows
 without a mergeable pair leave the matrix.  Pieces over ``LONG`` bytes (a wall of one character class)
-merge in the same order through a heap, in n log n steps.
+are matrices of one row, which merges all pairs of its minimum rank in a round, from the left as far as
+none of them brings a pair of a lower rank: the same merges in the same order, in fewer rounds.
 
 Edge cases: null text is empty and gives no ids; empty tables give empty results; texts are encoded
-whole whatever their length; repeated rows are encoded each; only the named columns are read.
+whole whatever their length; repeated rows are encoded each; equal ranks merge from the left; only the
+named columns are read.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import heapq
 import re
 
 import numpy as np
@@ -91,13 +92,9 @@ class ByteBPE:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[left, right] = rank
-        self.ranks, self.table = ranks, PairTable(pairs)
-        self.tokens = _by_id(ranks)
+        self.table = PairTable(pairs)
         self.cache: dict[str, bytes] = {}
 
-    def merge(self, left: int, right: int) -> int | None:
-        return self.ranks.get(self.tokens[left] + self.tokens[right])
-
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """The ids of each piece, in order."""
         out: list[np.ndarray] = [np.empty(0, np.int32)] * len(pieces)
@@ -109,7 +106,7 @@ class ByteBPE:
                 self._bucket(pieces, part, width, out)
             width *= 2
         for i in np.flatnonzero(sizes > LONG):
-            out[i] = self._heap(pieces[i])
+            out[i] = self._row(pieces[i])
         return out
 
     def _bucket(self, pieces, rows, width, out) -> None:
@@ -154,25 +151,30 @@ class ByteBPE:
         closed[:, : width - 1] = matrix[keep].reshape(len(matrix), width - 1)
         return closed
 
-    def _heap(self, piece: bytes) -> np.ndarray:
-        ids = self.single[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(ids)
-        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := self.merge(ids[i], ids[i + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, left, right = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != left or j < 0 or ids[j] != right:
-                continue
-            ids[i], ids[j], after[i] = rank, -1, after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-                if (r := self.merge(rank, ids[after[j]])) is not None:
-                    heapq.heappush(heap, (r, i, rank, ids[after[j]]))
-            if before[i] >= 0 and (r := self.merge(ids[before[i]], rank)) is not None:
-                heapq.heappush(heap, (r, before[i], ids[before[i]], rank))
-        return np.array([x for x in ids if x >= 0], np.int32)
+    def _row(self, piece: bytes) -> np.ndarray:
+        ids = self.single[np.frombuffer(piece, np.uint8)]
+        rank = self.table(ids[:-1], ids[1:])
+        while len(rank) and (best := rank.min()) != _NONE:
+            at = np.flatnonzero(rank == best)
+            run = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+            at = at[(np.arange(len(at)) - np.repeat(run, np.diff(run, append=len(at)))) % 2 == 0]
+            # What each merge brings while those to its right are still to come; a lower rank goes first.
+            padded = np.append(ids, [-1, -1]).astype(np.int32)
+            before = np.where(np.diff(at, prepend=-2) == 2, best, padded[at - 1])
+            new = np.full(len(at), best, np.int32)
+            early = np.flatnonzero(np.minimum(self.table(before, new), self.table(new, padded[at + 2])) < best)
+            if len(early):
+                at = at[: early[0] + 1]
+            ids = ids.copy()
+            ids[at] = best
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            ids, rank = ids[keep], np.append(rank, _NONE)[keep][:-1]
+            at = at - np.arange(len(at))
+            ahead, behind = at[at < len(rank)], at[at > 0] - 1
+            rank[ahead] = self.table(ids[ahead], ids[ahead + 1])
+            rank[behind] = self.table(ids[behind], ids[behind + 1])
+        return ids
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         """The ids of each text; so many texts at a time that their pieces stay small."""
