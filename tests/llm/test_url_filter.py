@@ -9,7 +9,7 @@ from tidewake.llm.url_filter import LISTED, PATTERNS, Rule
 URLS = [
     None, "", "no scheme", "http://", "http://ORG", "https://org/x", "http://a.org/", "http://forg/x", "http://Example.ORG/en/1", "http://example.org/en/123?x#y", "http://sub.example.org/es/a?b=/fr/",
     "http://example.org/es", "http://example.org?x=/es/", "http://example.org#/es/", "http://x.com/fr/a://b", "http://x.com/de/1", "http://com/de/", "ftp://q.net/login/", "http://q.net/a/cart/b", "http://m.casino.example/x",
-    "http://DoubleClick.net/a", "http://xdoubleclick.net/a", "://odd.org/de", "http://x.com/\n/fr/", "http://user@x.com:80/de/", "http://x.com/frx/",
+    "http://www.cheap-pills.net/a", "http://a.ads17.b.net/login/x", "http://ads170.net/", "http://xads1.net/", "http://ads1", "http://cheap-pills/x.y", "http://q.net/spam-farm.", "http://DoubleClick.net/a", "http://xdoubleclick.net/a", "://odd.org/de", "http://x.com/\n/fr/", "http://user@x.com:80/de/", "http://x.com/frx/",
 ]
 
 
@@ -27,7 +27,7 @@ def brute(url, rules, default="allow"):
     return host, path, listed.name if listed else None, best.verdict if best else default, plain.name if plain and not listed else None
 
 
-@pytest.mark.parametrize("inline", [64, 0])
+@pytest.mark.parametrize("inline", [url_filter.INLINE_RULES, 0])
 def test_rules_against_brute_force(spark, monkeypatch, inline):
     monkeypatch.setattr(url_filter, "INLINE_RULES", inline)
     rules = LISTED + PATTERNS + (Rule.prefix("com/", "block"),)

@@ -4,26 +4,34 @@ A rule is a pattern over ``host + path``.  ``*`` matches anything, a leading ``|
 pattern at the start of the host or of one of its labels.  Each rule is filed under the literal
 token of its pattern that is rarest among the URLs at hand; the tokens of a URL fetch candidate
 rules and only those candidates run their regular expression.  Everything is a column expression:
-up to ``INLINE_RULES`` rules travel as a constant and the plan has no exchange at all, larger rule
-sets are joined on the token (broadcast only below ``BROADCAST_RULES`` rules).
+up to ``INLINE_RULES`` rules travel as a constant, an array of hash buckets in which a token looks into
+one place alone, and the plan has no exchange at all; larger rule sets are joined on the token
+(broadcast only below ``BROADCAST_RULES`` rules).
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path, no rule and the
-default verdict; an empty table gives an empty result; repeated rows are judged each on its own.
+default verdict; an empty table gives an empty result; repeated rows are judged each on its own; very
+long URLs are read whole; of rules that fit, listed ones come first, then the longest, then the last by
+name; of a table's columns the identifier and the URL alone are read, others may have any name.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewake.llm.common import ascii_lower
 
-INLINE_RULES = 64
+INLINE_RULES = 20_000
+COUNTED_TOKENS = 256
 BROADCAST_RULES = 200_000
-_RULE_TYPE = "struct<name:string,regex:string,verdict:string,listed:boolean,size:int>"
+_RULE_TYPE = "struct<token:string,name:string,regex:string,verdict:string,listed:boolean,size:int>"
+#: The seed that Spark's own ``xxhash64`` starts from.
+_SEED = 42
 
 
 @dataclass(frozen=True)
@@ -68,8 +76,22 @@ LISTED = (
     Rule.prefix("com/fr/", "allow"),
     Rule.prefix("com/de/", "block"),
 )
-#: Pages that carry no prose: sessions, carts, trackers and administration.
-PATTERNS = tuple(Rule(p, p, "block") for p in ("*/login/*", "*/cart/*", "*/ads/*", "*/wp-admin/*", "*/cgi-bin/*", "||doubleclick.*", "*.casino.*"))
+#: Pages that carry no prose: sessions, carts, administration, numbered trackers and hosts that sell by their name.
+_FOLDERS = ("ads", "banner", "cart", "cgi-bin", "checkout", "login", "logout", "session", "signup", "wp-admin")
+_TRACKERS = ("ad", "ads", "adserver", "banner", "beacon", "click", "count", "metrics", "pixel", "stats", "track", "tracker")
+_TRACKER_NUMBERS = 100
+_SELLERS = ("best", "buy", "cheap", "discount", "easy", "fast", "free", "instant", "online", "spam")
+_GOODS = ("casino", "credit", "diet", "farm", "loans", "lottery", "pharmacy", "pills", "poker", "watches")
+PATTERNS = tuple(
+    Rule(p, p, "block")
+    for p in (
+        "||doubleclick.*",
+        "*.casino.*",
+        *(f"*/{x}/*" for x in _FOLDERS),
+        *(f"||{x}{i}.*" for x in _TRACKERS for i in range(_TRACKER_NUMBERS)),
+        *(f"||{x}-{y}.*" for x in _SELLERS for y in _GOODS),
+    )
+)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -88,7 +110,7 @@ def token_counts(urls: DataFrame, tokens: list[str]) -> dict[str, int]:
     """In how many rows each of the rules' own tokens occurs: one row of counts, as wide as the rule set is."""
     if not tokens:
         return {}
-    if len(tokens) <= INLINE_RULES * 4:
+    if len(tokens) <= COUNTED_TOKENS:
         row = urls.agg(*[F.count_if(F.array_contains("tokens", t)).alias(f"c{i}") for i, t in enumerate(tokens)]).first()
         return {t: row[f"c{i}"] or 0 for i, t in enumerate(tokens)}
     wanted = urls.sparkSession.createDataFrame([(t,) for t in tokens], "token string")
@@ -105,8 +127,22 @@ def index_rules(rules: tuple[Rule, ...], counts: dict[str, int]) -> dict[str, li
     return index
 
 
-def _struct(rule: Rule) -> Column:
-    return F.struct(F.lit(rule.name).alias("name"), F.lit(rule.regex).alias("regex"), F.lit(rule.verdict).alias("verdict"), F.lit(rule.listed).alias("listed"), F.lit(len(rule.name)).alias("size"))
+def _fields(token: str, rule: Rule) -> dict:
+    return {"token": token, "name": rule.name, "regex": rule.regex, "verdict": rule.verdict, "listed": rule.listed, "size": len(rule.name)}
+
+
+def _fetched(tokens: Column, index: dict[str, list[Rule]]) -> Column:
+    """The rules filed under any of ``tokens``, and those without a token: one bucket of a constant array each."""
+    size = 1 << max(1, 2 * len(index) - 1).bit_length()
+    buckets: list[list[dict]] = [[] for _ in range(size)]
+    for token, found in index.items():
+        if token:
+            buckets[xxhash.xxh64_intdigest(token.encode(), seed=_SEED) & (size - 1)] += [_fields(token, r) for r in found]
+    table = F.from_json(F.lit(json.dumps(buckets)), f"array<array<{_RULE_TYPE}>>")
+    place = lambda t: (F.pmod(F.xxhash64(t), F.lit(size)) + 1).cast("int")
+    hits = F.flatten(F.transform(tokens, lambda t: F.filter(F.element_at(table, place(t)), lambda r: r["token"] == t)))
+    always = F.from_json(F.lit(json.dumps([_fields("", r) for r in index.get("", [])])), f"array<{_RULE_TYPE}>")
+    return F.concat(always, hits)
 
 
 def _best(rules: Column) -> Column:
@@ -121,10 +157,7 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], default: str = "allow", id_
     index = index_rules(rules, token_counts(urls, sorted({t for r in rules for t in r.tokens})))
     subject = F.concat("host", "path")
     if len(rules) <= INLINE_RULES:
-        empty = F.from_json(F.lit("[]"), f"array<{_RULE_TYPE}>")
-        always = F.array(*[_struct(r) for r in index.get("", [])]) if index.get("") else empty
-        fetched = [F.when(F.array_contains("tokens", token), F.array(*[_struct(r) for r in found])).otherwise(empty) for token, found in sorted(index.items()) if token]
-        hits = F.filter(F.concat(always, *fetched), lambda r: F.regexp_like(subject, r["regex"]))
+        hits = F.filter(_fetched(F.col("tokens"), index), lambda r: F.regexp_like(subject, r["regex"]))
         judged = urls.withColumn("best", _best(hits))
     else:
         judged = _joined(urls, index, subject)
@@ -158,7 +191,11 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), LISTED + PATTERNS)
 
 
-SQL = r"""
+def _values(words) -> str:
+    return ", ".join(f"('{x}')" for x in words)
+
+
+SQL = rf"""
 WITH parts AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
 ), split AS (
@@ -170,21 +207,22 @@ WITH parts AS (
   VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
          ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
          ('com/de/', 'com', '/de/', 'block')
+), labels(label) AS (
+  SELECT 'doubleclick' UNION ALL SELECT x || n FROM (VALUES {_values(_TRACKERS)}) a(x), range({_TRACKER_NUMBERS}) b(n)
+  UNION ALL SELECT x || '-' || y FROM (VALUES {_values(_SELLERS)}) a(x), (VALUES {_values(_GOODS)}) b(y)
+), texts(name, needle) AS (
+  SELECT '*.casino.*', '.casino.' UNION ALL SELECT '*/' || x || '/*', '/' || x || '/' FROM (VALUES {_values(_FOLDERS)}) a(x)
+), found AS (
+  SELECT page_id, '||' || label || '.*' AS name FROM split JOIN labels ON starts_with(host, label || '.') OR contains(host, '.' || label || '.')
+  UNION ALL SELECT page_id, name FROM split JOIN texts ON contains(host || path, needle)
+), plain AS (
+  SELECT page_id, max(struct_pack(n := length(name), q := name)).q AS pattern FROM found GROUP BY page_id
 ), judged AS (
   SELECT s.*, (SELECT max(struct_pack(n := length(name), name := name, v := rverdict)) FROM rules
-               WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best,
-         (SELECT max(p) FROM (VALUES ('/login/'), ('/cart/'), ('/ads/'), ('/wp-admin/'), ('/cgi-bin/')) t(p)
-          WHERE contains(host || path, p)) AS plain,
-         regexp_matches(host || path, '^([^/]*\.)?doubleclick\.') AS tracker,
-         contains(host || path, '.casino.') AS casino
+               WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best
   FROM split s
 )
-SELECT page_id, host, path, best.name AS rule,
-       CASE WHEN best IS NOT NULL THEN best.v WHEN plain IS NOT NULL OR tracker OR casino THEN 'block' ELSE 'allow' END AS verdict,
-       CASE WHEN best IS NULL THEN (SELECT max(struct_pack(n := length(q), q := q)) FROM (VALUES
-         (CASE WHEN contains(host || path, '/login/') THEN '*/login/*' END), (CASE WHEN contains(host || path, '/cart/') THEN '*/cart/*' END),
-         (CASE WHEN contains(host || path, '/ads/') THEN '*/ads/*' END), (CASE WHEN contains(host || path, '/wp-admin/') THEN '*/wp-admin/*' END),
-         (CASE WHEN contains(host || path, '/cgi-bin/') THEN '*/cgi-bin/*' END), (CASE WHEN tracker THEN '||doubleclick.*' END),
-         (CASE WHEN casino THEN '*.casino.*' END)) t(q) WHERE q IS NOT NULL).q END AS pattern
-FROM judged
+SELECT page_id, host, path, best.name AS rule, CASE WHEN best IS NOT NULL THEN best.v WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+       CASE WHEN best IS NULL THEN pattern END AS pattern
+FROM judged LEFT JOIN plain USING (page_id)
 """
