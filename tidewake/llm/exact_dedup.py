@@ -9,7 +9,8 @@ distinct text goes back to the documents by a join on the digest, where AQE may
 
 Edge cases: null text is empty text; null identifiers never own a group that has another; in a group
 of null identifiers alone every row is kept; rows that repeat one ``doc_id`` and text count in the
-size and share the verdict; an empty table gives an empty result.
+size and share the verdict; an empty table gives an empty result; very long texts are compared whole; of a
+table's columns ``doc_id`` and ``text`` alone are read, others may have any name.
 """
 
 from __future__ import annotations
@@ -238,7 +239,7 @@ def exact_duplicates(docs: DataFrame, keep: str = "largest", trie_bytes: int = T
     """``doc_id, keep_id, group_size, kept, text_sha256`` for every row of ``docs``."""
     groups = text_groups(docs, keep, trie_bytes).select("digest", "keep_id", "group_size")
     rows = texts(docs).select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"))
-    return rows.join(groups, "digest").select(
+    return rows.join(groups.repartition("digest"), "digest").select(
         "doc_id",
         "keep_id",
         "group_size",

@@ -13,7 +13,9 @@ became of its neighbours.
 The production query stores each text as an 8-bit greyscale PNG, 576 samples wide.
 
 Edge cases: null text is empty and stored as one row of padding; a null ``doc_id`` comes back null;
-repeated rows are members of their own; an empty table gives an archive directory without archives.
+repeated rows are members of their own; an empty table gives an archive directory without archives;
+a very long text is one member, read whole; members are told apart by their offset, so ties do not
+matter; of a table's columns ``doc_id`` and ``text`` alone are read, others may have any name.
 """
 
 from __future__ import annotations
