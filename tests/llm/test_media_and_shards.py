@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidewake.llm import feistel, media, packing, queries, token_shards
 from tidewake.llm.common import texts
@@ -113,6 +114,20 @@ def test_shards_hold_every_token_in_training_order(spark, odd, odd_rows, nothing
     assert token_shards.write_shards(nothing, f"{path}-none", vocabulary).collect() == []
 
 
+def test_every_slot_against_brute_force(spark, table, tmp_path):
+    """One task in the order of ``doc_id``: the ids of all texts in a row, cut, and put in the order of their permuted numbers."""
+    vocabulary, path, length = public_tokenizers.path(packing.VOCABULARY), f"file://{tmp_path}/shards", 256
+    docs = spark.createDataFrame(sorted(table.items()), "doc_id long, text string").coalesce(1)
+    library = Tokenizer.from_file(vocabulary)
+    ids = [i for _, text in sorted(table.items()) for i in (*library.encode(text, add_special_tokens=False).ids, token_shards.END_ID)]
+    ids += [token_shards.END_ID] * (-len(ids) % length)
+    cut = [ids[i : i + length] for i in range(0, len(ids), length)]
+    places = feistel.permute_array(np.arange(len(cut)), token_shards.PER_TASK, token_shards.KEY)
+    index = token_shards.write_shards(docs, path, vocabulary, length=length, shards=7)
+    assert [x.tolist() for x in token_shards.read_slots(index, path, 0, len(cut), length)] == [cut[i] for i in np.argsort(places)]
+    assert index.count() == len(cut) and index.select("shard").distinct().count() == 7
+
+
 def test_shard_query(spark, table):
     out = queries.QUERIES["op7_token_shards"](spark, SF)
     assert {d for r in out.collect() for d in r["doc_ids"]} == set(table)

@@ -35,6 +35,20 @@ def test_stages_in_order_on_their_own_inputs(spark, tmp_path):
         before = {r["doc_id"]: r for r in rows}
 
 
+def test_stages_take_odd_rows_and_empty_tables(spark, odd, odd_rows, nothing, tmp_path):
+    docs = odd
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, SF)
+        assert name == "packing" or out.columns == odd.columns
+        out.write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}") if i else odd
+    kept = {r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/3").collect()}
+    assert kept <= {r[0] for r in odd_rows} and None in kept
+    assert {r["doc_id"] for r in spark.read.parquet(f"{tmp_path}/4").collect()} == kept
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing, SF).count() == 0, name
+
+
 def test_run_packs_what_the_stages_keep(spark):
     out = corpus_pipeline.run(spark, SF)
     assert "sequence_id" in out.columns and 0 < out.select("doc_id").distinct().count() <= spark.read.parquet(f"{SF}/documents.parquet").count()
