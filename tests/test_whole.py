@@ -20,14 +20,14 @@ def tracks(spark):
     return {ship: sorted(rows, key=lambda r: (r["t"], r["event_id"])) for ship, rows in ships.items()}
 
 
-def test_gate_pairs_whole_sees_every_point(spark, tracks):
+def test_gate_pairs_sees_every_point(spark, tracks):
     expected = set()
     for ship, rows in tracks.items():
         gates = [g for g in ({0: "A", 8: "B", 27: "C"}.get(r["site"]) for r in rows) if g]
         first = (len(gates) + 1) // 2
         if "A" in gates[:first] and "B" in gates[first:] and "C" not in gates:
             expected.add(ship)
-    assert expected and {r["mmsi"] for r in registry.QUERIES["gate_pairs_whole"](spark, SF).collect()} == expected
+    assert expected and {r["mmsi"] for r in registry.QUERIES["gate_pairs"](spark, SF).collect()} == expected
 
 
 def _km(a, b):
@@ -55,13 +55,10 @@ def _douglas_peucker(rows, limit):
 def test_deviation_is_that_of_the_compressors(spark, tracks):
     rows = registry.QUERIES["deviation_compressed"](spark, SF).collect()
     found = {(r["mmsi"], r["method"]): r["deviation"] for r in rows}
-    assert len(rows) == 3 * len(tracks) and set(found) == {(ship, m) for ship in tracks for m in ("dp", "ddp", "qdp")}
-    kept = {m: {r["event_id"] for r in registry.QUERIES[f"compress_{m}"](spark, SF).collect()} for m in ("dp", "ddp", "qdp")}
+    assert len(rows) == 4 * len(tracks) and set(found) == {(ship, m) for ship in tracks for m in compress.METHODS}
+    kept = {m: {r["event_id"] for r in registry.QUERIES[f"compress_{m}"](spark, SF).collect()} for m in compress.METHODS}
     for ship, track in tracks.items():
-        spans = defaultdict(list)
-        for r in track:
-            spans[r["t"] // compress.SPAN_S].append(r)
-        pieces = [r for _, piece in sorted(spans.items()) for r in _douglas_peucker(piece, 0.1)]
+        pieces = _douglas_peucker(track, 0.1)
         assert found[ship, "dp"] == pytest.approx(1 - _length(pieces) / _length(track), abs=2e-6)
         for m, ids in kept.items():
             assert found[ship, m] == pytest.approx(1 - _length([r for r in track if r["event_id"] in ids]) / _length(track), abs=2e-6)

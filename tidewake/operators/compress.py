@@ -1,20 +1,28 @@
-"""Trajectory compression: Douglas-Peucker by height, by time-weighted height, and by planar projection.
-
-Tracks are dealt by ship and by spans of time, sorted once, and cut where the speed crosses a
-threshold; each cut piece is compressed with an explicit stack.  The ends of every piece stay.
+"""Trajectory compression: Douglas-Peucker by height, by time-weighted height, by changes of state and by projection.
+
+Tracks are dealt by ship, sorted once, and cut where the speed crosses a threshold; each cut piece is
+compressed with an explicit stack.  The ends of every piece stay.  A piece is held by one task, up to
+``LONGEST`` points: longer ones are split before at the point where the method splits them first, which
+joins and aggregates find, and so on until all are short.  That needs heights by point, so ``dp`` and
+``ddp`` have it; for the other two, whose choice depends on the points before, ``span_s`` cuts tracks that
+may outgrow a task at fixed spans of time, and the ends of the spans stay, too.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.functions.geo import EARTH_KM, KM_PER_DEGREE
+from tidewake.functions.geo import EARTH_KM, KM_PER_DEGREE, haversine_km
 from tidewake.operators.trajectory import speed_cut
+from tidewake.sources.tables import checkpointed
 
-SPAN_S = 30 * 86_400
+METHODS = ("dp", "ddp", "sdp", "qdp")
+LONGEST = 1 << 20
+# Least speeds in millimetres a second and kilometres a second.
+LEAST_MM_S, LEAST_KM_S = 100.0, 0.0001
 
 
 def _km(lon1, lat1, lon2, lat2) -> np.ndarray:
@@ -43,24 +51,69 @@ def _split(keep: np.ndarray, farthest) -> np.ndarray:
     return keep
 
 
+def _turning(t, lon, lat, low: int, high: int) -> tuple[int, float]:
+    """The highest inner point at which the track turns from going away to coming back, or the reverse, and its height in millimetres.
+
+    Space and time make three dimensions, the time weighted by the mean speed.
+    """
+    piece = slice(low, high + 1)
+    t, x, y = (t[piece] - t[low]).astype(float), lon[piece] - lon[low], lat[piece] - lat[low]
+    a, b = np.radians(lon[piece]), np.radians(lat[piece])
+    mm = lambda i: _km(a, b, a[i], b[i]) * 1e6
+    from_first, to_last = mm(0), mm(-1)
+    weight = max(from_first[-1] / max(t[-1], 1), LEAST_MM_S)
+    track = np.stack([x * np.cos(np.radians((lat[low] + lat[high]) / 2)), y, t * weight], 1)
+    gone, ahead = np.cross(track[1:-1], track[-1]), np.cross(np.diff(track, axis=0)[1:], track[-1])
+    sign = np.sign((gone * ahead).sum(axis=1))
+    moved = np.flatnonzero(sign)
+    turns = moved[np.diff(sign[moved], prepend=1) != 0]
+    if not len(turns):
+        return -1, 0.0
+    inner = turns + 1
+    base = float(np.hypot(from_first[-1], t[-1] * weight))
+    heights = _height(np.hypot(from_first[inner], t[inner] * weight), np.hypot(to_last[inner], (t[-1] - t[inner]) * weight), base)
+    best = int(heights.argmax())
+    return low + int(inner[best]), float(heights[best])
+
+
+def _standing(t, lon, lat, low: int, high: int, limit: float) -> int | None:
+    """The inner point farthest from the line of the ends among those whose projection is a turning point, if beyond ``limit`` kilometres.
+
+    Points are projected along the line of the ends in space and weighted time; what counts is their distance from it.
+    """
+    piece = slice(low, high + 1)
+    scale = np.cos(np.radians((lat[low] + lat[high]) / 2))
+    seconds = float(max(t[high] - t[low], 1))
+    weight = max(float(np.hypot((lon[high] - lon[low]) * scale, lat[high] - lat[low])) / seconds, LEAST_KM_S / KM_PER_DEGREE)
+    line = np.array([lon[high] - lon[low], lat[high] - lat[low], seconds * weight])
+    track = np.stack([(lon[piece] - lon[low]) * scale, lat[piece] - lat[low], (t[piece] - t[low]) * weight], 1)
+    seen = np.cross(track, line)
+    steps = np.diff(seen, axis=0)
+    back = -steps[:-1]
+    back[0] = 0
+    inner = seen[1:-1]
+    turns = ((back * inner).sum(axis=1) <= 0) & ((steps[1:] * inner).sum(axis=1) < 0)
+    far = np.where(turns, (inner * inner).sum(axis=1), 0.0)
+    at = int(far.argmax())
+    return low + 1 + at if far[at] > (limit / KM_PER_DEGREE * line[2]) ** 2 else None
+
+
 def kept(t: np.ndarray, lon: np.ndarray, lat: np.ndarray, metres: float, method: str) -> np.ndarray:
-    """Which points of one piece stay: ``dp``, ``ddp`` or ``qdp``."""
+    """Which points of one piece stay: ``dp``, ``ddp`` (time-weighted), ``sdp`` (changes of state) or ``qdp`` (projection)."""
+    if method not in METHODS:
+        raise ValueError(f"method has to be one of {METHODS}")
     keep = np.zeros(len(t), bool)
     keep[[0, -1]] = True
     limit = metres / 1000
     if method == "qdp":
-        scale = np.cos(np.radians(lat.mean()))
-        x, y = lon * scale * KM_PER_DEGREE, lat * KM_PER_DEGREE
-
-        def across(low: int, high: int):
-            dx, dy = x[high] - x[low], y[high] - y[low]
-            px, py = x[low + 1 : high] - x[low], y[low + 1 : high] - y[low]
-            length2 = dx * dx + dy * dy
-            off2 = (px * dy - py * dx) ** 2 / length2 if length2 > 0 else px * px + py * py
-            at = int(off2.argmax())
-            return low + 1 + at if off2[at] > limit * limit else None
-
-        return _split(keep, across)
+        return _split(keep, lambda low, high: _standing(t, lon, lat, low, high, limit))
+    if method == "sdp":
+
+        def turning(low: int, high: int):
+            at, height = _turning(t, lon, lat, low, high)
+            return at if height > limit * 1e6 else None
+
+        return _split(keep, turning)
     x, y = np.radians(lon), np.radians(lat)
 
     def high(low: int, top: int):
@@ -78,18 +131,63 @@ def kept(t: np.ndarray, lon: np.ndarray, lat: np.ndarray, metres: float, method:
     return _split(keep, high)
 
 
+_PIECE = ("mmsi", "span", "segment")
+_PART = (*_PIECE, "low_t", "low_id")
+
+
+def _heights(method: str) -> Column:
+    """The height in kilometres of a point over the line from ``a`` to ``b``."""
+    from_a, to_b, base = (haversine_km(f"{x}lon", f"{x}lat", f"{y}lon", f"{y}lat") for x, y in (("a.", ""), ("", "b."), ("a.", "b.")))
+    if method == "ddp":
+        weight = base / F.greatest(F.col("b.t") - F.col("a.t"), F.lit(1))
+        longer = lambda km, s: F.hypot(km, s * weight)
+        from_a, to_b, base = longer(from_a, F.col("t") - F.col("a.t")), longer(to_b, F.col("b.t") - F.col("t")), longer(base, F.col("b.t") - F.col("a.t"))
+    s = (from_a + to_b + base) / 2
+    area = F.sqrt(F.greatest(s * (s - from_a) * (s - to_b) * (s - base), F.lit(0.0)))
+    return F.when(base > 0, 2 * area / base).otherwise(from_a)
+
+
+def _parted(pieces: DataFrame, metres: float, method: str, longest: int) -> DataFrame:
+    """``pieces`` in parts of ``longest`` points at most that no later step changes: ``low_t, low_id``, and ``again`` at the start of a later part."""
+    whole = pieces.withColumns({"low_t": F.lit(-1 << 62), "low_id": F.lit(-1 << 62), "again": F.lit(False)})
+    long = pieces.groupBy(*_PIECE).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > longest).drop("n")
+    if method not in ("dp", "ddp") or long.isEmpty():
+        return whole
+    out, todo = whole.join(long, list(_PIECE), "left_anti"), checkpointed(whole.join(long, list(_PIECE), "left_semi"))
+    place = F.struct("t", "event_id")
+    while True:
+        point = F.struct("t", "event_id", "lon", "lat")
+        ends = todo.groupBy(*_PART).agg(F.min(point).alias("a"), F.max(point).alias("b"), F.count(F.lit(1)).alias("n"))
+        out = out.unionByName(todo.join(ends.filter(F.col("n") <= longest).select(*_PART), list(_PART), "left_semi"))
+        big = checkpointed(ends.filter(F.col("n") > longest))
+        if big.isEmpty():
+            return out
+        met = todo.join(big, list(_PART))
+        inner = met.filter((place > F.struct("a.t", "a.event_id")) & (place < F.struct("b.t", "b.event_id")))
+        best = inner.groupBy(*_PART).agg(F.max(F.struct(_heights(method).alias("h"), (-F.col("t")).alias("t"), (-F.col("event_id")).alias("id"))).alias("best"))
+        met = met.join(best, list(_PART), "left")
+        split = F.coalesce(F.col("best.h") > metres / 1000, F.lit(False))
+        cut = F.struct((-F.col("best.t")).alias("t"), (-F.col("best.id")).alias("event_id"))
+        columns = todo.columns
+        flat = met.filter(~split & ((place == F.struct("a.t", "a.event_id")) | (place == F.struct("b.t", "b.event_id")))).select(*columns)
+        out = out.unionByName(flat)
+        left = met.filter(split & (place <= cut)).select(*columns)
+        right = met.filter(split & (place >= cut)).withColumns({"low_t": cut["t"], "low_id": cut["event_id"], "again": place == cut}).select(*columns)
+        todo = checkpointed(left.unionByName(right))
+
+
 def _kernel(metres: float, method: str, columns: list[str]):
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def piece(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
             rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            t, lon, lat = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("t", "lon", "lat"))
-            return rows.filter(pa.array(kept(t, lon, lat, metres, method))).select(columns)
+            t, lon, lat, again = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("t", "lon", "lat", "again"))
+            return rows.filter(pa.array(kept(t, lon, lat, metres, method) & ~again)).select(columns)
 
         last = None
         for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("mmsi", "span", "segment")], 1)
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in _PART], 1)
             cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             edges = [0, *cuts.tolist(), len(keys)]
             for a, b in zip(edges, edges[1:], strict=False):
@@ -105,14 +203,15 @@ def _kernel(metres: float, method: str, columns: list[str]):
     return run
 
 
-def compressed(points: DataFrame, metres: float, method: str = "qdp", cut_mm_s: float | None = 300.0, span_s: int = SPAN_S) -> DataFrame:
-    """The rows of ``points`` that stay, pieces cut at speed crossings (or not, with ``cut_mm_s`` None) and at spans of time."""
+def compressed(points: DataFrame, metres: float, method: str = "qdp", cut_mm_s: float | None = 300.0, span_s: int | None = None, longest: int = LONGEST) -> DataFrame:
+    """The rows of ``points`` that stay, pieces cut at speed crossings (or not, with ``cut_mm_s`` None) and at spans of time where ``span_s`` is given."""
     columns = points.columns
     cut = speed_cut(points, cut_mm_s) if cut_mm_s is not None else points.withColumn("segment", F.lit(0).cast("long"))
-    keyed = cut.select(*columns, F.expr(f"t div {span_s}").alias("span"), F.col("segment"))
+    span = F.expr(f"t div {span_s}") if span_s else F.lit(0).cast("long")
+    keyed = cut.select(*columns, span.alias("span"), F.col("segment"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
-    ordered = keyed.repartition("mmsi", "span").sortWithinPartitions("mmsi", "span", "segment", "t", "event_id")
-    return ordered.mapInArrow(_kernel(metres, method, columns), fields)
+    parts = _parted(keyed, metres, method, longest)
+    return parts.repartition(*_PART).sortWithinPartitions(*_PART, "t", "event_id").mapInArrow(_kernel(metres, method, columns), fields)
 
 
 def deviation(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -192,20 +192,11 @@ def channel_fit_smooth(spark, sf_dir):
     return tr.smoothed(_bins(spark, sf_dir), ["site"]).withColumns({"lon": F.round(F.col("lon") + 1e-10, 9), "lat": F.round(F.col("lat") + 1e-10, 9)})
 
 
-@query(f"""WITH {POINTS_SQL}, v AS (SELECT *, CASE WHEN site % 7 = 0 THEN 'A' WHEN site % 7 = 1 THEN 'B' WHEN site % 7 = 6 THEN 'C' END AS gate FROM points WHERE t // 259200 % 10 IN (6, 7)),
-h AS (SELECT *, ntile(2) OVER {_ORDER} AS half FROM v WHERE gate IS NOT NULL)
-SELECT mmsi FROM h GROUP BY mmsi HAVING bool_or(half = 1 AND gate = 'A') AND bool_or(half = 2 AND gate = 'B') AND NOT bool_or(gate NOT IN ('A', 'B'))""")
-def gate_pairs(spark, sf_dir):
-    gate = F.when(F.col("site") % 7 == 0, "A").when(F.col("site") % 7 == 1, "B").when(F.col("site") % 7 == 6, "C")
-    early = points(spark, sf_dir).filter("t div 259200 % 10 in (6, 7)")
-    return tr.gate_pairs(early.withColumn("gate", gate).filter("gate is not null"), "A", "B")
-
-
 @query(f"""WITH {POINTS_SQL}, v AS (SELECT *, CASE site WHEN 0 THEN 'A' WHEN 8 THEN 'B' WHEN 27 THEN 'C' END AS gate FROM points),
 h AS (SELECT *, ntile(2) OVER {_ORDER} AS half FROM v WHERE gate IS NOT NULL)
 SELECT mmsi FROM h GROUP BY mmsi HAVING bool_or(half = 1 AND gate = 'A') AND bool_or(half = 2 AND gate = 'B') AND NOT bool_or(gate NOT IN ('A', 'B'))""")
-def gate_pairs_whole(spark, sf_dir):
-    """``gate_pairs`` over all points; a gate is one site, as a ship comes to 11 of the 35 at most in the tables and to all columns of them."""
+def gate_pairs(spark, sf_dir):
+    """Over all points; a gate is one site, as a ship comes to 11 of the 35 at most in the tables and to all columns of them."""
     gated = points(spark, sf_dir).withColumn("gate", site_gate("site"))
     return tr.gate_pairs(gated.filter("gate is not null"), "A", "B")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions import geo
 from tidewake.operators import compress
 from tidewake.operators import trajectory as tr
+from tidewake.plans.movement_plans import _STEPS
 from tidewake.plans.registry import query
 from tidewake.sources.fixtures import POINTS_SQL, haversine_sql, points, table
 
@@ -18,13 +21,14 @@ def _length_sql(source: str) -> str:
     return f"""SELECT mmsi, round(coalesce(sum(step), 0), 6) AS km FROM (SELECT mmsi, {haversine_sql(f'lag(lon) OVER {_ORDER}', f'lag(lat) OVER {_ORDER}', 'lon', 'lat')} AS step FROM {source}) GROUP BY mmsi"""
 
 
-@query(f"""WITH {POINTS_SQL}, i AS (SELECT *, row_number() OVER {_ORDER} AS i, count(*) OVER (PARTITION BY mmsi) AS n FROM points),
-thin AS (SELECT * FROM i WHERE i % 3 = 1 OR i = n), a AS ({_length_sql('points')}), b AS ({_length_sql('thin')})
+@query(f"""WITH {_STEPS}, f AS (SELECT *, step_km * 1e6 / step_s > 300 AS fast FROM stepped), c AS (SELECT *, CASE WHEN fast <> lag(fast) OVER {_ORDER} THEN 1 ELSE 0 END AS change FROM f),
+cut AS (SELECT *, sum(change) OVER {_ORDER} AS segment FROM c), i AS (SELECT *, row_number() OVER w AS i, count(*) OVER (PARTITION BY mmsi, segment) AS n FROM cut WINDOW w AS (PARTITION BY mmsi, segment ORDER BY t, event_id)),
+ends AS (SELECT * FROM i WHERE i = 1 OR i = n), a AS ({_length_sql('points')}), b AS ({_length_sql('ends')})
 SELECT a.mmsi, round(CASE WHEN a.km > 0 THEN 1 - b.km / a.km ELSE 0 END, 6) AS deviation FROM a JOIN b ON a.mmsi = b.mmsi""")
 def deviation(spark, sf_dir):
-    p = points(spark, sf_dir)
-    numbered = p.withColumns({"i": F.row_number().over(tr.order()), "n": F.count(F.lit(1)).over(Window.partitionBy("mmsi"))})
-    out = compress.deviation(tr.trip_distance(p), tr.trip_distance(numbered.filter("i % 3 = 1 or i = n")))
+    """The loss where no height counts: the ends of the pieces between crossings of the speed threshold alone stay."""
+    p = points(spark, sf_dir).select(*_TRACK)
+    out = compress.deviation(tr.trip_distance(p), tr.trip_distance(compress.compressed(p, 1e9, "dp")))
     return out.select("mmsi", F.round("deviation", 6).alias("deviation"))
 
 
@@ -49,6 +53,11 @@ def compress_ddp(spark, sf_dir):
     return _kept(spark, sf_dir, "ddp", 300.0)
 
 
+@query()
+def compress_sdp(spark, sf_dir):
+    return _kept(spark, sf_dir, "sdp", 300.0)
+
+
 @query()
 def compress_qdp(spark, sf_dir):
     return _kept(spark, sf_dir, "qdp", 300.0)
@@ -61,9 +70,9 @@ def deviation_compressed(spark, sf_dir):
     before = tr.trip_distance(p)
     lost = [
         compress.deviation(before, tr.trip_distance(_compressed(p, method, cut))).select("mmsi", F.lit(method).alias("method"), F.round("deviation", 6).alias("deviation"))
-        for method, cut in (("dp", None), ("ddp", 300.0), ("qdp", 300.0))
+        for method, cut in (("dp", None), ("ddp", 300.0), ("sdp", 300.0), ("qdp", 300.0))
     ]
-    return lost[0].unionByName(lost[1]).unionByName(lost[2])
+    return reduce(DataFrame.unionByName, lost)
 
 
 @query(f"""WITH {POINTS_SQL}, s AS (SELECT mmsi, event_id, {haversine_sql('lag(lon) OVER w', 'lag(lat) OVER w', 'lon', 'lat')} AS d, (t - lag(t) OVER w) * 0.001e0 AS dt FROM points WINDOW w AS {_ORDER})

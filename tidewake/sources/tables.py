@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``; a temporary folder where that is unset, for a local master alone."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='tidewake-')}")
+    return df.checkpoint(eager=True)
+
+
 def day_paths(pattern: str, days: list[int]) -> list[str]:
     """Paths with zero-padded days for ``{day}``."""
     return [pattern.format(day=f"{d:02d}") for d in days]
