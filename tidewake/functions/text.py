@@ -49,7 +49,7 @@ def entities_decoded(text) -> Column:
     """``&#NNN;`` as its character, by code point."""
     parts = F.split(c(text), r"(?=&#[0-9]+;)|(?<=&#[0-9]{1,7};)")
     code = lambda x: F.regexp_extract(x, "^&#([0-9]+);$", 1)
-    char = lambda x: F.decode(F.unhex(F.lpad(F.hex(code(x).cast("long")), 8, "0")), "UTF-32BE")
+    char = lambda x: F.decode(F.unhex(F.lpad(F.hex(code(x).cast("long")), 8, "0")), "UTF-32")
     return F.array_join(F.transform(parts, lambda x: F.when(code(x) != "", char(x)).otherwise(x)), "")
 
 

@@ -7,13 +7,25 @@ from pyspark.sql import functions as F
 
 from tidewake.functions.geo import acute_difference, approaching, compass_bearing, haversine_km, sector_times
 from tidewake.functions.text import reasons
-from tidewake.operators.spatial import points_in_polygons, small
+from tidewake.operators.spatial import points_in_polygons, ports_in_reach, small
+
+BANDS = 1024
 
 
 def range_lookup(rows: DataFrame, keys: list[str], value: str, rules: DataFrame, result: str) -> DataFrame:
-    """``keys`` and the ``result`` of the last rule with ``low <= value <= high``; null without one.  ``rules`` has ``seq, low, high`` and the result."""
-    met = rows.join(small(rules), F.col(value).between(F.col("low"), F.col("high")), "left")
-    return met.groupBy(*keys).agg(F.max_by(result, "seq").alias(result))
+    """``keys`` and the ``result`` of the last rule with ``low <= value <= high``; null without one.  ``rules`` has ``seq, low, high`` and the result.
+
+    The span of all rules is cut into ``BANDS`` bands; a rule stands in each that it touches, a row in one, and they meet by an equi-join.
+    """
+    low, high = rules.agg(F.min("low"), F.max("high")).first()
+    if low is None:
+        return rows.select(*keys, F.lit(None).cast(rules.schema[result].dataType).alias(result))
+    width = (float(high) - float(low)) / BANDS or 1.0
+    band = lambda v: F.floor((F.col(v) - F.lit(float(low))) / width)
+    cut = rules.withColumn("band", F.explode(F.sequence(band("low"), band("high"))))
+    met = rows.withColumn("band", band(value)).join(small(cut), ["band"], "left")
+    answer = F.max(F.when(F.col(value).between(F.col("low"), F.col("high")), F.struct("seq", result))).alias("last")
+    return met.groupBy(*keys).agg(answer).select(*keys, F.col(f"last.{result}").alias(result))
 
 
 def lookup_or(rows: DataFrame, table: DataFrame, key: str, defaults: dict[str, object]) -> DataFrame:
@@ -39,16 +51,18 @@ def berth_admission(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"status": status, "reasons": why})
 
 
-def bridge_passage(latest: DataFrame, holes: DataFrame, ships: DataFrame, wind: float, max_wind: float) -> DataFrame:
+def bridge_passage(latest: DataFrame, holes: DataFrame, ships: DataFrame, weather: DataFrame) -> DataFrame:
     """Ships in the water before a bridge's holes: whether they approach, and whether they may pass.
 
-    ``holes`` are polygons with ``hole_cog, max_length``; hole P20 is closed.  A ship without a register entry has length 0.
+    ``holes`` are polygons with ``hole_cog, max_length, closed``, ``weather`` is one row of ``wind, max_wind``.  A ship
+    without a register entry has length 0.
     """
     near = points_in_polygons(latest, holes)
     near = lookup_or(near, ships, "mmsi", {"length": 0, "ship_name": "none"})
+    wind, max_wind = weather.select("wind", "max_wind").first()
     status, why = reasons(
-        (F.col("polygon") == "P20", "hole closed"),
-        (F.lit(wind) > max_wind, "wind over limit"),
+        (F.col("closed"), "hole closed"),
+        (F.lit(wind) > F.lit(max_wind), "wind over limit"),
         (F.col("length") > F.col("max_length"), "length over limit"),
         (acute_difference("cog", "hole_cog") > 45, "course across the hole"),
     )
@@ -58,9 +72,15 @@ def bridge_passage(latest: DataFrame, holes: DataFrame, ships: DataFrame, wind:
 def nearest_channel_point(latest: DataFrame, channel: DataFrame) -> DataFrame:
     """The nearest point of a channel model whose course differs by less than 90 degrees; ``channel`` has ``channel_id, c_lon, c_lat, c_cog``."""
     gap = F.abs(F.col("cog") - F.col("c_cog"))
-    met = latest.join(small(channel), F.least(gap, 360 - gap) < 90)
-    best = F.min(F.struct(haversine_km("lon", "lat", "c_lon", "c_lat").alias("km"), "channel_id")).alias("best")
-    return met.groupBy("mmsi").agg(best).select("mmsi", F.col("best.channel_id").alias("channel_id"), F.col("best.km").alias("channel_km"))
+    along = F.least(gap, 360 - gap) < 90
+    best = F.min(F.struct("km", "channel_id")).alias("best")
+    named = channel.withColumnsRenamed({"channel_id": "port", "c_lon": "port_lon", "c_lat": "port_lat"})
+    close = ports_in_reach(latest, named).filter(along).select("mmsi", F.col("port_km").alias("km"), F.col("port").alias("channel_id"))
+    near = close.groupBy("mmsi").agg(best)
+    # Ships without a point in reach, few where a channel is modelled, look at all of its points.
+    rest = latest.join(near, "mmsi", "left_anti").join(small(channel), along)
+    far = rest.select("mmsi", haversine_km("lon", "lat", "c_lon", "c_lat").alias("km"), "channel_id").groupBy("mmsi").agg(best)
+    return near.unionByName(far).select("mmsi", F.col("best.channel_id").alias("channel_id"), F.col("best.km").alias("channel_km"))
 
 
 def sector_forecast(latest: DataFrame, lon: float, lat: float, radius_km: float, speed_kmh: Column) -> DataFrame:

@@ -54,6 +54,20 @@ def nearest_port(points: DataFrame, ports: DataFrame, keys: list[str], radius_km
     return best.select(*keys, F.col("best.port").alias("port"), F.col("best.level").alias("level"), F.col("best.port_km").alias("port_km"))
 
 
+def nearest_port_boxed(points: DataFrame, ports: DataFrame, keys: list[str], radius_km: float = 20.0, degrees: int = 10) -> DataFrame:
+    """``keys`` and the nearest port within ``radius_km`` of all that lie in a box of ``degrees`` around the point, over the antimeridian too.
+
+    Points and ports meet by bands of latitude, so that any pair in the box shares one.
+    """
+    band = lambda lat: F.floor((F.col(lat) + 90) / degrees)
+    listed = ports.withColumn("band", F.explode(F.sequence(band("port_lat") - 1, band("port_lat") + 1)))
+    apart = F.abs(F.col("lon") - F.col("port_lon"))
+    boxed = (F.abs(F.col("lat") - F.col("port_lat")) <= degrees) & ((apart <= degrees) | (apart > 330))
+    met = points.withColumn("band", band("lat")).join(small(listed), "band").filter(boxed).withColumn("port_km", haversine_km("lon", "lat", "port_lon", "port_lat"))
+    best = met.filter(F.col("port_km") < radius_km).groupBy(*keys).agg(F.min(F.struct("port_km", "port", "level")).alias("best"))
+    return best.select(*keys, F.col("best.port").alias("port"), F.col("best.level").alias("level"), F.col("best.port_km").alias("port_km"))
+
+
 def stop_ports(stops: DataFrame, polygons: DataFrame, ports: DataFrame, keys: list[str]) -> DataFrame:
     """Polygon of a stop, else the nearest port in reach, else nulls; ``stops`` has ``lon, lat``."""
     inside = first_polygon(stops, polygons, keys)

@@ -72,6 +72,17 @@ def voyage_rows(points: DataFrame, stops: DataFrame) -> DataFrame:
     return out.select("mmsi", "stop", "start_site", "end_site", "start_t", "end_t", "sea_s", "port_s", "n_points", "distance_km", "draught", speed)
 
 
+def merged_short_loops(voyages: DataFrame, km: float = 40.0) -> DataFrame:
+    """Voyages of a ship with those from a port to itself of at most ``km`` taken into the next one: start, end, distance and how many."""
+    w = Window.partitionBy("ship").orderBy("t", "voyage")
+    loop = (F.col("start_port") == F.col("end_port")) & (F.col("distance") <= km)
+    before = F.sum(F.when(loop, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = voyages.withColumn("leg", F.coalesce(before, F.lit(0)))
+    first, last = F.min(F.struct("t", "voyage", "start_port")).alias("first"), F.max(F.struct("t", "voyage", "end_port")).alias("last")
+    out = rows.groupBy("ship", "leg").agg(first, last, F.sum("distance").alias("distance"), F.count(F.lit(1)).alias("n_voyages"))
+    return out.select("ship", "leg", F.col("first.voyage").alias("voyage"), "first.t", "first.start_port", "last.end_port", "distance", "n_voyages")
+
+
 def two_way(routes: DataFrame) -> DataFrame:
     """Route counts folded over direction; ``routes`` has ``start_port, end_port, n``."""
     a, b = F.least("start_port", "end_port"), F.greatest("start_port", "end_port")

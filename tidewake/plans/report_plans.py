@@ -177,6 +177,15 @@ def _chained(spark, sf_dir):
     return voyages(spark, sf_dir).withColumn("start_port", F.coalesce(F.lag("end_port").over(w), F.col("ship") % 25))
 
 
+@query(f"""WITH {VOYAGES_SQL}, v AS (SELECT ship, t, voyage, distance / 50 AS distance, end_port, lag(end_port, 1, ship % 25) OVER w AS start_port FROM voyages WINDOW w AS (PARTITION BY ship ORDER BY t, voyage)),
+l AS (SELECT *, start_port = end_port AND distance <= 40 AS is_loop FROM v), g AS (SELECT *, coalesce(sum(CASE WHEN is_loop THEN 0 ELSE 1 END) OVER (PARTITION BY ship ORDER BY t, voyage ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS leg FROM l)
+SELECT ship, CAST(leg AS BIGINT) AS leg, arg_min(voyage, (t, voyage)) AS voyage, min(t) AS t, arg_min(start_port, (t, voyage)) AS start_port, arg_max(end_port, (t, voyage)) AS end_port, round(sum(distance) + 1e-7, 4) AS distance, count(*) AS n_voyages
+FROM g GROUP BY ship, leg""")
+def short_loop_merge(spark, sf_dir):
+    v = _chained(spark, sf_dir).withColumn("distance", F.col("distance") / 50)
+    return vo.merged_short_loops(v).withColumn("distance", F.round(F.col("distance") + 1e-7, 4))
+
+
 _CLASSES = [("west", ["7", "3"]), ("east", ["12"]), ("north", ["1"])]
 
 

@@ -87,9 +87,10 @@ f AS (SELECT mmsi, polygon, length, unnest([1, 2, 3]) AS i, unnest([CASE WHEN po
   CASE WHEN CASE WHEN half > 90 THEN 180 - half ELSE half END > 45 THEN 'course across the hole' END]) AS x FROM d WHERE gap <= 90 OR gap >= 270)
 SELECT mmsi, polygon, length, CAST(CASE WHEN count(x) = 0 THEN 1 ELSE 2 END AS INTEGER) AS status, {_FAILED} AS reasons FROM f GROUP BY mmsi, polygon, length""")
 def bridge_rules(spark, sf_dir):
-    holes = polygons(spark).withColumns({"hole_cog": F.substring("polygon", 2, 2).cast("int") * 10, "max_length": F.lit(200)})
+    holes = polygons(spark).withColumns({"hole_cog": F.substring("polygon", 2, 2).cast("int") * 10, "max_length": F.lit(200), "closed": F.col("polygon") == "P20"})
     ships = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("mmsi"), (F.col("c_custkey") % 300).alias("length"), F.col("c_name").alias("ship_name"))
-    out = rules.bridge_passage(_latest(spark, sf_dir), holes, ships, wind=8.0, max_wind=12.0)
+    weather = spark.createDataFrame([(8.0, 12.0)], "wind double, max_wind double")
+    out = rules.bridge_passage(_latest(spark, sf_dir), holes, ships, weather)
     return out.select("mmsi", "polygon", "length", "status", "reasons")
 
 
@@ -246,3 +247,38 @@ def name_rules(spark, sf_dir):
     tonnes = tx.tonnage_range(F.concat((F.col("p_size") % 9 + 1).cast("string"), F.lit("-"), (F.col("p_size") % 9 + 3).cast("string"), F.lit("万")))
     brand = F.when(F.col("p_brand").isin("Brand#1", "Brand#12"), F.regexp_replace("p_brand", "[0-9]", "")).otherwise(F.col("p_brand"))
     return p.select("p_partkey", brand.alias("brand"), tx.without_separators("p_name").alias("plain"), tx.numeric_or_zero("p_type").alias("number"), tonnes["low"].alias("low"), tonnes["high"].alias("high"))
+
+
+_TABBED_SQL = "tabbed AS (SELECT mmsi, t, round(lon - k % 3 * 20, 6) AS lon, round(lat, 6) AS lat, 60 + k % 30 AS ship_type FROM points)"
+
+
+def _tabbed(spark, sf_dir):
+    s = lambda name: F.col(name).cast("string")
+    degrees = lambda x: F.round(x, 6).cast("string")
+    moved, kind = F.col("lon") - F.col("k") % 3 * 20, (F.lit(60) + F.col("k") % 30).cast("string")
+    fields = F.concat_ws("@", s("status"), F.lit("0"), s("sog"), F.lit("1"), degrees(moved), degrees(F.col("lat")), s("cog"), s("head"), kind)
+    rows = points(spark, sf_dir).select(F.concat(F.lit("x\t"), s("mmsi"), F.lit(" "), s("t"), F.lit("\tx\t"), fields).alias("value"))
+    return rows.unionByName(spark.createDataFrame([("header value",), ("a\tb",), ("",)], "value string"))
+
+
+@query(f"WITH {POINTS_SQL}, {_TABBED_SQL} SELECT mmsi, t, lon, lat, CAST(ship_type AS INTEGER) AS ship_type FROM tabbed WHERE ship_type BETWEEN 70 AND 79")
+def supplier_cargo(spark, sf_dir):
+    return ais.cargo_rows(_tabbed(spark, sf_dir)).select("mmsi", "t", "lon", "lat", "ship_type")
+
+
+@query(f"WITH {POINTS_SQL}, {_TABBED_SQL} SELECT mmsi, t, lon, lat FROM tabbed WHERE lon BETWEEN 70 AND 89")
+def supplier_longitudes(spark, sf_dir):
+    return ais.rows_between(_tabbed(spark, sf_dir)).select("mmsi", "t", "lon", "lat")
+
+
+@query(f"WITH {POINTS_SQL}, {_TABBED_SQL} SELECT mmsi, t, lon, lat FROM tabbed WHERE ship_type = 70 AND lon BETWEEN 100 AND 123 AND lat BETWEEN 30 AND 31")
+def supplier_box(spark, sf_dir):
+    return ais.boxed_positions(_tabbed(spark, sf_dir), 100.0, 123.0, 30.0, 31.0, ship_type=70)
+
+
+@query(f"WITH {POINTS_SQL} SELECT mmsi, t, round(lon, 6) AS lon, round(lat, 6) AS lat, CAST(status AS INTEGER) AS status, CAST(k % 5 AS INTEGER) AS zone, round(sog, 2) AS sog, CAST(cog AS DOUBLE) AS cog, CAST(head AS DOUBLE) AS head, 0.0e0 AS rot FROM points WHERE k % 10 > 0")
+def position_text(spark, sf_dir):
+    s = lambda x: (F.col(x) if isinstance(x, str) else x).cast("string")
+    number = F.when(F.col("k") % 10 == 0, "broken").otherwise(s(F.round("lon", 6)))
+    lines = points(spark, sf_dir).select(F.concat_ws(",", s("mmsi"), s("t"), number, s(F.round("lat", 6)), s("status"), s(F.col("k") % 5), s(F.round("sog", 2)), s("cog"), s("head"), F.lit("0")).alias("value"))
+    return ais.position_text(lines)

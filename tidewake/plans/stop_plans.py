@@ -85,8 +85,8 @@ def nearest_port_grid(spark, sf_dir):
 @query(f"""WITH RECURSIVE {STOPS_SQL}, {PORTS_SQL}, {_REACH}
 SELECT mmsi, stop, port, level, round(km, 6) AS port_km FROM near WHERE km < 20 QUALIFY row_number() OVER (PARTITION BY mmsi, stop ORDER BY km, port) = 1""")
 def nearest_port_brute(spark, sf_dir):
-    """The radius of the exhaustive search, by the same grid: both give the same rows."""
-    near = spatial.nearest_port(_stops(spark, sf_dir), ports(spark), ["mmsi", "stop"], radius_km=20.0)
+    """The exhaustive search over all ports of a wide box."""
+    near = spatial.nearest_port_boxed(_stops(spark, sf_dir), ports(spark), ["mmsi", "stop"])
     return near.withColumn("port_km", F.round("port_km", 6))
 
 

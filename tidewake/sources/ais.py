@@ -59,6 +59,14 @@ def decoded(messages: DataFrame, payload: str = "payload", carried: list[str] |
     )
 
 
+def routed(messages: DataFrame, payload: str = "payload", carried: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Position reports and static reports, each with its own columns."""
+    rows, own = decoded(messages, payload, carried), [*(carried or []), "msg_type", "mmsi"]
+    positions = rows.filter(F.col("msg_type").isin(1, 2, 3, 18, 19)).select(*own, "status", "sog", "lon", "lat", "cog", "heading")
+    static = rows.filter(F.col("msg_type").isin(5, 19, 24)).select(*own, "imo", "callsign", "name", "ship_type", "length", "draught", "destination")
+    return positions, static
+
+
 def _thr(mmsi, t, supplier, source, status, lon, lat, speed, cog, head, rot, accuracy) -> list[Column]:
     """The position table's columns; degrees inside, micro-degrees only where files hold them."""
     return [
@@ -70,24 +78,49 @@ def _thr(mmsi, t, supplier, source, status, lon, lat, speed, cog, head, rot, acc
 
 def tabbed_supplier(lines: DataFrame, line: str = "value") -> DataFrame:
     """Tab-separated rows: the second column ``mmsi time``, the fourth ``status@rot@speed@accuracy@lon@lat@cog@head…@type``; header and broken rows are dropped."""
-    f = F.split(line, "\t")
-    who, d = F.split(f[1], " "), F.split(f[3], "@")
+    split = lines.filter(~F.contains(F.col(line), F.lit("value"))).select(F.split(line, "\t").alias("f"))
+    split = split.filter(F.size("f") >= 4).select(F.split(F.get("f", F.lit(1)), " ").alias("who"), F.split(F.get("f", F.lit(3)), "@").alias("d"))
+    rows = split.filter((F.size("d") >= 8) & (F.size("who") >= 2))
+    who, d = F.col("who"), F.col("d")
     lon, lat = d[4].try_cast("double"), d[5].try_cast("double")
-    rows = lines.filter(~F.contains(F.col(line), F.lit("value"))).filter((F.size(f) >= 4) & (F.size(d) >= 8))
     out = rows.select(*_thr(who[0], who[1], SUPPLIER_TABBED, 0, d[0], lon, lat, d[2].try_cast("double"), d[6], d[7], d[1], d[3]), F.element_at(d, -1).try_cast("int").alias("ship_type"))
     return out.dropna(subset=["mmsi", "t", "lon", "lat"])
 
 
 def comma_supplier(lines: DataFrame, line: str = "value", rescale: bool = True) -> DataFrame:
     """Comma-separated rows of 15 fields, the fourth of them dropped, the speed in thousandths of a knot rescaled."""
-    f = F.split(line, ",")
-    rows = lines.filter(~F.contains(F.col(line), F.lit("longitude"))).filter(F.size(f) >= 15)
+    rows = lines.filter(~F.contains(F.col(line), F.lit("longitude"))).select(F.split(line, ",").alias("f")).filter(F.size("f") >= 15)
+    f = F.col("f")
     lon, lat = f[6].try_cast("double") / 1e6, f[7].try_cast("double") / 1e6
     speed = f[9].try_cast("double") * (0.001 * KNOT_M_S * 10 if rescale else 1.0)
     out = rows.select(*_thr(f[0], f[1], SUPPLIER_COMMA, 0, f[5], lon, lat, speed, f[11], f[12], F.split(f[14], "&")[0], F.split(f[14], "&")[1]))
     return out.dropna(subset=["mmsi", "t", "lon", "lat"])
 
 
+def cargo_rows(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Tab-separated rows of ship types 70 to 79."""
+    return tabbed_supplier(lines, line).filter("ship_type between 70 and 79")
+
+
+def rows_between(lines: DataFrame, west: float = 70.0, east: float = 89.0, line: str = "value") -> DataFrame:
+    """Tab-separated rows of a window of longitudes."""
+    return tabbed_supplier(lines, line).filter(F.col("lon").between(west, east))
+
+
+def boxed_positions(lines: DataFrame, west: float, east: float, south: float, north: float, ship_type: int | None = None, line: str = "value") -> DataFrame:
+    """``mmsi, t, lon, lat`` of the tab-separated rows in a box, of one ship type where it is given."""
+    rows = tabbed_supplier(lines, line).filter(F.col("lon").between(west, east) & F.col("lat").between(south, north))
+    return (rows if ship_type is None else rows.filter(F.col("ship_type") == ship_type)).select("mmsi", "t", "lon", "lat")
+
+
+def position_text(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Comma-separated positions ``id,time,lon,lat,status,zone,sog,cog,head,rot``; rows that do not fit are dropped."""
+    kinds = {"mmsi": "long", "t": "long", "lon": "double", "lat": "double", "status": "int", "zone": "int", "sog": "double", "cog": "double", "head": "double", "rot": "double"}
+    f = F.split(line, ",")
+    rows = lines.filter(F.size(f) >= len(kinds)).select(*[f[i].try_cast(kind).alias(name) for i, (name, kind) in enumerate(kinds.items())])
+    return rows.dropna()
+
+
 def at_feed(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
     """Dynamic and static rows of a feed of ``@``-separated fields, told apart by the first."""
     f = F.split(line, "@")

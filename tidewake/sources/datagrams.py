@@ -1,11 +1,18 @@
-"""UDP datagrams as a stream: each micro-batch holds what arrived since the last."""
+"""UDP datagrams as a stream: each micro-batch holds what arrived since the last.
+
+What arrives is written to a folder before a batch is planned, so a batch that is run again after a
+failure reads the same datagrams.  One socket is read on the driver, as one address has one receiver;
+heavy feeds start one stream for each of several ports.
+"""
 
 from __future__ import annotations
 
+import json
 import socket
 import time
 from collections.abc import Iterator
 
+import pyarrow.fs
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 
@@ -13,8 +20,14 @@ class DatagramReader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
         self.address = (options.get("host", "0.0.0.0"), int(options["port"]))
         self.wait = float(options.get("waitseconds", 0.2))
+        self.folder = options["folder"]
         self.socket = None
 
+    def _file(self, start: int, end: int):
+        filesystem, path = pyarrow.fs.FileSystem.from_uri(self.folder)
+        filesystem.create_dir(path, recursive=True)
+        return filesystem, f"{path}/received-{start:020d}-{end:020d}.json"
+
     def initialOffset(self) -> dict:  # noqa: N802
         return {"received": 0}
 
@@ -29,15 +42,28 @@ class DatagramReader(SimpleDataSourceStreamReader):
                 rows.append((self.socket.recv(65_535).decode("utf-8", "replace"),))
             except TimeoutError:
                 break
-        return iter(rows), {"received": start["received"] + len(rows)}
+        first, last = start["received"], start["received"] + len(rows)
+        if rows:
+            filesystem, path = self._file(first, last)
+            with filesystem.open_output_stream(path) as out:
+                out.write("\n".join(json.dumps(value) for (value,) in rows).encode())
+        return iter(rows), {"received": last}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:  # noqa: N802
-        """Datagrams are gone once read; a restarted batch has none of them."""
-        return iter([])
+        """The datagrams of a batch that runs again, from the folder."""
+        filesystem, path = self._file(start["received"], end["received"])
+        known = filesystem.get_file_info(pyarrow.fs.FileSelector(path.rpartition("/")[0]))
+        rows = []
+        for info in sorted(known, key=lambda x: x.base_name):
+            first, last = (int(x) for x in info.base_name.removesuffix(".json").split("-")[1:])
+            if start["received"] <= first and last <= end["received"]:
+                with filesystem.open_input_file(info.path) as held:
+                    rows += [(json.loads(line),) for line in held.readall().decode().split("\n")]
+        return iter(rows)
 
 
 class DatagramSource(DataSource):
-    """``readStream.format("tidewake_udp").option("port", …)``; one column ``value``."""
+    """``readStream.format("tidewake_udp").options(port=…, folder=…)``; one column ``value``."""
 
     @classmethod
     def name(cls) -> str:

@@ -87,6 +87,12 @@ def stop_stream(stream: DataFrame, max_speed_mm_s: float = MAX_SPEED_MM_S, max_d
     return stream.groupBy("mmsi").applyInPandasWithState(step, _STOP, _STATE, "append", timeout)
 
 
+def caught_up(frame: DataFrame, path: str, seen: str, fmt: str = "parquet") -> None:
+    """What has arrived since the last call, appended below ``path``: the daily job of an outside scheduler; ``seen`` keeps what was read."""
+    query = frame.writeStream.format(fmt).option("path", path).option("checkpointLocation", seen).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
 def replace_table(path: str):
     """A ``foreachBatch`` sink that puts each result in place of the last."""
     return lambda batch, _: batch.write.mode("overwrite").parquet(path)
