@@ -14,7 +14,7 @@ The distinct entities of the whole table are checked: where two of one type meet
 a surrogate is itself an entity of the table, all but the first take their next attempt until none is
 left.  After ``IN_FORMAT`` attempts a surrogate gets a further character with each, so that a format
 whose strings are all taken ends, too.  Exceptions of that kind are few; up to ``BROADCAST_EXCEPTIONS``
-reach the tasks as a broadcast, more of them by a join on a digest of the text.
+reach the tasks as a broadcast, more of them by a join on a digest of those texts that hold one.
 
 The key comes from ``surrogate_key``; whoever has it can undo the permutations.
 
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tidewake.llm.common import at_work, checkpointed, documents, small_batches
+from tidewake.llm.common import at_work, checkpointed, documents, marked, small_batches
 from tidewake.llm.feistel import permute
 
 KEY_CONF = "spark.tidewake.surrogate.key"
@@ -454,8 +454,11 @@ def replaced(docs: DataFrame, key: bytes, broadcast_limit: int = BROADCAST_EXCEP
         common = {}
         digest = F.sha2(F.col("doc.text").cast("binary"), 256)
         wanted = rows.select(digest.alias("digest"), F.explode(_entity_column(F.col("doc.text"))).alias("e")).select("digest", "e.kind", "e.form").distinct()
-        own = wanted.join(exceptions, ["kind", "form"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias("own"))
-        rows = rows.withColumn("digest", digest).join(own, "digest", "left").select("doc", "own")
+        own = checkpointed(wanted.join(exceptions, ["kind", "form"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias("own")))
+        # Texts without an exception stay where they are.
+        touched = marked(own.select(F.xxhash64("digest").alias("id")), F.xxhash64(digest))
+        met = rows.filter(touched).withColumn("digest", digest).join(own, "digest", "left").select("doc", "own")
+        rows = rows.filter(~touched).withColumn("own", F.lit(None).cast(_OWN)).unionByName(met)
     shared = spark.sparkContext.broadcast(common)
     held: list[Surrogates] = []
 
