@@ -7,7 +7,6 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,29 +70,25 @@ def at_work(owner: str, release: Callable[[], None] = lambda: None) -> None:
     _caches[owner] = release
 
 
-def marked(ids: DataFrame, of: Column) -> Column:
-    """True for every value of ``of`` that the one column of ``ids`` holds, and for few others: a bitmap of hashed identifiers.
+def marked(rows: DataFrame, ids: DataFrame, of: Column, name: str = "_marked") -> DataFrame:
+    """``rows`` with a column ``name``: true where the one column of ``ids`` holds ``of``, and for few others.
 
-    It has ``BITS_PER_ID`` bits an identifier and ``MAX_ID_BITS`` (64 MB) at most.  When it fills up, more
-    values are marked; an exact join has to follow for those.  Null is never marked.
+    A bitmap of hashed identifiers is broadcast in parts of 32,768 bits.  It has ``BITS_PER_ID`` bits an
+    identifier and ``MAX_ID_BITS`` (64 MB) at most.  When it fills up, more rows are marked; an exact join
+    has to follow for those.  Null is never marked.
     """
-    spark, name = ids.sparkSession, ids.columns[0]
-    bits = min(MAX_ID_BITS, max(MIN_ID_BITS, 1 << (BITS_PER_ID * max(1, ids.count()) - 1).bit_length()))
-    at = ids.filter(F.col(name).isNotNull()).select((F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(bits)) + 1).alias("bit"))
-    parts = at.groupBy(F.bitmap_bucket_number("bit").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits"))
-    bitmap = np.zeros(bits // 8, np.uint8)
-    for row in parts.collect():
-        part = np.frombuffer(bytes(row["bits"]), np.uint8)
-        bitmap[(row["part"] - 1) * len(part) :][: len(part)] = part
-    shared = spark.sparkContext.broadcast(bitmap)
-
-    @F.arrow_udf("boolean")
-    def stands(position: pa.Array) -> pa.Array:
-        where = position.to_numpy(zero_copy_only=False)
-        return pa.array((shared.value[where >> 3] >> (where & 7).astype(np.uint8) & 1).astype(bool))
-
-    position = F.pmod(F.xxhash64(of.cast("long")), F.lit(bits))
-    return of.isNotNull() & stands(position)
+    known = ids.select(F.col(ids.columns[0]).cast("long").alias("id")).filter("id is not null")
+    bits = min(MAX_ID_BITS, max(MIN_ID_BITS, 1 << (BITS_PER_ID * max(1, known.count()) - 1).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    at = known.select(place(F.col("id")).alias("bit"))
+    part, held, bit = (f"{name}_{x}" for x in ("part", "bits", "bit"))
+    parts = at.groupBy(F.bitmap_bucket_number("bit").alias(part)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias(held))
+    placed = rows.withColumn(bit, F.when(of.isNotNull(), place(of.cast("long"))))
+    met = placed.join(F.broadcast(checkpointed(parts)), F.bitmap_bucket_number(bit) == F.col(part), "left")
+    inner = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col(held), F.shiftright(inner, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.getbit(byte, (inner % 8).cast("int")) == 1
+    return met.withColumn(name, F.coalesce(hit, F.lit(False))).drop(part, held, bit)
 
 
 def ascii_lower(col):

@@ -6,10 +6,12 @@ any ``l``.  Each document takes the ``l`` of least estimated cost: a longer pref
 and lets more shared shingles be asked for before a pair is verified.  Pairs meet at a shingle of their
 shortest prefixes; a pair is a candidate when the longer ones share as many as the smaller of their two
 values, more where the two sizes ask for more than the least overlap, counted on the spot by blocks of
-an incidence matrix.  A pair comes out at the first of the tokens where it meets.  Where everything is common, as in a large
-family of near copies, documents take most of their set for a prefix, and few pairs come out that are
-not similar.  Tokens met by the very same documents bring the same pairs, so one of them stands for all.
-Longer prefixes travel as 24 bits a shingle; a chance agreement costs a verification and loses no link.
+an incidence matrix.  A pair comes out at the first of the tokens where it meets.  Where everything is
+common, as in a large family of near copies, documents take most of their set for a prefix, and few
+pairs come out that are not similar.  Tokens met by the very same documents bring the same pairs, so one
+of them stands for all.  Longer prefixes travel as 24 bits a shingle; a chance agreement costs a
+verification and loses no link.  The documents of one token are dealt into blocks and every pair of
+blocks is a group of its own, so that no task holds more than two blocks.
 
 Equal sets are one class from the start.  A few links between each class and the smallest class with
 the same minimum hash come first; pairs within the components that they make need no further look, so
@@ -22,7 +24,9 @@ gets worse and candidates more, the links stay the same.
 Edge cases: null text, or one without words, is an empty set, linked with nothing; a text with fewer
 words than a shingle has one shingle, its whole sequence; rows that repeat a ``doc_id`` count as one
 document that is linked when any of its texts is; a null ``doc_id`` takes part through its equal set
-only, and has no component of its own; an empty table gives an empty result.
+only, and has no component of its own; an empty table gives an empty result; very long texts are hashed
+a piece at a time and count whole; of a table's columns ``doc_id`` and ``text`` alone are compared,
+others may have any name.
 """
 
 from __future__ import annotations
@@ -229,7 +233,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays).view(np.int64)))
 
 
-def _signer(width: int, percent: int, shared):
+def _signer(width: int, percent: int, shared, frequent: int):
     def sign(batches):
         at_work("shingles")
         sketch, noise = shared.value
@@ -238,7 +242,7 @@ def _signer(width: int, percent: int, shared):
             if not sets:
                 continue
             prefixes = [adaptive_prefix(s, sketch, noise, percent) if len(s) else (s, 0, s) for s in sets]
-            common = [counts[:base] >= FREQUENT for _, base, counts in prefixes]
+            common = [counts[:base] >= frequent for _, base, counts in prefixes]
             columns = [
                 batch.column(0),
                 pa.array([len(s) for s in sets], pa.int64()),
@@ -268,7 +272,8 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     """
     pairs = checkpointed(pairs)
     named = pairs.select(F.col("x").alias("doc_id")).unionByName(pairs.select(F.col("y").alias("doc_id"))).distinct()
-    bodies = docs.filter(marked(checkpointed(named), F.col("doc_id"))).select("doc_id", _squeezed("body").alias("body"))
+    asked = marked(docs.select("doc_id", "body"), checkpointed(named), F.col("doc_id")).filter("_marked")
+    bodies = asked.select("doc_id", _squeezed("body").alias("body"))
 
     def check(batches):
         at_work("shingles")
@@ -302,7 +307,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     with small_batches(spark):
         sketch = shingle_counts(bodies.select("body"), width, slots)
         shared = spark.sparkContext.broadcast((sketch, float(sketch.mean())))
-        bodies.mapInArrow(_signer(width, percent, shared), _SIGNATURE).write.parquet(path)
+        bodies.mapInArrow(_signer(width, percent, shared, FREQUENT), _SIGNATURE).write.parquet(path)
     shared.destroy()
     signed = spark.read.schema(_SIGNATURE).parquet(path)
 
@@ -430,15 +435,14 @@ def _labelled(nodes: DataFrame, signed: DataFrame, near: DataFrame) -> tuple[Dat
     component, identifiers with several rows) are marked in a bitmap, and they alone meet ``near`` in a join.
     """
     ids = signed.select("doc_id", "key")
-    members = ids.join(nodes.select("key", "rep").repartition("key"), "key").filter("doc_id <> rep").select("doc_id")
+    members = ids.join(nodes.select("key", F.col("rep").alias("doc_id")), ["doc_id", "key"], "left_anti").select("doc_id")
     several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
     unlike = checkpointed(members.unionByName(several).unionByName(near.select(F.col("node").alias("doc_id"))).distinct())
-    other = marked(unlike, F.col("doc_id"))
     known = nodes.select("rep", "key").join(near.select(F.col("node").alias("rep"), F.col("component").alias("label")), "rep", "left")
     known = known.withColumn("label", F.coalesce("label", "rep"))
-    of = signed.withColumnRenamed("doc_id", "rep").withColumn("other", marked(unlike, F.col("rep")))
-    plain = signed.filter(~other).withColumn("rep", F.col("doc_id")).withColumn("label", F.col("doc_id")).drop("doc_id")
-    joined = of.filter("other").drop("other").join(known, ["rep", "key"]).dropDuplicates(["rep", "key"])
+    of = marked(signed.withColumnRenamed("doc_id", "rep"), unlike, F.col("rep"))
+    plain = of.filter("not _marked").withColumn("label", F.col("rep"))
+    joined = of.filter("_marked").join(known, ["rep", "key"]).dropDuplicates(["rep", "key"])
     return plain, joined
 
 
@@ -467,7 +471,8 @@ def _prefix_pairs(nodes: DataFrame, signed: DataFrame, near: DataFrame, percent:
     apart = apart.select("token", F.expr(f"(size - 1) div {PAIR_BLOCK} + 1").alias("blocks"))
     placed = shared.join(apart.repartition("token"), "token").groupBy("rep", "label").agg(F.collect_set(F.struct("token", "blocks")).alias("at"))
     placed = checkpointed(placed.select(F.col("rep").alias("doc_id"), "label", "at"))
-    longer = signed.filter(marked(placed.select("doc_id").distinct(), F.col("doc_id"))).select("doc_id", "key", "n", "matches", "counted")
+    longer = marked(signed.select("doc_id", "key", "n", "matches", "counted"), placed.select("doc_id").distinct(), F.col("doc_id"))
+    longer = longer.filter("_marked").drop("_marked")
     longer = longer.join(nodes.select(F.col("rep").alias("doc_id"), "key"), ["doc_id", "key"]).drop("key")
     rows = placed.join(longer, "doc_id").select(
         F.col("doc_id").alias("rep"), "label", "n", "matches", "counted", F.col("at.token").alias("tokens"), F.explode("at").alias("at")
@@ -490,9 +495,9 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     """
     groups = similar_groups(docs, width, percent)
     gone = checkpointed(groups.filter("doc_id <> component_id").select("doc_id").distinct())
-    hit = marked(gone, F.col("doc_id"))
-    doubtful = docs.filter(hit).join(gone.select(F.col("doc_id").alias("gone_id")), F.col("doc_id") == F.col("gone_id"), "left_anti")
-    return docs.filter(~hit).unionByName(doubtful).select(*docs.columns)
+    rows = marked(docs, gone, F.col("doc_id"))
+    doubtful = rows.filter("_marked").join(gone.select(F.col("doc_id").alias("gone_id")), F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return rows.filter("not _marked").unionByName(doubtful).select(*docs.columns)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -178,9 +178,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     drops = repeats.join(confirmed, "key").filter(F.col("doc_id") != F.col("keeper"))
     drops = checkpointed(drops.groupBy(F.col("doc_id").alias("drop_id")).agg(F.collect_set("key").alias("keys")))
 
-    touches, nothing = marked(drops.select("drop_id"), F.col("doc_id")), F.lit(None).cast("array<binary>")
-    plain = rows.filter(~touches).select("doc", rewrite("body", nothing).alias("new"))
-    touched = rows.filter(touches).join(drops, F.col("doc_id") == F.col("drop_id"), "left").select("doc", rewrite("body", "keys").alias("new"))
+    found, nothing = marked(rows, drops.select("drop_id"), F.col("doc_id")), F.lit(None).cast("array<binary>")
+    plain = found.filter("not _marked").select("doc", rewrite("body", nothing).alias("new"))
+    touched = found.filter("_marked").join(drops, F.col("doc_id") == F.col("drop_id"), "left").select("doc", rewrite("body", "keys").alias("new"))
     return plain.unionByName(touched).select("doc", "new.*")
 
 

@@ -456,9 +456,9 @@ def replaced(docs: DataFrame, key: bytes, broadcast_limit: int = BROADCAST_EXCEP
         wanted = rows.select(digest.alias("digest"), F.explode(_entity_column(F.col("doc.text"))).alias("e")).select("digest", "e.kind", "e.form").distinct()
         own = checkpointed(wanted.join(exceptions, ["kind", "form"]).groupBy("digest").agg(F.collect_list(F.struct("kind", "form", "surrogate")).alias("own")))
         # Texts without an exception stay where they are.
-        touched = marked(own.select(F.xxhash64("digest").alias("id")), F.xxhash64(digest))
-        met = rows.filter(touched).withColumn("digest", digest).join(own, "digest", "left").select("doc", "own")
-        rows = rows.filter(~touched).withColumn("own", F.lit(None).cast(_OWN)).unionByName(met)
+        found = marked(rows, own.select(F.xxhash64("digest").alias("id")), F.xxhash64(digest))
+        met = found.filter("_marked").withColumn("digest", digest).join(own, "digest", "left").select("doc", "own")
+        rows = found.filter("not _marked").select("doc", F.lit(None).cast(_OWN).alias("own")).unionByName(met)
     shared = spark.sparkContext.broadcast(common)
     held: list[Surrogates] = []
 
