@@ -88,3 +88,35 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7), (200, 199)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "x long, y long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 103: 100, 199: 199, 200: 199}
+
+
+def test_shingles_by_pieces_and_against_sets(monkeypatch):
+    rng = random.Random(4)
+    words = ["the", "Ä", "ä", "x" * 90, "日本", "a b", "end.", "\x85"]
+    texts = ["", "  ", "one", "One two", *("".join(rng.choice(words) + rng.choice([" ", "\n", "\t\t", "\x0b"]) for _ in range(n)) for n in (3, 4, 5, 50, 400))]
+    bodies = [t.encode() for t in texts]
+
+    def lowered(text):
+        return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+
+    whole = jaccard_join.shingle_sets(bodies, 4)
+    for text, found in zip(texts, whole, strict=True):
+        w = lowered(text)
+        assert len(found) == (len({tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))}) if w else 0)
+    monkeypatch.setattr(jaccard_join, "BYTES_AT_ONCE", 60)
+    for a, b in zip(whole, jaccard_join.shingle_sets(bodies, 4), strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_blocks_of_a_token_lose_no_pair(spark, monkeypatch):
+    """Documents of one template with a common passage: every pair of blocks is looked at."""
+    monkeypatch.setattr(jaccard_join, "PAIR_BLOCK", 4)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 6)
+    monkeypatch.setattr(jaccard_join, "BODIES_BY_HUB", 3)
+    rng, rows = random.Random(12), []
+    base = [f"w{i}" for i in range(40)]
+    for i in range(40):
+        words = [*base, *(f"o{rng.randrange(10**6)}" for _ in range(rng.choice([0, 2, 4, 8, 30])))]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(jaccard_join.similar_groups(docs, 4, 85)) == brute(rows, 4, 85)

@@ -50,7 +50,7 @@ SLOTS_PER_ROW, MIN_SLOTS, MAX_SLOTS, SLOT_BLOCK = 64, 1 << 16, 1 << 26, 1 << 16
 PAIR_BLOCK, VOCABULARY_BLOCK = 1024, 4096
 #: Tokens with a count from here on may have groups that one task should not hold; counts stop at 255.
 FREQUENT = 200
-BODIES_BY_HUB = 256
+BODIES_BY_HUB, BROADCAST_HUBS = 256, 100_000
 SCAN_COST, PAIR_COST = 1.0, 2.0
 HEADS = 3
 BYTES_AT_ONCE = 1 << 17
@@ -289,8 +289,10 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
                 keep.append(100 * common >= percent * (len(held) + len(other) - common) and common > 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    hubs = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("size")).select("x", F.expr(f"size div {BODIES_BY_HUB} + 1").alias("parts"))
-    dealt = pairs.join(hubs, "x").select("x", "y", F.pmod(F.xxhash64("y"), "parts").alias("part"))
+    hubs = checkpointed(pairs.groupBy("x").agg(F.count(F.lit(1)).alias("size")).select("x", F.expr(f"size div {BODIES_BY_HUB} + 1").alias("parts")))
+    large = hubs.filter("parts > 1")
+    large = F.broadcast(large) if large.limit(BROADCAST_HUBS + 1).count() <= BROADCAST_HUBS else large
+    dealt = pairs.join(large, "x", "left").select("x", "y", F.pmod(F.xxhash64("y"), F.coalesce("parts", F.lit(1))).alias("part"))
     second = dealt.join(bodies.select(F.col("doc_id").alias("y"), F.col("body").alias("y_body")), "y")
     first = hubs.join(bodies.select(F.col("doc_id").alias("x"), F.col("body").alias("x_body")), "x")
     first = first.select("x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "x_body")
@@ -326,7 +328,7 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
     label = F.coalesce("near", "rep")
     reps = classes.select("key", "rep").join(near.select(F.col("node").alias("rep"), F.col("component").alias("near")), "rep", "left").withColumn("label", label)
     reps = reps.join(far.select(F.col("node").alias("label"), F.col("component").alias("far")), "label", "left").select("key", F.coalesce("far", "label").alias("component_id"))
-    whole = full.select("doc_id", F.col("n").alias("n_shingles"), "key").join(reps.repartition("key"), "key", "left").drop("key")
+    whole = full.select("doc_id", F.col("n").alias("n_shingles"), "key").join(reps, "key", "left").drop("key")
     empty = signed.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     out = checkpointed(whole.unionByName(empty))
     remove_tree(spark, path)
@@ -336,11 +338,11 @@ def similar_groups(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFr
 def _head_pairs(nodes: DataFrame) -> DataFrame:
     """Each class with the smallest class that has the same minimum hash: at most ``HEADS`` pairs a class.
 
-    The hubs are dealt by themselves, so that a join of a head with very many classes can be split.
+    The hubs are written first, so that both sides of the join are dealt for it and a head with very many classes can be split.
     """
     heads = nodes.select("rep", F.posexplode("heads").alias("i", "head"))
     hubs = heads.groupBy("i", "head").agg(F.min("rep").alias("x"), F.max("rep").alias("last")).filter("x <> last").drop("last")
-    return heads.join(hubs.repartition("i", "head"), ["i", "head"]).filter("rep <> x").select("x", F.col("rep").alias("y")).distinct()
+    return heads.join(checkpointed(hubs), ["i", "head"]).filter("rep <> x").select("x", F.col("rep").alias("y")).distinct()
 
 
 def _block_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -462,14 +464,14 @@ def _prefix_pairs(nodes: DataFrame, signed: DataFrame, near: DataFrame, percent:
     over = Window.partitionBy("token")
     rare = met("base").withColumn("low", F.min("label").over(over)).withColumn("high", F.max("label").over(over))
     often = met("frequent")
-    mixed = often.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
-    shared = rare.filter("low <> high").select("rep", "label", "token").unionByName(often.join(mixed.repartition("token"), "token").select("rep", "label", "token"))
+    mixed = checkpointed(often.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token"))
+    shared = rare.filter("low <> high").select("rep", "label", "token").unionByName(often.join(mixed, "token").select("rep", "label", "token"))
     shared = checkpointed(shared)
     total = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(38,0)"))
     members = shared.groupBy("token").agg(F.count(F.lit(1)).alias("size"), total("rep").alias("one"), total(F.lit(1), "rep").alias("two"))
     apart = members.groupBy("size", "one", "two").agg(F.min("token").alias("token"))
     apart = apart.select("token", F.expr(f"(size - 1) div {PAIR_BLOCK} + 1").alias("blocks"))
-    placed = shared.join(apart.repartition("token"), "token").groupBy("rep", "label").agg(F.collect_set(F.struct("token", "blocks")).alias("at"))
+    placed = shared.join(apart, "token").groupBy("rep", "label").agg(F.collect_set(F.struct("token", "blocks")).alias("at"))
     placed = checkpointed(placed.select(F.col("rep").alias("doc_id"), "label", "at"))
     longer = marked(signed.select("doc_id", "key", "n", "matches", "counted"), placed.select("doc_id").distinct(), F.col("doc_id"))
     longer = longer.filter("_marked").drop("_marked")

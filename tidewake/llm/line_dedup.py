@@ -173,8 +173,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         repeats = checkpointed(rows.filter(F.col("doc_id").isNotNull()).select("doc_id", F.explode(suspects("body")).alias("key")))
     distinct = repeats.distinct()
     confirmed = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).filter(F.col("n") >= min_docs)
-    # Dealt by itself, so that the join of a very common line can be split.
-    confirmed = confirmed.select("key", "keeper").repartition("key")
+    # Written first, so that both sides of the join are dealt for it and a very common line can be split.
+    confirmed = checkpointed(confirmed.select("key", "keeper"))
     drops = repeats.join(confirmed, "key").filter(F.col("doc_id") != F.col("keeper"))
     drops = checkpointed(drops.groupBy(F.col("doc_id").alias("drop_id")).agg(F.collect_set("key").alias("keys")))
 
