@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -66,7 +68,11 @@ def at_work(owner: str, release: Callable[[], None] = lambda: None) -> None:
     for name in others:
         _caches.pop(name)()
     if others:
+        gc.collect()
         pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
     _caches[owner] = release
 
 
