@@ -114,6 +114,7 @@ def token_counts(urls: DataFrame, tokens: list[str]) -> dict[str, int]:
         row = urls.agg(*[F.count_if(F.array_contains("tokens", t)).alias(f"c{i}") for i, t in enumerate(tokens)]).first()
         return {t: row[f"c{i}"] or 0 for i, t in enumerate(tokens)}
     wanted = urls.sparkSession.createDataFrame([(t,) for t in tokens], "token string")
+    wanted = F.broadcast(wanted) if len(tokens) <= BROADCAST_RULES else wanted
     seen = urls.select(F.explode("tokens").alias("token")).join(wanted, "token", "left_semi").groupBy("token").count()
     return dict.fromkeys(tokens, 0) | {r["token"]: r["count"] for r in seen.collect()}
 
