@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewake.llm import byte_bpe, exact_dedup, importance, jaccard_join, language_id, line_dedup, media, packing, pii, token_shards, url_filter
+from tidewake.llm import byte_bpe, conversation_repair, exact_dedup, importance, jaccard_join, language_id, line_dedup, media, packing, pii, quality_rules, token_shards, url_filter
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_url_filters": url_filter.op9_url_filters,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_quality_rules": quality_rules.op11_quality_rules,
     "op12_importance_resampling": importance.op12_importance_resampling,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 SQL = {
     "op5_line_dedup": line_dedup.SQL,
