@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewake.functions import text as tx
 from tidewake.functions.geo import centroid
-from tidewake.sources import ais, datagrams, tables
+from tidewake.sources import ais, assembly, datagrams, tables
 from tidewake.streaming import live
 
 #: Published sample sentences with the values of their public documentation.
@@ -38,8 +38,8 @@ def _naive(payload):
 
 @pytest.fixture(scope="module")
 def decoded(spark):
-    lines = spark.createDataFrame([(x,) for x in SENTENCES], "value string")
-    return {(r["msg_type"], r["name"] is None): r for r in ais.decoded(ais.assembled(lines)).collect()}
+    lines = spark.createDataFrame(list(enumerate(SENTENCES)), "at long, value string")
+    return {(r["msg_type"], r["name"] is None): r for r in ais.decoded(assembly.assembled(lines)).collect()}
 
 
 def test_position_reports(decoded):
@@ -62,8 +62,8 @@ def test_static_reports(decoded):
 
 
 def test_messages_are_routed_by_type(spark):
-    lines = spark.createDataFrame([(x,) for x in SENTENCES], "value string")
-    positions, static = ais.routed(ais.assembled(lines))
+    lines = spark.createDataFrame(list(enumerate(SENTENCES)), "at long, value string")
+    positions, static = ais.routed(assembly.assembled(lines))
     assert sorted(r["msg_type"] for r in positions.collect()) == [1, 18, 19] and sorted(r["msg_type"] for r in static.collect()) == [5, 19, 24, 24]
 
 

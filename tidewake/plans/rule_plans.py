@@ -9,7 +9,7 @@ from tidewake.functions.geo import acute_difference
 from tidewake.operators import rules
 from tidewake.operators import trajectory as tr
 from tidewake.plans.registry import query
-from tidewake.sources import ais
+from tidewake.sources import ais, assembly
 from tidewake.sources.fixtures import POINTS_SQL, POLYGONS_SQL, VOYAGES_SQL, cell_sql, haversine_sql, points, polygons, table, voyages
 
 BANDS = [(1, 1, 0.0, 60.0), (2, 2, 50.0, 120.0), (3, 3, 110.0, 300.0), (4, 4, 250.0, 10_000.0)]
@@ -191,6 +191,24 @@ def ais_armour_text(spark, sf_dir):
     return ais.decoded(sent, carried=["c_custkey"]).select("c_custkey", "name", "ship_type")
 
 
+@query(f"""WITH {POINTS_SQL} SELECT event_id, mmsi, upper(event_type) AS name, CAST(k AS INTEGER) AS ship_type FROM points WHERE event_id % 11 > 0 AND event_id % 13 > 0""")
+def ais_reassembly(spark, sf_dir):
+    """A static report an event in two sentences; some lose a part, some repeat one, some swap them, and ten sequence numbers serve all."""
+    e = F.col("event_id")
+    bits = F.concat(tx.bits_of(F.lit(5), 6), tx.bits_of(F.lit(0), 2), tx.bits_of("mmsi", 30), tx.bits_of(F.lit(0), 2), tx.bits_of("event_id", 30), tx.bits_of(F.lit(0), 42), tx.text_bits(F.upper("event_type"), 20), tx.bits_of("k", 8))
+    sent = points(spark, sf_dir).select("event_id", tx.armoured(bits, 424).alias("body"))
+    # Places of the parts in time; a null place is a lost part.
+    swapped = e % 3 == 0
+    first, second = F.when(e % 13 > 0, F.when(swapped, 400).otherwise(0)), F.when(e % 11 > 0, F.when(swapped, 0).otherwise(400))
+    places = F.array(F.struct(F.lit(1).alias("part"), first.alias("ms")), F.struct(F.lit(2).alias("part"), second.alias("ms")), F.struct(F.lit(1).alias("part"), F.when(e % 5 == 0, first + 100).alias("ms")), F.struct(F.lit(2).alias("part"), F.when(e % 7 == 0, second + 300).alias("ms")))
+    parts = sent.select("event_id", "body", F.inline(places)).filter("ms is not null")
+    body = F.when(F.col("part") == 1, F.substring("body", 1, 56)).otherwise(F.substring("body", 57, 100))
+    line = F.concat_ws(",", F.lit("!AIVDM,2"), F.col("part").cast("string"), (e % 10).cast("string"), F.when(e % 4 < 2, "A").otherwise("B"), body, F.lit("0*00"))
+    feed = parts.select((e * 10_000 + F.col("ms")).alias("at"), line.alias("value"))
+    out = ais.decoded(assembly.assembled(feed, limit=2_000, width=3_600_000))
+    return out.select(F.col("imo").alias("event_id"), "mmsi", "name", "ship_type")
+
+
 @query(f"""WITH {POINTS_SQL} SELECT mmsi, t, 246 AS supplier, {cell_sql('round(lon, 6)', 'round(lat, 6)')} AS cell, round(sog + 1e-9, 3) AS speed FROM points WHERE k % 2 = 0
 UNION ALL SELECT mmsi, t, 248, {cell_sql('(round(lon * 1e6, 0) / 1e6)', '(round(lat * 1e6, 0) / 1e6)')}, round(trunc(sog * 1000) * (0.001e0 * 0.514444e0 * 10) + 1e-9, 3) FROM points WHERE k % 2 = 1""")
 def parse_supplier_rows(spark, sf_dir):

@@ -12,15 +12,6 @@ SUPPLIER_TABBED, SUPPLIER_COMMA = 246, 248
 KNOT_M_S = 0.514444
 
 
-def assembled(lines: DataFrame, line: str = "value") -> DataFrame:
-    """``payload`` of every complete ``!AIVDM`` message; parts are joined by their sequence and channel, in order."""
-    f = F.split(line, ",")
-    parts = lines.filter(F.col(line).rlike("^!AIVD[MO],")).select(f[1].cast("int").alias("parts"), f[2].cast("int").alias("part"), f[3].alias("sequence"), f[4].alias("channel"), f[5].alias("body"))
-    whole = parts.filter("parts = 1").select(F.col("body").alias("payload"))
-    joined = parts.filter("parts > 1").groupBy("sequence", "channel", "parts").agg(F.sort_array(F.collect_set(F.struct("part", "body"))).alias("p")).filter(F.size("p") == F.col("parts"))
-    return whole.unionByName(joined.select(F.array_join(F.transform("p", lambda x: x["body"]), "").alias("payload")))
-
-
 def _position(bits: Column, lon: int, lat: int) -> tuple[Column, Column]:
     x, y = bits_signed(bits, lon, 28) / 600_000.0, bits_signed(bits, lat, 27) / 600_000.0
     return F.when(F.abs(x) <= 180, x), F.when(F.abs(y) <= 90, y)
