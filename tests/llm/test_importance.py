@@ -85,8 +85,9 @@ def test_pieces_keep_words_whole(monkeypatch):
 
 def test_nodes_continue_their_parents_crc():
     trie = importance.WordTrie()
-    words = [b"a", b"b", b"a", b"b"]
-    trie.add(words, np.zeros(4, np.int64), np.zeros(4, bool))
-    assert trie.crc[trie.child[trie.first[b"a"] << 32 | trie.first[b"b"]]] == zlib.crc32(b"a b")
+    trie.add([b"a", b"b", b"a", b"b"], np.zeros(4, np.int64), np.zeros(4, bool))
+    first, second = trie.levels
+    node = second.numbers[first.numbers[b"a"] << 32 | first.numbers[b"b"]]
+    assert second.crc[node] == zlib.crc32(b"a b") and second.count[node] == 2
     trie.spill()
-    assert trie.totals.sum() == 7 and trie.totals[zlib.crc32(b"a b") % importance.BUCKETS] >= 2 and not trie.crc
+    assert trie.totals.sum() == 7 and trie.totals[zlib.crc32(b"a b") % importance.BUCKETS] >= 2 and not len(trie)

@@ -56,6 +56,38 @@ def pieces(text: bytes, longest: int = LONGEST) -> Iterator[tuple[list[bytes], i
         lead, at = words[-(longest - 1) :] if longest > 1 else [], end
 
 
+class _Numbered(dict):
+    """Numbers keys as they come; ``fresh`` lists those that are new since it was last emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list = []
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        self.fresh.append(key)
+        return number
+
+
+class _Level:
+    """The nodes of one depth: their CRC states, the buckets of those, and how often each was met."""
+
+    def __init__(self, buckets: int):
+        self.numbers, self.buckets = _Numbered(), buckets
+        self.crc: list[int] = []
+        self.bucket = np.zeros(1024, np.int64)
+        self.count = np.zeros(1024, np.int64)
+
+    def grow(self, states: list[int]) -> None:
+        had, now = len(self.crc), len(self.crc) + len(states)
+        self.crc += states
+        if now > len(self.bucket):
+            more = max(now, 2 * len(self.bucket)) - len(self.bucket)
+            self.bucket, self.count = (np.concatenate([x, np.zeros(more, np.int64)]) for x in (self.bucket, self.count))
+        self.bucket[had:now] = np.array(states, np.int64) % self.buckets
+        self.numbers.fresh = []
+
+
 class WordTrie:
     """Runs of up to ``longest`` words.  A child is found under its parent's number and that of its last word alone."""
 
@@ -65,80 +97,58 @@ class WordTrie:
         self.clear()
 
     def clear(self) -> None:
-        self.first: dict[bytes, int] = {}
-        self.child: dict[int, int] = {}
-        self.word: dict[int, bytes] = {}
-        self.crc: list[int] = []
-        self.bucket = np.zeros(1024, np.int32)
-        self.count = np.zeros(1024, np.int64)
+        self.levels = [_Level(self.buckets) for _ in range(self.longest)]
+        self.words: list[bytes] = []
 
-    def _node(self, crc: int) -> int:
-        node = len(self.crc)
-        self.crc.append(crc)
-        if node == len(self.bucket):
-            self.bucket = np.concatenate([self.bucket, np.zeros(node, np.int32)])
-            self.count = np.concatenate([self.count, np.zeros(node, np.int64)])
-        self.bucket[node] = crc % self.buckets
-        return node
+    def __len__(self) -> int:
+        return sum(len(level.crc) for level in self.levels)
 
     def _firsts(self, words: list[bytes]) -> np.ndarray:
-        found = list(map(self.first.get, words))
-        if None in found:
-            for i, node in enumerate(found):
-                if node is None:
-                    word = words[i]
-                    node = self.first.get(word)
-                    if node is None:
-                        node = self.first[word] = self._node(zlib.crc32(word))
-                        self.word[node] = word
-                    found[i] = node
+        level = self.levels[0]
+        found = list(map(level.numbers.__getitem__, words))
+        self.words += level.numbers.fresh
+        level.grow([zlib.crc32(w) for w in level.numbers.fresh])
         return np.array(found, np.int64)
 
-    def _children(self, parents: np.ndarray, lasts: np.ndarray) -> np.ndarray:
-        keys = (parents << 32 | lasts).tolist()
-        found = list(map(self.child.get, keys))
-        if None in found:
-            for i, node in enumerate(found):
-                if node is None:
-                    key = keys[i]
-                    node = self.child.get(key)
-                    if node is None:
-                        node = self.child[key] = self._node(zlib.crc32(b" " + self.word[key & 0xFFFFFFFF], self.crc[key >> 32]))
-                    found[i] = node
+    def _children(self, depth: int, parents: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+        level, above, words = self.levels[depth], self.levels[depth - 1].crc, self.words
+        found = list(map(level.numbers.__getitem__, (parents << 32 | lasts).tolist()))
+        level.grow([zlib.crc32(words[k & 0xFFFFFFFF], zlib.crc32(b" ", above[k >> 32])) for k in level.numbers.fresh])
         return np.array(found, np.int64)
 
-    def walk(self, words: list[bytes], owner: np.ndarray, lead: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The owner and the node of every run that ends at a word outside ``lead``; runs stay within their owner."""
-        if len(self.crc) > MAX_NODES:
+    def walk(self, words: list[bytes], owner: np.ndarray, lead: np.ndarray) -> Iterator[tuple[_Level, np.ndarray, np.ndarray]]:
+        """By depth the owner and the node of every run that ends at a word outside ``lead``; runs stay within their owner."""
+        if len(self) > MAX_NODES:
             self.spill()
         lasts = nodes = self._firsts(words)
-        for length in range(1, self.longest + 1):
-            if length > 1:
-                within = owner[length - 1 :] == owner[: len(owner) - length + 1]
-                grown = np.full(max(0, len(words) - length + 1), -1, np.int64)
-                grown[within] = self._children(nodes[:-1][within], lasts[length - 1 :][within])
+        for depth in range(self.longest):
+            if depth:
+                within = owner[depth:] == owner[: len(owner) - depth]
+                grown = np.full(max(0, len(words) - depth), -1, np.int64)
+                grown[within] = self._children(depth, nodes[:-1][within], lasts[depth:][within])
                 nodes = grown
-            ends = owner[length - 1 :]
-            taken = (nodes >= 0) & ~lead[length - 1 :]
-            yield ends[taken], nodes[taken]
+            taken = (nodes >= 0) & ~lead[depth:]
+            yield self.levels[depth], owner[depth:][taken], nodes[taken]
 
     def spill(self) -> None:
         """Counts go into the totals of their buckets and the trie starts afresh."""
-        n = len(self.crc)
-        np.add.at(self.totals, self.bucket[:n], self.count[:n])
+        for level in self.levels:
+            n = len(level.crc)
+            np.add.at(self.totals, level.bucket[:n], level.count[:n])
         self.clear()
 
     def add(self, words: list[bytes], owner: np.ndarray, lead: np.ndarray) -> None:
-        for _, nodes in self.walk(words, owner, lead):
-            met = np.bincount(nodes, minlength=len(self.crc))
-            self.count[: len(met)] += met
+        for level, _, nodes in self.walk(words, owner, lead):
+            met = np.bincount(nodes, minlength=len(level.crc))
+            level.count[: len(met)] += met
 
     def gained(self, words: list[bytes], owner: np.ndarray, lead: np.ndarray, owners: int) -> tuple[np.ndarray, np.ndarray]:
         """Runs and their summed gains for each of the ``owners``."""
         size, gain = np.zeros(owners, np.int64), np.zeros(owners, np.int64)
-        for who, nodes in self.walk(words, owner, lead):
+        for level, who, nodes in self.walk(words, owner, lead):
             size += np.bincount(who, minlength=owners)
-            np.add.at(gain, who, self.gains[self.bucket[nodes]])
+            # Sums of whole numbers far below 2 ** 53 are exact in doubles.
+            gain += np.bincount(who, weights=self.gains[level.bucket[nodes]], minlength=owners).astype(np.int64)
         return size, gain
 
 
