@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewake.functions.geo import haversine_km
+from tidewake.operators import channels
 from tidewake.operators import planning as pl
 from tidewake.operators import rules
 from tidewake.operators import stops as st
@@ -11,7 +13,7 @@ from tidewake.operators import trajectory as tr
 from tidewake.operators import voyages as vo
 from tidewake.plans.registry import SQL, query
 from tidewake.plans.report_plans import _LEGS
-from tidewake.plans.rule_plans import bridge_rules, channel_nearest, sector_forecast
+from tidewake.plans.rule_plans import _LATEST_SQL, bridge_rules
 from tidewake.sources.fixtures import POINTS_SQL, POLYGONS_SQL, haversine_sql, points, polygons, table
 
 TYPES = ("bulk", "tanker", "container")
@@ -130,14 +132,41 @@ def bridge_hole_counts(spark, sf_dir):
     return pl.hole_counts(polygons(spark), bridge_rules(spark, sf_dir))
 
 
-@query(f"""WITH f AS ({SQL['sector_forecast']}), c AS ({SQL['channel_nearest']}), m AS (SELECT f.mmsi, 70 + f.mmsi % 3 AS ship_type, enter_s, leave_s FROM f JOIN c USING (mmsi) WHERE channel_km < 60),
-s AS (SELECT *, unnest([1, 3, 5, 7, 9]) AS slot FROM m)
-SELECT ship_type, CAST(slot AS BIGINT) AS slot, count(*) AS n, string_agg(CAST(mmsi AS VARCHAR), ',' ORDER BY mmsi) AS ships FROM s WHERE slot BETWEEN enter_s // 1800 AND leave_s // 1800 GROUP BY ship_type, slot""")
+_CHANNELS_SQL = f"""model AS (SELECT site // 7 AS channel_id, site % 7 AS seq, min(lon) AS lon, min(lat) + 0.004e0 AS lat, 2400.0e0 * (site % 7) + 60 * (site // 7) AS run_s,
+  {haversine_sql('min(lon)', 'min(lat)', '122.5e0', '30.5e0')} < 60 AS inside FROM points GROUP BY site),
+ahead AS (SELECT *, lead(lon) OVER w AS lon_2, lead(lat) OVER w AS lat_2, lead(run_s) OVER w AS run_2, cos(radians(lat)) AS scale FROM model WINDOW w AS (PARTITION BY channel_id ORDER BY seq)),
+piece AS (SELECT *, (degrees(atan2(sin(radians(lon_2) - radians(lon)) * cos(radians(lat_2)), cos(radians(lat)) * sin(radians(lat_2)) - sin(radians(lat)) * cos(radians(lat_2)) * cos(radians(lon_2) - radians(lon)))) + 720) % 360 AS course FROM ahead WHERE lon_2 IS NOT NULL),
+foot AS (SELECT l.mmsi, l.lon, l.lat, p.channel_id, p.seq, p.lon AS x1, p.lat AS y1, lon_2, lat_2, run_s, run_2,
+  least(greatest(((l.lon - p.lon) * scale * (lon_2 - p.lon) * scale + (l.lat - p.lat) * (lat_2 - p.lat)) / (pow((lon_2 - p.lon) * scale, 2) + pow(lat_2 - p.lat, 2)), 0), 1) AS f
+  FROM latest l CROSS JOIN piece p WHERE least(abs(cog - course), 360 - abs(cog - course)) < 90),
+near AS (SELECT mmsi, channel_id, seq, {haversine_sql('lon', 'lat', '(x1 + (lon_2 - x1) * f)', '(y1 + (lat_2 - y1) * f)')} AS km, round(run_s + (run_2 - run_s) * f, 3) AS now_s FROM foot),
+placed AS (SELECT * FROM near WHERE km < 1.5e0 QUALIFY row_number() OVER (PARTITION BY mmsi ORDER BY km, channel_id, seq) = 1),
+own AS (SELECT mmsi, channel_id, gate_in - now_s AS enter_s, gate_out - now_s AS leave_s FROM placed JOIN (SELECT channel_id, min(run_s) AS gate_in, max(run_s) AS gate_out FROM model WHERE inside GROUP BY channel_id) USING (channel_id) WHERE gate_in > now_s AND gate_out > now_s),
+free AS ({SQL['sector_forecast']}),
+forecast AS (SELECT * FROM own UNION ALL SELECT mmsi, NULL, enter_s, leave_s FROM free WHERE mmsi NOT IN (SELECT mmsi FROM own))"""
+
+
+def _channel_forecast(spark, sf_dir):
+    """Ships against five channels, one through each row of sites, whose vertices come from the points themselves."""
+    at, p = F.col("site"), points(spark, sf_dir)
+    inside = haversine_km("lon", "lat", F.lit(122.5), F.lit(30.5)) < 60
+    seen = p.groupBy("site").agg(F.min("lon").alias("lon"), F.min("lat").alias("lat")).withColumn("inside", inside)
+    model = seen.select(F.floor(at / 7).alias("channel_id"), (at % 7).alias("seq"), "lon", (F.col("lat") + 0.004).alias("lat"), (2400.0 * (at % 7) + 60 * F.floor(at / 7)).alias("run_s"), "inside")
+    return channels.forecast(tr.latest_position(p, "lon", "lat", "cog", "sog"), model, 122.5, 30.5, 60.0, F.col("sog") / 10 + 10)
+
+
+@query(f"WITH {POINTS_SQL}, {_LATEST_SQL}, {_CHANNELS_SQL} SELECT mmsi, channel_id, round(enter_s, 2) AS enter_s, round(leave_s, 2) AS leave_s FROM forecast")
+def channel_forecast(spark, sf_dir):
+    """When each ship enters and leaves the circle ahead: by its channel's own times, or by course and speed without one."""
+    return _channel_forecast(spark, sf_dir).withColumns({"enter_s": F.round("enter_s", 2), "leave_s": F.round("leave_s", 2)})
+
+
+@query(f"""WITH {POINTS_SQL}, {_LATEST_SQL}, {_CHANNELS_SQL}, s AS (SELECT 70 + mmsi % 3 AS ship_type, mmsi, unnest([1, 3, 5, 7, 9]) AS slot, floor(enter_s / 600) AS a, floor(leave_s / 600) AS b FROM forecast)
+SELECT ship_type, CAST(slot AS BIGINT) AS slot, count(*) AS n, string_agg(CAST(mmsi AS VARCHAR), ',' ORDER BY mmsi) AS ships FROM s WHERE slot BETWEEN a AND b GROUP BY ship_type, slot""")
 def traffic_forecast(spark, sf_dir):
-    """Ships near the channel model, when they enter and leave the circle ahead, and how many of each type a slot holds."""
-    near = channel_nearest(spark, sf_dir).filter("channel_km < 60").select("mmsi")
-    ahead = sector_forecast(spark, sf_dir).join(near, "mmsi").withColumn("ship_type", F.lit(70) + F.col("mmsi") % 3)
-    return rules.slot_counts(ahead, slot_s=1800)
+    """How many ships of each type the circle holds in each slot of ten minutes, along channels and without."""
+    ahead = _channel_forecast(spark, sf_dir).select("mmsi", (F.lit(70) + F.col("mmsi") % 3).alias("ship_type"), F.floor("enter_s").alias("enter_s"), F.floor("leave_s").alias("leave_s"))
+    return rules.slot_counts(ahead, slot_s=channels.SLOT_S)
 
 
 @query(f"""{_LEGS}, s AS (SELECT *, {haversine_sql('lag(lon) OVER w', 'lag(lat) OVER w', 'lon', 'lat')} AS step FROM met WINDOW w AS (PARTITION BY mmsi, stop ORDER BY t, event_id)),
