@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewake.functions.geo import acute_difference, approaching, compass_bearing, haversine_km, sector_times
 from tidewake.functions.text import reasons
-from tidewake.operators.spatial import points_in_polygons, ports_in_reach, small
+from tidewake.operators.spatial import nearest_by_rings, points_in_polygons, small
 
 BANDS = 1024
 
@@ -72,15 +72,8 @@ def bridge_passage(latest: DataFrame, holes: DataFrame, ships: DataFrame, weathe
 def nearest_channel_point(latest: DataFrame, channel: DataFrame) -> DataFrame:
     """The nearest point of a channel model whose course differs by less than 90 degrees; ``channel`` has ``channel_id, c_lon, c_lat, c_cog``."""
     gap = F.abs(F.col("cog") - F.col("c_cog"))
-    along = F.least(gap, 360 - gap) < 90
-    best = F.min(F.struct("km", "channel_id")).alias("best")
-    named = channel.withColumnsRenamed({"channel_id": "port", "c_lon": "port_lon", "c_lat": "port_lat"})
-    close = ports_in_reach(latest, named).filter(along).select("mmsi", F.col("port_km").alias("km"), F.col("port").alias("channel_id"))
-    near = close.groupBy("mmsi").agg(best)
-    # Ships without a point in reach, few where a channel is modelled, look at all of its points.
-    rest = latest.join(near, "mmsi", "left_anti").join(small(channel), along)
-    far = rest.select("mmsi", haversine_km("lon", "lat", "c_lon", "c_lat").alias("km"), "channel_id").groupBy("mmsi").agg(best)
-    return near.unionByName(far).select("mmsi", F.col("best.channel_id").alias("channel_id"), F.col("best.km").alias("channel_km"))
+    found = nearest_by_rings(latest.select("mmsi", "lon", "lat", "cog"), channel, ["channel_id"], F.least(gap, 360 - gap) < 90, ("c_lon", "c_lat"))
+    return found.filter("best is not null").select("mmsi", F.col("best.channel_id").alias("channel_id"), F.col("best.km").alias("channel_km"))
 
 
 def sector_forecast(latest: DataFrame, lon: float, lat: float, radius_km: float, speed_kmh: Column) -> DataFrame:
