@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +28,11 @@ def latest_in_window(stream: DataFrame, late: str = "10 minutes", width: str = "
 
 
 def circle_counts(stream: DataFrame, lon: float, lat: float, radius_km: float, width: str = "10 minutes", late: str = "10 minutes") -> DataFrame:
-    """About how many ships were in a circle, per tumbling window."""
+    """How many ships were in a circle, per tumbling window, exactly: one state keeps each window's ships, a second one counts them once the window is past."""
     near = stream.withWatermark("ts", late).filter(haversine_km("lon", "lat", F.lit(lon), F.lit(lat)) < radius_km)
-    return near.groupBy(F.window("ts", width)).agg(F.approx_count_distinct("mmsi", 0.01).alias("n_ships")).select(F.col("window.start").alias("window_start"), "n_ships")
+    ships = near.groupBy(F.window("ts", width), "mmsi").agg(F.count(F.lit(1)).alias("n_points"))
+    counted = ships.groupBy(F.window(F.window_time("window"), width).alias("slot")).agg(F.count(F.lit(1)).alias("n_ships"), F.sum("n_points").alias("n_points"))
+    return counted.select(F.col("slot.start").alias("window_start"), "n_ships", "n_points")
 
 
 def sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
@@ -43,48 +46,81 @@ def changed_only(stream: DataFrame, keys: list[str], late: str = "1 day") -> Dat
 
 
 _STOP = "mmsi long, stop long, begin_t long, end_t long, point_num long"
-_STATE = "stop long, is_open boolean, west double, east double, south double, north double, t long, lon double, lat double, begin_t long, point_num long"
+_STATE = "fold string, waiting string"
+
+
+class _Ship:
+    """The scan of one ship between micro-batches: the fold's few numbers, the open stop, and the points that the watermark has not passed."""
+
+    def __init__(self, max_speed: float, max_diagonal: float, state: tuple[str, str] | None):
+        self.fold, self.begin, self.size, self.waiting = _Fold(max_speed, max_diagonal), None, 0, []
+        if state is not None:
+            self.waiting = json.loads(state[1])
+            if state[0]:
+                self.fold.stop, self.fold.open, box, last, self.begin, self.size = json.loads(state[0])
+                self.fold.box, self.fold.last = tuple(box), tuple(last)
+
+    def state(self) -> tuple[str, str]:
+        f = self.fold
+        numbers = json.dumps([f.stop, f.open, f.box, f.last, self.begin, self.size]) if f.last is not None else ""
+        return numbers, json.dumps(self.waiting)
+
+    def passed(self, until: float) -> list[tuple]:
+        """Points no later than ``until`` go through the fold in order of time; the stops that end thereby."""
+        ready = sorted(x for x in self.waiting if x[0] <= until)
+        self.waiting = [x for x in self.waiting if x[0] > until]
+        out, fold = [], self.fold
+        if not ready:
+            return out
+        line = ([list(fold.last[1:])] if fold.last is not None else []) + [x[2:] for x in ready]
+        km = _pair_km(np.array([x for x, _ in line]), np.array([y for _, y in line])).tolist() if len(line) > 1 else []
+        km = km if fold.last is not None else [None, *km]
+        for (t, _, lon, lat), d in zip(ready, km, strict=True):
+            before, was_open, number = fold.last, fold.last is not None and fold.open, fold.stop
+            fold.feed(t, lon, lat, d)
+            if was_open and fold.stop != number:
+                out.append((number, self.begin, before[0], self.size))
+            if fold.open:
+                same = was_open and fold.stop == number
+                self.begin, self.size = (self.begin, self.size + 1) if same else (before[0], 2)
+        return out
+
+    def closed(self) -> list[tuple]:
+        return [(self.fold.stop, self.begin, self.fold.last[0], self.size)] if self.fold.last is not None and self.fold.open else []
 
 
-def stop_stream(stream: DataFrame, max_speed_mm_s: float = MAX_SPEED_MM_S, max_diagonal_mm: float = MAX_DIAGONAL_MM, quiet: str | None = None) -> DataFrame:
-    """Stops of each ship over all micro-batches: the scan's few numbers are the state, so a stop goes on over midnight and over batches.
+def stop_stream(stream: DataFrame, max_speed_mm_s: float = MAX_SPEED_MM_S, max_diagonal_mm: float = MAX_DIAGONAL_MM, late: str = "10 minutes", quiet_s: int | None = None) -> DataFrame:
+    """Stops of each ship over all micro-batches, as the batch scan finds them, for points that come up to ``late`` out of order.
 
-    A stop is emitted once it has ended.  With ``quiet`` a ship without points for that long closes its
-    stop.  Points of a ship that arrive in a later batch than newer ones are taken as they come.
+    The scan's few numbers are the state, so a stop goes on over midnight and over batches; points wait in it until the
+    watermark has passed them and are then taken in order of time and ``event_id``.  A timer at the earliest
+    waiting point wakes ships that send nothing more.  Points later than ``late`` are dropped by the watermark.  A stop is
+    emitted once it has ended; with ``quiet_s`` also when the watermark is so many seconds past the ship's last point, and the ship
+    starts afresh.  ``stream`` has ``mmsi, event_id, t, lon, lat`` with ``t`` in seconds.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        fold, begin, size = _Fold(max_speed_mm_s, max_diagonal_mm), None, 0
-        if state.exists:
-            fold.stop, fold.open, *box, t, lon, lat, begin, size = state.get
-            fold.box, fold.last = tuple(box), (t, lon, lat)
-        out = []
-        if state.hasTimedOut:
-            if fold.open:
-                out.append((key[0], fold.stop, begin, fold.last[0], size))
+        ship = _Ship(max_speed_mm_s, max_diagonal_mm, state.get if state.exists else None)
+        if not state.hasTimedOut:
+            rows = pd.concat(list(frames))
+            ship.waiting += [list(x) for x in zip(*[rows[c].tolist() for c in ("t", "event_id", "lon", "lat")], strict=True)]
+        now = state.getCurrentWatermarkMs()
+        out = ship.passed(now / 1000)
+        wake = min((x[0] for x in ship.waiting), default=None)
+        if wake is None and quiet_s is not None and ship.fold.last is not None:
+            wake = ship.fold.last[0] + quiet_s
+            if wake * 1000 <= now:
+                out, wake = out + ship.closed(), None
+        if wake is None and quiet_s is not None:
             state.remove()
         else:
-            rows = pd.concat(list(frames)).sort_values(["t", "event_id"])
-            lon, lat = rows["lon"].to_numpy(), rows["lat"].to_numpy()
-            first = fold.last
-            if first is not None:
-                lon, lat = [first[1], *lon], [first[2], *lat]
-            km = [*([None] if first is None else []), *_pair_km(np.asarray(lon), np.asarray(lat)).tolist()] if len(lon) > 1 else [None]
-            for t, x, y, d in zip(rows["t"].tolist(), rows["lon"].tolist(), rows["lat"].tolist(), km, strict=True):
-                before, was_open, number = fold.last, fold.last is not None and fold.open, fold.stop
-                fold.feed(t, x, y, d)
-                if was_open and fold.stop != number:
-                    out.append((key[0], number, begin, before[0], size))
-                if fold.open:
-                    same = was_open and fold.stop == number
-                    begin, size = (begin, size + 1) if same else (before[0], 2)
-            state.update((fold.stop, fold.open, *map(float, fold.box), int(fold.last[0]), float(fold.last[1]), float(fold.last[2]), begin, size))
-            if quiet:
-                state.setTimeoutDuration(quiet)
-        yield pd.DataFrame(out, columns=["mmsi", "stop", "begin_t", "end_t", "point_num"])
-
-    timeout = GroupStateTimeout.ProcessingTimeTimeout if quiet else GroupStateTimeout.NoTimeout
-    return stream.groupBy("mmsi").applyInPandasWithState(step, _STOP, _STATE, "append", timeout)
+            state.update(ship.state())
+            if wake is not None:
+                state.setTimeoutTimestamp(max(wake * 1000, now + 1))
+        yield pd.DataFrame([(key[0], *x) for x in out], columns=["mmsi", "stop", "begin_t", "end_t", "point_num"])
+
+    timed = stream.withColumn("_at", F.timestamp_seconds("t")).withWatermark("_at", late)
+    return timed.groupBy("mmsi").applyInPandasWithState(step, _STOP, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def caught_up(frame: DataFrame, path: str, seen: str, fmt: str = "parquet") -> None:
