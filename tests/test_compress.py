@@ -113,7 +113,7 @@ def test_unknown_methods_and_spans(spark):
     assert compress.compressed(p, 50.0, "dp", None, span_s=3 * 86_400).count() == 7
 
 
-@pytest.mark.parametrize("method", ["dp", "ddp"])
+@pytest.mark.parametrize("method", compress.METHODS)
 def test_long_pieces_are_split_where_the_method_does(spark, method):
     rng = np.random.default_rng(9)
     rows = []
@@ -126,3 +126,12 @@ def test_long_pieces_are_split_where_the_method_does(spark, method):
     whole = sorted(r["event_id"] for r in compress.compressed(p, 300.0, method, None).collect())
     parted = sorted(r["event_id"] for r in compress.compressed(p, 300.0, method, None, longest=40).collect())
     assert parted == whole and 20 < len(whole) < 300
+    # Cut at spans of time as well, and in batches that split pieces.
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "7")
+    try:
+        small = [sorted(r["event_id"] for r in compress.compressed(p, 300.0, method, None, span_s=3000, longest=n).collect()) for n in (compress.LONGEST, 25)]
+    finally:
+        spark.conf.set(batch, before)
+    assert small[0] == small[1] and len(small[0]) > len(whole)

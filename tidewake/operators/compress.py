@@ -1,18 +1,17 @@
 """Trajectory compression: Douglas-Peucker by height, by time-weighted height, by changes of state and by projection.
 
-Tracks are dealt by ship, sorted once, and cut where the speed crosses a threshold; each cut piece is
+Tracks are dealt by ship, sorted once, and cut where the speed crosses a threshold, or at spans of time; each cut piece is
 compressed with an explicit stack.  The ends of every piece stay.  A piece is held by one task, up to
-``LONGEST`` points: longer ones are split before at the point where the method splits them first, which
-joins and aggregates find, and so on until all are short.  That needs heights by point, so ``dp`` and
-``ddp`` have it; for the other two, whose choice depends on the points before, ``span_s`` cuts tracks that
-may outgrow a task at fixed spans of time, and the ends of the spans stay, too.
+``LONGEST`` points: longer ones are split before at the point where the method splits them first, and so on until all are
+short.  For ``dp`` and ``ddp`` that point is the highest one; for ``sdp`` and ``qdp`` it is the highest of those at which the
+track turns, which a window over the part tells from the points beside.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.geo import EARTH_KM, KM_PER_DEGREE, haversine_km
@@ -147,26 +146,96 @@ def _heights(method: str) -> Column:
     return F.when(base > 0, 2 * area / base).otherwise(from_a)
 
 
+def _km_between(lon1: str, lat1: str, lon2: str, lat2: str) -> Column:
+    """Great-circle distance, not rounded, as the kernels have it."""
+    x1, y1, x2, y2 = (F.radians(F.col(name)) for name in (lon1, lat1, lon2, lat2))
+    a = F.pow(F.sin((y1 - y2) / 2), 2) + F.cos(y1) * F.cos(y2) * F.pow(F.sin((x1 - x2) / 2), 2)
+    return 2 * F.asin(F.sqrt(a)) * EARTH_KM
+
+
+def _cross(u: tuple, v: tuple) -> tuple:
+    return u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]
+
+
+def _dot(u: tuple, v: tuple) -> Column:
+    return u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
+
+
+def _standing_heights(met: DataFrame, metres: float) -> DataFrame:
+    """``met`` with ``h``, over 1 where a point stands beyond the limit at a turn of its projection."""
+    w = Window.partitionBy(*_PART).orderBy("t", "event_id")
+    scale = F.cos(F.radians((F.col("a.lat") + F.col("b.lat")) / 2))
+    seconds = F.greatest(F.col("b.t") - F.col("a.t"), F.lit(1)).cast("double")
+    far_x, far_y = F.col("b.lon") - F.col("a.lon"), F.col("b.lat") - F.col("a.lat")
+    met = met.withColumn("weight", F.greatest(F.hypot(far_x * scale, far_y) / seconds, F.lit(LEAST_KM_S / KM_PER_DEGREE)))
+    line = (far_x, far_y, seconds * F.col("weight"))
+    track = ((F.col("lon") - F.col("a.lon")) * scale, F.col("lat") - F.col("a.lat"), (F.col("t") - F.col("a.t")) * F.col("weight"))
+    met = met.withColumns({f"seen{i}": part for i, part in enumerate(_cross(track, line))}).withColumn("reach", line[2])
+    seen = tuple(F.col(f"seen{i}") for i in range(3))
+    met = met.withColumns({**{f"back{i}": F.lag(seen[i]).over(w) for i in range(3)}, **{f"next{i}": F.lead(seen[i]).over(w) for i in range(3)}, "place": F.row_number().over(w)})
+    back = tuple(-(seen[i] - F.col(f"back{i}")) for i in range(3))
+    ahead = tuple(F.col(f"next{i}") - seen[i] for i in range(3))
+    # The first inner point has nothing to come back from.
+    turns = ((F.col("place") == 2) | (_dot(back, seen) <= 0)) & (_dot(ahead, seen) < 0)
+    height = _dot(seen, seen) / F.pow(F.lit(metres / 1000 / KM_PER_DEGREE) * F.col("reach"), F.lit(2))
+    out = met.withColumn("h", F.when(turns, height).otherwise(0.0))
+    return out.drop("weight", "reach", "place", *[f"{x}{i}" for x in ("seen", "back", "next") for i in range(3)])
+
+
+def _turning_heights(met: DataFrame, metres: float) -> DataFrame:
+    """``met`` with ``h``, over 1 where a point is beyond the limit at a change between going away and coming back."""
+    w = Window.partitionBy(*_PART).orderBy("t", "event_id")
+    scale = F.cos(F.radians((F.col("a.lat") + F.col("b.lat")) / 2))
+    whole = F.col("b.t") - F.col("a.t")
+    met = met.withColumn("base_mm", _km_between("a.lon", "a.lat", "b.lon", "b.lat") * 1e6)
+    met = met.withColumn("weight", F.greatest(F.col("base_mm") / F.greatest(whole, F.lit(1)), F.lit(LEAST_MM_S)))
+    weight = F.col("weight")
+    line = ((F.col("b.lon") - F.col("a.lon")) * scale, F.col("b.lat") - F.col("a.lat"), whole * weight)
+    track = ((F.col("lon") - F.col("a.lon")) * scale, F.col("lat") - F.col("a.lat"), (F.col("t") - F.col("a.t")) * weight)
+    met = met.withColumns({f"at{i}": part for i, part in enumerate(track)})
+    at = tuple(F.col(f"at{i}") for i in range(3))
+    met = met.withColumns({f"next{i}": F.lead(at[i]).over(w) for i in range(3)})
+    ahead = tuple(F.col(f"next{i}") - at[i] for i in range(3))
+    met = met.withColumn("sign", F.signum(_dot(_cross(at, line), _cross(ahead, line))))
+    before = F.last(F.nullif(F.col("sign"), F.lit(0.0)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    met = met.withColumn("before", F.coalesce(before, F.lit(1.0)))
+    from_a = F.hypot(_km_between("a.lon", "a.lat", "lon", "lat") * 1e6, (F.col("t") - F.col("a.t")) * weight)
+    to_b = F.hypot(_km_between("lon", "lat", "b.lon", "b.lat") * 1e6, (F.col("b.t") - F.col("t")) * weight)
+    base = F.hypot(F.col("base_mm"), whole * weight)
+    s = (from_a + to_b + base) / 2
+    height = F.when(base > 0, 2 * F.sqrt(F.greatest(s * (s - from_a) * (s - to_b) * (s - base), F.lit(0.0))) / base).otherwise(from_a)
+    turns = (F.col("sign") != 0) & (F.col("sign") != F.col("before"))
+    out = met.withColumn("h", F.when(turns, height / (metres * 1000)).otherwise(0.0))
+    return out.drop("base_mm", "weight", "sign", "before", *[f"{x}{i}" for x in ("at", "next") for i in range(3)])
+
+
+def _scored(met: DataFrame, metres: float, method: str) -> DataFrame:
+    """``met``, points with the ends ``a`` and ``b`` of their part, and ``h``: their height in limits where the method may split there."""
+    if method == "qdp":
+        return _standing_heights(met, metres)
+    if method == "sdp":
+        return _turning_heights(met, metres)
+    return met.withColumn("h", _heights(method) / (metres / 1000))
+
+
 def _parted(pieces: DataFrame, metres: float, method: str, longest: int) -> DataFrame:
     """``pieces`` in parts of ``longest`` points at most that no later step changes: ``low_t, low_id``, and ``again`` at the start of a later part."""
     whole = pieces.withColumns({"low_t": F.lit(-1 << 62), "low_id": F.lit(-1 << 62), "again": F.lit(False)})
     long = pieces.groupBy(*_PIECE).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > longest).drop("n")
-    if method not in ("dp", "ddp") or long.isEmpty():
-        return whole
     out, todo = whole.join(long, list(_PIECE), "left_anti"), checkpointed(whole.join(long, list(_PIECE), "left_semi"))
     place = F.struct("t", "event_id")
     while True:
         point = F.struct("t", "event_id", "lon", "lat")
         ends = todo.groupBy(*_PART).agg(F.min(point).alias("a"), F.max(point).alias("b"), F.count(F.lit(1)).alias("n"))
         out = out.unionByName(todo.join(ends.filter(F.col("n") <= longest).select(*_PART), list(_PART), "left_semi"))
-        big = checkpointed(ends.filter(F.col("n") > longest))
+        big = checkpointed(ends.filter(F.col("n") > longest).drop("n"))
         if big.isEmpty():
             return out
         met = todo.join(big, list(_PART))
-        inner = met.filter((place > F.struct("a.t", "a.event_id")) & (place < F.struct("b.t", "b.event_id")))
-        best = inner.groupBy(*_PART).agg(F.max(F.struct(_heights(method).alias("h"), (-F.col("t")).alias("t"), (-F.col("event_id")).alias("id"))).alias("best"))
+        inner = _scored(met, metres, method).filter((place > F.struct("a.t", "a.event_id")) & (place < F.struct("b.t", "b.event_id")))
+        best = inner.groupBy(*_PART).agg(F.max(F.struct("h", (-F.col("t")).alias("t"), (-F.col("event_id")).alias("id"))).alias("best"))
         met = met.join(best, list(_PART), "left")
-        split = F.coalesce(F.col("best.h") > metres / 1000, F.lit(False))
+        split = F.coalesce(F.col("best.h") > 1, F.lit(False))
         cut = F.struct((-F.col("best.t")).alias("t"), (-F.col("best.id")).alias("event_id"))
         columns = todo.columns
         flat = met.filter(~split & ((place == F.struct("a.t", "a.event_id")) | (place == F.struct("b.t", "b.event_id")))).select(*columns)
@@ -176,42 +245,64 @@ def _parted(pieces: DataFrame, metres: float, method: str, longest: int) -> Data
         todo = checkpointed(left.unionByName(right))
 
 
-def _kernel(metres: float, method: str, columns: list[str]):
+def _kernel(metres: float, method: str, columns: list[str], keys: tuple[str, ...]):
+    """Rows sorted by piece and time in, those that stay out; a batch's pieces are compressed over its columns, of one or two points none."""
+
     def run(batches):
         held: list[pa.RecordBatch] = []
 
-        def piece(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            rows = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
-            t, lon, lat, again = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("t", "lon", "lat", "again"))
-            return rows.filter(pa.array(kept(t, lon, lat, metres, method) & ~again)).select(columns)
-
-        last = None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in _PART], 1)
-            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            edges = [0, *cuts.tolist(), len(keys)]
-            for a, b in zip(edges, edges[1:], strict=False):
-                key = tuple(keys[a])
-                if key != last and held:
-                    yield piece(held)
-                    held = []
-                last = key
-                held.append(batch.slice(a, b - a))
+        def key_columns(batch: pa.RecordBatch) -> np.ndarray:
+            return np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in keys], 1)
+
+        def pieces(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            rows = parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+            by = key_columns(rows)
+            edges = np.concatenate([[0], np.flatnonzero((by[1:] != by[:-1]).any(axis=1)) + 1, [len(by)]])
+            t, lon, lat = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("t", "lon", "lat"))
+            keep = np.ones(len(by), bool)
+            for i in np.flatnonzero(np.diff(edges) > 2).tolist():
+                a, b = edges[i], edges[i + 1]
+                keep[a:b] = kept(t[a:b], lon[a:b], lat[a:b], metres, method)
+            if "again" in rows.schema.names:
+                keep &= ~rows.column("again").to_numpy(zero_copy_only=False)
+            return rows.filter(pa.array(keep)).select(columns)
+
+        for batch in (b for b in batches if b.num_rows):
+            by = key_columns(batch)
+            cuts = np.flatnonzero((by[1:] != by[:-1]).any(axis=1)) + 1
+            if held and (by[0] != key_columns(held[0].slice(0, 1))[0]).any():
+                cuts = np.concatenate([[0], cuts])
+            if len(cuts):
+                # The last piece of the batch may go on in the next one.
+                done = [*held, *([batch.slice(0, cuts[-1])] if cuts[-1] else [])]
+                if done:
+                    yield pieces(done)
+                held = [batch.slice(cuts[-1])]
+            else:
+                held.append(batch)
         if held:
-            yield piece(held)
+            yield pieces(held)
 
     return run
 
 
 def compressed(points: DataFrame, metres: float, method: str = "qdp", cut_mm_s: float | None = 300.0, span_s: int | None = None, longest: int = LONGEST) -> DataFrame:
     """The rows of ``points`` that stay, pieces cut at speed crossings (or not, with ``cut_mm_s`` None) and at spans of time where ``span_s`` is given."""
+    if method not in METHODS:
+        raise ValueError(f"method has to be one of {METHODS}")
     columns = points.columns
     cut = speed_cut(points, cut_mm_s) if cut_mm_s is not None else points.withColumn("segment", F.lit(0).cast("long"))
     span = F.expr(f"t div {span_s}") if span_s else F.lit(0).cast("long")
     keyed = cut.select(*columns, span.alias("span"), F.col("segment"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
-    parts = _parted(keyed, metres, method, longest)
-    return parts.repartition(*_PART).sortWithinPartitions(*_PART, "t", "event_id").mapInArrow(_kernel(metres, method, columns), fields)
+    if points.groupBy("mmsi").count().filter(F.col("count") > longest).isEmpty():
+        # Where no ship is long no piece is, and the order in which the cuts were found is that of the pieces.
+        dealt, keys = keyed if cut_mm_s is not None else keyed.repartition("mmsi"), _PIECE
+        ordered = dealt.sortWithinPartitions("mmsi", "t", "event_id")
+    else:
+        dealt, keys = _parted(keyed, metres, method, longest).repartition(*_PART), _PART
+        ordered = dealt.sortWithinPartitions(*_PART, "t", "event_id")
+    return ordered.mapInArrow(_kernel(metres, method, columns, keys), fields)
 
 
 def deviation(before: DataFrame, after: DataFrame) -> DataFrame:
