@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions.geo import c
@@ -162,3 +162,8 @@ def text_bits(text, characters: int) -> Column:
     """Six-bit text, filled up with ``@``."""
     padded = F.rpad(F.upper(c(text)), characters, "@")
     return F.array_join(F.transform(F.split(padded, ""), lambda ch: F.when(ch != "", F.lpad(F.bin((F.instr(F.lit(SIX_BIT_TEXT), ch) - 1).cast("long")), 6, "0")).otherwise("")), "")
+
+
+def parsed_once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """``rows`` with ``columns`` worked out once a row: a later filter or field does not write the expression out again."""
+    return rows.select("*", F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))))

@@ -205,7 +205,7 @@ def ais_reassembly(spark, sf_dir):
     body = F.when(F.col("part") == 1, F.substring("body", 1, 56)).otherwise(F.substring("body", 57, 100))
     line = F.concat_ws(",", F.lit("!AIVDM,2"), F.col("part").cast("string"), (e % 10).cast("string"), F.when(e % 4 < 2, "A").otherwise("B"), body, F.lit("0*00"))
     feed = parts.select((e * 10_000 + F.col("ms")).alias("at"), line.alias("value"))
-    out = ais.decoded(assembly.assembled(feed, limit=2_000, width=3_600_000))
+    out = ais.decoded(assembly.assembled(feed, limit=2_000, width=86_400_000))
     return out.select(F.col("imo").alias("event_id"), "mmsi", "name", "ship_type")
 
 

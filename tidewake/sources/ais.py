@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions.geo import c, cell_id
-from tidewake.functions.text import armour_bits, bits_signed, bits_text, bits_unsigned
+from tidewake.functions.text import armour_bits, bits_signed, bits_text, bits_unsigned, parsed_once
 
 SUPPLIER_TABBED, SUPPLIER_COMMA = 246, 248
 KNOT_M_S = 0.514444
@@ -69,9 +69,8 @@ def _thr(mmsi, t, supplier, source, status, lon, lat, speed, cog, head, rot, acc
 
 def tabbed_supplier(lines: DataFrame, line: str = "value") -> DataFrame:
     """Tab-separated rows: the second column ``mmsi time``, the fourth ``status@rot@speed@accuracy@lon@lat@cog@head…@type``; header and broken rows are dropped."""
-    split = lines.filter(~F.contains(F.col(line), F.lit("value"))).select(F.split(line, "\t").alias("f"))
-    split = split.filter(F.size("f") >= 4).select(F.split(F.get("f", F.lit(1)), " ").alias("who"), F.split(F.get("f", F.lit(3)), "@").alias("d"))
-    rows = split.filter((F.size("d") >= 8) & (F.size("who") >= 2))
+    split = parsed_once(lines.filter(~F.contains(F.col(line), F.lit("value"))).select(line), f=F.split(line, "\t")).filter(F.size("f") >= 4)
+    rows = parsed_once(split, who=F.split(F.get("f", F.lit(1)), " "), d=F.split(F.get("f", F.lit(3)), "@")).filter((F.size("d") >= 8) & (F.size("who") >= 2))
     who, d = F.col("who"), F.col("d")
     lon, lat = d[4].try_cast("double"), d[5].try_cast("double")
     out = rows.select(*_thr(who[0], who[1], SUPPLIER_TABBED, 0, d[0], lon, lat, d[2].try_cast("double"), d[6], d[7], d[1], d[3]), F.element_at(d, -1).try_cast("int").alias("ship_type"))
@@ -80,7 +79,7 @@ def tabbed_supplier(lines: DataFrame, line: str = "value") -> DataFrame:
 
 def comma_supplier(lines: DataFrame, line: str = "value", rescale: bool = True) -> DataFrame:
     """Comma-separated rows of 15 fields, the fourth of them dropped, the speed in thousandths of a knot rescaled."""
-    rows = lines.filter(~F.contains(F.col(line), F.lit("longitude"))).select(F.split(line, ",").alias("f")).filter(F.size("f") >= 15)
+    rows = parsed_once(lines.filter(~F.contains(F.col(line), F.lit("longitude"))).select(line), f=F.split(line, ",")).filter(F.size("f") >= 15)
     f = F.col("f")
     lon, lat = f[6].try_cast("double") / 1e6, f[7].try_cast("double") / 1e6
     speed = f[9].try_cast("double") * (0.001 * KNOT_M_S * 10 if rescale else 1.0)

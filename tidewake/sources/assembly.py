@@ -21,7 +21,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-LIMIT, SLICE = 60, 3600
+from tidewake.functions.text import parsed_once
+
+LIMIT, SLICE = 60, 86_400
 KEY = ["receiver", "channel", "sequence", "parts"]
 
 
@@ -58,9 +60,9 @@ def sentences(datagrams: DataFrame, order: str = "at", value: str = "value") ->
 
 def fields(lines: DataFrame, at: Column, value: str = "value", receiver: str | None = None, carried: list[str] | None = None) -> DataFrame:
     """The parts of ``!AIVDM`` and ``!AIVDO`` sentences; others, and those whose numbers make no sense, are left out."""
-    f = F.split(value, ",")
     number = F.col("line_no").cast("long") if "line_no" in lines.columns else F.lit(0).cast("long")
-    rows = lines.filter(F.col(value).rlike("^!AIVD[MO],") & (F.size(f) >= 6)).select(
+    f = F.col("_fields")
+    rows = parsed_once(lines.filter(F.col(value).rlike("^!AIVD[MO],")), _fields=F.split(value, ",")).filter(F.size(f) >= 6).select(
         *(carried or []), (F.col(receiver).cast("string") if receiver else F.lit("")).alias("receiver"), F.get(f, F.lit(4)).alias("channel"), F.get(f, F.lit(3)).alias("sequence"),
         F.get(f, F.lit(1)).try_cast("int").alias("parts"), F.get(f, F.lit(2)).try_cast("int").alias("part"), F.get(f, F.lit(5)).alias("body"), at.alias("at"), number.alias("line_no"),
     )
@@ -72,13 +74,11 @@ def _homes(parts: DataFrame, limit: float, width: float) -> DataFrame:
     placed = parts.withColumn("slice", F.floor(F.col("at") / F.lit(width)))
     within = Window.partitionBy(*KEY, "slice").orderBy("at", "line_no", "part", "body")
     over = Window.partitionBy(*KEY).orderBy("slice")
-    ends = placed.groupBy(*KEY, "slice").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
-    ends = ends.withColumn("end_before", F.lag("last_at").over(over)).drop("last_at")
-    # A run begins in a slice at its first sentence, or after a gap inside.
-    fresh = F.coalesce(F.col("first_at") - F.col("end_before") > limit, F.lit(True))
     seen = placed.withColumn("gap", F.coalesce(F.col("at") - F.lag("at").over(within) > limit, F.lit(False)))
-    inner = seen.groupBy(*KEY, "slice").agg(F.max("gap").alias("gap_inside"))
-    starts = ends.withColumn("fresh", fresh).join(inner, [*KEY, "slice"])
+    # A run begins in a slice at its first sentence, or after a gap inside.
+    ends = seen.groupBy(*KEY, "slice").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.max("gap").alias("gap_inside"))
+    fresh = F.coalesce(F.col("first_at") - F.lag("last_at").over(over) > limit, F.lit(True))
+    starts = ends.withColumn("fresh", fresh)
     begun = F.when(F.col("fresh") | F.col("gap_inside"), F.col("slice"))
     starts = starts.withColumn("carried", F.last(begun, ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))).select(*KEY, "slice", "fresh", "carried")
     passed = F.max("gap").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
