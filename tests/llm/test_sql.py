@@ -1,0 +1,24 @@
+"""The numbered queries that SQL can express, against their SQL."""
+
+import glob
+import os
+
+import duckdb
+import pytest
+
+from tidewake.llm import queries
+
+from .conftest import SF
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_query_matches_its_sql(spark, name):
+    con = duckdb.connect()
+    for path in glob.glob(f"{SF}/*.parquet"):
+        con.sql(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    mine, theirs = queries.QUERIES[name](spark, SF), con.sql(queries.SQL[name])
+    columns = sorted(mine.columns)
+    assert columns == sorted(theirs.columns)
+    want = theirs.fetchall()
+    order = [list(theirs.columns).index(c) for c in columns]
+    assert sorted((tuple(r[c] for c in columns) for r in mine.collect()), key=repr) == sorted((tuple(r[i] for i in order) for r in want), key=repr)

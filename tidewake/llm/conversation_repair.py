@@ -381,3 +381,47 @@ def damaged(conversations: DataFrame) -> DataFrame:
 
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet")), "present")
+
+
+_MOVES = ", ".join(f"('{initial}', {i}, {j})" for initial in MOVES for i, j in MOVES[initial].items())
+_INSERTED = ", ".join(f"({i}, {j}, {x[0]}, '{x[1]}')" for i, line in enumerate(INSERTIONS) for j, x in enumerate(line) if x is not None)
+SQL = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), fated AS (
+  SELECT *, xor(list_reduce(range(8 * len(k)), lambda acc, i: xor(xor(acc, CASE WHEN i % 8 = 0 THEN ord(k[i // 8 + 1]) ELSE 0 END) >> 1, 3988292384 * (xor(acc, CASE WHEN i % 8 = 0 THEN ord(k[i // 8 + 1]) ELSE 0 END) & 1)), 4294967295::BIGINT), 4294967295) % 20 AS fate FROM keyed
+), rows_left AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role, CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated WHERE fate <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS rn, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM rows_left
+), facts AS (
+  SELECT conv_id, rn, turn, role, text, role[1] AS initial, bare = '' AS blank, bare <> '' AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 AS duplicate, bare NOT IN ('') AND bare[-1] NOT IN ('.', '!', '?') AS cut FROM numbered
+), found AS (
+  SELECT *, cut AND NOT duplicate AS truncated, lag(initial) OVER (PARTITION BY conv_id ORDER BY rn) || initial AS pair FROM facts
+), counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE duplicate) AS duplicate, count(*) FILTER (WHERE truncated) AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM found GROUP BY conv_id
+), moves(initial, a, b) AS (VALUES {_MOVES}), inserted(a, b, cost, audit) AS (VALUES {_INSERTED}),
+edits AS (
+  SELECT conv_id, rn, a, b, {DELETE} AS cost, 'D' AS audit FROM found, (VALUES {", ".join(f"({i}, {i})" for i in range(STATES))}) s(a, b)
+  UNION ALL SELECT conv_id, rn, a, b, {KEEP} + CASE WHEN truncated THEN {TRUNCATED} ELSE 0 END, 'K' FROM found JOIN moves USING (initial) WHERE NOT blank AND NOT duplicate
+  UNION ALL SELECT conv_id, rn, a, b, {REROLE} + CASE WHEN truncated THEN {TRUNCATED} ELSE 0 END, 'R' FROM found, moves WHERE moves.initial IN ('u', 'a') AND NOT blank AND NOT duplicate
+), steps AS (
+  SELECT conv_id, rn, e.a, i.b, min(struct_pack(cost := e.cost + i.cost, audit := e.audit || i.audit)) AS x FROM edits e JOIN inserted i ON e.b = i.a GROUP BY ALL
+), walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS rn, b AS state, struct_pack(cost := cost, audit := audit) AS x FROM (SELECT DISTINCT conv_id FROM conversations), inserted WHERE a = 0
+  UNION ALL
+  SELECT w.conv_id, s.rn, s.b, min(struct_pack(cost := w.x.cost + s.x.cost, audit := w.x.audit || s.x.audit)) FROM walk w JOIN steps s ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND s.rn = w.rn + 1 AND s.a = w.state GROUP BY w.conv_id, s.rn, s.b
+), best AS (
+  SELECT w.conv_id, min(x) AS x FROM walk w LEFT JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id WHERE w.rn = coalesce(c.n, 0) AND state IN (0, 3) GROUP BY w.conv_id
+), letters AS (
+  SELECT conv_id, p, x.audit[p] AS letter, len(replace(x.audit, 'D', '')) % 2 AS odd, len(replace(x.audit[1:p], 'I', '')) AS rn, len(replace(x.audit[1:p], 'D', '')) AS q FROM (SELECT conv_id, x, unnest(range(1, len(x.audit) + 1)) AS p FROM best)
+), repaired AS (
+  SELECT l.conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (q + odd) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS digest
+  FROM letters l LEFT JOIN found f ON l.conv_id IS NOT DISTINCT FROM f.conv_id AND l.rn = f.rn WHERE letter <> 'D' GROUP BY l.conv_id
+)
+SELECT b.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(b.x.cost AS BIGINT) AS cost, b.x.audit AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON b.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN repaired r ON b.conv_id IS NOT DISTINCT FROM r.conv_id
+"""

@@ -245,3 +245,39 @@ def resampled(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_
 
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id", "n_features", "weight", "score", "rank", "n_words")
+
+
+def _nibble(n: int) -> int:
+    for _ in range(4):
+        n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+    return n
+
+
+#: A CRC-32 takes the hexadecimal digits of a byte from the lower one up, each through a table of sixteen.
+_CRC = f"""xor(list_reduce(range(2 * strlen(f)), lambda acc, i: xor(acc >> 4, list_extract({[_nibble(n) for n in range(16)]}::BIGINT[], (xor(acc, strpos('0123456789ABCDEF', h[i - i % 2 + 2 - i % 2]) - 1) & 15) + 1)), 4294967295::BIGINT), 4294967295)"""
+SQL = rf"""
+WITH texts AS (
+  SELECT doc_id, NULL AS item_id, text FROM documents UNION ALL SELECT NULL, item_id, text FROM benchmark
+), words AS (
+  SELECT doc_id, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), met AS (
+  SELECT doc_id, item_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM words
+), features AS (
+  SELECT f, count(item_id) AS t, count(*) - count(item_id) AS s FROM met GROUP BY f
+), placed AS (
+  SELECT f, s, t, {_CRC} % {BUCKETS} AS bucket FROM (SELECT *, hex(encode(f)) AS h FROM features)
+), totals AS (
+  SELECT bucket, sum(s) AS s, sum(t) AS t FROM placed GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * (s_all + {BUCKETS}) / ((s + 1) * (t_all + {BUCKETS})))) AS gain FROM totals, (SELECT sum(s) AS s_all, sum(t) AS t_all FROM totals)
+), weights AS (
+  SELECT doc_id, count(*) AS n_features, floor(sum(gain) / count(*)) AS weight FROM met JOIN placed USING (f) JOIN gains USING (bucket) WHERE item_id IS NULL GROUP BY doc_id
+), scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, len(w) AS n_words, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{SEED}:' || d.doc_id), 1, 8))::BIGINT + 0.5e0) / 4294967296e0))) AS BIGINT) AS score
+  FROM words d LEFT JOIN weights USING (doc_id) WHERE d.item_id IS NULL
+), ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= {LEAST_WORDS}
+)
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= n * {PERCENT} // 100 THEN rank END AS rank, n_words FROM scored s LEFT JOIN ranked USING (doc_id)
+"""

@@ -23,4 +23,6 @@ SQL = {
     "op5_line_dedup": line_dedup.SQL,
     "op9_url_filters": url_filter.SQL,
     "op10_exact_dedup": exact_dedup.SQL,
+    "op12_importance_resampling": importance.SQL,
+    "op13_conversation_repair": conversation_repair.SQL,
 }
