@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewake.functions import geo
-from tidewake.operators import compress
+from tidewake.operators import clusters, compress
 from tidewake.operators import trajectory as tr
 from tidewake.plans.movement_plans import _STEPS
 from tidewake.plans.registry import query
@@ -107,3 +107,17 @@ def group_size_between(spark, sf_dir):
 @query(f"""WITH {POINTS_SQL} SELECT count(DISTINCT mmsi) AS ships_north, min(lat) > 30.9e0 AS all_north FROM points WHERE lat >= 30.9e0""")
 def latitude_threshold(spark, sf_dir):
     return points(spark, sf_dir).filter("lat >= 30.9e0").agg(F.countDistinct("mmsi").alias("ships_north"), (F.min("lat") > 30.9).alias("all_north"))
+
+
+@query(f"""WITH RECURSIVE berthed AS (SELECT c_custkey AS id, 121.0e0 + c_custkey * 7919 % 1000 * 0.001e0 AS lon, 30.0e0 + (c_custkey * 104729 + c_nationkey * 31) % 1000 * 0.001e0 AS lat FROM customer),
+near AS (SELECT a.id, b.id AS other, {haversine_sql('a.lon', 'a.lat', 'b.lon', 'b.lat')} AS km FROM berthed a JOIN berthed b ON b.lat BETWEEN a.lat - 0.03 AND a.lat + 0.03 AND b.lon BETWEEN a.lon - 0.03 AND a.lon + 0.03),
+reach AS (SELECT * FROM near WHERE km <= 2.0), core AS (SELECT id FROM reach GROUP BY id HAVING count(*) >= 4), link AS (SELECT id, other, km FROM reach WHERE other IN (SELECT id FROM core)),
+walk AS (SELECT id, id AS root FROM core UNION SELECT l.other, w.root FROM walk w JOIN link l USING (id) WHERE l.other > w.root AND w.id IN (SELECT id FROM core)),
+named AS (SELECT id, min(root) AS cluster FROM walk GROUP BY id),
+border AS (SELECT l.id, arg_min(n.cluster, struct_pack(km := l.km, c := n.cluster)) AS cluster FROM link l JOIN named n ON n.id = l.other WHERE l.id NOT IN (SELECT id FROM core) GROUP BY l.id)
+SELECT p.id, CASE WHEN n.id IS NOT NULL THEN 'core' WHEN b.id IS NOT NULL THEN 'border' ELSE 'noise' END AS kind, coalesce(n.cluster, b.cluster) AS cluster FROM berthed p LEFT JOIN named n USING (id) LEFT JOIN border b USING (id)""")
+def density_clusters(spark, sf_dir):
+    """Anchorages: clusters of ships at rest that lie four and more within two kilometres."""
+    c = table(spark, sf_dir, "customer")
+    at = c.select(F.col("c_custkey").alias("id"), (F.lit(121.0) + F.col("c_custkey") * 7919 % 1000 * F.lit(0.001)).alias("lon"), (F.lit(30.0) + (F.col("c_custkey") * 104729 + F.col("c_nationkey") * 31) % 1000 * F.lit(0.001)).alias("lat"))
+    return clusters.density_clusters(at, 2.0, 4)
