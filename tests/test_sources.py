@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewake.functions import text as tx
 from tidewake.functions.geo import centroid
 from tidewake.sources import ais, assembly, datagrams, tables
-from tidewake.streaming import live
+from tidewake.streaming import live, sinks
 
 #: Published sample sentences with the values of their public documentation.
 SENTENCES = [
@@ -124,10 +124,15 @@ def test_register_and_replaced_table(spark, tmp_path):
     a = spark.createDataFrame([("Sea Star", 1), ("SEA,STAR", 2)], "name string, imo int")
     b = spark.createDataFrame([("Moon", "x")], "name string, flag string")
     assert sorted(r["name"] for r in tables.cleaned_register(a, b).collect()) == ["moon", "seastar"]
-    put = live.replace_table(f"{tmp_path}/t")
-    put(spark.range(9), 0)
-    put(spark.range(4), 1)
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 4
+    kept = {r["name"]: r for r in tables.cleaned_register(b, a, b.withColumn("name", F.lit("MOON"))).collect()}
+    assert kept["seastar"]["imo"] == 1 and kept["moon"]["flag"] == "x" and tables.cleaned_register(a, order=["imo"]).first()["imo"] == 1
+
+
+def test_polygon_files_with_the_number_of_their_name(spark):
+    kml = "<kml><coordinates>{0},30,0 {0}.5,31,0</coordinates></kml>"
+    files = spark.createDataFrame([("/x/area_1.kml", kml.format(121)), ("/x/area_12.kml", kml.format(122)), ("/x/other.kml", kml.format(1)), ("/x/area_3.kml", "")], "path string, value string")
+    got = sorted((r["poly_id"] or 0, r["number"], [tuple(v) for v in r["vertices"]]) for r in ais.kml_polygon_files(files).collect())
+    assert got == [(0, 0, [(1.0, 30.0), (1.5, 31.0)]), (1, 0, [(121.0, 30.0), (121.5, 31.0)]), (12, 0, [(122.0, 30.0), (122.5, 31.0)])]
 
 
 def test_a_daily_job_reads_what_is_new(spark, tmp_path):
@@ -141,12 +146,14 @@ def test_a_daily_job_reads_what_is_new(spark, tmp_path):
 
 def test_database_tables(spark):
     url, known = "jdbc:derby:memory:tidewake;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    put = live.replace_jdbc(url, "counts", known)
+    put = sinks.replace_jdbc(url, "counts", known)
     put(spark.range(7).withColumn("half", F.expr("id div 2")), 0)
     put(spark.range(5).withColumn("half", F.expr("id div 2")), 1)
     assert tables.read_jdbc(spark, url, "counts", properties=known).count() == 5
     parts = tables.read_jdbc(spark, url, "counts", ['"half" < 1', '"half" >= 1'], known)
     assert parts.rdd.getNumPartitions() == 2 and parts.count() == 5
+    sinks.replace_jdbc(url, "ships", known)(spark.createDataFrame([(1, "SHANG,HAI, CN")], "imo int, destination string"), 0)
+    assert tables.static_register(spark, url, "ships", properties=known).first()["destination"] == "SHANG;HAI; CN"
 
 
 def test_datagrams_survive_a_second_reading(tmp_path):

@@ -286,8 +286,11 @@ def _kernel(metres: float, method: str, columns: list[str], keys: tuple[str, ...
     return run
 
 
-def compressed(points: DataFrame, metres: float, method: str = "qdp", cut_mm_s: float | None = 300.0, span_s: int | None = None, longest: int = LONGEST) -> DataFrame:
-    """The rows of ``points`` that stay, pieces cut at speed crossings (or not, with ``cut_mm_s`` None) and at spans of time where ``span_s`` is given."""
+def compressed(points: DataFrame, metres: float, method: str = "qdp", cut_mm_s: float | None = 300.0, span_s: int | None = None, longest: int = LONGEST, once: list[str] | None = None) -> DataFrame:
+    """The rows of ``points`` that stay, pieces cut at speed crossings (or not, with ``cut_mm_s`` None) and at spans of time where ``span_s`` is given.
+
+    Of kept rows that repeat the columns ``once`` a single one is given out, the least by all other columns.
+    """
     if method not in METHODS:
         raise ValueError(f"method has to be one of {METHODS}")
     columns = points.columns
@@ -302,7 +305,12 @@ def compressed(points: DataFrame, metres: float, method: str = "qdp", cut_mm_s:
     else:
         dealt, keys = _parted(keyed, metres, method, longest).repartition(*_PART), _PART
         ordered = dealt.sortWithinPartitions(*_PART, "t", "event_id")
-    return ordered.mapInArrow(_kernel(metres, method, columns, keys), fields)
+    out = ordered.mapInArrow(_kernel(metres, method, columns, keys), fields)
+    if not once:
+        return out
+    rest = [c for c in columns if c not in once]
+    single = out.groupBy(*once).agg(F.min(F.struct(*rest)).alias("kept")) if rest else out.select(*once).distinct()
+    return single.select(*[F.col(c) if c in once else F.col(f"kept.{c}").alias(c) for c in columns])
 
 
 def deviation(before: DataFrame, after: DataFrame) -> DataFrame:

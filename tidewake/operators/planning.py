@@ -12,15 +12,27 @@ DEFAULT_DWT = 150_000
 
 
 def is_morning(io_time: Column | str) -> Column:
-    """Whether a planned time ``dd/hhmm`` is before noon."""
-    return F.split_part(io_time if isinstance(io_time, Column) else F.col(io_time), F.lit("/"), F.lit(2)).cast("int") < 1200
+    """Whether a planned time ``dd/hhmm`` is before noon; one that cannot be read counts as the afternoon."""
+    clock = F.split_part(io_time if isinstance(io_time, Column) else F.col(io_time), F.lit("/"), F.lit(2))
+    return F.coalesce(clock.try_cast("int") < 1200, F.lit(False))
 
 
 def berth_tonnage(text: Column) -> Column:
-    """``struct<low, high>`` of a berth's tonnage ``7-10万`` or ``2000-50000``; one figure alone is both, in tonnes."""
+    """``struct<low, high>`` of a berth's tonnage ``7-10万``, ``2.5-5万`` or ``2000-50000``; one figure alone is both; in tonnes.
+
+    By decision the sign for ten thousand scales ranges alone: a single figure is taken as it stands.  What cannot be read is null.
+    """
     plain = F.split(F.split_part(text, F.lit("万"), F.lit(1)), "-")
     unit = F.when(text.contains("万") & (F.size(plain) > 1), 10_000).otherwise(1)
-    return F.struct((plain[0].cast("int") * unit).alias("low"), (F.coalesce(F.try_element_at(plain, F.lit(2)), plain[0]).cast("int") * unit).alias("high"))
+    tonnes = lambda figure: (F.trim(figure).try_cast("double") * unit).try_cast("int")
+    return F.struct(tonnes(plain[0]).alias("low"), tonnes(F.coalesce(F.try_element_at(plain, F.lit(2)), plain[0])).alias("high"))
+
+
+def berth_names(text: Column) -> Column:
+    """The berths of a plan, written ``a/b`` or short ``a1/2``: a part of digits alone takes the name before the digits of the first part."""
+    parts = F.split(text, "/")
+    name = F.regexp_extract(parts[0], r"^(.*?)[0-9]*$", 1)
+    return F.transform(parts, lambda p: F.when(F.regexp_like(p, F.lit("^[0-9]+$")), F.concat(name, p)).otherwise(p))
 
 
 def unjudged(rows: DataFrame, control: str, depart: str, today: Column, berth: str) -> DataFrame:
@@ -38,14 +50,14 @@ def tonnage_class(plans: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def plan_berths(plans: DataFrame, berths: DataFrame) -> DataFrame:
-    """``plan, suits, reason``: whether a ship fits the berths of its plan, written ``a/b``; the last of them decides, an unknown one does not suit.
+    """``plan, suits, reason``: whether a ship fits the berths of its plan; the last of them decides, one that is unknown or of unknown tonnage does not suit.
 
     ``plans`` has ``plan, type, dwt, berths``, ``berths`` has ``berth, tonnage, berth_type``.
     """
-    asked = plans.select("plan", "type", "dwt", F.posexplode(F.split("berths", "/")).alias("place", "berth"))
+    asked = plans.select("plan", "type", "dwt", F.posexplode_outer(berth_names(F.col("berths"))).alias("place", "berth"))
     met = asked.join(berths.withColumn("range", berth_tonnage(F.col("tonnage"))), "berth", "left")
     fits = F.col("dwt").between(F.col("range.low"), F.col("range.high")) & (F.col("type") == F.col("berth_type"))
-    last = met.groupBy("plan").agg(F.max_by(F.coalesce(fits, F.lit(False)), "place").alias("suits"))
+    last = met.groupBy("plan").agg(F.max_by(F.coalesce(fits, F.lit(False)), F.coalesce("place", F.lit(0))).alias("suits"))
     return last.withColumn("reason", F.when(F.col("suits"), "").otherwise("ship does not suit the berth"))
 
 

@@ -9,19 +9,33 @@ from tidewake.functions.geo import acute_difference, approaching, compass_bearin
 from tidewake.functions.text import reasons
 from tidewake.operators.spatial import nearest_by_rings, points_in_polygons, small
 
-BANDS = 1024
+BANDS = 64
+
+
+def _band(value: Column, cuts: list[float]) -> Column:
+    """How many of the sorted ``cuts`` are no more than ``value``, by halving."""
+
+    def below(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < F.lit(cuts[middle]), below(low, middle)).otherwise(below(middle + 1, high))
+
+    return below(0, len(cuts))
 
 
 def range_lookup(rows: DataFrame, keys: list[str], value: str, rules: DataFrame, result: str) -> DataFrame:
     """``keys`` and the ``result`` of the last rule with ``low <= value <= high``; null without one.  ``rules`` has ``seq, low, high`` and the result.
 
-    The span of all rules is cut into ``BANDS`` bands; a rule stands in each that it touches, a row in one, and they meet by an equi-join.
+    The line is cut at the rules' own bounds, at up to ``BANDS`` of their quantiles where there are more; a rule stands in
+    each band that it touches, a row in one, and they meet by an equi-join.  So bands are as fine as the rules are close, and an
+    open-ended rule does no harm.
     """
-    low, high = rules.agg(F.min("low"), F.max("high")).first()
-    if low is None:
+    bounds = rules.select(F.explode(F.array(F.col("low").cast("double"), F.col("high").cast("double"))).alias("bound"))
+    cuts = bounds.agg(F.percentile_approx("bound", [i / BANDS for i in range(BANDS + 1)], 100 * BANDS)).first()[0]
+    if not cuts:
         return rows.select(*keys, F.lit(None).cast(rules.schema[result].dataType).alias(result))
-    width = (float(high) - float(low)) / BANDS or 1.0
-    band = lambda v: F.floor((F.col(v) - F.lit(float(low))) / width)
+    band = lambda name: _band(F.col(name).cast("double"), sorted(set(cuts)))
     cut = rules.withColumn("band", F.explode(F.sequence(band("low"), band("high"))))
     met = rows.withColumn("band", band(value)).join(small(cut), ["band"], "left")
     answer = F.max(F.when(F.col(value).between(F.col("low"), F.col("high")), F.struct("seq", result))).alias("last")

@@ -10,14 +10,15 @@ from tidewake.functions.geo import haversine_km, lines_cross, planar_bearing
 
 KMH_PER_KNOT = 1.852
 
-def order():
-    """Positions of a ship in time, identifiers breaking ties."""
-    return Window.partitionBy("mmsi").orderBy("t", "event_id")
 
+def order(keys: tuple[str, ...] = ("mmsi",)):
+    """Positions of a ship, or of a part of its track, in time, identifiers breaking ties."""
+    return Window.partitionBy(*keys).orderBy("t", "event_id")
 
-def stepped(points: DataFrame) -> DataFrame:
+
+def stepped(points: DataFrame, keys: tuple[str, ...] = ("mmsi",)) -> DataFrame:
     """Each point with the distance and time from the one before: ``step_km, step_s``; no time counts as a second."""
-    before = lambda name: F.lag(name).over(order())
+    before = lambda name: F.lag(name).over(order(keys))
     return points.withColumns({
         "step_km": haversine_km(before("lon"), before("lat"), "lon", "lat"),
         "step_s": F.greatest(F.col("t") - before("t"), F.lit(1)),
@@ -33,9 +34,9 @@ def pair_speed(points: DataFrame) -> DataFrame:
     return stepped(points).groupBy("mmsi").agg(F.round(F.avg(speed), 6).alias("mean_kmh"), F.round(F.max(speed), 6).alias("max_kmh"))
 
 
-def steady_speed(points: DataFrame, pair_kn: float = 5.0, own_kn: float = 5.0, slowing_kn_s: float = 0.01) -> DataFrame:
-    """Mean speed of the points at an end of a steady pair; null with fewer than two of them."""
-    s = stepped(points).withColumn("sog_before", F.lag("sog").over(order()))
+def steady_speed(points: DataFrame, pair_kn: float = 5.0, own_kn: float = 5.0, slowing_kn_s: float = 0.01, keys: tuple[str, ...] = ("mmsi",)) -> DataFrame:
+    """Mean speed of the points at an end of a steady pair; null with fewer than two of them; by ship, or by other ``keys``."""
+    s = stepped(points, keys).withColumn("sog_before", F.lag("sog").over(order(keys)))
     steady = (
         (F.col("step_km") / F.col("step_s") * 3600 / KMH_PER_KNOT > pair_kn)
         & (F.col("sog") > own_kn)
@@ -43,9 +44,9 @@ def steady_speed(points: DataFrame, pair_kn: float = 5.0, own_kn: float = 5.0, s
         & ((F.col("sog_before") - F.col("sog")) / F.col("step_s") < slowing_kn_s)
     )
     s = s.withColumn("steady", F.coalesce(steady, F.lit(False)))
-    s = s.withColumn("marked", F.col("steady") | F.coalesce(F.lead("steady").over(order()), F.lit(False)))
+    s = s.withColumn("marked", F.col("steady") | F.coalesce(F.lead("steady").over(order(keys)), F.lit(False)))
     n = F.count_if("marked")
-    return s.groupBy("mmsi").agg(n.alias("n_marked"), F.when(n > 1, F.round(F.avg(F.when(F.col("marked"), F.col("sog"))), 6)).alias("steady_kn"))
+    return s.groupBy(*keys).agg(n.alias("n_marked"), F.when(n > 1, F.round(F.avg(F.when(F.col("marked"), F.col("sog"))), 6)).alias("steady_kn"))
 
 
 def antimeridian_split(points: DataFrame, jump: float = 200.0) -> DataFrame:

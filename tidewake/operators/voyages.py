@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.geo import haversine_km
+from tidewake.operators.trajectory import steady_speed
 
 DAY = 86_400
 
@@ -62,14 +63,16 @@ def leg_summary(points: DataFrame, legs: DataFrame) -> DataFrame:
     return s.select("mmsi", "stop", "n_points", "distance_km", F.when(F.col("draughts") == 2, F.col("last.draught")).alias("draught"))
 
 
-def voyage_rows(points: DataFrame, stops: DataFrame) -> DataFrame:
-    """One row a voyage: the leg, the seconds in its port of departure and at sea, points, distance, draught and mean speed."""
+def voyage_rows(points: DataFrame, stops: DataFrame, pair_kn: float = 5.0) -> DataFrame:
+    """One row a voyage: the leg, the seconds in its port of departure and at sea, points, distance, draught, mean speed, and the speed at which it went steadily."""
     legs = voyage_legs(stops)
-    met = leg_summary(points, legs.select("mmsi", "stop", "start_t", "end_t"))
+    spans = legs.select("mmsi", "stop", "start_t", "end_t")
+    steady = steady_speed(range_join(points, spans), pair_kn, keys=("mmsi", "stop")).drop("n_marked")
+    met = leg_summary(points, spans).join(steady, ["mmsi", "stop"], "left")
     port = stops.select("mmsi", "stop", (F.col("end_t") - F.col("begin_t")).alias("port_s"))
     out = legs.join(met, ["mmsi", "stop"]).join(port, ["mmsi", "stop"])
     speed = (F.col("distance_km") / (F.col("sea_s") / 3600)).alias("speed_kmh")
-    return out.select("mmsi", "stop", "start_site", "end_site", "start_t", "end_t", "sea_s", "port_s", "n_points", "distance_km", "draught", speed)
+    return out.select("mmsi", "stop", "start_site", "end_site", "start_t", "end_t", "sea_s", "port_s", "n_points", "distance_km", "draught", speed, "steady_kn")
 
 
 def merged_short_loops(voyages: DataFrame, km: float = 40.0) -> DataFrame:

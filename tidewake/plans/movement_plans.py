@@ -8,7 +8,7 @@ from tidewake.functions.geo import cell_id, haversine_km, near_cells
 from tidewake.operators import spatial
 from tidewake.operators import trajectory as tr
 from tidewake.plans.registry import query
-from tidewake.sources.fixtures import POINTS_SQL, POLYGONS_SQL, PORTS_SQL, cell_sql, haversine_sql, points, polygons, ports, site_gate
+from tidewake.sources.fixtures import POINTS_SQL, POLYGONS_SQL, cell_sql, haversine_sql, points, polygons, site_gate
 
 CENTRE = (122.5, 30.5)
 _STEPS = f"""{POINTS_SQL}, stepped AS (
@@ -45,11 +45,12 @@ def cell_density(spark, sf_dir):
     return points(spark, sf_dir).groupBy(cell_id("lon", "lat").alias("cell")).agg(F.count(F.lit(1)).alias("n_points"), F.countDistinct("mmsi").alias("n_ships"))
 
 
-@query(f"""WITH {PORTS_SQL}, moves AS (SELECT unnest(range(-11, 12)) AS i), lats AS (SELECT unnest(range(-3, 4)) AS j),
+@query(f"""WITH {POINTS_SQL}, ports AS (SELECT site AS port, min(lon) AS port_lon, min(lat) AS port_lat FROM points GROUP BY site), moves AS (SELECT unnest(range(-11, 12)) AS i), lats AS (SELECT unnest(range(-3, 4)) AS j),
 reach AS (SELECT *, CAST(floor(25 / (111.319e0 * 0.1e0 * cos(radians(abs(port_lat) + 3 * 0.1e0)))) + 1 AS INTEGER) AS steps FROM ports)
 SELECT DISTINCT port, {cell_sql('(port_lon + i * 0.1e0)', '(port_lat + j * 0.1e0)')} AS cell FROM reach, moves, lats WHERE abs(i) <= steps""")
 def near_cells_of_ports(spark, sf_dir):
-    return ports(spark).select("port", F.explode(near_cells("port_lon", "port_lat", 25.0)).alias("cell"))
+    sites = points(spark, sf_dir).groupBy(F.col("site").alias("port")).agg(F.min("lon").alias("port_lon"), F.min("lat").alias("port_lat"))
+    return sites.select("port", F.explode(near_cells("port_lon", "port_lat", 25.0)).alias("cell"))
 
 
 @query(f"WITH {_INSIDE} SELECT mmsi, count(*) AS n_inside, min(t) AS t_first FROM flagged WHERE inside GROUP BY mmsi")

@@ -24,7 +24,7 @@ DAY_WEATHER = {"wind_am": 5, "wind_pm": 7, "sight_am": 1600, "sight_pm": 900, "w
 _TYPE_SQL = "['bulk', 'tanker', 'container']"
 _PLANS_SQL = f"""plans AS (SELECT o_orderkey AS plan, {_TYPE_SQL}[o_orderkey % 3 + 1] AS type, 100 + o_custkey % 300 AS length, 20 + o_custkey % 30 AS height, o_custkey * 37 % 160000 AS dwt,
   printf('%02d/%02d%02d', day(o_orderdate), o_orderkey * 7 % 24, o_custkey % 60) AS io_time,
-  'B' || (o_orderkey % 25) || CASE WHEN o_orderkey % 4 = 0 THEN '/B' || (o_custkey % 30) ELSE '' END AS berths FROM orders)"""
+  'B' || (o_orderkey % 25) || CASE WHEN o_orderkey % 8 = 0 THEN '/' || (o_custkey % 30) WHEN o_orderkey % 4 = 0 THEN '/B' || (o_custkey % 30) ELSE '' END AS berths FROM orders)"""
 _CLASSES_SQL = f"classes(seq, class_type, min_len, max_len, class_dwt) AS (VALUES {', '.join(map(str, CLASSES))})"
 _LIMITS_SQL = f"limits(type, max_wind, min_sight, berth_wind) AS (VALUES {', '.join(map(str, LIMITS))})"
 _BERTHS_SQL = f"""berth_list AS (SELECT 'B' || range AS berth, CASE WHEN range % 3 = 2 THEN 90000 ELSE 20000 END AS low, CASE range % 3 WHEN 0 THEN 100000 WHEN 1 THEN 50000 ELSE 90000 END AS high,
@@ -47,7 +47,8 @@ def _one_of(of):
 
 def _plans(spark, sf_dir):
     o, text = table(spark, sf_dir, "orders"), lambda x: x.cast("string")
-    second = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("/B"), text(F.col("o_custkey") % 30))).otherwise("")
+    other = text(F.col("o_custkey") % 30)
+    second = F.when(F.col("o_orderkey") % 8 == 0, F.concat(F.lit("/"), other)).when(F.col("o_orderkey") % 4 == 0, F.concat(F.lit("/B"), other)).otherwise("")
     return o.select(
         F.col("o_orderkey").alias("plan"), _one_of(F.col("o_orderkey")).alias("type"), (F.lit(100) + F.col("o_custkey") % 300).alias("length"), (F.lit(20) + F.col("o_custkey") % 30).alias("height"),
         (F.col("o_custkey") * 37 % 160_000).alias("dwt"), F.format_string("%02d/%02d%02d", F.day("o_orderdate"), F.col("o_orderkey") * 7 % 24, F.col("o_custkey") % 60).alias("io_time"),
@@ -70,13 +71,13 @@ def unjudged_calls(spark, sf_dir):
 
 
 @query(f"""WITH {_PLANS_SQL}, {_CLASSES_SQL}, {_BERTHS_SQL},
-c AS (SELECT plan, type, split_part(berths, '/', -1) AS berth, coalesce(arg_max(class_dwt, seq), {pl.DEFAULT_DWT}) AS dwt FROM plans LEFT JOIN classes ON type = class_type AND length BETWEEN min_len AND max_len GROUP BY ALL)
+c AS (SELECT plan, type, 'B' || ltrim(split_part(berths, '/', -1), 'B') AS berth, coalesce(arg_max(class_dwt, seq), {pl.DEFAULT_DWT}) AS dwt FROM plans LEFT JOIN classes ON type = class_type AND length BETWEEN min_len AND max_len GROUP BY ALL)
 SELECT plan, CAST(dwt AS INTEGER) AS dwt, coalesce(dwt BETWEEN low AND high AND type = berth_type, false) AS suits,
 CASE WHEN dwt BETWEEN low AND high AND type = berth_type THEN '' ELSE 'ship does not suit the berth' END AS reason FROM c LEFT JOIN berth_list USING (berth)""")
 def plan_berths(spark, sf_dir):
     classes = spark.createDataFrame(CLASSES, "seq int, class_type string, min_len int, max_len int, class_dwt int")
     third = F.col("id") % 3
-    tonnage = F.when(third == 0, "2-10万").when(third == 1, "20000-50000").otherwise("90000")
+    tonnage = F.when(third == 0, "2.0-10万").when(third == 1, "20000-50000").otherwise("90000")
     berths = spark.range(25).select(F.concat(F.lit("B"), F.col("id").cast("string")).alias("berth"), tonnage.alias("tonnage"), _one_of(F.expr("id div 3")).alias("berth_type"))
     plans = pl.tonnage_class(_plans(spark, sf_dir).drop("dwt"), classes)
     return pl.plan_berths(plans, berths).join(plans.select("plan", "dwt"), "plan").select("plan", "dwt", "suits", "reason")
@@ -170,13 +171,15 @@ def traffic_forecast(spark, sf_dir):
 
 
 @query(f"""{_LEGS}, s AS (SELECT *, {haversine_sql('lag(lon) OVER w', 'lag(lat) OVER w', 'lon', 'lat')} AS step FROM met WINDOW w AS (PARTITION BY mmsi, stop ORDER BY t, event_id)),
+f AS (SELECT *, coalesce(step / greatest(t - lag(t) OVER w, 1) * 3600 / 1.852e0 > 0.5 AND sog > 5 AND lag(sog) OVER w > 5 AND (lag(sog) OVER w - sog) / greatest(t - lag(t) OVER w, 1) < 0.01e0, false) AS steady FROM s WINDOW w AS (PARTITION BY mmsi, stop ORDER BY t, event_id)),
+k AS (SELECT mmsi, stop, CASE WHEN count(*) > 1 THEN round(avg(sog), 6) END AS steady_kn FROM (SELECT *, steady OR coalesce(lead(steady) OVER (PARTITION BY mmsi, stop ORDER BY t, event_id), false) AS marked FROM f) WHERE marked GROUP BY mmsi, stop),
 d AS (SELECT mmsi, stop, count(*) AS n_points, coalesce(sum(step), 0) AS km, CASE WHEN count(DISTINCT draught) = 2 THEN last(draught ORDER BY t, event_id) END AS draught FROM s GROUP BY mmsi, stop)
-SELECT l.mmsi, l.stop, l.start_site, l.end_site, l.start_t, l.end_t, l.sea_s, p.end_t - p.begin_t AS port_s, n_points, round(km, 6) AS distance_km, draught, round(km / (l.sea_s / 3600) + 1e-9, 4) AS speed_kmh
-FROM legs l JOIN d USING (mmsi, stop) JOIN stops p ON p.mmsi = l.mmsi AND p.stop = l.stop""")
+SELECT l.mmsi, l.stop, l.start_site, l.end_site, l.start_t, l.end_t, l.sea_s, p.end_t - p.begin_t AS port_s, n_points, round(km, 6) AS distance_km, draught, round(km / (l.sea_s / 3600) + 1e-9, 4) AS speed_kmh, steady_kn
+FROM legs l JOIN d USING (mmsi, stop) LEFT JOIN k USING (mmsi, stop) JOIN stops p ON p.mmsi = l.mmsi AND p.stop = l.stop""")
 def voyage_rows(spark, sf_dir):
     p = points(spark, sf_dir)
     calls = st.summarised(st.stop_members(p), "site")
-    out = vo.voyage_rows(p, calls)
+    out = vo.voyage_rows(p, calls, pair_kn=0.5)
     return out.withColumns({"distance_km": F.round("distance_km", 6), "speed_kmh": F.round(F.col("speed_kmh") + 1e-9, 4)})
 
 

@@ -140,3 +140,9 @@ def kml_polygons(files: DataFrame, content: str = "value") -> DataFrame:
     vertex = lambda x: F.struct(F.split(x, ",")[0].cast("double").alias("lon"), F.split(x, ",")[1].cast("double").alias("lat"))
     rows = files.withColumn("found", F.transform(found, lambda x: F.transform(F.filter(F.split(F.trim(x), r"\s+"), lambda y: y != ""), vertex))).drop(content)
     return rows.select("*", F.posexplode("found").alias("number", "vertices")).drop("found")
+
+
+def kml_polygon_files(files: DataFrame, content: str = "value", path: str = "path") -> DataFrame:
+    """``poly_id, number, vertices`` of KML files of one polygon set each, whose number stands at the end of the file's name."""
+    named = files.select(F.col(content).alias("value"), F.regexp_extract(path, r"([0-9]+)\.[^./]*$", 1).try_cast("long").alias("poly_id"))
+    return kml_polygons(named).select("poly_id", "number", "vertices")

@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewake.functions.text import commas_to_semicolons
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in ``spark.checkpoint.dir``; a temporary folder where that is unset, for a local master alone."""
@@ -50,9 +52,24 @@ def export_csv(rows: DataFrame, path: str) -> None:
     rows.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def cleaned_register(*parts: DataFrame, name: str = "name") -> DataFrame:
-    """The union of register parts, separators stripped, one row a normalised name."""
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part, allowMissingColumns=True)
-    return whole.withColumn(name, F.lower(F.regexp_replace(name, r"[,\s]", ""))).dropDuplicates([name])
+def cleaned_register(*parts: DataFrame, name: str = "name", order: list[str] | None = None) -> DataFrame:
+    """The union of register parts, separators stripped, one row a normalised name.
+
+    Of several rows of a name the one of the earliest part stays, in it that which is least by ``order``, then by all other columns; nulls come first.
+    """
+    whole = parts[0].withColumn("_part", F.lit(0))
+    for i, part in enumerate(parts[1:], 1):
+        whole = whole.unionByName(part.withColumn("_part", F.lit(i)), allowMissingColumns=True)
+    columns = [c for c in whole.columns if c != "_part"]
+    rest = [c for c in columns if c != name]
+    first = [*(order or []), *[c for c in rest if c not in (order or [])]]
+    rows = whole.withColumn(name, F.lower(F.regexp_replace(name, r"[,\s]", "")))
+    kept = rows.groupBy(name).agg(F.min(F.struct("_part", *first)).alias("kept"))
+    return kept.select(*[F.col(name) if c == name else F.col(f"kept.{c}").alias(c) for c in columns])
+
+
+def static_register(spark: SparkSession, url: str, table: str, text: str = "destination", predicates: list[str] | None = None, properties: dict[str, str] | None = None) -> DataFrame:
+    """A database table of ships whose free ``text`` holds no commas any more, so that it can be written as such a file."""
+    rows = read_jdbc(spark, url, table, predicates, properties)
+    known = next(c for c in rows.columns if c.lower() == text.lower())
+    return rows.withColumn(known, commas_to_semicolons(F.col(known)))

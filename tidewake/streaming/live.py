@@ -127,13 +127,3 @@ def caught_up(frame: DataFrame, path: str, seen: str, fmt: str = "parquet") -> N
     """What has arrived since the last call, appended below ``path``: the daily job of an outside scheduler; ``seen`` keeps what was read."""
     query = frame.writeStream.format(fmt).option("path", path).option("checkpointLocation", seen).trigger(availableNow=True).start()
     query.awaitTermination()
-
-
-def replace_table(path: str):
-    """A ``foreachBatch`` sink that puts each result in place of the last."""
-    return lambda batch, _: batch.write.mode("overwrite").parquet(path)
-
-
-def replace_jdbc(url: str, name: str, properties: dict[str, str]):
-    """The same for a database table: truncated and filled again."""
-    return lambda batch, _: batch.write.option("truncate", "true").jdbc(url, name, mode="overwrite", properties=properties)
