@@ -19,4 +19,5 @@ def test_capture_streams_a_ship_over_batches(spark, capsys):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     out.explain()
     plan = capsys.readouterr().out
+    assert sorted(map(tuple, trajectory.greedy_capture(hits, longest=50).collect())) == sorted(expected)
     assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan

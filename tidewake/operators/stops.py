@@ -2,7 +2,8 @@
 
 The windows are a fold over pairs of consecutive points with a state of a few numbers.  Points are
 dealt by ship and sorted once, and each task streams through its ships; no trajectory is ever held as
-a whole, however long it is.
+a whole, however long it is.  A fast step ends any stop and starts the fold afresh: ships of very many points are cut at such
+steps, the stretches are folded by tasks of their own, and running sums number the stops.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.geo import EARTH_KM, haversine, haversine_km
+from tidewake.operators.slices import any_longer, homed
+from tidewake.operators.trajectory import LONGEST, SLICE_S
 
 MAX_SPEED_MM_S = 100.0
 MAX_DIAGONAL_MM = 282842.712474619
@@ -65,7 +68,7 @@ class _Fold:
         return haversine(west, south, east, north) * 1e6
 
 
-def _kernel(max_speed: float, max_diagonal: float, columns: list[str]):
+def _kernel(max_speed: float, max_diagonal: float, columns: list[str], keys: tuple[str, ...] = ("mmsi",)):
     """Rows sorted by ship and time in; each row once for every stop that holds it out, with ``stop`` its number."""
 
     def run(batches):
@@ -77,7 +80,7 @@ def _kernel(max_speed: float, max_diagonal: float, columns: list[str]):
 
         for batch in batches:
             table = batch if before is None else pa.Table.from_batches([before, batch]).combine_chunks().to_batches()[0]
-            ships, t = table.column("mmsi").to_pylist(), table.column("t").to_pylist()
+            ships, t = list(zip(*(table.column(k).to_pylist() for k in keys), strict=True)), table.column("t").to_pylist()
             lon, lat = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lon", "lat"))
             km = [None, *_pair_km(lon, lat).tolist()]
             lon, lat = lon.tolist(), lat.tolist()
@@ -100,11 +103,23 @@ def _kernel(max_speed: float, max_diagonal: float, columns: list[str]):
     return run
 
 
-def stop_members(points: DataFrame, max_speed_mm_s: float = MAX_SPEED_MM_S, max_diagonal_mm: float = MAX_DIAGONAL_MM) -> DataFrame:
+def stop_members(points: DataFrame, max_speed_mm_s: float = MAX_SPEED_MM_S, max_diagonal_mm: float = MAX_DIAGONAL_MM, longest: int = LONGEST, slice_s: int = SLICE_S) -> DataFrame:
     """The points of every stop with its number within the ship; a point on the edge of two stops comes twice."""
-    ordered = points.repartition("mmsi").sortWithinPartitions("mmsi", "t", "event_id")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
-    return ordered.mapInArrow(_kernel(max_speed_mm_s, max_diagonal_mm, points.columns), f"{fields}, stop long")
+    if not any_longer(points, "mmsi", longest):
+        ordered = points.repartition("mmsi").sortWithinPartitions("mmsi", "t", "event_id")
+        return ordered.mapInArrow(_kernel(max_speed_mm_s, max_diagonal_mm, points.columns), f"{fields}, stop long")
+
+    def fast(before):
+        km = haversine_km(before("lon"), before("lat"), "lon", "lat")
+        return km * 1e6 / F.greatest(F.col("t") - before("t"), F.lit(1)) > max_speed_mm_s
+
+    keys = ("mmsi", "home")
+    stretches = homed(points, ["mmsi"], "t", ["t", "event_id"], fast, slice_s).repartition(*keys).sortWithinPartitions(*keys, "t", "event_id")
+    found = stretches.mapInArrow(_kernel(max_speed_mm_s, max_diagonal_mm, [*points.columns, "home"], keys), f"{fields}, home long, stop long")
+    held = found.groupBy(*keys).agg((F.max("stop") + 1).alias("n"))
+    before = held.select(*keys, F.coalesce(F.sum("n").over(Window.partitionBy("mmsi").orderBy("home").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return found.join(before, list(keys)).select(*points.columns, (F.col("stop") + F.col("before")).alias("stop"))
 
 
 def summarised(members: DataFrame, *first: str) -> DataFrame:

@@ -7,8 +7,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewake.functions.geo import haversine_km, lines_cross, planar_bearing
+from tidewake.operators.slices import any_longer, homed
 
 KMH_PER_KNOT = 1.852
+#: A ship with more rows is scanned by several tasks, cut somewhere in each slice of so many seconds.
+LONGEST, SLICE_S = 1 << 22, 604_800
 
 
 def order(keys: tuple[str, ...] = ("mmsi",)):
@@ -143,18 +146,27 @@ def gate_pairs(visits: DataFrame, first: str, second: str) -> DataFrame:
     return flags.filter("a and b and not other").select("mmsi")
 
 
-def greedy_capture(hits: DataFrame, seconds: int = 5400) -> DataFrame:
-    """Windows of ``seconds`` to both sides of a hit that do not overlap: the next window opens at the first hit beyond the last."""
+def greedy_capture(hits: DataFrame, seconds: int = 5400, longest: int = LONGEST) -> DataFrame:
+    """Windows of ``seconds`` to both sides of a hit that do not overlap: the next window opens at the first hit beyond the last.
+
+    A hit that comes two such spans after the one before opens a window whatever happened before; where a ship has more than
+    ``longest`` hits, ships are cut there and scanned by several tasks.
+    """
 
     def capture(batches):
         ship, end = None, None
         for batch in batches:
             rows = []
-            for mmsi, t in zip(batch.column("mmsi").to_pylist(), batch.column("t").to_pylist(), strict=True):
-                if end is None or mmsi != ship or t - seconds > end:
-                    ship, end = mmsi, t + seconds
+            for mmsi, home, t in zip(*(batch.column(c).to_pylist() for c in ("mmsi", "home", "t")), strict=True):
+                if end is None or (mmsi, home) != ship or t - seconds > end:
+                    ship, end = (mmsi, home), t + seconds
                     rows.append((mmsi, t - seconds, end))
             yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in (zip(*rows, strict=True) if rows else ((), (), ()))], ["mmsi", "t_from", "t_to"])
 
-    ordered = hits.select("mmsi", "t").repartition("mmsi").sortWithinPartitions("mmsi", "t")
+    rows, keys = hits.select("mmsi", "t"), ["mmsi", "home"]
+    if any_longer(rows, "mmsi", longest):
+        rows = homed(rows, ["mmsi"], "t", ["t"], lambda before: F.col("t") - before("t") > 2 * seconds, SLICE_S)
+    else:
+        rows, keys = rows.withColumn("home", F.lit(0)), ["mmsi"]
+    ordered = rows.repartition(*keys).sortWithinPartitions(*keys, "t")
     return ordered.mapInArrow(capture, "mmsi long, t_from long, t_to long")

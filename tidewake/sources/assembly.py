@@ -5,10 +5,9 @@ repeats the last one of its number is an echo and is passed over.  A part whose
 message lost one, so the wait starts afresh with it.  When all places are taken the message is complete.  A gap of more
 than ``limit`` between sentences of one key ends the wait.  Parts may come in any order.
 
-Over a table the same reading is done in parallel: the feed is cut into slices of ``width``; a window within each slice
-and one over the few ends of slices find the gaps; what follows a gap belongs to the slice in which it starts, up to
-the next gap, so that no wait crosses a group, and each group is read in order by one task.  A stream keeps the waiting
-parts as state, and the watermark drops those that stay unfinished.
+Over a table the same reading is done in parallel: the feed is cut into slices of ``width`` and at gaps, so that no wait crosses
+a group, and each group is read in order by one task.  A stream keeps the waiting parts as state, and the watermark drops
+those that stay unfinished.
 """
 
 from __future__ import annotations
@@ -17,11 +16,12 @@ import json
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewake.functions.text import parsed_once
+from tidewake.operators.slices import homed
 
 LIMIT, SLICE = 60, 86_400
 KEY = ["receiver", "channel", "sequence", "parts"]
@@ -69,23 +69,6 @@ def fields(lines: DataFrame, at: Column, value: str = "value", receiver: str | N
     return rows.filter("part between 1 and parts and parts <= 9").fillna("", ["receiver"])
 
 
-def _homes(parts: DataFrame, limit: float, width: float) -> DataFrame:
-    """``parts`` with ``home``: the slice in which the run of sentences without a gap begins."""
-    placed = parts.withColumn("slice", F.floor(F.col("at") / F.lit(width)))
-    within = Window.partitionBy(*KEY, "slice").orderBy("at", "line_no", "part", "body")
-    over = Window.partitionBy(*KEY).orderBy("slice")
-    seen = placed.withColumn("gap", F.coalesce(F.col("at") - F.lag("at").over(within) > limit, F.lit(False)))
-    # A run begins in a slice at its first sentence, or after a gap inside.
-    ends = seen.groupBy(*KEY, "slice").agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.max("gap").alias("gap_inside"))
-    fresh = F.coalesce(F.col("first_at") - F.lag("last_at").over(over) > limit, F.lit(True))
-    starts = ends.withColumn("fresh", fresh)
-    begun = F.when(F.col("fresh") | F.col("gap_inside"), F.col("slice"))
-    starts = starts.withColumn("carried", F.last(begun, ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))).select(*KEY, "slice", "fresh", "carried")
-    passed = F.max("gap").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = seen.withColumn("passed", passed).join(starts, [*KEY, "slice"])
-    return rows.withColumn("home", F.when(F.col("passed") | F.col("fresh"), F.col("slice")).otherwise(F.col("carried"))).drop("slice", "gap", "passed", "fresh", "carried")
-
-
 def _read(parts: int, limit: float, rows: Iterable[tuple]) -> Iterator[tuple[float, str]]:
     waiting = Waiting(parts, limit)
     for at, part, body in rows:
@@ -112,7 +95,8 @@ def assembled(lines: DataFrame, order: str = "at", value: str = "value", limit:
         found = list(_read(int(key[3]), limit, zip(frame["at"].tolist(), frame["part"].tolist(), frame["body"].tolist(), strict=True)))
         return _frame({"receiver": [key[0]] * len(found), "at": [float(a) for a, _ in found], "payload": [p for _, p in found]}, at="float64")
 
-    joined = _homes(rows.filter("parts > 1"), limit, width).groupBy(*KEY, "home").applyInPandas(read, "receiver string, at double, payload string")
+    apart = lambda before: F.col("at") - before("at") > limit
+    joined = homed(rows.filter("parts > 1"), KEY, "at", ["at", "line_no", "part", "body"], apart, width).groupBy(*KEY, "home").applyInPandas(read, "receiver string, at double, payload string")
     return whole.unionByName(joined)
 
 
