@@ -1,11 +1,14 @@
 """Sinks that see a batch twice, and a feed whose query is broken off and started again."""
 
 import random
+import socket
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewake.sources import assembly
+from tidewake.sources import assembly, datagrams
 from tidewake.streaming import sinks
 
 from .test_assembly import SCHEMA, feed, read_by_line
@@ -89,3 +92,54 @@ def test_every_message_once_over_a_broken_run(spark, tmp_path):
     got = spark.read.parquet(out)
     assert broken and sorted(r["payload"] for r in got.collect()) == sorted(p for _, p in read_by_line(lines, 3.0))
     assert got.select("day").distinct().count() > 1 and got.filter(F.length("payload") % 3 != F.col("kind")).count() == 0
+
+
+def _free_ports(n):
+    held = [socket.socket(socket.AF_INET, socket.SOCK_DGRAM) for _ in range(n)]
+    for s in held:
+        s.bind(("127.0.0.1", 0))
+    ports = [s.getsockname()[1] for s in held]
+    for s in held:
+        s.close()
+    return ports
+
+
+def _taken(port):
+    with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as s:
+        try:
+            s.bind(("127.0.0.1", port))
+        except OSError:
+            return True
+    return False
+
+
+def test_several_ports_to_files_by_day_and_type(spark, tmp_path):
+    """Tasks listen at the same time; what they roll is read by a query, started again, into folders."""
+    ports, folder = _free_ports(3), f"file://{tmp_path}/held"
+    payload = "177KQJ5000G?tO`K>RA1wUbN0TKH"
+
+    def send():
+        until = time.time() + 60
+        while not all(map(_taken, ports)) and time.time() < until:
+            time.sleep(0.2)
+        with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as out:
+            for i in range(30):
+                for port in ports:
+                    part = f"!AIVDM,2,1,{i % 10},A,55?MbV02;H;s<HtKR20EHE:0@T4@Dn2222222216L961O5Gf0NSQEp6ClRp8,0*1C\r\n!AIVDM,2,2,{i % 10},A,88888888880,2*25" if i % 3 == 0 else f"!AIVDM,1,1,,B,{payload},0*5C"
+                    out.sendto(part.encode(), ("127.0.0.1", port))
+                time.sleep(0.02)
+
+    sender = threading.Thread(target=send)
+    sender.start()
+    got = {r["receiver"]: r for r in datagrams.received(spark, [("127.0.0.1", p) for p in ports], folder, 12.0, roll_s=0.2, roll_rows=7).collect()}
+    sender.join()
+    assert {r: x["n"] for r, x in got.items()} == {f"127.0.0.1:{p}": 30 for p in ports} and all(x["files"] > 2 for x in got.values())
+    out, seen = str(tmp_path / "out"), str(tmp_path / "seen")
+    lines = assembly.sentences(datagrams.received_stream(spark, folder, 4).withColumnRenamed("line_no", "datagram"))
+    for _ in range(2):
+        stream = assembly.assembled_stream(lines, receiver="receiver", limit_s=0.05, late="1 hour")
+        stream.writeStream.foreachBatch(sinks.decoded_by_day(out)).option("checkpointLocation", seen).trigger(availableNow=True).start().awaitTermination(120)
+    rows = spark.read.parquet(out).groupBy("receiver", "msg_type").count().collect()
+    positions = {r["receiver"]: r["count"] for r in rows if r["msg_type"] == 1}
+    assert positions == {f"127.0.0.1:{p}": 20 for p in ports}
+    assert {r["receiver"]: r["count"] for r in rows if r["msg_type"] == 5} == {f"127.0.0.1:{p}": 10 for p in ports}

@@ -1,8 +1,11 @@
-"""UDP datagrams as a stream: each micro-batch holds what arrived since the last.
+"""UDP datagrams as a stream.
 
-What arrives is written to a folder before a batch is planned, so a batch that is run again after a
-failure reads the same datagrams.  One socket is read on the driver, as one address has one receiver;
-heavy feeds start one stream for each of several ports.
+``received`` listens on many ports at once: one task of a Spark job holds the socket of one port and rolls what arrives into files
+of a shared folder, which appear whole or not at all; ``received_stream`` reads that folder.  The job is run by an outside
+scheduler for as long as the feed lasts, next to the query that reads.
+
+For a single port ``tidewake_udp`` needs no job beside the query: its socket is read where the query is driven, and what arrives is
+written to a folder before a batch is planned, so a batch that is run again after a failure reads the same datagrams.
 """
 
 from __future__ import annotations
@@ -10,9 +13,13 @@ from __future__ import annotations
 import json
 import socket
 import time
+import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 import pyarrow.fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 
@@ -74,3 +81,59 @@ class DatagramSource(DataSource):
 
     def simpleStreamReader(self, schema) -> DatagramReader:  # noqa: N802
         return DatagramReader({k.lower(): v for k, v in self.options.items()})
+
+
+RECEIVED = "at double, line_no long, receiver string, value string"
+
+
+def _rolled(folder: str, rows: list[dict]) -> None:
+    """The rows as a new file of the folder: written under a name that readers pass over, then renamed."""
+    filesystem, path = pyarrow.fs.FileSystem.from_uri(folder)
+    filesystem.create_dir(path, recursive=True)
+    name = uuid.uuid4().hex
+    with filesystem.open_output_stream(f"{path}/_{name}") as out:
+        out.write("\n".join(map(json.dumps, rows)).encode())
+    filesystem.move(f"{path}/_{name}", f"{path}/received-{name}.json")
+
+
+def received(spark: SparkSession, addresses: list[tuple[str, int]], folder: str, seconds: float, roll_s: float = 5.0, roll_rows: int = 10_000) -> DataFrame:
+    """``receiver, n, files``: how many datagrams each address got in ``seconds``; one task an address, all at the same time.
+
+    Needs as many free task slots as there are addresses.  A task that is lost loses what it has not rolled, ``roll_s`` seconds or
+    ``roll_rows`` datagrams, as a datagram has no second copy; files that it has rolled stay, and its retry adds to them.
+    """
+
+    def listen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                host, port = addresses[i]
+                held, n, files, rolled = [], 0, 0, time.time()
+                with socket.socket(socket.AF_INET, socket.SOCK_DGRAM) as link:
+                    link.setsockopt(socket.SOL_SOCKET, socket.SO_RCVBUF, 1 << 22)
+                    link.bind((host, port))
+                    until = time.time() + seconds
+                    while (now := time.time()) < until:
+                        link.settimeout(max(0.01, min(until - now, rolled + roll_s - now)))
+                        try:
+                            value = link.recv(65_535).decode("utf-8", "replace")
+                            held.append({"at": time.time(), "line_no": n, "receiver": f"{host}:{port}", "value": value})
+                            n += 1
+                        except TimeoutError:
+                            pass
+                        if held and (len(held) >= roll_rows or time.time() >= rolled + roll_s):
+                            _rolled(folder, held)
+                            held, files = [], files + 1
+                        if time.time() >= rolled + roll_s:
+                            rolled = time.time()
+                if held:
+                    _rolled(folder, held)
+                    files += 1
+                yield pa.RecordBatch.from_arrays([pa.array([f"{host}:{port}"]), pa.array([n], pa.int64()), pa.array([files], pa.int64())], ["receiver", "n", "files"])
+
+    return spark.range(0, len(addresses), 1, len(addresses)).mapInArrow(listen, "receiver string, n long, files long")
+
+
+def received_stream(spark: SparkSession, folder: str, files_per_trigger: int = 64) -> DataFrame:
+    """The folder that ``received`` fills, as a stream with the time of arrival as ``ts``."""
+    rows = spark.readStream.schema(RECEIVED).option("maxFilesPerTrigger", files_per_trigger).option("pathGlobFilter", "received-*.json").json(folder)
+    return rows.withColumn("ts", F.timestamp_micros((F.col("at") * 1e6).cast("long")))
