@@ -120,3 +120,14 @@ def test_blocks_of_a_token_lose_no_pair(spark, monkeypatch):
         rows.append((i, " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert result(jaccard_join.similar_groups(docs, 4, 85)) == brute(rows, 4, 85)
+
+
+def test_words_made_to_collide_stay_apart(spark):
+    """Words that follow the Thue-Morse sequence agree under any polynomial modulo a power of two."""
+    signs = [bin(i).count("1") % 2 for i in range(2048)]
+    word = lambda a, b, k: "".join((a, b)[x ^ k] for x in signs)
+    pairs = [("a" + chr(98 + i), "z" + chr(98 + i)) for i in range(12)]
+    texts = [" ".join(word(a, b, k) for a, b in pairs) for k in (0, 1)]
+    assert len({*texts[0].split(), *texts[1].split()}) == 24
+    docs = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (3, texts[0])], "doc_id long, text string")
+    assert result(jaccard_join.similar_groups(docs, 4, 85)) == brute([(1, texts[0]), (2, texts[1]), (3, texts[0])], 4, 85)

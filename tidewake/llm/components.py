@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from tidewake.llm.common import checkpointed
 
-MAX_ROUNDS = 64
-
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
@@ -19,9 +17,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = links.select(F.greatest("x", "y").alias("hi"), F.least("x", "y").alias("lo")).filter("hi <> lo").distinct()
     edges = checkpointed(edges)
     state = _state(edges)
-    for _ in range(MAX_ROUNDS):
-        if state[0] == 0:
-            break
+    while state[0]:
         both = edges.select(F.col("hi").alias("a"), F.col("lo").alias("b")).unionByName(edges.select(F.col("lo").alias("a"), F.col("hi").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("hi"), F.col("m").alias("lo")).filter("hi <> lo").distinct()
@@ -31,7 +27,5 @@ def connected_components(links: DataFrame) -> DataFrame:
         before, state = state, _state(edges)
         if state == before:
             break
-    else:
-        raise RuntimeError("components did not settle")
     roots = edges.select(F.col("lo").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)

@@ -56,34 +56,15 @@ HEADS = 3
 BYTES_AT_ONCE = 1 << 17
 _MIX = (np.uint64(0x9E3779B185EBCA87), np.uint64(29))
 _FIRST, _SECOND = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
-_BASE = 0x2545F4914F6CDD1B
-_IS_WORD = np.ones(256, bool)
-_IS_WORD[[9, 10, 11, 12, 13, 32]] = False
-_OF_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, np.uint64)
-
-
-@functools.cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the hash's base and of its inverse, modulo 2**64."""
-    both = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        steps = np.full(n, base, np.uint64)
-        steps[0] = 1
-        both.append(np.multiply.accumulate(steps))
-    return both[0], both[1]
-
-
-def _word_hashes(body: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word, whatever its place, and where it starts: differences of running sums."""
-    raw = np.frombuffer(body, np.uint8)
-    powers, inverses = _powers(max(BYTES_AT_ONCE, 1 << (len(raw) - 1).bit_length()) if len(raw) else 1)
-    edges = np.flatnonzero(np.diff(_IS_WORD[raw], prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_OF_BYTE[raw] * powers[: len(raw)], out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * inverses[starts]
-    hashes = (hashes ^ hashes >> _MIX[1]) * _SECOND
-    return hashes ^ hashes >> np.uint64(32), starts
+#: What words are parted by, as ``bytes.split`` has it too.
+_SPACES = b" \t\n\x0b\x0c\r"
+#: The key of the words' hashes.
+_KEY = 0x2545F4914F6CDD1B
+_of_word = functools.partial(xxhash.xxh3_64_intdigest, seed=_KEY)
+
+
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_of_word, words), np.uint64, len(words))
 
 
 def _windows(h: np.ndarray, span: int) -> np.ndarray:
@@ -104,28 +85,28 @@ def _long_shingles(body: bytes, width: int) -> np.ndarray:
     parts, at = [], 0
     while at < len(body):
         end = min(len(body), at + BYTES_AT_ONCE)
-        while end < len(body) and _IS_WORD[body[end]]:
+        while end < len(body) and body[end] not in _SPACES:
             end += 1
-        parts.append(_word_hashes(body[at:end])[0])
+        parts.append(_word_hashes(body[at:end].split()))
         at = end
     h = np.concatenate(parts) if parts else np.empty(0, np.uint64)
     return _distinct(_windows(h, min(width, len(h)))) if len(h) else h
 
 
 def _short_shingles(bodies: list[bytes], width: int) -> list[np.ndarray]:
-    ends = np.cumsum([len(b) + 1 for b in bodies])
-    h, starts = _word_hashes(b" ".join(bodies))
-    until = np.searchsorted(starts, ends).tolist()
+    split = [b.split() for b in bodies]
+    h = _word_hashes([w for words in split for w in words])
     whole = _windows(h, width) if len(h) >= width else h[:0]
-    out = []
-    for first, last in zip([0, *until], until, strict=False):
-        n = last - first
+    out, first = [], 0
+    for n in map(len, split):
+        last = first + n
         out.append(_distinct(whole[first : last - width + 1] if n >= width else _windows(h[first:last], n)) if n else h[:0])
+        first = last
     return out
 
 
 def shingle_sets(bodies: list[bytes], width: int) -> list[np.ndarray]:
-    """For each text the sorted distinct 64-bit hashes of its shingles."""
+    """For each text the sorted distinct 64-bit hashes of its shingles; words are hashed by a keyed XXH3, whole."""
     out, held, size = [], [], 0
     for body in bodies:
         body = body.lower()
