@@ -8,11 +8,10 @@ cannot outweigh the rest of the text.  The margin is the share of bytes by which
 beats the next.
 
 A text is rejected if it has no letters, if too few of its four-byte grams stand in its dictionary
-(junk, or a language that was not learned), or if neither bytes nor grams tell the languages apart.
-As bytes are coarse, most of all on short texts, a narrow margin alone does not reject: the language
-with most grams is taken, and its lead over the next has to be clear.  The three limits are shares
-of what a hundredth of the labelled slices falls below, each half of these tried on the other half;
-with too few slices there is ``MIN_MARGIN`` alone.  The score is the margin in bytes in every case.
+(junk, or a language that was not learned), or if the margin is narrow.  As bytes are coarse, most of all on
+short texts, sizes of the text written twice over, without blocks, choose where the margin is narrow, and it
+passes where the grams name the same language with a clear lead over the next; grams never change the answer.  The three limits are shares of what a hundredth of the labelled slices falls
+below, each half of these tried on the other half; with too few slices there is ``MIN_MARGIN`` alone.
 
 The dictionaries come from a bounded sample: of every language ``SLICES`` texts, those with the
 smallest hash in each of as many hash buckets, and ``SLICE_CHARS`` characters of each, from a place that
@@ -20,7 +19,7 @@ the hash picks.  Everything else covers whole texts of all rows.
 
 Edge cases: null text or one without a letter is ``und`` with score 0; with no labelled row all is
 ``und``; with one language alone its score is 1; equal texts get equal answers; ties go to the label
-that sorts first where grams do not decide; a null ``doc_id`` is neither learned from nor held out;
+that sorts first; a null ``doc_id`` is neither learned from nor held out;
 numerals, marks and symbols are not letters; a very long text is compressed block by block to its end;
 repeated rows are judged each and learned from once; ``identify`` reads ``doc_id, text, lang`` alone and
 ``accepted`` carries the other columns in a struct, so their names may be any.
@@ -60,7 +59,7 @@ def letters(text: str) -> bytes:
 
 
 class Limits(NamedTuple):
-    """Below which margin bytes do not decide, below which lead grams do not, and the least share of known grams."""
+    """Below which margin bytes are not clear, below which lead grams are not, and the least share of known grams."""
 
     margin: float = MIN_MARGIN
     lead: float | None = None
@@ -137,6 +136,10 @@ class Classifier:
         (best, lang), *others = sorted(zip(totals, self.compressors, strict=True))
         return lang, 1.0 - best / others[0][0] if others else 1.0
 
+    def by_bytes_twice(self, body: bytes) -> str:
+        """The smallest size of the whole text twice over: each byte of difference counts, as no block rounds it off."""
+        return min(self.compressors, key=lambda lang: (len(self.compressors[lang].compress(body + b" " + body)), lang))
+
     def known(self, grams: np.ndarray, lang: str) -> float:
         """The share of ``grams`` that stand in the dictionary."""
         own = self.grams[lang]
@@ -156,8 +159,9 @@ class Classifier:
             return lang, margin, lang == UNKNOWN or margin < limits.margin
         if margin >= limits.margin:
             return lang, margin, self.known(_grams(body), lang) < limits.known
-        (lang, known), lead = self.by_grams(body)
-        return lang, margin, lead < limits.lead or known < limits.known
+        lang = self.by_bytes_twice(body)
+        (other, known), lead = self.by_grams(body)
+        return lang, margin, other != lang or lead < limits.lead or known < limits.known
 
 
 def predicted(text: Column, spark: SparkSession, dictionaries: dict[str, bytes], least: Limits = Limits()) -> Column:
