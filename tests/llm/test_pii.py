@@ -128,3 +128,25 @@ def test_planted_truth_is_found_and_clean_texts_stay(spark):
     found = collections.Counter(kind for i, kind, value in planted if value not in new[i] and not any(p in new[i] for p in re.findall(r"\w{4,}", value) if kind == "person"))
     assert sum(found.values()) >= 0.95 * len(planted), found
     assert sum(new[i] == t for i, t in rows if i >= 1000) >= 0.995 * 200
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "value"),
+    [
+        ("call +33 1 23 45 67 89 now", "phone", "+33 1 23 45 67 89"), ("tel 01 23 45 67 89.", "phone", "01 23 45 67 89"), ("call 0171 2345678", "phone", "0171 2345678"), ("+44 20 7946 0958", "phone", "+44 20 7946 0958"),
+        ("pwd=abcdef", "secret", "abcdef"), ("the password is hunter22.", "secret", "hunter22"), ("Passwort: geheim12", "secret", "geheim12"), ("mot de passe : secret99", "secret", "secret99"),
+        ("use ghp_" + "aB3" * 12 + " here", "secret", "ghp_" + "aB3" * 12), ("sk-" + "x9Y" * 8, "secret", "sk-" + "x9Y" * 8), ("eyJhbGciOiJI.eyJzdWIiOiIx.abcd1234", "secret", "eyJhbGciOiJI.eyJzdWIiOiIx.abcd1234"),
+        ("HERR MÜLLER kam", "person", "MÜLLER"), ("FRAU SCHMIDT ging", "person", "SCHMIDT"),
+    ],
+)
+def test_forms_of_many_places(text, kind, value):
+    assert [(k, text[s:e]) for s, e, k, _ in pii.entities(text)] == [(kind, value)]
+    new, _ = pii._replacer(OF)(text, {})
+    assert value not in new and len(new) >= len(text) - len(value) and [k for _, _, k, _ in pii.entities(new)] == [kind]
+    heads = [h for h in ("ghp_", "sk-", "eyJ", "+33 ", "+44 ") if value.startswith(h)]
+    assert all(h in new for h in heads)
+
+
+@pytest.mark.parametrize("text", ["The password is required.", "01 23 45", "token ring", "a sketch-like sk-etch", "+1 and +2 3", "eyJ alone", "on 01 02 2024 at 05 06", "FRAU", "+123 4 5"])
+def test_what_only_looks_alike_stays(text):
+    assert pii.entities(text) == []

@@ -50,7 +50,7 @@ CACHED = 100_000
 TITLES = {
     "Mr": "m", "Mr.": "m", "Herr": "m", "Monsieur": "m", "M.": "m", "Señor": "m", "Sr.": "m", "господин": "m", "Господин": "m",
     "Mrs": "f", "Mrs.": "f", "Ms": "f", "Ms.": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Mme.": "f", "Señora": "f", "Sra.": "f", "госпожа": "f", "Госпожа": "f",
-    "Dr": "n", "Dr.": "n", "Prof.": "n", "Professor": "n",
+    "HERR": "m", "MONSIEUR": "m", "SEÑOR": "m", "FRAU": "f", "MADAME": "f", "SEÑORA": "f", "Dr": "n", "Dr.": "n", "Prof.": "n", "Professor": "n",
 }
 GIVEN = {
     ("latin", "m"): ("Adam", "Bruno", "Carl", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon", "Martin", "Noel", "Oscar", "Paul"),
@@ -84,17 +84,25 @@ _TITLES = "(?:" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse
 _NAME = rf"(?!{_TITLES}\s)[\p{{Lu}}\p{{Lt}}]\p{{M}}*+(?=[\w'’])(?:[\w\p{{M}}]|['’](?![sS](?!\w))(?=\p{{L}}))*+"
 _INITIAL = rf"(?!{_TITLES}\s)[\p{{Lu}}\p{{Lt}}]\p{{M}}*+(?:\.[ \-]?|[ ])"
 _UNCASED = r"\p{Han}{1,4}+|\p{Hangul}{1,5}+|[\p{Hiragana}\p{Katakana}ー・]{1,12}+|\p{Lo}[\w\p{M}]++(?:[ ]\p{Lo}[\w\p{M}]++)?"
+#: Words that a secret is assigned to, in the languages of the titles, and keys that tell by their first characters what they open.
+_ASSIGNED = r"password|passwd|pwd|passwort|kennwort|mot de passe|contraseña|secret|token|api[_\-]?key|access[_\-]?key"
+_KEY = r"(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_\-]{20,}|xox[abpr]-[A-Za-z0-9\-]{10,}|AIza[A-Za-z0-9_\-]{30,}|eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{4,})"
+_KEYS = re.compile(rf"(?=(?P<head>AKIA|ASIA|gh[pousr]_|sk-|xox[abpr]-|AIza|eyJ)){_KEY}")
 PATTERNS = {
     "email": re.compile(r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"),
-    "secret": re.compile(r"(?i:(?:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key)\s*[=:]\s*[\"']?)(?=[A-Za-z+/_\-]*[0-9])([A-Za-z0-9+/_\-]{6,})|\b((?:AKIA|ASIA)[0-9A-Z]{16})\b"),
+    "secret": re.compile(
+        rf"(?i:(?:{_ASSIGNED})\s*(?:[=:]|(?:is|ist|est|es)\s)\s*[\"']?)(?=[A-Za-z+/_\-]*[0-9])([A-Za-z0-9+/_\-]{{6,}})|(?i:(?:password|passwd|pwd|passwort|kennwort)=[\"']?)([A-Za-z0-9+/_\-]{{6,}})|(?<![A-Za-z0-9_\-])({_KEY})(?![A-Za-z0-9_\-])"
+    ),
     "iban": re.compile(r"\b[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?\b"),
     "card": re.compile(r"(?<![0-9A-Za-z.])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])"),
     "ssn": re.compile(r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"),
     "ip": re.compile(r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9])"),
-    "phone": re.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?)?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])"
-        r"|(?<![0-9A-Za-z.])0[1-9][0-9]{1,3}[\-/][0-9]{6,8}(?![0-9])|(?<=(?i:[Ttl]el|one|fax|bil)[.: ])[.: ]{0,2}0[1-9][0-9]{1,3}[ \-/]?[0-9]{3,4}[ ]?[0-9]{3,5}(?![0-9])"),
+    "phone": re.compile(r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .\-]?)?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{1,4}){2,6}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])"
+        r"|(?<![0-9A-Za-z.])0[1-9](?:[ .\-][0-9]{2}){4}(?![0-9])|(?<![0-9A-Za-z.])01[5-7][0-9]{1,2}[ ][0-9]{7,8}(?![0-9])|(?<![0-9A-Za-z.])0[1-9][0-9]{1,3}[\-/][0-9]{6,8}(?![0-9])|(?<=(?i:[Ttl]el|one|fax|bil)[.: ])[.: ]{0,2}0[1-9][0-9]{1,3}[ \-/]?[0-9]{3,4}[ ]?[0-9]{3,5}(?![0-9])"),
     "person": regex.compile(rf"(?<!\w){_TITLES}\s+((?:{_INITIAL}){{0,3}}{_NAME}(?:[ \-](?:{_INITIAL}){{0,3}}{_NAME}){{0,2}}|{_UNCASED})"),
 }
+#: Country codes of two digits; 1 and 7 have one, all others three.
+_TWO_DIGIT_CODES = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 #: Issuers of payment cards by their first digits, with the lengths of their numbers.
 _ISSUER = re.compile(
     r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}|3[47]\d{13}|3(?:0[0-5]|[689]\d)\d{11,13}"
@@ -102,10 +110,17 @@ _ISSUER = re.compile(
 )
 _VERSION = re.compile(r"(?i)(?:\bv|\bver|version|release|firmware|build)[.:]?\s*$")
 _MARKS = re.compile(r"[0-9@]")
-_SECRET_WORDS = ("password", "passwd", "pwd", "secret", "token", "key")
+_SECRET_WORDS = ("password", "passwd", "pwd", "passwort", "kennwort", "mot de passe", "contraseña", "secret", "token", "key", "akia", "asia", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox", "aiza", "eyj")
 _TITLE = re.compile("|".join(re.escape(t) + r"\s" for t in sorted(TITLES, key=len, reverse=True)))
 
 
+def _kept_of_phone(form: str) -> int:
+    """How many first characters say what a number is: a country's code, a national zero, or a range of mobile numbers."""
+    if form.startswith("+"):
+        return 2 if form[1] in "17" else 3 if form[1:3] in _TWO_DIGIT_CODES else 4
+    return 3 if re.match("01[5-7]", form) else 1 if form.startswith("0") else 0
+
+
 def _luhn(digits: str) -> int:
     """What the check digit after these digits has to be."""
     total = 0
@@ -126,6 +141,8 @@ def _valid(kind: str, found: str) -> bool:
     if kind == "iban":
         plain = found.replace(" ", "")
         return len(plain) >= 15 and _iban_check(plain[:2], plain[4:]) == plain[2:4]
+    if kind == "phone" and found.startswith("+"):
+        return 8 <= sum(c.isdigit() for c in found) <= 15
     return True
 
 
@@ -154,7 +171,7 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
     if _MARKS.search(text):
         kinds = ["email"] * ("@" in text) + ["iban", "card", "ssn", "ip", "phone"]
     low = text.lower()
-    if any(w in low for w in _SECRET_WORDS) or "AKIA" in text or "ASIA" in text:
+    if any(w in low for w in _SECRET_WORDS):
         kinds.append("secret")
     if _TITLE.search(text):
         kinds.append("person")
@@ -340,10 +357,11 @@ class Surrogates:
             account = self._moved(form[4:], tweak) + more
             return form[:2] + _iban_check(form[:2], account) + account
         if kind == "phone":
-            keep = 1 + max(1, len(form) - 11) if form.startswith("+") else 1 if form.startswith("0") else 0
+            keep = _kept_of_phone(form)
             return form[:keep] + self._moved(form[keep:], tweak) + more
-        if kind == "secret" and re.fullmatch(r"(?:AKIA|ASIA)[0-9A-Z]{16}", form):
-            return form[:4] + self._moved(form[4:], tweak) + more
+        if kind == "secret" and (head := _KEYS.fullmatch(form)):
+            at = head.end("head")
+            return form[:at] + self._moved(form[at:], tweak) + more
         mixed = kind == "secret" and re.fullmatch("[0-9a-f]+", form) is not None and not form.isdigit()
         return self._moved(form, tweak, hexadecimal=mixed) + more
 
