@@ -80,31 +80,31 @@ def berth_rules(spark, sf_dir):
 
 
 @query(f"""WITH {POINTS_SQL}, {POLYGONS_SQL}, {_LATEST_SQL}, n AS (
-  SELECT l.mmsi, g.polygon, l.cog, CAST(substr(g.polygon, 2) AS INTEGER) * 10 AS hole_cog, coalesce(CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 300 END, 0) AS length
-  FROM latest l JOIN polygons g ON l.lon > g.west AND l.lon <= g.east AND l.lat >= g.south AND l.lat < g.north LEFT JOIN customer ON c_custkey = mmsi
+  SELECT l.mmsi, g.polygon, l.cog, CAST(substr(g.polygon, 2) AS INTEGER) * 10 AS hole_cog, coalesce(c_custkey * 3 % 300, 0) AS length
+  FROM latest l JOIN polygons g ON l.lon > g.west AND l.lon <= g.east AND l.lat >= g.south AND l.lat < g.north LEFT JOIN customer ON c_custkey * 3 = mmsi
 ), d AS (SELECT *, abs(cog - hole_cog) AS gap, CASE WHEN abs(cog - hole_cog) % 360 > 180 THEN 360 - abs(cog - hole_cog) % 360 ELSE abs(cog - hole_cog) % 360 END AS half FROM n),
 f AS (SELECT mmsi, polygon, length, unnest([1, 2, 3]) AS i, unnest([CASE WHEN polygon = 'P20' THEN 'hole closed' END, CASE WHEN length > 200 THEN 'length over limit' END,
   CASE WHEN CASE WHEN half > 90 THEN 180 - half ELSE half END > 45 THEN 'course across the hole' END]) AS x FROM d WHERE gap <= 90 OR gap >= 270)
 SELECT mmsi, polygon, length, CAST(CASE WHEN count(x) = 0 THEN 1 ELSE 2 END AS INTEGER) AS status, {_FAILED} AS reasons FROM f GROUP BY mmsi, polygon, length""")
 def bridge_rules(spark, sf_dir):
     holes = polygons(spark).withColumns({"hole_cog": F.substring("polygon", 2, 2).cast("int") * 10, "max_length": F.lit(200), "closed": F.col("polygon") == "P20"})
-    ships = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("mmsi"), (F.col("c_custkey") % 300).alias("length"), F.col("c_name").alias("ship_name"))
+    ships = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 3).alias("mmsi"), (F.col("c_custkey") * 3 % 300).alias("length"), F.col("c_name").alias("ship_name"))
     weather = spark.createDataFrame([(8.0, 12.0)], "wind double, max_wind double")
     out = rules.bridge_passage(_latest(spark, sf_dir), holes, ships, weather)
     return out.select("mmsi", "polygon", "length", "status", "reasons")
 
 
-@query(f"""WITH {POINTS_SQL}, {_LATEST_SQL} SELECT mmsi, coalesce(c_name, 'none') AS ship_name, coalesce(c_nationkey, -1) AS flag FROM latest LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) ON c_custkey = mmsi""")
+@query(f"""WITH {POINTS_SQL}, {_LATEST_SQL} SELECT mmsi, coalesce(c_name, 'none') AS ship_name, coalesce(c_nationkey, -1) AS flag FROM latest LEFT JOIN customer ON c_custkey * 3 = mmsi""")
 def static_lookup(spark, sf_dir):
-    ships = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("mmsi"), F.col("c_name").alias("ship_name"), F.col("c_nationkey").alias("flag"))
+    ships = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 3).alias("mmsi"), F.col("c_name").alias("ship_name"), F.col("c_nationkey").alias("flag"))
     return rules.lookup_or(_latest(spark, sf_dir), ships, "mmsi", {"ship_name": "none", "flag": -1}).select("mmsi", "ship_name", "flag")
 
 
 @query("""SELECT coalesce(a.nation, b.nation) AS nation, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers FROM
-(SELECT c_nationkey AS nation, count(*) AS customers FROM customer WHERE c_nationkey < 18 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS nation, count(*) AS suppliers FROM supplier WHERE s_nationkey > 6 GROUP BY 1) b ON a.nation = b.nation""")
+(SELECT c_nationkey AS nation, count(*) AS customers FROM customer GROUP BY 1) a FULL JOIN (SELECT s_nationkey + 7 AS nation, count(*) AS suppliers FROM supplier GROUP BY 1) b ON a.nation = b.nation""")
 def register_outer(spark, sf_dir):
-    a = table(spark, sf_dir, "customer").filter("c_nationkey < 18").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
-    b = table(spark, sf_dir, "supplier").filter("s_nationkey > 6").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
+    a = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
+    b = table(spark, sf_dir, "supplier").groupBy((F.col("s_nationkey") + 7).alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
     return rules.merged_registers(a, b, "nation")
 
 
@@ -126,9 +126,9 @@ def _names(spark, sf_dir, condition):
     return table(spark, sf_dir, "part").filter(condition).select(tx.normal_name("p_name").alias("name"))
 
 
-@query("SELECT lower(replace(p_name, ' ', '')) AS name FROM part WHERE p_size < 5 INTERSECT SELECT lower(replace(p_name, ' ', '')) FROM part WHERE p_size > 45")
+@query("SELECT lower(replace(p_name, ' ', '')) AS name FROM part WHERE p_size <= 25 INTERSECT SELECT lower(replace(p_name, ' ', '')) FROM part WHERE p_size > 25")
 def name_intersect(spark, sf_dir):
-    return _names(spark, sf_dir, "p_size < 5").intersect(_names(spark, sf_dir, "p_size > 45"))
+    return _names(spark, sf_dir, "p_size <= 25").intersect(_names(spark, sf_dir, "p_size > 25"))
 
 
 @query("SELECT lower(replace(p_name, ' ', '')) || p_size AS name FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT lower(replace(p_name, ' ', '')) || p_size FROM part WHERE p_partkey % 2 = 1")
