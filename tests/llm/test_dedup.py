@@ -13,7 +13,7 @@ from .conftest import SF
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     mine, theirs = queries.QUERIES[name](spark, SF), con.sql(queries.SQL[name])
     order = sorted(mine.columns)
