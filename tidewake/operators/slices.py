@@ -9,6 +9,7 @@ it lies.  The rows of one key and home are whole stretches: they can be scanned
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +37,10 @@ def homed(rows: DataFrame, keys: list[str], at: str, order: list[str], fresh: Ca
     begun = F.when(F.col("_edge") | F.col("_inside"), F.col("_slice"))
     edges = edges.withColumn("_carried", F.last(begun, ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))).select(*keys, "_slice", "_edge", "_carried")
     passed = F.max("_starts").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    met = seen.drop("_before", "_row").withColumn("_passed", passed).join(edges, [*keys, "_slice"])
+    # A missing key is a key like any other.
+    edges = edges.withColumnsRenamed({k: f"_of_{k}" for k in [*keys, "_slice"]})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in [*keys, "_slice"]])
+    met = seen.drop("_before", "_row").withColumn("_passed", passed).join(edges, same)
     return met.select(*columns, F.when(F.col("_passed") | F.col("_edge"), F.col("_slice")).otherwise(F.col("_carried")).alias("home"))
 
 

@@ -119,7 +119,9 @@ def stop_members(points: DataFrame, max_speed_mm_s: float = MAX_SPEED_MM_S, max_
     found = stretches.mapInArrow(_kernel(max_speed_mm_s, max_diagonal_mm, [*points.columns, "home"], keys), f"{fields}, home long, stop long")
     held = found.groupBy(*keys).agg((F.max("stop") + 1).alias("n"))
     before = held.select(*keys, F.coalesce(F.sum("n").over(Window.partitionBy("mmsi").orderBy("home").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return found.join(before, list(keys)).select(*points.columns, (F.col("stop") + F.col("before")).alias("stop"))
+    before = before.withColumnsRenamed({"mmsi": "of", "home": "of_home"})
+    same = F.col("mmsi").eqNullSafe(F.col("of")) & F.col("home").eqNullSafe(F.col("of_home"))
+    return found.join(before, same).select(*points.columns, (F.col("stop") + F.col("before")).alias("stop"))
 
 
 def summarised(members: DataFrame, *first: str) -> DataFrame:
