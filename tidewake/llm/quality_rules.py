@@ -56,7 +56,8 @@ MEASURES = {
 def _window_hashes(hashes: Column) -> Column:
     """``HASH_BITS`` bits for every window of three words, from the hashes of its words."""
     later = lambda i, k: F.coalesce(F.get(hashes, i + k), F.lit(0))
-    mixed = lambda x, i: F.shiftrightunsigned(x.bitwiseXOR(F.shiftrightunsigned(later(i, 1), 7)).bitwiseXOR(F.shiftleft(later(i, 2), 9)), 64 - HASH_BITS)
+    joined = lambda x, i: x.bitwiseXOR(F.shiftrightunsigned(later(i, 1), 7)).bitwiseXOR(F.shiftleft(later(i, 2), 9))
+    mixed = lambda x, i: F.shiftrightunsigned(joined(x, i), 64 - HASH_BITS)
     return F.slice(F.transform(hashes, mixed), 1, F.size(hashes) - (WINDOW - 1))
 
 
@@ -64,9 +65,10 @@ def _repeated(windows: Column) -> Column:
     """Hash and place, from 1, of the windows whose hash comes twice and more, in one number, sorted."""
     packed = F.sort_array(F.transform(windows, lambda x, i: F.shiftleft(x, PLACE_BITS).bitwiseOR((i + 1).cast("long"))))
     of = lambda x: F.shiftrightunsigned(x, PLACE_BITS)
-    beside = lambda s, i: of(F.coalesce(F.get(s, i), F.lit(-1)))
-    met = F.transform(F.array(packed), lambda s: F.filter(s, lambda x, i: (of(x) == beside(s, i - 1)) | (of(x) == beside(s, i + 1))))
-    return F.flatten(met)
+    # No hash is below 0, so the ends of the list have no equal beside them.
+    beside = lambda s, i: F.coalesce(of(F.get(s, i)), F.lit(-1))
+    kept = lambda s: F.filter(s, lambda x, i: (of(x) == beside(s, i - 1)) | (of(x) == beside(s, i + 1)))
+    return F.flatten(F.transform(F.array(packed), kept))
 
 
 def _place(x: Column) -> Column:
@@ -77,7 +79,9 @@ def _clash(repeated: Column, words: Column) -> Column:
     """Whether two neighbours of one hash differ in their words."""
     at = lambda x, k: F.element_at(words, (_place(x) + k).cast("int"))
     differ = lambda x, y: reduce(lambda a, b: a | b, [at(x, k) != at(y, k) for k in range(WINDOW)])
-    checked = F.transform(repeated, lambda x, i: (i > 0) & (F.shiftrightunsigned(x, PLACE_BITS) == F.shiftrightunsigned(F.get(repeated, i - 1), PLACE_BITS)) & differ(x, F.get(repeated, i - 1)))
+    hash_of = lambda x: F.shiftrightunsigned(x, PLACE_BITS)
+    before = lambda i: F.get(repeated, i - 1)
+    checked = F.transform(repeated, lambda x, i: (i > 0) & (hash_of(x) == hash_of(before(i))) & differ(x, before(i)))
     return F.exists(checked, lambda x: F.coalesce(x, F.lit(False)))
 
 
@@ -86,8 +90,9 @@ def _places_by_text(words: Column, n: Column) -> Column:
     place = F.sequence(F.lit(1).cast("long"), n - (WINDOW - 1))
     window = lambda i: F.struct(F.array_join(F.slice(words, i.cast("int"), WINDOW), " ").alias("w"), i.alias("i"))
     ordered = F.array_sort(F.transform(place, window))
-    kept = F.transform(F.array(ordered), lambda s: F.filter(s, lambda x, i: F.coalesce(x["w"] == F.get(s, i - 1)["w"], F.lit(False)) | F.coalesce(x["w"] == F.get(s, i + 1)["w"], F.lit(False))))
-    return F.sort_array(F.transform(kept[0], lambda x: x["i"]))
+    same = lambda x, s, i: F.coalesce(x["w"] == F.get(s, i)["w"], F.lit(False))
+    kept = lambda s: F.filter(s, lambda x, i: same(x, s, i - 1) | same(x, s, i + 1))
+    return F.sort_array(F.transform(F.flatten(F.transform(F.array(ordered), kept)), lambda x: x["i"]))
 
 
 def _covered(places: Column) -> Column:
