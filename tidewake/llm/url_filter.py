@@ -1,16 +1,17 @@
 """URL filtering with pattern rules indexed by their rarest literal token.
 
-A rule is a pattern over ``host + path``.  ``*`` matches anything, a leading ``||`` anchors the
-pattern at the start of the host or of one of its labels.  Each rule is filed under the literal
-token of its pattern that is rarest among the URLs at hand; the tokens of a URL fetch candidate
-rules and only those candidates run their regular expression.  Everything is a column expression:
-up to ``INLINE_RULES`` rules travel as a constant, an array of hash buckets in which a token looks into
+A rule is a pattern over ``host + path``: ``*`` matches anything, a leading ``||`` anchors it at the start of the host or of one of
+its labels, ``|`` at either end anchors it there, ``^`` is a separator (no letter, digit or ``_-.%``) or the end, and a
+leading ``@@`` makes it an exception, which lets a URL pass that others would block.  Patterns do not regard case, listed
+rules do in the path.  Each rule is filed under the literal token of its pattern that is rarest among the URLs at hand;
+the tokens of a URL fetch candidate rules and only those candidates run their regular expression.  Everything is a column
+expression: up to ``INLINE_RULES`` rules travel as a constant, an array of hash buckets in which a token looks into
 one place alone, and the plan has no exchange at all; larger rule sets are joined on the token
 (broadcast only below ``BROADCAST_RULES`` rules).
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path, no rule and the
 default verdict; an empty table gives an empty result; repeated rows are judged each on its own; very
-long URLs are read whole; of rules that fit, listed ones come first, then the longest, then the last by
+long URLs are read whole; of rules that fit, listed ones come first, then exceptions, then the longest, then the last by
 name; of a table's columns the identifier and the URL alone are read, others may have any name.
 """
 
@@ -29,11 +30,15 @@ from tidewake.llm.common import ascii_lower
 INLINE_RULES = 20_000
 COUNTED_TOKENS = 256
 BROADCAST_RULES = 200_000
-_RULE_TYPE = "struct<token:string,name:string,regex:string,verdict:string,listed:boolean,size:int>"
+_RULE_TYPE = "struct<token:string,name:string,regex:string,verdict:string,listed:boolean,exception:boolean,size:int>"
+_ORDER = ("listed", "exception", "size", "name", "verdict")
 #: The seed that Spark's own ``xxhash64`` starts from.
 _SEED = 42
 
 
+_SEPARATOR = r"(?:[^A-Za-z0-9_.%-]|\z)"
+
+
 @dataclass(frozen=True)
 class Rule:
     """``name`` is reported for listed rules; ``listed`` rules take precedence over plain patterns."""
@@ -48,21 +53,37 @@ class Rule:
         """``host/path``: the host with all its subdomains, and the paths that start with ``/path``."""
         return Rule(spec, f"||{spec}*", verdict, listed=True)
 
+    @staticmethod
+    def line(text: str) -> "Rule":
+        """A line of a filter list."""
+        return Rule(text, text.removeprefix("@@"), "allow" if text.startswith("@@") else "block")
+
+    @property
+    def exception(self) -> bool:
+        return not self.listed and self.verdict == "allow"
+
+    @property
+    def _parts(self) -> tuple[str, str, str]:
+        """The anchors at both ends and what stands between them."""
+        head = next(x for x in ("||", "|", "") if self.pattern.startswith(x))
+        tail = "|" if self.pattern.endswith("|") and len(self.pattern) > len(head) else ""
+        return head, self.pattern[len(head) : len(self.pattern) - len(tail)], tail
+
     @property
     def regex(self) -> str:
-        body = self.pattern.removeprefix("||")
-        head = r"^(?:[^/]*\.)?" if body != self.pattern else ""
-        return head + r"[\s\S]*".join(re.escape(part) for part in body.rstrip("*").split("*"))
+        head, body, tail = self._parts
+        start = {"||": r"^(?:[^/]*\.)?", "|": "^", "": ""}[head]
+        inner = r"[\s\S]*".join(_SEPARATOR.join(re.escape(x) for x in part.split("^")) for part in (body if tail else body.rstrip("*")).split("*"))
+        return ("" if self.listed else "(?i)") + start + inner + (r"\z" if tail else "")
 
     @property
     def tokens(self) -> list[str]:
-        """Literal tokens that any matching URL holds whole: runs of letters and digits with a literal on both sides."""
-        body = self.pattern.removeprefix("||")
-        anchored = body != self.pattern
+        """Literal tokens that any matching URL holds whole: runs of letters and digits with an end, a separator or another literal on both sides."""
+        head, body, tail = self._parts
         found = []
         for m in re.finditer(r"[A-Za-z0-9]+", body):
-            left = m.start() > 0 and body[m.start() - 1] != "*" or m.start() == 0 and anchored
-            right = m.end() < len(body) and body[m.end()] != "*"
+            left = body[m.start() - 1] != "*" if m.start() else bool(head)
+            right = body[m.end()] != "*" if m.end() < len(body) else bool(tail)
             if left and right:
                 found.append(m[0].lower())
         return found
@@ -76,22 +97,67 @@ LISTED = (
     Rule.prefix("com/fr/", "allow"),
     Rule.prefix("com/de/", "block"),
 )
-#: Pages that carry no prose: sessions, carts, administration, numbered trackers and hosts that sell by their name.
-_FOLDERS = ("ads", "banner", "cart", "cgi-bin", "checkout", "login", "logout", "session", "signup", "wp-admin")
-_TRACKERS = ("ad", "ads", "adserver", "banner", "beacon", "click", "count", "metrics", "pixel", "stats", "track", "tracker")
-_TRACKER_NUMBERS = 100
-_SELLERS = ("best", "buy", "cheap", "discount", "easy", "fast", "free", "instant", "online", "spam")
-_GOODS = ("casino", "credit", "diet", "farm", "loans", "lottery", "pharmacy", "pills", "poker", "watches")
-PATTERNS = tuple(
-    Rule(p, p, "block")
-    for p in (
-        "||doubleclick.*",
-        "*.casino.*",
-        *(f"*/{x}/*" for x in _FOLDERS),
-        *(f"||{x}{i}.*" for x in _TRACKERS for i in range(_TRACKER_NUMBERS)),
-        *(f"||{x}-{y}.*" for x in _SELLERS for y in _GOODS),
-    )
-)
+#: Filter lines of the production query: hosts that serve advertisements or count visits, hosts that sell by their name, pages
+#: without prose, and what is let through all the same.
+LINES = """
+||ad.*^
+||ads.*^
+||adserver.*^
+||banner.*^
+||beacon.*^
+||click.*^
+||counter.*^
+||doubleclick.*^
+||metrics.*^
+||pixel.*^
+||stats.*^
+||track.*^
+||tracker.*^
+||tracking.*^
+.casino.
+||casino-
+-casino.
+||free-bets.
+||bet-
+-bets.
+-betting.
+||cheap-
+||discount-
+-jackpot.
+-loans.
+||lottery-
+-lottery.
+-payday.
+-pharmacy.
+-pills.
+||poker-
+-poker.
+-slots.
+-watches.
+/ads/
+/adverts/
+/banner/
+/basket^
+/cart^
+/cgi-bin/
+/checkout^
+/login^
+/logout^
+/my-account^
+/register^
+/session^
+/signin^
+/signup^
+/wp-admin^
+/wp-login.php|
+;jsessionid=
+|localhost^
+@@||ads.txt^
+@@||docs.*^
+@@/login-help^
+@@||help.*/register^
+""".split()
+PATTERNS = tuple(Rule.line(x) for x in LINES)
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -129,7 +195,7 @@ def index_rules(rules: tuple[Rule, ...], counts: dict[str, int]) -> dict[str, li
 
 
 def _fields(token: str, rule: Rule) -> dict:
-    return {"token": token, "name": rule.name, "regex": rule.regex, "verdict": rule.verdict, "listed": rule.listed, "size": len(rule.name)}
+    return {"token": token, "name": rule.name, "regex": rule.regex, "verdict": rule.verdict, "listed": rule.listed, "exception": rule.exception, "size": len(rule.name)}
 
 
 def _fetched(tokens: Column, index: dict[str, list[Rule]]) -> Column:
@@ -147,8 +213,8 @@ def _fetched(tokens: Column, index: dict[str, list[Rule]]) -> Column:
 
 
 def _best(rules: Column) -> Column:
-    """Listed rules first, then the longest, then by name."""
-    return F.array_max(F.transform(rules, lambda r: F.struct(r["listed"].alias("listed"), r["size"].alias("size"), r["name"].alias("name"), r["verdict"].alias("verdict"))))
+    """Listed rules first, then exceptions, then the longest, then by name."""
+    return F.array_max(F.transform(rules, lambda r: F.struct(*[r[name].alias(name) for name in _ORDER])))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...], default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -176,14 +242,14 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...], default: str = "allow", id_
 def _joined(urls: DataFrame, index: dict[str, list[Rule]], subject: Column) -> DataFrame:
     """Beyond ``INLINE_RULES``: candidates by a join on the token, one row a URL afterwards."""
     spark: SparkSession = urls.sparkSession
-    rows = [(token, r.name, r.regex, r.verdict, r.listed, len(r.name)) for token, found in index.items() for r in found]
-    table = spark.createDataFrame(rows, "token string, name string, regex string, verdict string, listed boolean, size int")
+    rows = [(token, r.name, r.regex, r.verdict, r.listed, r.exception, len(r.name)) for token, found in index.items() for r in found]
+    table = spark.createDataFrame(rows, "token string, name string, regex string, verdict string, listed boolean, exception boolean, size int")
     if len(rows) <= BROADCAST_RULES:
         table = F.broadcast(table)
     keyed = urls.withColumn("row", F.monotonically_increasing_id())
     asked = keyed.withColumn("token", F.explode(F.array_distinct(F.concat("tokens", F.array(F.lit("")))))).drop("tokens")
     hit = F.regexp_like(subject, F.col("regex"))
-    found = asked.join(table, "token", "left").withColumn("hit", F.when(hit, F.struct("listed", "size", "name", "verdict")))
+    found = asked.join(table, "token", "left").withColumn("hit", F.when(hit, F.struct(*_ORDER)))
     first = [c for c in urls.columns if c != "tokens"]
     return found.groupBy("row").agg(*[F.first(c).alias(c) for c in first], F.max("hit").alias("best"))
 
@@ -192,10 +258,11 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), LISTED + PATTERNS)
 
 
-def _values(words) -> str:
-    return ", ".join(f"('{x}')" for x in words)
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
+_PATTERN_ROWS = ", ".join(f"({_quoted(r.name)}, {_quoted(r.regex)}, {_quoted(r.verdict)}, {str(r.exception).lower()})" for r in PATTERNS)
 SQL = rf"""
 WITH parts AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages
@@ -208,22 +275,16 @@ WITH parts AS (
   VALUES ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'),
          ('example.org/en/1', 'example.org', '/en/1', 'block'), ('com/fr/', 'com', '/fr/', 'allow'),
          ('com/de/', 'com', '/de/', 'block')
-), labels(label) AS (
-  SELECT 'doubleclick' UNION ALL SELECT x || n FROM (VALUES {_values(_TRACKERS)}) a(x), range({_TRACKER_NUMBERS}) b(n)
-  UNION ALL SELECT x || '-' || y FROM (VALUES {_values(_SELLERS)}) a(x), (VALUES {_values(_GOODS)}) b(y)
-), texts(name, needle) AS (
-  SELECT '*.casino.*', '.casino.' UNION ALL SELECT '*/' || x || '/*', '/' || x || '/' FROM (VALUES {_values(_FOLDERS)}) a(x)
-), found AS (
-  SELECT page_id, '||' || label || '.*' AS name FROM split JOIN labels ON starts_with(host, label || '.') OR contains(host, '.' || label || '.')
-  UNION ALL SELECT page_id, name FROM split JOIN texts ON contains(host || path, needle)
+), patterns(name, regex, pverdict, exception) AS (
+  VALUES {_PATTERN_ROWS}
 ), plain AS (
-  SELECT page_id, max(struct_pack(n := length(name), q := name)).q AS pattern FROM found GROUP BY page_id
+  SELECT page_id, max(struct_pack(e := exception, n := length(name), q := name, v := pverdict)) AS p FROM split JOIN patterns ON regexp_matches(host || path, regex) GROUP BY page_id
 ), judged AS (
   SELECT s.*, (SELECT max(struct_pack(n := length(name), name := name, v := rverdict)) FROM rules
                WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best
   FROM split s
 )
-SELECT page_id, host, path, best.name AS rule, CASE WHEN best IS NOT NULL THEN best.v WHEN pattern IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
-       CASE WHEN best IS NULL THEN pattern END AS pattern
+SELECT page_id, host, path, best.name AS rule, CASE WHEN best IS NOT NULL THEN best.v ELSE coalesce(p.v, 'allow') END AS verdict,
+       CASE WHEN best IS NULL THEN p.q END AS pattern
 FROM judged LEFT JOIN plain USING (page_id)
 """
