@@ -35,9 +35,16 @@ def circle_counts(stream: DataFrame, lon: float, lat: float, radius_km: float, w
     return counted.select(F.col("slot.start").alias("window_start"), "n_ships", "n_points")
 
 
+def visits(rows: DataFrame, gap: str) -> DataFrame:
+    """Positions of a ship at a site less than ``gap`` apart; a session window also joins those exactly ``gap`` apart, so it is a microsecond shorter."""
+    short = F.session_window("ts", f"{gap} -1 microseconds")
+    end = F.col("session_window.end") + F.expr("interval 1 microsecond")
+    return rows.groupBy("mmsi", "site", short).agg(F.count(F.lit(1)).alias("n_points")).select("mmsi", "site", F.col("session_window.start").alias("begin_ts"), end.alias("end_ts"), "n_points")
+
+
 def sessions(stream: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """Visits of a ship to a site: positions less than ``gap`` apart."""
-    return stream.withWatermark("ts", late).groupBy("mmsi", "site", F.session_window("ts", gap)).agg(F.count(F.lit(1)).alias("n_points")).select("mmsi", "site", F.col("session_window.start").alias("begin_ts"), F.col("session_window.end").alias("end_ts"), "n_points")
+    return visits(stream.withWatermark("ts", late), gap)
 
 
 def changed_only(stream: DataFrame, keys: list[str], late: str = "1 day") -> DataFrame:
