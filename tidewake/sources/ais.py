@@ -106,20 +106,21 @@ def boxed_positions(lines: DataFrame, west: float, east: float, south: float, no
 def position_text(lines: DataFrame, line: str = "value") -> DataFrame:
     """Comma-separated positions ``id,time,lon,lat,status,zone,sog,cog,head,rot``; rows that do not fit are dropped."""
     kinds = {"mmsi": "long", "t": "long", "lon": "double", "lat": "double", "status": "int", "zone": "int", "sog": "double", "cog": "double", "head": "double", "rot": "double"}
-    f = F.split(line, ",")
-    rows = lines.filter(F.size(f) >= len(kinds)).select(*[f[i].try_cast(kind).alias(name) for i, (name, kind) in enumerate(kinds.items())])
-    return rows.dropna()
+    f = F.col("f")
+    rows = parsed_once(lines.select(line), f=F.split(line, ",")).filter(F.size(f) >= len(kinds))
+    return rows.select(*[f[i].try_cast(kind).alias(name) for i, (name, kind) in enumerate(kinds.items())]).dropna()
 
 
 def at_feed(lines: DataFrame, line: str = "value") -> tuple[DataFrame, DataFrame]:
     """Dynamic and static rows of a feed of ``@``-separated fields, told apart by the first."""
-    f = F.split(line, "@")
+    f = F.col("f")
     number = lambda i, kind: f[i].try_cast(kind)
-    dynamic = lines.filter((f[0] == "0") & (F.size(f) >= 11)).select(
+    rows = parsed_once(lines.select(line), f=F.split(line, "@"))
+    dynamic = rows.filter((f[0] == "0") & (F.size(f) >= 11)).select(
         number(2, "long").alias("mmsi"), number(1, "long").alias("t"), number(3, "int").alias("status"), number(4, "double").alias("rot"), number(5, "double").alias("sog"), number(6, "int").alias("pos_acc"),
         number(7, "double").alias("lon"), number(8, "double").alias("lat"), cell_id(number(7, "double"), number(8, "double")).alias("cell"), number(9, "double").alias("cog"), number(10, "double").alias("head"),
     )
-    static = lines.filter((f[0] == "1") & (F.size(f) >= 13)).select(
+    static = rows.filter((f[0] == "1") & (F.size(f) >= 13)).select(
         number(2, "long").alias("mmsi"), number(3, "int").alias("ship_type"), number(4, "long").alias("imo"), f[5].alias("callsign"), number(6, "double").alias("length"), number(7, "double").alias("width"),
         f[9].alias("eta"), number(10, "double").alias("draught"), F.translate(f[12], ",", ";").alias("destination"),
     )
