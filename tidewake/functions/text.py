@@ -136,7 +136,11 @@ def bits_signed(bits, start: int, length: int) -> Column:
 
 
 def bits_text(bits, start: int, characters: int) -> Column:
-    """Six-bit text up to the first ``@``, without trailing spaces."""
+    """Six-bit text up to the first ``@``, without trailing spaces; whole digits that make whole groups of 24 bits are read as base 64."""
+    if start % 4 == 0 and characters % 4 == 0:
+        digits = F.substring(c(bits), start // 4 + 1, characters * 3 // 2)
+        whole = F.unhex(F.rpad(digits, characters * 3 // 2, "0"))
+        return F.rtrim(F.substring_index(F.translate(F.base64(whole), BASE64, SIX_BIT_TEXT), "@", 1))
     one = lambda i: F.substring(F.lit(SIX_BIT_TEXT), bits_unsigned(bits, start + 6 * i, 6).cast("int") + 1, F.lit(1))
     text = F.concat(*[F.coalesce(one(i), F.lit("")) for i in range(characters)])
     return F.rtrim(F.substring_index(text, "@", 1))
@@ -150,7 +154,24 @@ def armoured(bits, length: int) -> Column:
     """The payload of the first ``length`` bits of a string of bits, filled up to whole groups of 24; the inverse of ``armour_bits``."""
     padded, groups = F.rpad(c(bits), -(-length // 24) * 24, "0"), -(-length // 24)
     digits = [F.lpad(F.conv(F.substring(padded, 24 * i + 1, 24), 2, 16), 6, "0") for i in range(groups)]
-    return F.substring(F.translate(F.base64(F.unhex(F.concat(*digits))), BASE64, ARMOUR), 1, -(-length // 6))
+    return armoured_digits(F.concat(*digits), length)
+
+
+def armoured_digits(digits, length: int) -> Column:
+    """The same from hexadecimal digits, which need no conversion of number by number."""
+    whole = F.unhex(F.rpad(c(digits), -(-length // 24) * 6, "0"))
+    return F.substring(F.translate(F.base64(whole), BASE64, ARMOUR), 1, -(-length // 6))
+
+
+def digits_of(value, length: int) -> Column:
+    """``bits_of`` as hexadecimal digits, for whole digits."""
+    return F.lpad(F.hex(c(value).cast("long").bitwiseAND(F.lit((1 << length) - 1))), length // 4, "0")
+
+
+def text_digits(text, characters: int) -> Column:
+    """``text_bits`` as hexadecimal digits, for four characters or a multiple."""
+    padded = F.regexp_replace(F.rpad(F.upper(c(text)), characters, "@"), "[^ -_]", "?")
+    return F.hex(F.unbase64(F.translate(padded, SIX_BIT_TEXT, BASE64)))
 
 
 def bits_of(value, length: int) -> Column:

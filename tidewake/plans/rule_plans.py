@@ -170,6 +170,12 @@ def _payload(*parts):
     return tx.armoured(F.concat(*parts), 168)
 
 
+def _static_digits(mmsi, imo, name, kind):
+    """A static report up to the ship's type: fields of 30 bits with the two zero bits that follow them are eight digits."""
+    thirty = lambda x: tx.digits_of((F.col(x) if isinstance(x, str) else x).cast("long") * 4, 32)
+    return F.concat(F.lit("14"), thirty(mmsi), thirty(imo), F.lit("0" * 10), tx.text_digits(name, 20), tx.digits_of(kind, 8))
+
+
 @query(f"""WITH {POINTS_SQL} SELECT event_id, CAST(1 AS INTEGER) AS msg_type, mmsi, CAST(status AS INTEGER) AS status, CAST(trunc(sog) % 1000 AS BIGINT) / 10 AS sog,
 round((CASE WHEN k % 2 = 0 THEN 1 ELSE -1 END) * trunc(lon * 600000) / 600000, 6) AS lon, round((CASE WHEN k % 3 = 0 THEN -1 ELSE 1 END) * trunc(lat * 600000) / 600000, 6) AS lat, CAST(cog AS DOUBLE) AS cog, CAST(head AS INTEGER) AS heading FROM points""")
 def ais_decode(spark, sf_dir):
@@ -186,8 +192,8 @@ def ais_decode(spark, sf_dir):
 @query("SELECT c_custkey, rtrim(upper(substr(c_name, 1, 20))) AS name, CAST(c_custkey % 100 AS INTEGER) AS ship_type FROM customer")
 def ais_armour_text(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    bits = F.concat(tx.bits_of(F.lit(5), 6), tx.bits_of(F.lit(0), 2), tx.bits_of("c_custkey", 30), tx.bits_of(F.lit(0), 2), tx.bits_of(F.lit(0), 30), tx.bits_of(F.lit(0), 42), tx.text_bits("c_name", 20), tx.bits_of(F.col("c_custkey") % 100, 8))
-    sent = c.select("c_custkey", tx.armoured(bits, 424).alias("payload"))
+    digits = _static_digits("c_custkey", F.lit(0), "c_name", F.col("c_custkey") % 100)
+    sent = c.select("c_custkey", tx.armoured_digits(digits, 424).alias("payload"))
     return ais.decoded(sent, carried=["c_custkey"]).select("c_custkey", "name", "ship_type")
 
 
@@ -195,8 +201,8 @@ def ais_armour_text(spark, sf_dir):
 def ais_reassembly(spark, sf_dir):
     """A static report an event in two sentences; some lose a part, some repeat one, some swap them, and ten sequence numbers serve all."""
     e = F.col("event_id")
-    bits = F.concat(tx.bits_of(F.lit(5), 6), tx.bits_of(F.lit(0), 2), tx.bits_of("mmsi", 30), tx.bits_of(F.lit(0), 2), tx.bits_of("event_id", 30), tx.bits_of(F.lit(0), 42), tx.text_bits(F.upper("event_type"), 20), tx.bits_of("k", 8))
-    sent = points(spark, sf_dir).select("event_id", tx.armoured(bits, 424).alias("body"))
+    digits = _static_digits("mmsi", "event_id", F.upper("event_type"), "k")
+    sent = points(spark, sf_dir).select("event_id", tx.armoured_digits(digits, 424).alias("body"))
     # Places of the parts in time; a null place is a lost part.
     swapped = e % 3 == 0
     first, second = F.when(e % 13 > 0, F.when(swapped, 400).otherwise(0)), F.when(e % 11 > 0, F.when(swapped, 0).otherwise(400))

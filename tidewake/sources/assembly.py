@@ -16,6 +16,7 @@ import json
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -90,13 +91,13 @@ def assembled(lines: DataFrame, order: str = "at", value: str = "value", limit:
     rows = fields(lines, F.col(order).cast("double"), value, receiver)
     whole = rows.filter("parts = 1").select("receiver", "at", F.col("body").alias("payload"))
 
-    def read(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["at", "line_no", "part", "body"])
-        found = list(_read(int(key[3]), limit, zip(frame["at"].tolist(), frame["part"].tolist(), frame["body"].tolist(), strict=True)))
-        return _frame({"receiver": [key[0]] * len(found), "at": [float(a) for a, _ in found], "payload": [p for _, p in found]}, at="float64")
+    def read(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.sort_by([(name, "ascending") for name in ("at", "line_no", "part", "body")])
+        found = list(_read(int(key[3].as_py()), limit, zip(table["at"].to_numpy().tolist(), table["part"].to_pylist(), table["body"].to_pylist(), strict=True)))
+        return pa.table([pa.array([key[0].as_py()] * len(found), pa.string()), pa.array([a for a, _ in found], pa.float64(), from_pandas=True), pa.array([p for _, p in found], pa.string())], ["receiver", "at", "payload"])
 
     apart = lambda before: F.col("at") - before("at") > limit
-    joined = homed(rows.filter("parts > 1"), KEY, "at", ["at", "line_no", "part", "body"], apart, width).groupBy(*KEY, "home").applyInPandas(read, "receiver string, at double, payload string")
+    joined = homed(rows.filter("parts > 1"), KEY, "at", ["at", "line_no", "part", "body"], apart, width).groupBy(*KEY, "home").applyInArrow(read, "receiver string, at double, payload string")
     return whole.unionByName(joined)
 
 
