@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -53,3 +54,15 @@ def test_cache_overflow_changes_nothing(reference, monkeypatch):
     some = ["some words here", "and others there", "some words there"]
     assert [x.tolist() for x in codec.encode(some)] == [reference.encode_ordinary(t) for t in some]
     assert F is not None
+
+
+def test_many_texts_are_decoded_by_one_look_up(monkeypatch):
+    codec, tokens = byte_bpe.load(PATH, PATTERN), byte_bpe.load_tokens(PATH)
+    some = ["", "some words", "日本 \U0001f600", "", "a" * 300, "x", ""]
+    found = codec.encode(some)
+    for at_once in (1, 7, 1 << 18):
+        monkeypatch.setattr(byte_bpe, "IDS_AT_ONCE", at_once)
+        flat, sizes = np.concatenate(found), np.array([len(x) for x in found])
+        got = byte_bpe.load_bytes(PATH).texts(flat, sizes)
+        assert got == [byte_bpe.decode(tokens, x.tolist()) for x in found] == [x.encode() for x in some]
+    assert byte_bpe.load_bytes(PATH).texts(np.empty(0, np.int32), np.empty(0, np.int64)) == []

@@ -32,6 +32,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 LONG = 512
 CACHED_PIECES = 300_000
 CHARS_AT_ONCE = 1 << 20
+IDS_AT_ONCE = 1 << 18
 _NONE = np.int32(2**31 - 1)
 _EMPTY = np.uint64(2**64 - 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -97,7 +98,11 @@ class ByteBPE:
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """The ids of each piece, in order."""
-        out: list[np.ndarray] = [np.empty(0, np.int32)] * len(pieces)
+        return [np.frombuffer(x, np.int32) for x in self._coded(pieces)]
+
+    def _coded(self, pieces: list[bytes]) -> list[bytes]:
+        """The same as the bytes of the ids."""
+        out = [b""] * len(pieces)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         width = 1
         while width <= LONG:
@@ -106,7 +111,7 @@ class ByteBPE:
                 self._bucket(pieces, part, width, out)
             width *= 2
         for i in np.flatnonzero(sizes > LONG):
-            out[i] = self._row(pieces[i])
+            out[i] = self._row(pieces[i]).tobytes()
         return out
 
     def _bucket(self, pieces, rows, width, out) -> None:
@@ -115,8 +120,7 @@ class ByteBPE:
         ids = np.full((len(rows), width), -1, np.int32)
         ids[here < sizes[:, None]] = self.single[np.frombuffer(b"".join(pieces[i] for i in rows), np.uint8)]
         if width == 1:
-            for i, row in zip(rows, ids, strict=True):
-                out[i] = row
+            self._keep(rows, ids, sizes, out)
             return
         rank = self.table(ids[:, :-1], ids[:, 1:])
         while len(rows):
@@ -124,8 +128,7 @@ class ByteBPE:
             best = rank[np.arange(len(rows)), at]
             ended = best == _NONE
             if ended.any():
-                for i, row, n in zip(rows[ended], ids[ended], sizes[ended], strict=True):
-                    out[i] = row[:n]
+                self._keep(rows[ended], ids[ended], sizes[ended], out)
                 going = ~ended
                 rows, ids, rank, sizes, at, best = (x[going] for x in (rows, ids, rank, sizes, at, best))
                 if not len(rows):
@@ -142,6 +145,13 @@ class ByteBPE:
             before = at > 0
             rank[every[before], at[before] - 1] = self.table(ids[every[before], at[before] - 1], ids[every[before], at[before]])
 
+    @staticmethod
+    def _keep(rows: np.ndarray, ids: np.ndarray, sizes: np.ndarray, out: list[bytes]) -> None:
+        """The first ids of each row of a matrix, cut from its bytes."""
+        whole, starts = ids.tobytes(), np.arange(len(rows)) * (4 * ids.shape[1])
+        for i, start, end in zip(rows.tolist(), starts.tolist(), (starts + 4 * sizes).tolist(), strict=True):
+            out[i] = whole[start:end]
+
     @staticmethod
     def _closed_up(matrix: np.ndarray, gone: np.ndarray, pad) -> np.ndarray:
         """Each row without its element ``gone``, padded at the end."""
@@ -194,7 +204,7 @@ class ByteBPE:
             self.cache.clear()
             new = met
         listed = list(new)
-        self.cache.update(zip(listed, (x.tobytes() for x in self.encode_pieces([p.encode() for p in listed])), strict=True))
+        self.cache.update(zip(listed, self._coded([p.encode() for p in listed]), strict=True))
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(get, pieces)), np.int32) for pieces in cut]
 
@@ -223,10 +233,43 @@ def load_tokens(path: str) -> list[bytes]:
     return _by_id(_read(path))
 
 
+@functools.lru_cache(maxsize=2)
+def load_bytes(path: str) -> Bytes:
+    return Bytes(load_tokens(path))
+
+
 def decode(tokens: list[bytes], ids) -> bytes:
     return b"".join(map(tokens.__getitem__, ids))
 
 
+class Bytes:
+    """The bytes of all ids in one array, so that many texts are decoded by one look-up."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.starts = self.sizes.cumsum() - self.sizes
+
+    def __call__(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of ``ids``, and where each id's bytes end."""
+        sizes = self.sizes[ids]
+        ends = sizes.cumsum()
+        place = np.repeat(self.starts[ids] - ends + sizes, sizes)
+        place += np.arange(len(place))
+        return self.flat[place].tobytes(), ends
+
+    def texts(self, ids: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+        """Texts of ``sizes`` ids each; so many at a time that the look-up stays small."""
+        out, start, row, ends = [], 0, 0, sizes.cumsum()
+        while row < len(sizes):
+            last = max(row + 1, int(np.searchsorted(ends, start + IDS_AT_ONCE, "right")))
+            whole, at = self(ids[start : ends[last - 1]])
+            cuts = np.append(0, at)[np.append(start, ends[row:last]) - start].tolist()
+            out += [whole[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            start, row = int(ends[last - 1]), last
+        return out
+
+
 def encode_texts(rows: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``rows`` with a column ``ids``."""
 
@@ -244,10 +287,8 @@ def decode_ids(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
     @F.arrow_udf("binary")
     def to_bytes(column: pa.Array) -> pa.Array:
-        tokens = load_tokens(path)
         flat, sizes = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
-        parts = np.split(flat, sizes.cumsum()[:-1]) if len(sizes) else []
-        return pa.array([decode(tokens, part.tolist()) for part in parts], pa.binary())
+        return pa.array(load_bytes(path).texts(flat, sizes), pa.binary())
 
     return rows.withColumn("decoded", to_bytes(ids))
 
